@@ -124,3 +124,38 @@ def with_ctes(select: str) -> str:
 
 def table(name: str) -> str:
     return with_ctes(f"SELECT * FROM {name}")
+
+
+# ------------------------------------------------------------------ API path
+CUT = "2024-01-16 00:00:00"
+STAMP_1 = "2024-01-16 00:00:00"
+STAMP_2 = "2024-01-31 00:00:00"
+
+
+def _scalar(path: str) -> str:
+    return (f"CASE WHEN json_type(data, '{path}') IN ('OBJECT', 'ARRAY') THEN NULL "
+            f"ELSE json_extract_string(data, '{path}') END")
+
+
+CTES["api_log"] = """
+        SELECT CASE event_type WHEN 'error' THEN 'fraud' WHEN 'view' THEN 'audit'
+                               WHEN 'click' THEN 'access' END AS stream_name,
+               event_id AS pos, CAST(event_id AS VARCHAR) AS event_id,
+               event_type AS stream_type, props AS data,
+               CAST(epoch_us(ts) AS DOUBLE) / CAST(1000000 AS DOUBLE) AS timestamp,
+               ts AS event_ts
+        FROM events WHERE event_type IN ('error', 'view', 'click')"""
+CTES["api_raw"] = """
+        SELECT CAST(date_trunc('day', event_ts) AS TIMESTAMP) AS ingested_at,
+               stream_name AS source_stream, event_id, stream_type, data, timestamp
+        FROM api_log"""
+CTES["api_silver"] = f"""
+        SELECT event_id, stream_type, source_stream,
+               {_scalar('$.k')} AS measure_value,
+               {_scalar('$.message')} AS event_message,
+               make_timestamp(CAST(round(timestamp) AS BIGINT) * 1000000) AS observed_at,
+               ingested_at
+        FROM api_raw"""
+CTES["run1_cursors"] = f"""
+        SELECT stream_name, max(pos) AS last_pos FROM api_log
+        WHERE event_ts < TIMESTAMP '{CUT}' GROUP BY stream_name"""

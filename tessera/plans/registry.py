@@ -136,3 +136,250 @@ def q_fact_batch_only(spark, d):
 @register("fact_unified", O.table("fact_unified"))
 def q_fact_unified(spark, d):
     return medallion.fact_unified(spark, d)
+
+
+# =========================================================== API ingestion path
+from tessera.operators import incremental as inc  # noqa: E402
+from tessera.plans import api_ingest  # noqa: E402
+from tessera.schemas import API_RAW  # noqa: E402
+from tessera.session import scratch_path  # noqa: E402
+from tessera.sources import tables  # noqa: E402
+
+_CUT = api_ingest.FIRST_RUN_CUT
+_API_SILVER_COLS = ("event_id, stream_type, source_stream, measure_value, event_message, "
+                    "observed_at")
+
+
+def _api_silver_full(spark, d):
+    return silver.api_silver_projection(bindings.api_raw(spark, d), "$.k")
+
+
+@register("api_union_streams", O.table("api_raw"))
+def q_api_union_streams(spark, d):
+    """G1: three per-stream tables, UNION ALL by name with a tag per branch."""
+    raw = bindings.api_raw(spark, d)
+    per_stream = {s: raw.where(F.col("source_stream") == s).drop("source_stream")
+                  for s in api_ingest.STREAMS}
+    return silver.union_tagged(per_stream)
+
+
+@register("json_scalar_extract", O.with_ctes(
+    "SELECT event_id, measure_value, event_message FROM api_silver"))
+def q_json_scalar_extract(spark, d):
+    from tessera.functions.json import json_scalar
+    raw = bindings.api_raw(spark, d)
+    return raw.select("event_id", json_scalar("data", "$.k").alias("measure_value"),
+                      json_scalar("data", "$.message").alias("event_message"))
+
+
+@register("stg_api_telemetry", O.table("api_silver"))
+def q_stg_api_telemetry(spark, d):
+    """K5 full build: G1 -> H8 / H7 projection of every raw API row."""
+    return _api_silver_full(spark, d)
+
+
+@register("sanitize_raw_events", O.with_ctes(f"""
+    SELECT TIMESTAMP '{api_ingest.STAMP_1}' AS ingested_at, stream_name AS source_stream,
+           event_id, stream_type, data, timestamp FROM api_log"""))
+def q_sanitize_raw_events(spark, d):
+    return inc.sanitize(bindings.api_log(spark, d), api_ingest.STAMP_1)
+
+
+@register("incremental_filter", O.with_ctes(f"""
+    SELECT * FROM api_raw
+    WHERE ingested_at > (SELECT COALESCE(MAX(ingested_at), TIMESTAMP '1900-01-01')
+                         FROM api_raw WHERE ingested_at < TIMESTAMP '{_CUT}')"""))
+def q_incremental_filter(spark, d):
+    """B6 (global scope): raw rows beyond the target's high-water mark; the
+    target is the silver model as built from rows loaded before the cut."""
+    raw = bindings.api_raw(spark, d)
+    target = silver.api_silver_projection(
+        raw.where(F.col("ingested_at") < F.lit(_CUT).cast("timestamp_ntz")), "$.k")
+    return inc.incremental_filter(raw, target, scope="global")
+
+
+@register("incremental_api_silver", O.table("api_silver"))
+def q_incremental_api_silver(spark, d):
+    """First run builds the table in full, the second only merges rows
+    beyond the high-water mark; the result equals a full rebuild."""
+    raw = bindings.api_raw(spark, d)
+    table = tables.VersionedTable(spark, scratch_path(spark, "api-silver"))
+    for visible in (raw.where(F.col("ingested_at") < F.lit(_CUT).cast("timestamp_ntz")), raw):
+        new = inc.incremental_filter(visible, table.read(), scope="per_stream")
+        api_ingest.merge_into(table, silver.api_silver_projection(new, "$.k"), "event_id")
+    return table.read()
+
+
+_REDELIVERY_FROM = "2024-01-11 00:00:00"
+_TARGET_UNTIL = "2024-01-21 00:00:00"
+_REDELIVERY_STAMP = "2024-02-01 00:00:00"
+
+
+@register("upsert_merge", O.with_ctes(f"""
+    SELECT {_API_SILVER_COLS},
+           CASE WHEN ingested_at >= TIMESTAMP '{_REDELIVERY_FROM}'
+                THEN TIMESTAMP '{_REDELIVERY_STAMP}' ELSE ingested_at END AS ingested_at
+    FROM api_silver"""))
+def q_upsert_merge(spark, d):
+    """A target holding rows loaded before 01-21 merged with a redelivery of
+    every row from 01-11 on: overlapping keys are updated, new keys inserted."""
+    full = _api_silver_full(spark, d)
+    ts = F.col("ingested_at")
+    target = full.where(ts < F.lit(_TARGET_UNTIL).cast("timestamp_ntz"))
+    source = (full.where(ts >= F.lit(_REDELIVERY_FROM).cast("timestamp_ntz"))
+              .withColumn("ingested_at", F.lit(_REDELIVERY_STAMP).cast("timestamp_ntz")))
+    return inc.upsert(target, source, "event_id")
+
+
+def _run1_watermarks(spark, d, streams):
+    log = api_ingest.log_as_of(bindings.api_log(spark, d), _CUT)
+    return inc.advance_cursors(spark, streams, log, api_ingest.STAMP_1)
+
+
+_LOOKUP_SQL = """
+    SELECT s.stream_name,
+           'cursor_' || s.stream_name || '_' || CAST(w.last_pos AS VARCHAR) AS current_cursor,
+           w.last_pos AS cursor_pos
+    FROM (VALUES ('fraud'), ('audit'), ('access')) s(stream_name)
+    LEFT JOIN (SELECT * FROM run1_cursors WHERE stream_name IN ('fraud', 'audit')) w
+           ON s.stream_name = w.stream_name"""
+
+
+@register("watermark_lookup", O.with_ctes(_LOOKUP_SQL))
+def q_watermark_lookup(spark, d):
+    """C4: configured streams LEFT JOIN stored cursors; ``access`` has none yet."""
+    wm = _run1_watermarks(spark, d, ["fraud", "audit"])
+    return inc.watermark_lookup(spark, api_ingest.STREAMS, wm)
+
+
+@register("incremental_extract", O.with_ctes(f"""
+    SELECT l.stream_name, l.pos, l.event_id, l.stream_type, l.data, l.timestamp,
+           CAST(floor((l.pos - COALESCE(c.cursor_pos, -1) - 1) / 1000) AS BIGINT) AS page
+    FROM api_log l JOIN ({_LOOKUP_SQL}) c ON l.stream_name = c.stream_name
+    WHERE c.cursor_pos IS NULL OR l.pos > c.cursor_pos"""))
+def q_incremental_extract(spark, d):
+    """K1: every stream's rows beyond its cursor, in one job."""
+    wm = _run1_watermarks(spark, d, ["fraud", "audit"])
+    cursors = inc.watermark_lookup(spark, api_ingest.STREAMS, wm)
+    return (inc.extract_new(bindings.api_log(spark, d), cursors)
+            .select("stream_name", "pos", "event_id", "stream_type", "data", "timestamp", "page"))
+
+
+@register("cursor_parse", O.with_ctes("""
+    SELECT stream_name, 'cursor_' || stream_name || '_' || CAST(pos AS VARCHAR) AS current_cursor,
+           pos AS cursor_pos FROM api_log"""))
+def q_cursor_parse(spark, d):
+    """Cursor text for every log offset, parsed back to its position."""
+    from tessera.functions.cursor import cursor_position, format_cursor
+    log = bindings.api_log(spark, d)
+    cur = log.select("stream_name", format_cursor("stream_name", "pos").alias("current_cursor"))
+    return cur.withColumn("cursor_pos", cursor_position("current_cursor"))
+
+
+@register("watermark_advance", O.with_ctes(f"""
+    SELECT stream_name, 'cursor_' || stream_name || '_' || CAST(max(pos) AS VARCHAR) AS current_cursor,
+           TIMESTAMP '{api_ingest.STAMP_2}' AS updated_at
+    FROM api_log GROUP BY stream_name"""))
+def q_watermark_advance(spark, d):
+    """D5 + C5 + A8: the cursor table after two ingestion runs."""
+    t = api_ingest.two_runs(spark, d, scratch_path(spark, "api-cycle"))
+    return t.watermarks(spark).read()
+
+
+@register("api_cycle_two_runs", O.with_ctes(f"""
+    SELECT s.{_API_SILVER_COLS.replace(', ', ', s.')},
+           CASE WHEN l.pos <= c.last_pos THEN TIMESTAMP '{api_ingest.STAMP_1}'
+                ELSE TIMESTAMP '{api_ingest.STAMP_2}' END AS ingested_at
+    FROM api_silver s
+    JOIN api_log l ON s.event_id = l.event_id
+    LEFT JOIN run1_cursors c ON l.stream_name = c.stream_name"""))
+def q_api_cycle_two_runs(spark, d):
+    """Run the whole cycle twice; the second run only adds what is new."""
+    t = api_ingest.two_runs(spark, d, scratch_path(spark, "api-cycle"))
+    return t.silver(spark).read()
+
+
+# ============================================================ files and tables
+@register("seed_csv_load", O.table("raw_telemetry"))
+def q_seed_csv_load(spark, d):
+    """A1: raw telemetry written as a quoted CSV seed, loaded with declared types."""
+    from tessera.schemas import RAW_TELEMETRY, with_key_type
+    from pyspark.sql import types as T
+    path = scratch_path(spark, "seed-csv")
+    tables.write_csv_seed(bindings.raw_telemetry(spark, d), path)
+    schema = with_key_type(RAW_TELEMETRY, T.LongType(), ("vessel_id", "location_id"))
+    return tables.read_csv_typed(spark, path, schema)
+
+
+_RAW_MIN = "ingested_at, source_stream, event_id, stream_type, CAST(json(data) AS VARCHAR) AS data, timestamp"
+
+
+@register("ndjson_land_scan", O.with_ctes(f"SELECT {_RAW_MIN} FROM api_raw"))
+def q_ndjson_land_scan(spark, d):
+    """A2: landed NDJSON (payload as a nested object) scanned with a declared schema."""
+    path = scratch_path(spark, "ndjson")
+    tables.write_landing(bindings.api_raw(spark, d), path, partition_cols=())
+    return tables.read_ndjson(spark, path, API_RAW)
+
+
+@register("landing_partitioned_write", O.with_ctes(
+    f"SELECT {_RAW_MIN}, CAST(ingested_at AS DATE) AS dt FROM api_raw"))
+def q_landing_partitioned_write(spark, d):
+    """A3: NDJSON under source_stream=/dt= folders, 50,000 rows per file at most."""
+    path = scratch_path(spark, "landing")
+    raw = bindings.api_raw(spark, d).withColumn("dt", F.to_date("ingested_at"))
+    tables.write_landing(raw, path)
+    return tables.read_ndjson(spark, path, API_RAW)
+
+
+@register("raw_append_load", O.with_ctes(
+    f"SELECT {_RAW_MIN}, CAST(ingested_at AS DATE) AS _ingest_date FROM api_raw"))
+def q_raw_append_load(spark, d):
+    """A4: two landing runs appended to the raw table partitioned by ingest day."""
+    root = scratch_path(spark, "raw-append")
+    raw = bindings.api_raw(spark, d).withColumn("dt", F.to_date("ingested_at"))
+    before = F.col("ingested_at") < F.lit(_CUT).cast("timestamp_ntz")
+    for run_id, part in (("1", raw.where(before)), ("2", raw.where(~before))):
+        land = f"{root}/landing/run_id={run_id}"
+        tables.write_landing(part, land)
+        landed = tables.read_ndjson(spark, land, API_RAW).select(*API_RAW.fieldNames())
+        tables.append_raw(landed, f"{root}/raw")
+    return spark.read.parquet(f"{root}/raw")
+
+
+_RETENTION_AS_OF = "2024-01-20"
+
+
+@register("retention_expire", O.with_ctes(
+    f"SELECT {_RAW_MIN}, CAST(ingested_at AS DATE) AS dt FROM api_raw "
+    f"WHERE CAST(ingested_at AS DATE) > DATE '{_RETENTION_AS_OF}' - INTERVAL 7 DAY"))
+def q_retention_expire(spark, d):
+    """Landing folders older than 7 days before the as-of date are dropped
+    from a listing; what remains is read back."""
+    path = scratch_path(spark, "retention")
+    raw = bindings.api_raw(spark, d).withColumn("dt", F.to_date("ingested_at"))
+    tables.write_landing(raw, path)
+    tables.expire_partitions(spark, path, "dt", _RETENTION_AS_OF, keep_days=7)
+    return tables.read_ndjson(spark, path, API_RAW)
+
+
+@register("gold_partitioned_table", O.with_ctes(
+    "SELECT *, CAST(observed_at AS DATE) AS observed_date FROM fact_unified"))
+def q_gold_partitioned_table(spark, d):
+    """A5: the fact rebuilt as a day-partitioned table clustered on its join keys."""
+    path = scratch_path(spark, "gold-fact")
+    tables.write_partitioned_table(medallion.fact_unified(spark, d), path, "observed_at",
+                                   "observed_date", ("location_id", "vessel_id", "vessel_type"))
+    return spark.read.parquet(path)
+
+
+_PROCESSED_AT = "2024-02-01 00:00:00"
+
+
+@register("stream_silver_view", O.with_ctes(
+    f"SELECT *, TIMESTAMP '{_PROCESSED_AT}' AS processed_at FROM stg_telemetry_stream"))
+def q_stream_silver_view(spark, d):
+    """A view exposing the six stream-silver columns."""
+    medallion.stg_telemetry_stream(spark, d, processed_at=_PROCESSED_AT) \
+        .createOrReplaceTempView("stg_telemetry_stream")
+    return spark.table("stg_telemetry_stream")

@@ -66,6 +66,15 @@ def list_partition_values(spark: SparkSession, path: str, column: str) -> list[s
     return sorted(out)
 
 
+def list_partition_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of ``k=v`` sub-directories directly below ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                  if st.isDirectory() and "=" in st.getPath().getName())
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))

@@ -110,22 +110,33 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 # ---------------------------------------------------------------- retention
 def expire_partitions(spark: SparkSession, path: str, column: str, as_of: str | _dt.date,
-                      keep_days: int = 7) -> list[str]:
+                      keep_days: int = 7, max_depth: int = 3) -> list[str]:
     """Delete ``column=<day>`` folders older than ``keep_days`` before ``as_of``.
 
-    Works from a directory listing only (no data scan).  Returns the dropped values.
+    Works from a directory listing only (no data scan); the day folders may sit
+    below other partition folders (``source_stream=x/dt=...``).  Returns the
+    dropped folders.
     """
     day = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
     cutoff = day - _dt.timedelta(days=keep_days)
-    dropped = []
-    for value in fs.list_partition_values(spark, path, column):
-        try:
-            d = _dt.date.fromisoformat(value)
-        except ValueError:
-            continue
-        if d <= cutoff:
-            fs.delete(spark, f"{path.rstrip('/')}/{column}={value}")
-            dropped.append(value)
+    dropped: list[str] = []
+
+    def walk(folder: str, depth: int) -> None:
+        for value in fs.list_partition_values(spark, folder, column):
+            try:
+                d = _dt.date.fromisoformat(value)
+            except ValueError:
+                continue
+            if d <= cutoff:
+                target = f"{folder}/{column}={value}"
+                fs.delete(spark, target)
+                dropped.append(target)
+        if depth < max_depth:
+            for sub in fs.list_partition_dirs(spark, folder):
+                if not sub.startswith(column + "="):
+                    walk(f"{folder}/{sub}", depth + 1)
+
+    walk(path.rstrip("/"), 0)
     return dropped
 
 
