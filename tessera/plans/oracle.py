@@ -159,3 +159,46 @@ CTES["api_silver"] = f"""
 CTES["run1_cursors"] = f"""
         SELECT stream_name, max(pos) AS last_pos FROM api_log
         WHERE event_ts < TIMESTAMP '{CUT}' GROUP BY stream_name"""
+
+
+# ------------------------------------------------------------------ quality
+AUDIT_PROCESSED_AT = "2024-02-01 00:00:00"
+CTES["stg_locations"] = "SELECT location_id, location_name, region, facility_type FROM raw_locations"
+CTES["stream_silver_stamped"] = (
+    f"SELECT *, TIMESTAMP '{AUDIT_PROCESSED_AT}' AS processed_at FROM stg_telemetry_stream")
+AUDIT_MODEL_CTE = {
+    "stg_telemetry": "stg_telemetry", "stg_researchers": "stg_researchers",
+    "stg_vessels": "stg_vessels", "stg_locations": "stg_locations",
+    "stg_telemetry_stream": "stream_silver_stamped", "stg_api_telemetry": "api_silver",
+    "dim_researchers": "dim_researchers", "fct_events": "fact_unified",
+    "dim_vessels": "dim_vessels", "dim_locations": "dim_locations",
+}
+
+
+def check_sql(model: str, chk) -> str:
+    """One result row ``(model, column_name, check_name, observed, passed)``."""
+    src = AUDIT_MODEL_CTE[model]
+    if chk.kind == "unique":
+        keys = list(chk.column) if isinstance(chk.column, tuple) else [chk.column]
+        nn = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+        obs = (f"(SELECT count(*) FROM (SELECT {', '.join(keys)} FROM {src} WHERE {nn} "
+               f"GROUP BY {', '.join(keys)} HAVING count(*) > 1))")
+    elif chk.kind == "not_null":
+        obs = f"(SELECT count(*) FILTER (WHERE {chk.column} IS NULL) FROM {src})"
+    elif chk.kind == "between":
+        obs = (f"(SELECT count(*) FILTER (WHERE NOT ({chk.column} BETWEEN {chk.low} AND {chk.high})) "
+               f"FROM {src})")
+    elif chk.kind == "non_negative":
+        obs = f"(SELECT count(*) FILTER (WHERE {chk.column} < 0) FROM {src})"
+    elif chk.kind == "min_rows":
+        obs = f"(SELECT count(*) FROM {src})"
+        return (f"SELECT '{model}' AS model, '*' AS column_name, 'min_rows' AS check_name, "
+                f"CAST({obs} AS BIGINT) AS observed, {obs} >= {chk.min_rows} AS passed")
+    else:
+        raise ValueError(chk.kind)
+    return (f"SELECT '{model}' AS model, '{chk.label}' AS column_name, '{chk.kind}' AS check_name, "
+            f"CAST({obs} AS BIGINT) AS observed, {obs} = 0 AS passed")
+
+
+def suite_sql(suite) -> str:
+    return with_ctes("\nUNION ALL\n".join(check_sql(s.model, c) for s in suite for c in s.checks))
