@@ -23,7 +23,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from tessera.functions.temporal import epoch_seconds, iso_utc_text
+from tessera.schemas import stream_record_schema
 
 LOCATION_BUCKETS = 30
 VESSEL_TYPE_BUCKETS = 5
@@ -32,6 +35,8 @@ RESEARCHER_VESSELS = 120
 
 # Event type -> API stream name.
 API_STREAMS = {"error": "fraud", "view": "audit", "click": "access"}
+# The topic contract with this binding's integer keys.
+STREAM_RECORD = stream_record_schema(T.LongType())
 # Fixed value: the reporting date used for ages and tenures.
 AS_OF = "2026-04-01"
 
@@ -57,7 +62,11 @@ def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic's records (typed, before JSON encoding): every event again."""
-    return raw_telemetry(spark, sf_dir).withColumn("event_time", iso_utc_text("event_time"))
+    return stream_records_from(raw_telemetry(spark, sf_dir))
+
+
+def stream_records_from(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("event_time", iso_utc_text("event_time"))
 
 
 def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
