@@ -84,7 +84,8 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str | list[str],
 
     ``on_duplicate="error"`` fails when the source holds a key twice (as a
     warehouse MERGE does); ``"latest"`` keeps the row with the largest
-    ``order_col``.  The anti join broadcasts the source *keys* only when their
+    ``order_col``; ``"checked"`` means the caller has already proven the
+    source keys unique (e.g. the output of a ``groupBy`` on the key).  The anti join broadcasts the source *keys* only when their
     count is proven small; otherwise it is a shuffle join.
     """
     keys = [key] if isinstance(key, str) else list(key)
@@ -96,7 +97,7 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str | list[str],
         dup = source.groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect()
         if dup:
             raise ValueError(f"source holds key {dup[0].asDict()} more than once")
-    else:
+    elif on_duplicate != "checked":
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
     if target is None:
         return source
@@ -119,7 +120,12 @@ def watermark_lookup(spark: SparkSession, streams: list[str], watermarks: DataFr
                      strict: bool = True) -> DataFrame:
     """C4/K2: every configured stream with its stored cursor (NULL = start from
     the beginning) and the parsed position.  A non-NULL cursor that does not
-    parse is an error (``strict``) rather than a silent full reload."""
+    parse is an error (``strict``) rather than a silent full reload.
+
+    The join runs once in Spark; its result has one row per *configured*
+    stream, so it is collected (bounded by configuration) and handed back as a
+    small local DataFrame that later joins broadcast for free.
+    """
     cfg = stream_list(spark, streams)
     if watermarks is None:
         out = cfg.select("stream_name", F.lit(None).cast("string").alias("current_cursor"))
@@ -127,11 +133,12 @@ def watermark_lookup(spark: SparkSession, streams: list[str], watermarks: DataFr
         wm = F.broadcast(watermarks.select("stream_name", "current_cursor"))  # one row per stream
         out = cfg.join(wm, "stream_name", "left")
     out = out.withColumn("cursor_pos", cursor_position("current_cursor"))
+    rows = out.collect()
     if strict:
-        bad = out.where(F.col("current_cursor").isNotNull() & F.col("cursor_pos").isNull()).collect()
+        bad = [r.asDict() for r in rows if r.current_cursor is not None and r.cursor_pos is None]
         if bad:
-            raise ValueError(f"unparsable cursors: {[r.asDict() for r in bad]}")
-    return out
+            raise ValueError(f"unparsable cursors: {bad}")
+    return spark.createDataFrame(rows, out.schema)
 
 
 def extract_new(log: DataFrame, cursors: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -149,6 +156,23 @@ def extract_new(log: DataFrame, cursors: DataFrame, page_size: int = PAGE_SIZE)
             .drop("cursor_pos"))
 
 
+def cursor_metrics(streams: list[str], stream_col: str = "stream_name",
+                   pos_col: str = "pos") -> list[F.Column]:
+    """Per-stream ``max(pos)`` as observation metrics: attached with
+    ``DataFrame.observe`` they are computed in the same pass that lands the
+    rows (max is idempotent, so a retried task cannot skew it)."""
+    return [F.max(F.when(F.col(stream_col) == F.lit(s), F.col(pos_col))).alias(s)
+            for s in streams]
+
+
+def cursors_from_metrics(spark: SparkSession, metrics: dict, stamp) -> DataFrame:
+    """C5 from observed metrics: streams that produced nothing are dropped."""
+    rows = [(s, f"cursor_{s}_{int(p)}") for s, p in metrics.items() if p is not None]
+    schema = T.StructType([T.StructField("stream_name", T.StringType(), False),
+                           T.StructField("current_cursor", T.StringType(), True)])
+    return spark.createDataFrame(rows, schema).withColumn("updated_at", _ts_lit(stamp))
+
+
 def advance_cursors(spark: SparkSession, streams: list[str], extracted: DataFrame, stamp,
                     ) -> DataFrame:
     """D5 + C5: newest consumed position per stream -> new cursor rows; streams

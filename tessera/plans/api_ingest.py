@@ -11,9 +11,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.operators import incremental as inc
 from tessera.operators.silver import api_silver_projection
@@ -22,9 +21,6 @@ from tessera.schemas import API_RAW, WATERMARKS
 from tessera.sources import bindings
 from tessera.sources.tables import VersionedTable, append_raw, read_ndjson, write_landing
 
-OFFSET_COL = "_offset"
-
-
 @dataclass
 class ApiTables:
     root: str
@@ -53,16 +49,30 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
     the new rows are published as an extra segment and nothing is rewritten;
     otherwise a new version holding the merged rows is written and swapped in.
     """
-    if not table.exists():
-        table.append(inc.upsert(None, source, key, on_duplicate, order_col))
-        return "append"
-    target = table.read()
-    keys = broadcast_if_bounded(source.select(key).distinct(), broadcast_max_rows)
-    matched = target.select(key).join(keys, key, "left_semi").limit(1).count() > 0
-    if not matched:
-        table.append(inc.upsert(None, source, key, on_duplicate, order_col))
+    if on_duplicate == "latest":
+        source = inc.upsert(None, source, key, "latest", order_col)
+    target = table.read() if table.exists() else None
+    # One job answers both questions -- is a source key repeated, and does any
+    # already exist?  The target's keys are probed against the (size-checked,
+    # usually broadcast) source keys, so the target itself is never shuffled.
+    per_key = source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    parts = per_key.agg(F.lit("max_n").alias("stat"), F.max("_n").cast("long").alias("v"))
+    parts = parts.unionByName(per_key.agg(F.lit("keys").alias("stat"),
+                                          F.count(F.lit(1)).cast("long").alias("v")))
+    if target is not None:
+        probe = broadcast_if_bounded(per_key.select(key), broadcast_max_rows)
+        hits = target.select(key).join(probe, key, "inner")
+        parts = parts.unionByName(hits.agg(F.lit("matched").alias("stat"),
+                                           F.count(F.lit(1)).cast("long").alias("v")))
+    stats = {r["stat"]: r["v"] or 0 for r in parts.collect()}
+    if stats["keys"] == 0:
+        return "noop"
+    if on_duplicate == "error" and stats["max_n"] > 1:
+        raise ValueError(f"source holds a key more than once (max {stats['max_n']} rows)")
+    if target is None or stats.get("matched", 0) == 0:
+        table.append(source)
         return "append"
-    table.rewrite(inc.upsert(target, source, key, on_duplicate, order_col, broadcast_max_rows))
+    table.rewrite(inc.upsert(target, source, key, "checked", None, broadcast_max_rows))
     return "rewrite"
 
 
@@ -76,13 +86,13 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     extracted = inc.extract_new(log, cursors)
 
     # land: NDJSON per stream and ingestion day, one folder per run
+    # land: the newest consumed offset per stream is observed in the same pass
     landing_dir = f"{tables.landing}/run_id={run_id}"
-    rows = (inc.sanitize(extracted.withColumn(OFFSET_COL, F.col("pos")), stamp,
-                         extra=(OFFSET_COL,))
+    obs = Observation(f"cursors_{run_id}")
+    rows = (inc.sanitize(extracted.observe(obs, *inc.cursor_metrics(streams)), stamp)
             .withColumn("dt", F.to_date("ingested_at")))
     write_landing(rows, landing_dir)
-    landed = read_ndjson(spark, landing_dir,
-                         T.StructType(API_RAW.fields + [T.StructField(OFFSET_COL, T.LongType())]))
+    landed = read_ndjson(spark, landing_dir, API_RAW)
 
     # raw append (one job for all streams)
     append_raw(landed.select(*API_RAW.fieldNames()), tables.raw)
@@ -94,12 +104,13 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
                                      partition_col="_ingest_date")
     mode = merge_into(silver, api_silver_projection(new_raw, value_path, message_path), "event_id")
 
-    # cursors last
-    consumed = landed.select(F.col("source_stream").alias("stream_name"),
-                             F.col(OFFSET_COL).alias("pos"))
-    new_cursors = inc.advance_cursors(spark, streams, consumed, stamp)
-    wm = wm_table.read()
-    wm_table.rewrite(inc.upsert(wm, new_cursors, "stream_name").select(*WATERMARKS.fieldNames()))
+    # cursors last (one row per stream: keys unique by construction)
+    metrics = obs.get
+    if any(v is not None for v in metrics.values()):
+        new_cursors = inc.cursors_from_metrics(spark, metrics, stamp)
+        wm = wm_table.read()
+        wm_table.rewrite(inc.upsert(wm, new_cursors, "stream_name", "checked")
+                         .select(*WATERMARKS.fieldNames()))
     return {"run_id": run_id, "silver_write": mode}
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import gold, silver
-from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS
-from tessera.sources.tables import materialize
+from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
 from tessera.sources import bindings
+from tessera.sources.tables import materialize
 
 
 @dataclass
@@ -19,13 +20,21 @@ class Dims:
     researchers: DataFrame
 
 
+@dataclass
+class Gold:
+    """Materialised dimensions, the researcher leads and the (lazy) fact."""
+    dims: Dims
+    leads: DataFrame
+    fact: DataFrame
+
+
 def stg_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.stg_telemetry(bindings.raw_telemetry(spark, sf_dir))
 
 
 def stg_telemetry_stream(spark: SparkSession, sf_dir: str, processed_at=None) -> DataFrame:
-    """Stream silver built from the topic's records with the streaming transform
-    (the same function the continuous query applies, run as a batch plan)."""
+    """Stream silver computed from the topic's records with the streaming
+    transform (the function the continuous query applies), run as a batch plan."""
     return silver.stg_telemetry_stream(bindings.stream_records(spark, sf_dir), processed_at)
 
 
@@ -38,25 +47,41 @@ def dims(spark: SparkSession, sf_dir: str, as_of: str = bindings.AS_OF) -> Dims:
     )
 
 
-def fact(spark: SparkSession, sf_dir: str, include_stream: bool, as_of: str = bindings.AS_OF,
-         lead_first: bool = True, broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-         stream_silver: DataFrame | None = None) -> DataFrame:
-    """The gold fact.  Dimensions are built first and written once (they are
-    full-refresh gold tables), which makes the broadcast size proof a cheap
-    read and keeps the fact's lineage short."""
+def _materialize_sized(df: DataFrame, label: str, max_rows: int | None) -> DataFrame:
+    """Write once, read back, and decide the broadcast from a bounded count."""
+    return broadcast_if_bounded(materialize(df, label), max_rows)
+
+
+def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
+               as_of: str = bindings.AS_OF, lead_first: bool = True,
+               broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+               stream_silver: DataFrame | None = None) -> Gold:
+    """Dimensions are full-refresh gold tables: they are written first (the
+    three independent jobs run concurrently), which keeps the fact's lineage
+    short and makes each broadcast size proof a cheap bounded read."""
     d = dims(spark, sf_dir, as_of)
-    vessels = materialize(d.vessels, "dim_vessels")
-    locations = materialize(d.locations, "dim_locations")
-    researchers = (materialize(gold.lead_researchers(d.researchers), "lead_researchers")
-                   if lead_first else materialize(d.researchers, "dim_researchers"))
+    researchers_in = gold.lead_researchers(d.researchers) if lead_first else d.researchers
+    todo = {"dim_vessels": d.vessels, "dim_locations": d.locations,
+            "dim_researchers": d.researchers, "lead_researchers": researchers_in}
+    with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+        futs = {k: pool.submit(_materialize_sized, v, k, broadcast_max_rows)
+                for k, v in todo.items()}
+        done = {k: f.result() for k, f in futs.items()}
+    mdims = Dims(done["dim_vessels"], done["dim_locations"], done["dim_researchers"])
     batch = stg_telemetry(spark, sf_dir)
     stream = None
     if include_stream:
-        stream = stream_silver if stream_silver is not None else stg_telemetry_stream(spark, sf_dir)
+        stream = stream_silver if stream_silver is not None \
+            else bindings.stream_silver_table(spark, sf_dir)
     telemetry = gold.unified_telemetry(batch, stream)
-    # researchers are already reduced to one lead per vessel when lead_first
-    return gold.fact_events(telemetry, vessels, locations, researchers, lead_first=False,
-                            dedupe=True, broadcast_max_rows=broadcast_max_rows)
+    # the dims carry their broadcast decision already; leads are one per vessel
+    fact = gold.fact_events(telemetry, mdims.vessels, mdims.locations, done["lead_researchers"],
+                            lead_first=False, dedupe=True, broadcast_max_rows=None)
+    return Gold(mdims, done["lead_researchers"], fact)
+
+
+def fact(spark: SparkSession, sf_dir: str, include_stream: bool, **kw) -> DataFrame:
+    return build_gold(spark, sf_dir, include_stream=include_stream, **kw).fact
 
 
 def fact_batch_only(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.temporal import epoch_seconds, iso_utc_text
+from tessera.operators.silver import to_g
 from tessera.schemas import stream_record_schema
 
 LOCATION_BUCKETS = 30
@@ -69,6 +70,18 @@ def stream_records_from(raw: DataFrame) -> DataFrame:
     return raw.withColumn("event_time", iso_utc_text("event_time"))
 
 
+def stream_silver_table(spark: SparkSession, sf_dir: str, processed_at=None) -> DataFrame:
+    """Stream silver as the streaming sink holds it: typed rows, one per topic
+    record.  Gold reads this table; it never re-parses the topic's text."""
+    raw = raw_telemetry(spark, sf_dir)
+    stamp = F.lit(processed_at).cast("timestamp_ntz") if processed_at is not None \
+        else F.current_timestamp().cast("timestamp_ntz")
+    return raw.select(
+        F.col("id").alias("event_id"), "vessel_id", "location_id",
+        to_g("raw_force_reading").alias("gravity_g"),
+        F.col("event_time").alias("observed_at"), stamp.alias("processed_at"))
+
+
 def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The topic's payloads: one JSON text per record, in a ``value`` column."""
     rec = stream_records(spark, sf_dir)
