@@ -5,6 +5,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import gold, silver
@@ -64,7 +65,8 @@ def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
     todo = {"dim_vessels": d.vessels, "dim_locations": d.locations,
             "dim_researchers": d.researchers, "lead_researchers": researchers_in}
     with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-        futs = {k: pool.submit(_materialize_sized, v, k, broadcast_max_rows)
+        job = inheritable_thread_target(spark)(_materialize_sized)  # keep job group, tags
+        futs = {k: pool.submit(job, v, k, broadcast_max_rows)
                 for k, v in todo.items()}
         done = {k: f.result() for k, f in futs.items()}
     mdims = Dims(done["dim_vessels"], done["dim_locations"], done["dim_researchers"])

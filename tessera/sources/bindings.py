@@ -42,8 +42,28 @@ STREAM_RECORD = stream_record_schema(T.LongType())
 AS_OF = "2026-04-01"
 
 
+# Declared schemas of the input tables (no footer sampling on every read).
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": ("c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                 "c_mktsegment STRING"),
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "orders": ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"),
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                 "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                 "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+    "events": ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+               "value DOUBLE, props STRING"),
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in SOURCE_SCHEMAS:
+        reader = reader.schema(SOURCE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _mod_tag(prefix: str, c: Column, n: int) -> Column:

@@ -105,7 +105,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- retention
@@ -167,7 +167,10 @@ class VersionedTable:
         return int(self._state()["version"])
 
     def read(self, schema: T.StructType | None = None) -> DataFrame | None:
-        segs = self._state()["segments"]
+        st = self._state()
+        segs = st["segments"]
+        if schema is None and st.get("schema"):
+            schema = T.StructType.fromJson(_json.loads(st["schema"]))
         if not segs:
             if schema is None:
                 return None
@@ -177,20 +180,25 @@ class VersionedTable:
             reader = reader.schema(schema)
         return reader.parquet(*[f"{self.path}/{s}" for s in segs])
 
-    def _publish(self, segments: list[str], version: int) -> None:
-        fs.write_text_atomic(self.spark, self.pointer,
-                             _json.dumps({"version": version, "segments": segments}))
+    def _publish(self, segments: list[str], version: int, schema: T.StructType) -> None:
+        fs.write_text_atomic(self.spark, self.pointer, _json.dumps(
+            {"version": version, "segments": segments, "schema": schema.json()}))
 
     def rewrite(self, df: DataFrame) -> None:
         st = self._state()
         v = st["version"] + 1
         seg = f"v={v}"
         df.write.mode("overwrite").parquet(f"{self.path}/{seg}")
-        self._publish([seg], v)
+        self._publish([seg], v, df.schema)
 
     def append(self, df: DataFrame) -> None:
         st = self._state()
+        if st.get("schema"):
+            have = T.StructType.fromJson(_json.loads(st["schema"]))
+            if [(f.name, f.dataType) for f in have] != [(f.name, f.dataType) for f in df.schema]:
+                raise ValueError(f"appended schema {df.schema.simpleString()} differs from "
+                                 f"table schema {have.simpleString()}")
         v = st["version"] + 1
         seg = f"v={v}"
         df.write.mode("overwrite").parquet(f"{self.path}/{seg}")
-        self._publish(st["segments"] + [seg], v)
+        self._publish(st["segments"] + [seg], v, df.schema)
