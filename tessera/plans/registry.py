@@ -369,7 +369,8 @@ def q_gold_partitioned_table(spark, d):
     """A5: the fact rebuilt as a day-partitioned table clustered on its join keys."""
     path = scratch_path(spark, "gold-fact")
     tables.write_partitioned_table(medallion.fact_unified(spark, d), path, "observed_at",
-                                   "observed_date", ("location_id", "vessel_id", "vessel_type"))
+                                   "observed_date", ("location_id", "vessel_id", "vessel_type"),
+                                   tiebreak=("event_id",))
     return spark.read.parquet(path)
 
 

@@ -70,16 +70,18 @@ def append_raw(df: DataFrame, path: str, ingest_col: str = "ingested_at") -> Non
 
 # ------------------------------------------------------- full-refresh table (A5)
 def write_partitioned_table(df: DataFrame, path: str, day_source: str, day_col: str,
-                            cluster_by=()) -> None:
+                            cluster_by=(), tiebreak=()) -> None:
     """A5: rebuild a table partitioned by the day of ``day_source`` and clustered.
 
     Range-partitioning on (day, *cluster) gives each task a contiguous key
     range, so every day folder gets few files whose row groups carry tight
     min/max statistics on the cluster keys (parquet row-group pruning).  The day
     leads the in-partition sort, as the partitioned writer requires; otherwise
-    it would sort again.
+    it would sort again.  ``tiebreak`` columns (high cardinality, e.g. the
+    event id) end the range key so that one hot (day, cluster) combination is
+    still cut into several ranges instead of landing in a single task.
     """
-    keys = [day_col, *cluster_by]
+    keys = [day_col, *cluster_by, *tiebreak]
     (df.withColumn(day_col, F.to_date(day_source))
      .repartitionByRange(*keys)
      .sortWithinPartitions(*keys)
