@@ -46,7 +46,8 @@ def high_water_mark(target: DataFrame | None, stamp_col: str = "ingested_at",
 
 def incremental_filter(raw: DataFrame, target: DataFrame | None, stamp_col: str = "ingested_at",
                        scope: str = "global", by: str = "source_stream",
-                       partition_col: str | None = None) -> DataFrame:
+                       partition_col: str | None = None,
+                       marks: dict | None = None) -> DataFrame:
     """Rows of ``raw`` strictly newer than the target's high-water mark.
 
     ``scope="global"``: one ``MAX`` over the whole target, ``COALESCE``-d to
@@ -54,9 +55,14 @@ def incremental_filter(raw: DataFrame, target: DataFrame | None, stamp_col: str
     ``by`` value; streams unknown to the target are read whole.  The marks are
     computed first and applied as literals, so the predicate reaches the
     parquet scan (and, with ``partition_col`` = an ingest-day partition
-    column, prunes whole day folders).
+    column, prunes whole day folders).  ``marks`` (per ``by`` value) may be
+    given instead of ``target`` when the table keeps them as metadata, so no
+    scan of the target is needed at all.
     """
-    marks = high_water_mark(target, stamp_col, None if scope == "global" else by)
+    if marks is None:
+        marks = high_water_mark(target, stamp_col, None if scope == "global" else by)
+    elif scope == "global":
+        marks = {None: max((v for v in marks.values() if v is not None), default=None)}
     if scope == "global":
         hwm = marks.get(None) or _dt.datetime.fromisoformat(EPOCH_FLOOR)
         cond = F.col(stamp_col) > _ts_lit(hwm)

@@ -17,10 +17,15 @@ from pyspark.sql import functions as F
 from tessera.operators import incremental as inc
 from tessera.operators.silver import api_silver_projection
 from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
+from pyspark.sql import types as T
+
 from tessera.schemas import API_RAW, WATERMARKS
 from tessera.sources import bindings
 from tessera.sources.tables import VersionedTable, append_raw, read_ndjson, write_landing
 
+RAW_TABLE = T.StructType(API_RAW.fields + [T.StructField("_ingest_date", T.DateType())])
+
+
 @dataclass
 class ApiTables:
     root: str
@@ -42,40 +47,71 @@ class ApiTables:
 
 def merge_into(table: VersionedTable, source: DataFrame, key: str,
                on_duplicate: str = "error", order_col: str | None = None,
-               broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> str:
-    """Upsert ``source`` into a versioned table; returns ``"append"`` or ``"rewrite"``.
-
-    When no source key exists in the table yet (the usual incremental case)
-    the new rows are published as an extra segment and nothing is rewritten;
-    otherwise a new version holding the merged rows is written and swapped in.
+               broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+               mark_col: str | None = None, mark_by: str | None = None) -> str:
+    """Upsert ``source`` into a versioned table; returns append / rewrite / noop.
+
+    The source is computed exactly once: it is staged as an unpublished
+    segment and every later step reads that segment.  One job then answers
+    "is a source key repeated?", "does any already exist?" and, with
+    ``mark_col``, "what is the newest ``mark_col`` per ``mark_by``?" (kept in
+    the table's pointer as its high-water marks, so the next incremental run
+    does not scan the table for them).  Target keys are probed against the
+    size-checked source keys, so the target itself is never shuffled.  When
+    nothing matches (the usual incremental case) the staged segment is simply
+    published; otherwise a new version with the merged rows is written.
     """
     if on_duplicate == "latest":
         source = inc.upsert(None, source, key, "latest", order_col)
     target = table.read() if table.exists() else None
-    # One job answers both questions -- is a source key repeated, and does any
-    # already exist?  The target's keys are probed against the (size-checked,
-    # usually broadcast) source keys, so the target itself is never shuffled.
-    per_key = source.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    seg = table.stage(source)
+    staged = table.read_segment(seg, source.schema)
+
+    per_key = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     parts = per_key.agg(F.lit("max_n").alias("stat"), F.max("_n").cast("long").alias("v"))
     parts = parts.unionByName(per_key.agg(F.lit("keys").alias("stat"),
                                           F.count(F.lit(1)).cast("long").alias("v")))
+    if mark_col is not None:
+        grp = F.col(mark_by).cast("string") if mark_by else F.lit("")
+        parts = parts.unionByName(
+            staged.groupBy(grp.alias("_g"))
+            .agg(F.max(F.unix_micros(F.col(mark_col).cast("timestamp"))).alias("v"))
+            .select(F.concat(F.lit("mark:"), F.col("_g")).alias("stat"), "v"))
     if target is not None:
         probe = broadcast_if_bounded(per_key.select(key), broadcast_max_rows)
         hits = target.select(key).join(probe, key, "inner")
         parts = parts.unionByName(hits.agg(F.lit("matched").alias("stat"),
                                            F.count(F.lit(1)).cast("long").alias("v")))
-    stats = {r["stat"]: r["v"] or 0 for r in parts.collect()}
-    if stats["keys"] == 0:
+    stats = {r["stat"]: r["v"] for r in parts.collect()}
+    if not stats.get("keys"):
         return "noop"
-    if on_duplicate == "error" and stats["max_n"] > 1:
+    if on_duplicate == "error" and (stats.get("max_n") or 0) > 1:
         raise ValueError(f"source holds a key more than once (max {stats['max_n']} rows)")
-    if target is None or stats.get("matched", 0) == 0:
-        table.append(source)
+
+    marks = table.marks()
+    if mark_col is not None:
+        marks = dict(marks or {})
+        for stat, v in stats.items():
+            if stat.startswith("mark:") and v is not None:
+                g = stat[len("mark:"):]
+                marks[g] = max(marks.get(g, v), v)
+    if target is None or not stats.get("matched"):
+        table.commit_append(seg, source.schema, marks)
         return "append"
-    table.rewrite(inc.upsert(target, source, key, "checked", None, broadcast_max_rows))
+    table.commit_rewrite(inc.upsert(target, staged, key, "checked", None, broadcast_max_rows),
+                         marks)
     return "rewrite"
 
 
+def marks_as_timestamps(marks: dict | None) -> dict | None:
+    """Pointer marks (unix micros per group) -> datetimes for ``incremental_filter``."""
+    if marks is None:
+        return None
+    import datetime as _dt
+    epoch = _dt.datetime(1970, 1, 1)
+    return {k: epoch + _dt.timedelta(microseconds=int(v)) for k, v in marks.items()}
+
+
 def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: list[str],
               stamp, run_id: str, value_path: str = "$.value", message_path: str = "$.message",
               scope: str = "per_stream") -> dict:
@@ -98,11 +134,15 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     append_raw(landed.select(*API_RAW.fieldNames()), tables.raw)
 
     # incremental silver
+    # incremental silver: the high-water marks come from the table's pointer
     silver = tables.silver(spark)
-    raw_tbl = spark.read.parquet(tables.raw)
-    new_raw = inc.incremental_filter(raw_tbl, silver.read(), scope=scope,
-                                     partition_col="_ingest_date")
-    mode = merge_into(silver, api_silver_projection(new_raw, value_path, message_path), "event_id")
+    raw_tbl = spark.read.schema(RAW_TABLE).parquet(tables.raw)
+    target = silver.read() if silver.exists() else None
+    marks = marks_as_timestamps(silver.marks()) if target is not None else {}
+    new_raw = inc.incremental_filter(raw_tbl, target, scope=scope, partition_col="_ingest_date",
+                                     marks=marks)  # marks=None -> computed from target
+    mode = merge_into(silver, api_silver_projection(new_raw, value_path, message_path), "event_id",
+                      mark_col="ingested_at", mark_by="source_stream")
 
     # cursors last (one row per stream: keys unique by construction)
     metrics = obs.get

@@ -205,8 +205,11 @@ def q_incremental_api_silver(spark, d):
     raw = bindings.api_raw(spark, d)
     table = tables.VersionedTable(spark, scratch_path(spark, "api-silver"))
     for visible in (raw.where(F.col("ingested_at") < F.lit(_CUT).cast("timestamp_ntz")), raw):
-        new = inc.incremental_filter(visible, table.read(), scope="per_stream")
-        api_ingest.merge_into(table, silver.api_silver_projection(new, "$.k"), "event_id")
+        target = table.read() if table.exists() else None
+        marks = api_ingest.marks_as_timestamps(table.marks()) if target is not None else {}
+        new = inc.incremental_filter(visible, target, scope="per_stream", marks=marks)
+        api_ingest.merge_into(table, silver.api_silver_projection(new, "$.k"), "event_id",
+                              mark_col="ingested_at", mark_by="source_stream")
     return table.read()
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json as _json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -144,12 +145,15 @@ def expire_partitions(spark: SparkSession, path: str, column: str, as_of: str |
 
 # ------------------------------------------------------ versioned table (for A8)
 class VersionedTable:
-    """A parquet table published through a one-line pointer file.
-
-    The pointer ``_current`` names the segment folders that make up the live
-    version.  Writers add a segment (append) or write a whole new version
-    (rewrite) and then replace the pointer atomically, so readers never see a
-    half-written table and a plan never overwrites a path it is reading.
+    """A parquet table published through a small pointer file.
+
+    The pointer ``_current`` names the segment folders of the live version,
+    the schema, and optional high-water marks of the data.  Writers first
+    *stage* a segment (written, not yet visible), then commit it either as an
+    extra segment (append) or by writing a whole new version (rewrite); the
+    commit replaces the pointer atomically.  Readers therefore never see a
+    half-written table, and a plan never overwrites a path it is reading.
+    Single writer per table (the ingestion cycle is one job at a time).
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -168,11 +172,17 @@ class VersionedTable:
     def version(self) -> int:
         return int(self._state()["version"])
 
-    def read(self, schema: T.StructType | None = None) -> DataFrame | None:
+    def schema(self) -> T.StructType | None:
         st = self._state()
-        segs = st["segments"]
-        if schema is None and st.get("schema"):
-            schema = T.StructType.fromJson(_json.loads(st["schema"]))
+        return T.StructType.fromJson(_json.loads(st["schema"])) if st.get("schema") else None
+
+    def marks(self) -> dict | None:
+        """High-water marks recorded at commit time (``None`` if never recorded)."""
+        return self._state().get("marks")
+
+    def read(self, schema: T.StructType | None = None) -> DataFrame | None:
+        segs = self._state()["segments"]
+        schema = schema or self.schema()
         if not segs:
             if schema is None:
                 return None
@@ -182,25 +192,37 @@ class VersionedTable:
             reader = reader.schema(schema)
         return reader.parquet(*[f"{self.path}/{s}" for s in segs])
 
-    def _publish(self, segments: list[str], version: int, schema: T.StructType) -> None:
-        fs.write_text_atomic(self.spark, self.pointer, _json.dumps(
-            {"version": version, "segments": segments, "schema": schema.json()}))
+    # -- staging and commits
+    def stage(self, df: DataFrame) -> str:
+        seg = f"seg-{uuid.uuid4().hex[:16]}"
+        df.write.mode("overwrite").parquet(f"{self.path}/{seg}")
+        return seg
 
-    def rewrite(self, df: DataFrame) -> None:
+    def read_segment(self, seg: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{seg}")
+
+    def _publish(self, segments: list[str], schema: T.StructType, marks: dict | None) -> None:
         st = self._state()
-        v = st["version"] + 1
-        seg = f"v={v}"
-        df.write.mode("overwrite").parquet(f"{self.path}/{seg}")
-        self._publish([seg], v, df.schema)
+        have = st.get("schema")
+        if have and segments[:-1] == st["segments"] and len(segments) > 1:
+            old = T.StructType.fromJson(_json.loads(have))
+            if [(f.name, f.dataType) for f in old] != [(f.name, f.dataType) for f in schema]:
+                raise ValueError(f"appended schema {schema.simpleString()} differs from "
+                                 f"table schema {old.simpleString()}")
+        body = {"version": st["version"] + 1, "segments": segments, "schema": schema.json()}
+        if marks is not None:
+            body["marks"] = marks
+        fs.write_text_atomic(self.spark, self.pointer, _json.dumps(body))
+
+    def commit_append(self, seg: str, schema: T.StructType, marks: dict | None = None) -> None:
+        self._publish(self._state()["segments"] + [seg], schema, marks)
+
+    def commit_rewrite(self, df: DataFrame, marks: dict | None = None) -> None:
+        seg = self.stage(df)
+        self._publish([seg], df.schema, marks)
 
     def append(self, df: DataFrame) -> None:
-        st = self._state()
-        if st.get("schema"):
-            have = T.StructType.fromJson(_json.loads(st["schema"]))
-            if [(f.name, f.dataType) for f in have] != [(f.name, f.dataType) for f in df.schema]:
-                raise ValueError(f"appended schema {df.schema.simpleString()} differs from "
-                                 f"table schema {have.simpleString()}")
-        v = st["version"] + 1
-        seg = f"v={v}"
-        df.write.mode("overwrite").parquet(f"{self.path}/{seg}")
-        self._publish(st["segments"] + [seg], v, df.schema)
+        self.commit_append(self.stage(df), df.schema, self.marks())
+
+    def rewrite(self, df: DataFrame) -> None:
+        self.commit_rewrite(df, self.marks())

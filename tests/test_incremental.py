@@ -92,3 +92,23 @@ def test_cycle_is_safe_to_rerun(spark, scratch):
     assert sorted(r.measure_value for r in silver.collect()) == [str(i) for i in range(1, 7)]
     wm = tabs.watermarks(spark).read().collect()
     assert [(r.stream_name, r.current_cursor) for r in wm] == [("fraud", "cursor_fraud_6")]
+
+
+def test_merge_records_high_water_marks(spark, scratch):
+    t = VersionedTable(spark, scratch("marks"))
+    rows = [(1, "fraud", T0), (2, "audit", T0 + dt.timedelta(days=2))]
+    df = spark.createDataFrame(rows, "k long, source_stream string, ingested_at timestamp_ntz")
+    merge_into(t, df, "k", mark_col="ingested_at", mark_by="source_stream")
+    later = spark.createDataFrame([(1, "fraud", T0 + dt.timedelta(days=1))],
+                                  "k long, source_stream string, ingested_at timestamp_ntz")
+    assert merge_into(t, later, "k", mark_col="ingested_at", mark_by="source_stream") == "rewrite"
+    from tessera.plans.api_ingest import marks_as_timestamps
+    assert marks_as_timestamps(t.marks()) == {"fraud": T0 + dt.timedelta(days=1),
+                                             "audit": T0 + dt.timedelta(days=2)}
+    # the stored marks give the same filter as scanning the table
+    raw = spark.createDataFrame([("fraud", T0 + dt.timedelta(days=1, hours=1)),
+                                 ("audit", T0 + dt.timedelta(days=1))],
+                                "source_stream string, ingested_at timestamp_ntz")
+    a = inc.incremental_filter(raw, None, scope="per_stream", marks=marks_as_timestamps(t.marks()))
+    b = inc.incremental_filter(raw, t.read(), scope="per_stream")
+    assert sorted(a.collect()) == sorted(b.collect()) and a.count() == 1
