@@ -21,9 +21,11 @@ from pyspark.sql import types as T
 
 from tessera.schemas import API_RAW, WATERMARKS
 from tessera.sources import bindings
-from tessera.sources.tables import VersionedTable, append_raw, read_ndjson, write_landing
+from tessera.sources.tables import (RUN_COL, VersionedTable, append_raw, read_ndjson,
+                                   write_landing)
 
-RAW_TABLE = T.StructType(API_RAW.fields + [T.StructField("_ingest_date", T.DateType())])
+RAW_TABLE = T.StructType(API_RAW.fields + [T.StructField("_ingest_date", T.DateType()),
+                                            T.StructField(RUN_COL, T.StringType())])
 
 
 @dataclass
@@ -131,7 +133,7 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     landed = read_ndjson(spark, landing_dir, API_RAW)
 
     # raw append (one job for all streams)
-    append_raw(landed.select(*API_RAW.fieldNames()), tables.raw)
+    append_raw(landed.select(*API_RAW.fieldNames()), tables.raw, run_id=run_id)
 
     # incremental silver
     # incremental silver: the high-water marks come from the table's pointer
@@ -141,6 +143,7 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     marks = marks_as_timestamps(silver.marks()) if target is not None else {}
     new_raw = inc.incremental_filter(raw_tbl, target, scope=scope, partition_col="_ingest_date",
                                      marks=marks)  # marks=None -> computed from target
+    new_raw = new_raw.drop(RUN_COL)
     mode = merge_into(silver, api_silver_projection(new_raw, value_path, message_path), "event_id",
                       mark_col="ingested_at", mark_by="source_stream")
 

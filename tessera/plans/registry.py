@@ -346,8 +346,8 @@ def q_raw_append_load(spark, d):
         land = f"{root}/landing/run_id={run_id}"
         tables.write_landing(part, land)
         landed = tables.read_ndjson(spark, land, API_RAW).select(*API_RAW.fieldNames())
-        tables.append_raw(landed, f"{root}/raw")
-    return spark.read.parquet(f"{root}/raw")
+        tables.append_raw(landed, f"{root}/raw", run_id=run_id)
+    return spark.read.parquet(f"{root}/raw").drop(tables.RUN_COL)
 
 
 _RETENTION_AS_OF = "2024-01-20"

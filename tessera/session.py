@@ -28,18 +28,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
-    cpus = os.cpu_count() or 8
+    if shuffle_partitions is None and (master or "").startswith("local"):
+        shuffle_partitions = os.cpu_count() or 8
     b = (b.config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.ansi.enabled", "true")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
          .config("spark.sql.files.maxPartitionBytes", str(128 * 1024 * 1024))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "8g")))
+    if shuffle_partitions is not None:
+        # on a cluster leave the deployment's value; AQE coalesces it at runtime
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

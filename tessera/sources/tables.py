@@ -63,10 +63,24 @@ def write_landing(df: DataFrame, path: str, partition_cols=("source_stream", "dt
      .json(path))
 
 
-def append_raw(df: DataFrame, path: str, ingest_col: str = "ingested_at") -> None:
-    """A4: append landed rows to the raw table, partitioned by ingestion day."""
-    (df.withColumn("_ingest_date", F.to_date(ingest_col))
-     .write.mode("append").partitionBy("_ingest_date").parquet(path))
+RUN_COL = "_run_id"
+
+
+def append_raw(df: DataFrame, path: str, ingest_col: str = "ingested_at",
+               run_id: str | None = None) -> None:
+    """A4: append landed rows to the raw table, partitioned by ingestion day.
+
+    With a ``run_id`` the rows go to ``_ingest_date=/_run_id=`` folders written
+    with dynamic partition overwrite: retrying a run replaces exactly its own
+    folders instead of appending its rows a second time.
+    """
+    out = df.withColumn("_ingest_date", F.to_date(ingest_col))
+    if run_id is None:
+        out.write.mode("append").partitionBy("_ingest_date").parquet(path)
+        return
+    (out.withColumn(RUN_COL, F.lit(str(run_id)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("_ingest_date", RUN_COL).parquet(path))
 
 
 # ------------------------------------------------------- full-refresh table (A5)

@@ -112,3 +112,13 @@ def test_merge_records_high_water_marks(spark, scratch):
     a = inc.incremental_filter(raw, None, scope="per_stream", marks=marks_as_timestamps(t.marks()))
     b = inc.incremental_filter(raw, t.read(), scope="per_stream")
     assert sorted(a.collect()) == sorted(b.collect()) and a.count() == 1
+
+
+def test_retried_raw_load_replaces_its_own_rows(spark, scratch):
+    from tessera.sources.tables import append_raw
+    p = scratch("raw")
+    df = spark.createDataFrame([(T0, "a")], "ingested_at timestamp_ntz, event_id string")
+    append_raw(df, p, run_id="7")
+    append_raw(df, p, run_id="7")   # retry of the same run
+    append_raw(df, p, run_id="8")   # a later run
+    assert spark.read.parquet(p).count() == 2
