@@ -48,15 +48,26 @@ def dims(spark: SparkSession, sf_dir: str, as_of: str = bindings.AS_OF) -> Dims:
     )
 
 
-def _materialize_sized(df: DataFrame, label: str, max_rows: int | None) -> DataFrame:
-    """Write once, read back, and decide the broadcast from a bounded count."""
-    return broadcast_if_bounded(materialize(df, label), max_rows)
+def _materialize_sized(df: DataFrame, label: str, max_rows: int | None,
+                       root: str | None) -> DataFrame:
+    """Write once, read back, and decide the broadcast from a bounded count.
+
+    With ``root`` the dimension is (re)written as the gold table
+    ``<root>/<label>``; otherwise it goes to a fresh folder below
+    ``spark.checkpoint.dir``."""
+    if root is None:
+        stored = materialize(df, label)
+    else:
+        path = f"{root.rstrip('/')}/{label}"
+        df.write.mode("overwrite").parquet(path)
+        stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return broadcast_if_bounded(stored, max_rows)
 
 
 def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
                as_of: str = bindings.AS_OF, lead_first: bool = True,
                broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-               stream_silver: DataFrame | None = None) -> Gold:
+               stream_silver: DataFrame | None = None, dims_root: str | None = None) -> Gold:
     """Dimensions are full-refresh gold tables: they are written first (the
     three independent jobs run concurrently), which keeps the fact's lineage
     short and makes each broadcast size proof a cheap bounded read."""
@@ -66,7 +77,7 @@ def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
             "dim_researchers": d.researchers, "lead_researchers": researchers_in}
     with ThreadPoolExecutor(max_workers=len(todo)) as pool:
         job = inheritable_thread_target(spark)(_materialize_sized)  # keep job group, tags
-        futs = {k: pool.submit(job, v, k, broadcast_max_rows)
+        futs = {k: pool.submit(job, v, k, broadcast_max_rows, dims_root)
                 for k, v in todo.items()}
         done = {k: f.result() for k, f in futs.items()}
     mdims = Dims(done["dim_vessels"], done["dim_locations"], done["dim_researchers"])

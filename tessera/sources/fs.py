@@ -75,6 +75,13 @@ def list_partition_dirs(spark: SparkSession, path: str) -> list[str]:
                   if st.isDirectory() and "=" in st.getPath().getName())
 
 
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))

@@ -238,5 +238,17 @@ class VersionedTable:
     def append(self, df: DataFrame) -> None:
         self.commit_append(self.stage(df), df.schema, self.marks())
 
+    def vacuum(self) -> list[str]:
+        """Delete segment folders the live version no longer names (superseded
+        versions and staged segments that were never committed).  Run it when
+        no reader still uses an older version."""
+        live = set(self._state()["segments"])
+        dropped = []
+        for name in fs.list_dirs(self.spark, self.path):
+            if name.startswith("seg-") and name not in live:
+                fs.delete(self.spark, f"{self.path}/{name}")
+                dropped.append(name)
+        return dropped
+
     def rewrite(self, df: DataFrame) -> None:
         self.commit_rewrite(df, self.marks())

@@ -122,3 +122,11 @@ def test_retried_raw_load_replaces_its_own_rows(spark, scratch):
     append_raw(df, p, run_id="7")   # retry of the same run
     append_raw(df, p, run_id="8")   # a later run
     assert spark.read.parquet(p).count() == 2
+
+
+def test_vacuum_keeps_only_live_segments(spark, scratch):
+    t = VersionedTable(spark, scratch("vac"))
+    t.append(spark.createDataFrame([(1, "a")], "k long, v string"))
+    t.rewrite(spark.createDataFrame([(1, "b")], "k long, v string"))
+    assert len(t.vacuum()) == 1
+    assert [tuple(r) for r in t.read().collect()] == [(1, "b")]

@@ -138,3 +138,21 @@ def test_union_guard_rejects_mismatched_types(spark):
     stream = batch.withColumn("vessel_id", F.lit(1))
     with pytest.raises(ValueError, match="vessel_id"):
         gold.unified_telemetry(batch, stream)
+
+
+def test_malformed_timestamp_text_fails_the_build(spark):
+    raw = spark.createDataFrame([("V1", "icarus", "probe", "not a time")],
+                                "vessel_id string, vessel_name string, vessel_type string, "
+                                "commissioned_at string")
+    with pytest.raises(Exception):
+        silver.stg_vessels(raw).collect()
+    ok = spark.createDataFrame([("V1", "icarus", "probe", "2025-01-15 00:00:00")], raw.schema)
+    assert silver.stg_vessels(ok).first().commissioned_at == ts("2025-01-15 00:00:00")
+
+
+def test_gold_dims_written_to_a_stable_root(spark, scratch):
+    from tessera.plans import medallion
+    root = scratch("gold")
+    g = medallion.build_gold(spark, "/root/testdata/sf0.001", dims_root=root)
+    assert g.fact.count() == 2000
+    assert spark.read.parquet(f"{root}/dim_vessels").count() == 10
