@@ -150,16 +150,30 @@ def watermark_lookup(spark: SparkSession, streams: list[str], watermarks: DataFr
 def extract_new(log: DataFrame, cursors: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """K1: rows of the stream log beyond each stream's cursor, all streams in one job.
 
-    ``pos`` is the log's own monotonic offset within a stream, so the filter
-    is a plain comparison (no ``row_number`` that would put a whole stream in
-    one task); the page label is arithmetic on the offset.
+    ``pos`` is the log's own monotonic offset within a stream, so the cut is a
+    plain comparison (no ``row_number`` that would put a whole stream in one
+    task).  The cursors (one row per configured stream) become literal
+    predicates instead of a join: an exact per-stream condition plus the
+    weaker ``pos > min(cursor)`` bound, which Catalyst pushes into the scan
+    so parquet row-group statistics skip data that was consumed before.  The
+    page label is arithmetic on the offset.
     """
-    c = F.broadcast(cursors.select("stream_name", "cursor_pos"))  # one row per configured stream
-    base = F.coalesce(F.col("cursor_pos"), F.lit(-1).cast("long"))
-    return (log.join(c, "stream_name", "inner")
-            .where(F.col("cursor_pos").isNull() | (F.col("pos") > F.col("cursor_pos")))
-            .withColumn("page", F.floor((F.col("pos") - base - 1) / F.lit(page_size)).cast("long"))
-            .drop("cursor_pos"))
+    rows = cursors.select("stream_name", "cursor_pos").collect()  # bounded by configuration
+    if not rows:
+        return log.where(F.lit(False)).withColumn("page", F.lit(None).cast("long"))
+    stream, pos = F.col("stream_name"), F.col("pos")
+    keep = None
+    base = None
+    for r in rows:
+        this = stream == F.lit(r.stream_name)
+        cond = this if r.cursor_pos is None else this & (pos > F.lit(r.cursor_pos))
+        keep = cond if keep is None else keep | cond
+        start = F.lit(-1 if r.cursor_pos is None else r.cursor_pos).cast("long")
+        base = F.when(this, start) if base is None else base.when(this, start)
+    out = log.where(keep)
+    if all(r.cursor_pos is not None for r in rows):
+        out = out.where(pos > F.lit(min(r.cursor_pos for r in rows)))
+    return out.withColumn("page", F.floor((pos - base - 1) / F.lit(page_size)).cast("long"))
 
 
 def cursor_metrics(streams: list[str], stream_col: str = "stream_name",
