@@ -10,11 +10,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators import gold, silver
-from tessera.plans import medallion
+from tessera.operators import incremental as inc
+from tessera.operators import quality as Q
+from tessera.plans import api_ingest, medallion
+from tessera.plans import audit as A
 from tessera.plans import oracle as O
-from tessera.sources import bindings
+from tessera.plans import stream_flow as SF
+from tessera.functions.cursor import cursor_position, format_cursor
+from tessera.functions.json import json_scalar
+from tessera.schemas import API_RAW, RAW_TELEMETRY, with_key_type
+from tessera.session import scratch_path
+from tessera.sources import bindings, tables
+from tessera.streaming import bronze as SB
+from tessera.streaming import silver as SS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -139,11 +150,6 @@ def q_fact_unified(spark, d):
 
 
 # =========================================================== API ingestion path
-from tessera.operators import incremental as inc  # noqa: E402
-from tessera.plans import api_ingest  # noqa: E402
-from tessera.schemas import API_RAW  # noqa: E402
-from tessera.session import scratch_path  # noqa: E402
-from tessera.sources import tables  # noqa: E402
 
 _CUT = api_ingest.FIRST_RUN_CUT
 _API_SILVER_COLS = ("event_id, stream_type, source_stream, measure_value, event_message, "
@@ -166,7 +172,6 @@ def q_api_union_streams(spark, d):
 @register("json_scalar_extract", O.with_ctes(
     "SELECT event_id, measure_value, event_message FROM api_silver"))
 def q_json_scalar_extract(spark, d):
-    from tessera.functions.json import json_scalar
     raw = bindings.api_raw(spark, d)
     return raw.select("event_id", json_scalar("data", "$.k").alias("measure_value"),
                       json_scalar("data", "$.message").alias("event_message"))
@@ -273,7 +278,6 @@ def q_incremental_extract(spark, d):
            pos AS cursor_pos FROM api_log"""))
 def q_cursor_parse(spark, d):
     """Cursor text for every log offset, parsed back to its position."""
-    from tessera.functions.cursor import cursor_position, format_cursor
     log = bindings.api_log(spark, d)
     cur = log.select("stream_name", format_cursor("stream_name", "pos").alias("current_cursor"))
     return cur.withColumn("cursor_pos", cursor_position("current_cursor"))
@@ -306,8 +310,6 @@ def q_api_cycle_two_runs(spark, d):
 @register("seed_csv_load", O.table("raw_telemetry"))
 def q_seed_csv_load(spark, d):
     """A1: raw telemetry written as a quoted CSV seed, loaded with declared types."""
-    from tessera.schemas import RAW_TELEMETRY, with_key_type
-    from pyspark.sql import types as T
     path = scratch_path(spark, "seed-csv")
     tables.write_csv_seed(bindings.raw_telemetry(spark, d), path)
     schema = with_key_type(RAW_TELEMETRY, T.LongType(), ("vessel_id", "location_id"))
@@ -390,8 +392,6 @@ def q_stream_silver_view(spark, d):
 
 
 # ================================================================ data quality
-from tessera.operators import quality as Q  # noqa: E402
-from tessera.plans import audit as A  # noqa: E402
 
 
 def _suite_of(model: str, kinds: tuple[str, ...]):
@@ -470,9 +470,6 @@ def q_quality_audit(spark, d):
 
 
 # =================================================================== streaming
-from tessera.plans import stream_flow as SF  # noqa: E402
-from tessera.streaming import bronze as SB  # noqa: E402
-from tessera.streaming import silver as SS  # noqa: E402
 
 _SILVER_CORE = "SELECT event_id, vessel_id, location_id, gravity_g, observed_at FROM stg_telemetry_stream"
 
@@ -509,7 +506,6 @@ def q_stream_dead_letter(spark, d):
     try:
         dl = SS.read_dead_letters(spark, paths)
     except Exception:  # noqa: BLE001 - no dead letter was ever written
-        from pyspark.sql import types as T
         dl = spark.createDataFrame([], T.StructType([
             T.StructField("value", T.StringType()), T.StructField("reject_reason", T.StringType())]))
     return dl.select("value", F.lit("rejected").alias("reject_reason"))
