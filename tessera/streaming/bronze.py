@@ -22,18 +22,24 @@ def kafka_available(spark: SparkSession) -> bool:
 
 
 def topic_source(spark: SparkSession, path: str | None = None, *, kafka: dict | None = None,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None,
+                 max_offsets_per_trigger: int | None = 50_000_000) -> DataFrame:
     """Streaming DataFrame of raw message payloads in a ``value`` column.
 
     With ``kafka`` options (``kafka.bootstrap.servers``, ``subscribe``) the
     Kafka connector is used from the earliest offset — everything written since
-    the topic was created, offsets then owned by the checkpoint.  Otherwise a
-    folder of newline-delimited JSON files is the topic (tests, file drops).
+    the topic was created, offsets then owned by the checkpoint; each
+    micro-batch is capped at ``max_offsets_per_trigger`` records so a backlog
+    is worked off in bounded batches (the rest follows in the next ones; no
+    record is skipped).  Otherwise a folder of newline-delimited JSON files is
+    the topic (tests, file drops).
     """
     if kafka is not None:
         if not kafka_available(spark):
             raise RuntimeError("the Kafka connector is not on the classpath")
-        opts = {"startingOffsets": "earliest", **kafka}
+        opts = {"startingOffsets": "earliest", "failOnDataLoss": "true", **kafka}
+        if max_offsets_per_trigger:
+            opts.setdefault("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
         return (spark.readStream.format("kafka").options(**opts).load()
                 .select(F.col("value").cast("string").alias("value")))
     reader = spark.readStream.format("text")
