@@ -47,7 +47,8 @@ def high_water_mark(target: DataFrame | None, stamp_col: str = "ingested_at",
 def incremental_filter(raw: DataFrame, target: DataFrame | None, stamp_col: str = "ingested_at",
                        scope: str = "global", by: str = "source_stream",
                        partition_col: str | None = None,
-                       marks: dict | None = None) -> DataFrame:
+                       marks: dict | None = None,
+                       streams: list[str] | None = None) -> DataFrame:
     """Rows of ``raw`` strictly newer than the target's high-water mark.
 
     ``scope="global"``: one ``MAX`` over the whole target, ``COALESCE``-d to
@@ -57,7 +58,11 @@ def incremental_filter(raw: DataFrame, target: DataFrame | None, stamp_col: str
     parquet scan (and, with ``partition_col`` = an ingest-day partition
     column, prunes whole day folders).  ``marks`` (per ``by`` value) may be
     given instead of ``target`` when the table keeps them as metadata, so no
-    scan of the target is needed at all.
+    scan of the target is needed at all.  With ``streams`` (the configured
+    list) the raw side is known to hold only those streams; when every one
+    of them has a mark, the smallest mark is added as a plain conjunct, which
+    the scan and the partition pruner can use (an OR over streams alone
+    cannot prune folders).
     """
     if marks is None:
         marks = high_water_mark(target, stamp_col, None if scope == "global" else by)
@@ -70,14 +75,24 @@ def incremental_filter(raw: DataFrame, target: DataFrame | None, stamp_col: str
             cond = cond & (F.col(partition_col) >= F.lit(hwm.date()))
         return raw.where(cond)
     known = {k: v for k, v in marks.items() if k is not None and v is not None}
-    if not known:
-        return raw
-    cond = ~F.col(by).isin(*known) | F.col(by).isNull()
+    if streams is not None:
+        known = {k: v for k, v in known.items() if k in streams}
+        pending = [s_ for s_ in streams if s_ not in known]
+        cond = F.col(by).isin(*pending) if pending else F.lit(False)
+    else:
+        if not known:
+            return raw
+        cond = ~F.col(by).isin(*known) | F.col(by).isNull()
     for stream, hwm in known.items():
         part = (F.col(by) == F.lit(stream)) & (F.col(stamp_col) > _ts_lit(hwm))
         if partition_col is not None:
             part = part & (F.col(partition_col) >= F.lit(hwm.date()))
         cond = cond | part
+    if streams is not None and known and len(known) == len(streams):
+        floor = min(known.values())
+        cond = cond & (F.col(stamp_col) > _ts_lit(floor))
+        if partition_col is not None:
+            cond = cond & (F.col(partition_col) >= F.lit(floor.date()))
     return raw.where(cond)
 
 

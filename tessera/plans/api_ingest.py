@@ -142,7 +142,8 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     target = silver.read() if silver.exists() else None
     marks = marks_as_timestamps(silver.marks()) if target is not None else {}
     new_raw = inc.incremental_filter(raw_tbl, target, scope=scope, partition_col="_ingest_date",
-                                     marks=marks)  # marks=None -> computed from target
+                                     marks=marks,  # None -> computed from target
+                                     streams=streams)
     new_raw = new_raw.drop(RUN_COL)
     mode = merge_into(silver, api_silver_projection(new_raw, value_path, message_path), "event_id",
                       mark_col="ingested_at", mark_by="source_stream")

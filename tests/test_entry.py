@@ -36,3 +36,20 @@ def test_incremental_filter_reaches_the_scan(spark, scratch):
     assert "PushedFilters: [IsNotNull(ingested_at), GreaterThan(ingested_at" in plan
     assert "PartitionFilters" in plan
     assert got.count() == 1
+
+
+def test_per_stream_marks_prune_day_folders(spark, scratch):
+    import datetime as dt
+    from tessera.operators import incremental as inc
+    p = scratch("raw2")
+    df = spark.createDataFrame([("a", "2024-01-01 00:00:00"), ("b", "2024-01-05 00:00:00")],
+                               "s string, t string") \
+        .selectExpr("s as source_stream", "cast(t as timestamp_ntz) as ingested_at",
+                    "to_date(t) as _ingest_date")
+    df.write.partitionBy("_ingest_date").parquet(p)
+    marks = {"a": dt.datetime(2024, 1, 3), "b": dt.datetime(2024, 1, 4)}
+    got = inc.incremental_filter(spark.read.parquet(p), None, scope="per_stream",
+                                 partition_col="_ingest_date", marks=marks, streams=["a", "b"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_ingest_date" in plan and "2024-01-03" in plan
+    assert [r.source_stream for r in got.collect()] == ["b"]

@@ -58,3 +58,16 @@ def test_top1_matches_sorted_pick(spark, rows):
         cands.sort(key=lambda r: (r[1] is None, -(r[1] or 0), r[2]))
         expected[g] = cands[0][2]
     assert got == expected
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 10)), max_size=12),
+       done=st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 10)), max_size=6))
+def test_configured_streams_filter_equals_open_filter(spark, rows, done):
+    schema = "source_stream string, ingested_at timestamp_ntz"
+    conv = lambda xs: [(s, T0 + dt.timedelta(hours=h)) for s, h in xs]
+    raw = spark.createDataFrame(conv(rows), schema)
+    target = spark.createDataFrame(conv(done), schema)
+    a = inc.incremental_filter(raw, target, scope="per_stream")
+    b = inc.incremental_filter(raw, target, scope="per_stream", streams=["a", "b"])
+    assert sorted(a.collect()) == sorted(b.collect())
