@@ -72,9 +72,10 @@ def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
     three independent jobs run concurrently), which keeps the fact's lineage
     short and makes each broadcast size proof a cheap bounded read."""
     d = dims(spark, sf_dir, as_of)
-    researchers_in = gold.lead_researchers(d.researchers) if lead_first else d.researchers
     todo = {"dim_vessels": d.vessels, "dim_locations": d.locations,
-            "dim_researchers": d.researchers, "lead_researchers": researchers_in}
+            "dim_researchers": d.researchers}
+    if lead_first:
+        todo["lead_researchers"] = gold.lead_researchers(d.researchers)
     with ThreadPoolExecutor(max_workers=len(todo)) as pool:
         job = inheritable_thread_target(spark)(_materialize_sized)  # keep job group, tags
         futs = {k: pool.submit(job, v, k, broadcast_max_rows, dims_root)
@@ -88,9 +89,10 @@ def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
             else bindings.stream_silver_table(spark, sf_dir)
     telemetry = gold.unified_telemetry(batch, stream)
     # the dims carry their broadcast decision already; leads are one per vessel
-    fact = gold.fact_events(telemetry, mdims.vessels, mdims.locations, done["lead_researchers"],
+    researchers = done["lead_researchers"] if lead_first else done["dim_researchers"]
+    fact = gold.fact_events(telemetry, mdims.vessels, mdims.locations, researchers,
                             lead_first=False, dedupe=True, broadcast_max_rows=None)
-    return Gold(mdims, done["lead_researchers"], fact)
+    return Gold(mdims, researchers, fact)
 
 
 def fact(spark: SparkSession, sf_dir: str, include_stream: bool, **kw) -> DataFrame:

@@ -540,3 +540,12 @@ def q_fact_stream_sink(spark, d):
     """Batch gold over the streaming sink (Lambda-style unification)."""
     paths = SF.run_stream(spark, d, scratch_path(spark, "stream"))
     return medallion.fact_unified(spark, d, stream_silver=SS.read_silver(spark, paths))
+
+
+@register("fact_literal_fanout", O.table("fact_unified"))
+def q_fact_literal_fanout(spark, d):
+    """E1 in its literal form: the fan-out join to every researcher of the
+    vessel, then the top-1 per (event_id, ingestion_mode).  Same rows as the
+    lead-first plan of ``fact_unified``; kept as the cross-check of R1."""
+    g = medallion.build_gold(spark, d, lead_first=False)
+    return g.fact
