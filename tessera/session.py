@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_LOCAL_FALLBACK: dict[str, str] = {}  # application id -> folder chosen in local mode
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -63,14 +64,24 @@ def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 256 * 1024 *
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, choosing a private one only if unset."""
-    conf = spark.sparkContext.getConf()
-    base = spark.conf.get(_CHECKPOINT_KEY, None) or conf.get(_CHECKPOINT_KEY, None)
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, benchmarks) may fall back to a private
+    temporary folder; on a cluster a machine-local folder would not survive
+    the loss of the machine, so a missing setting is an error there.
+    """
+    sc = spark.sparkContext
+    base = (spark.conf.get(_CHECKPOINT_KEY, None) or sc.getConf().get(_CHECKPOINT_KEY, None)
+            or _LOCAL_FALLBACK.get(sc.applicationId))
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object "
+                               "store) before running tessera jobs on a cluster")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, base) if _is_runtime_settable(spark) else None
-        os.environ.setdefault("TESSERA_CHECKPOINT_DIR", base)
-    if spark.sparkContext.getCheckpointDir() is None:
+        _LOCAL_FALLBACK[sc.applicationId] = base
+        if _is_runtime_settable(spark):
+            spark.conf.set(_CHECKPOINT_KEY, base)
+    if sc.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(base)
     return base
 
@@ -83,10 +94,7 @@ def _is_runtime_settable(spark: SparkSession) -> bool:
 
 
 def checkpoint_base(spark: SparkSession) -> str:
-    conf = spark.sparkContext.getConf()
-    base = (spark.conf.get(_CHECKPOINT_KEY, None) or conf.get(_CHECKPOINT_KEY, None)
-            or os.environ.get("TESSERA_CHECKPOINT_DIR"))
-    return base or ensure_checkpoint_dir(spark)
+    return ensure_checkpoint_dir(spark)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
