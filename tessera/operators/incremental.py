@@ -151,8 +151,12 @@ def watermark_lookup(spark: SparkSession, streams: list[str], watermarks: DataFr
     if watermarks is None:
         out = cfg.select("stream_name", F.lit(None).cast("string").alias("current_cursor"))
     else:
-        wm = F.broadcast(watermarks.select("stream_name", "current_cursor"))  # one row per stream
-        out = cfg.join(wm, "stream_name", "left")
+        # at most one row per configured stream (the newest), so the broadcast
+        # side is bounded by the configuration whatever the table holds
+        latest = (watermarks.where(F.col("stream_name").isin(*streams))
+                  .groupBy("stream_name")
+                  .agg(F.max_by("current_cursor", "updated_at").alias("current_cursor")))
+        out = cfg.join(F.broadcast(latest), "stream_name", "left")
     out = out.withColumn("cursor_pos", cursor_position("current_cursor"))
     rows = out.collect()
     if strict:
@@ -213,8 +217,8 @@ def advance_cursors(spark: SparkSession, streams: list[str], extracted: DataFram
     """D5 + C5: newest consumed position per stream -> new cursor rows; streams
     that produced nothing are dropped (they keep their stored cursor)."""
     newest = extracted.groupBy("stream_name").agg(F.max("pos").alias("last_pos"))
-    cfg = stream_list(spark, streams)
-    return (cfg.join(F.broadcast(newest), "stream_name", "inner")
+    cfg = F.broadcast(stream_list(spark, streams))  # a Python list: size known
+    return (cfg.join(newest, "stream_name", "inner")
             .where(F.col("last_pos").isNotNull())
             .select("stream_name",
                     format_cursor("stream_name", "last_pos").alias("current_cursor"),
