@@ -70,17 +70,21 @@ def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
                stream_silver: DataFrame | None = None, dims_root: str | None = None) -> Gold:
     """Dimensions are full-refresh gold tables: they are written first (the
     three independent jobs run concurrently), which keeps the fact's lineage
-    short and makes each broadcast size proof a cheap bounded read."""
+    short and makes each broadcast size proof a cheap bounded read.  The
+    researcher leads (one per vessel) are then taken from the stored
+    researcher dimension, so its sources are read once."""
     d = dims(spark, sf_dir, as_of)
     todo = {"dim_vessels": d.vessels, "dim_locations": d.locations,
             "dim_researchers": d.researchers}
-    if lead_first:
-        todo["lead_researchers"] = gold.lead_researchers(d.researchers)
+    job = inheritable_thread_target(spark)(_materialize_sized)  # keep job group, tags
     with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-        job = inheritable_thread_target(spark)(_materialize_sized)  # keep job group, tags
-        futs = {k: pool.submit(job, v, k, broadcast_max_rows, dims_root)
-                for k, v in todo.items()}
+        futs = {k: pool.submit(job, v, k, broadcast_max_rows, dims_root) for k, v in todo.items()}
         done = {k: f.result() for k, f in futs.items()}
+    if lead_first:
+        # from the *stored* dimension: the orders aggregate is not computed twice
+        done["lead_researchers"] = _materialize_sized(
+            gold.lead_researchers(done["dim_researchers"]), "lead_researchers",
+            broadcast_max_rows, dims_root)
     mdims = Dims(done["dim_vessels"], done["dim_locations"], done["dim_researchers"])
     batch = stg_telemetry(spark, sf_dir)
     stream = None
