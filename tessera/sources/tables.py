@@ -47,7 +47,9 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 def with_json_payload(df: DataFrame, column: str = "data") -> DataFrame:
     """Turn a JSON-text column into VARIANT so the JSON writer emits it as a
-    nested object (as the API returned it), not as an escaped string."""
+    nested object (as the API returned it), not as an escaped string.  A
+    payload that is not valid JSON lands as NULL (the API contract promises an
+    object; the extraction treats malformed text as NULL anyway)."""
     return df.withColumn(column, F.try_parse_json(column))
 
 
