@@ -109,3 +109,30 @@ def fact_batch_only(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 def fact_unified(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return fact(spark, sf_dir, include_stream=True, **kw)
+
+
+def daily_build(spark: SparkSession, sf_dir: str, gold_root: str, suite=None,
+                include_stream: bool = True, as_of: str = bindings.AS_OF) -> dict:
+    """The daily medallion build: every gold table is written once (dimensions,
+    then the day-partitioned, clustered fact) and gated by its declared checks
+    before the next step; a failing error-severity check stops the build."""
+    from tessera.operators.quality import audit, gate
+    from tessera.plans.audit import SUITE
+    from tessera.sources.tables import write_partitioned_table
+
+    suite = SUITE if suite is None else suite
+    root = gold_root.rstrip("/")
+    g = build_gold(spark, sf_dir, include_stream=include_stream, as_of=as_of, dims_root=root)
+    dims_models = {"dim_vessels": g.dims.vessels, "dim_locations": g.dims.locations,
+                   "dim_researchers": g.dims.researchers}
+    dim_specs = [s for s in suite if s.model in dims_models]
+    gate(audit(dims_models, dim_specs), dim_specs)
+    fact_path = f"{root}/fct_events"
+    write_partitioned_table(g.fact, fact_path, "observed_at", "observed_date",
+                            ("location_id", "vessel_id", "vessel_type"), tiebreak=("event_id",))
+    fact_specs = [s for s in suite if s.model == "fct_events"]
+    stored = spark.read.parquet(fact_path)
+    results = audit({"fct_events": stored}, fact_specs)
+    gate(results, fact_specs)
+    return {"fact": fact_path, "dims": {k: f"{root}/{k}" for k in dims_models},
+            "checks": [r.asDict() for r in results.collect()]}

@@ -29,6 +29,13 @@ def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType) -> Data
             .csv(path))
 
 
+def load_seeds(spark: SparkSession, folder: str,
+               schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:
+    """Every declared seed ``<folder>/<name>.csv`` loaded with its schema."""
+    return {name: read_csv_typed(spark, f"{folder.rstrip('/')}/{name}.csv", schema)
+            for name, schema in schemas.items()}
+
+
 def write_csv_seed(df: DataFrame, path: str) -> None:
     (df.write.mode("overwrite").option("header", True).option("quoteAll", True)
      .option("timestampFormat", TS_FORMAT).option("timestampNTZFormat", TS_FORMAT)

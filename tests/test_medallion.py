@@ -156,3 +156,29 @@ def test_gold_dims_written_to_a_stable_root(spark, scratch):
     g = medallion.build_gold(spark, "/root/testdata/sf0.001", dims_root=root)
     assert g.fact.count() == 2000
     assert spark.read.parquet(f"{root}/dim_vessels").count() == 10
+
+
+def test_seed_folder_loads_with_declared_types(spark, scratch, seeds):
+    from tessera.sources.tables import load_seeds, write_csv_seed
+    folder = scratch("seeds")
+    tel, ves, _, _ = seeds
+    write_csv_seed(tel, f"{folder}/raw_telemetry.csv")
+    write_csv_seed(ves, f"{folder}/raw_vessels.csv")
+    got = load_seeds(spark, folder, {"raw_telemetry": RAW_TELEMETRY, "raw_vessels": RAW_VESSELS})
+    assert sorted(got["raw_telemetry"].collect()) == sorted(tel.collect())
+    assert got["raw_vessels"].schema == RAW_VESSELS
+
+
+def test_daily_build_writes_and_gates(spark, scratch):
+    from tessera.operators.quality import Check, ModelChecks
+    from tessera.plans import medallion
+    from tessera.plans.audit import SUITE
+    keys_only = [ModelChecks(s.model, [c for c in s.checks if c.kind in ("unique", "not_null")])
+                 for s in SUITE]
+    out = medallion.daily_build(spark, "/root/testdata/sf0.001", scratch("daily"), suite=keys_only)
+    assert spark.read.parquet(out["fact"]).count() == 2000
+    assert any(c["check_name"] == "unique" and c["passed"] for c in out["checks"])
+    # the declared suite bounds the fact's gravity to [-1, 2] g; the driver's
+    # readings go far above, so the gate stops the build after writing the fact
+    with pytest.raises(AssertionError, match="gravity_g between"):
+        medallion.daily_build(spark, "/root/testdata/sf0.001", scratch("daily2"))
