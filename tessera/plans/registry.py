@@ -163,8 +163,7 @@ def _api_silver_full(spark, d):
 @register("api_union_streams", O.table("api_raw"))
 def q_api_union_streams(spark, d):
     """G1: three per-stream tables, UNION ALL by name with a tag per branch."""
-    raw = bindings.api_raw(spark, d)
-    per_stream = {s: raw.where(F.col("source_stream") == s).drop("source_stream")
+    per_stream = {s: bindings.api_raw(spark, d, [s]).drop("source_stream")
                   for s in api_ingest.STREAMS}
     return silver.union_tagged(per_stream)
 

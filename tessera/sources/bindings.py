@@ -153,10 +153,13 @@ def _stream_name(event_type: Column) -> Column:
     return expr
 
 
-def api_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def api_log(spark: SparkSession, sf_dir: str, streams: list[str] | None = None) -> DataFrame:
     """The vendor API's event log: every event of a mapped type, tagged with its
-    stream and its monotonic offset ``pos`` within the stream."""
-    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin(*API_STREAMS))
+    stream and its monotonic offset ``pos`` within the stream.  ``streams``
+    restricts the log to some streams with a predicate on the stored event
+    type, which the parquet scan receives."""
+    types = [t for t, s_ in API_STREAMS.items() if streams is None or s_ in streams]
+    ev = table(spark, sf_dir, "events").where(F.col("event_type").isin(*types))
     return ev.select(
         _stream_name(F.col("event_type")).alias("stream_name"),
         F.col("event_id").alias("pos"),
@@ -168,9 +171,9 @@ def api_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def api_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def api_raw(spark: SparkSession, sf_dir: str, streams: list[str] | None = None) -> DataFrame:
     """Raw API landing rows as loaded: ingestion stamp = day of the event."""
-    log = api_log(spark, sf_dir)
+    log = api_log(spark, sf_dir, streams)
     return log.select(
         F.date_trunc("day", F.col("event_ts")).cast("timestamp_ntz").alias("ingested_at"),
         F.col("stream_name").alias("source_stream"),
