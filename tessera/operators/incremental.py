@@ -99,7 +99,8 @@ def incremental_filter(raw: DataFrame, target: DataFrame | None, stamp_col: str
 # -------------------------------------------------------------------- upsert
 def upsert(target: DataFrame | None, source: DataFrame, key: str | list[str],
            on_duplicate: str = "error", order_col: str | None = None,
-           broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+           broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
+           source_small: bool | None = None) -> DataFrame:
     """MERGE semantics: source rows replace target rows with the same key, new
     keys are inserted, other target rows are kept.
 
@@ -107,7 +108,9 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str | list[str],
     warehouse MERGE does); ``"latest"`` keeps the row with the largest
     ``order_col``; ``"checked"`` means the caller has already proven the
     source keys unique (e.g. the output of a ``groupBy`` on the key).  The anti join broadcasts the source *keys* only when their
-    count is proven small; otherwise it is a shuffle join.
+    count is proven small (``source_small=True`` when the caller already
+    holds that proof, ``False`` to never broadcast); otherwise it is a
+    shuffle join.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if on_duplicate == "latest":
@@ -122,7 +125,11 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str | list[str],
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
     if target is None:
         return source
-    src_keys = broadcast_if_bounded(source.select(*keys).distinct(), broadcast_max_rows)
+    src_keys = source.select(*keys).distinct()
+    if source_small is None:
+        src_keys = broadcast_if_bounded(src_keys, broadcast_max_rows)
+    elif source_small:
+        src_keys = F.broadcast(src_keys)
     kept = target.join(src_keys, keys, "left_anti")
     return source.unionByName(kept.select(*source.columns))
 

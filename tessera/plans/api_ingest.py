@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import incremental as inc
 from tessera.operators.silver import api_silver_projection
-from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
+from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS
 from pyspark.sql import types as T
 
 from tessera.schemas import API_RAW, WATERMARKS
@@ -66,7 +66,7 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
     if on_duplicate == "latest":
         source = inc.upsert(None, source, key, "latest", order_col)
     target = table.read() if table.exists() else None
-    seg = table.stage(source)
+    seg, staged_rows = table.stage_counted(source)
     staged = table.read_segment(seg, source.schema)
 
     per_key = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
@@ -79,8 +79,10 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
             staged.groupBy(grp.alias("_g"))
             .agg(F.max(F.unix_micros(F.col(mark_col).cast("timestamp"))).alias("v"))
             .select(F.concat(F.lit("mark:"), F.col("_g")).alias("stat"), "v"))
+    # distinct source keys <= staged rows, counted while staging: a proven bound
+    small = broadcast_max_rows is not None and staged_rows <= broadcast_max_rows
     if target is not None:
-        probe = broadcast_if_bounded(per_key.select(key), broadcast_max_rows)
+        probe = F.broadcast(per_key.select(key)) if small else per_key.select(key)
         hits = target.select(key).join(probe, key, "inner")
         parts = parts.unionByName(hits.agg(F.lit("matched").alias("stat"),
                                            F.count(F.lit(1)).cast("long").alias("v")))
@@ -100,8 +102,8 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
     if target is None or not stats.get("matched"):
         table.commit_append(seg, source.schema, marks)
         return "append"
-    table.commit_rewrite(inc.upsert(target, staged, key, "checked", None, broadcast_max_rows),
-                         marks)
+    table.commit_rewrite(inc.upsert(target, staged, key, "checked", None,
+                                    source_small=small), marks)
     return "rewrite"
 
 

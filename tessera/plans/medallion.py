@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.operators import gold, silver
 from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
 from tessera.sources import bindings
-from tessera.sources.tables import materialize
+from tessera.sources.tables import materialize_counted
 
 
 @dataclass
@@ -50,18 +50,18 @@ def dims(spark: SparkSession, sf_dir: str, as_of: str = bindings.AS_OF) -> Dims:
 
 def _materialize_sized(df: DataFrame, label: str, max_rows: int | None,
                        root: str | None) -> DataFrame:
-    """Write once, read back, and decide the broadcast from a bounded count.
+    """Write once, read back, and decide the broadcast from the row count
+    observed during the write.
 
     With ``root`` the dimension is (re)written as the gold table
     ``<root>/<label>``; otherwise it goes to a fresh folder below
     ``spark.checkpoint.dir``."""
-    if root is None:
-        stored = materialize(df, label)
-    else:
-        path = f"{root.rstrip('/')}/{label}"
-        df.write.mode("overwrite").parquet(path)
-        stored = df.sparkSession.read.schema(df.schema).parquet(path)
-    return broadcast_if_bounded(stored, max_rows)
+    path = None if root is None else f"{root.rstrip('/')}/{label}"
+    stored, rows = materialize_counted(df, label, path)
+    # the exact row count was observed while writing, so the size proof
+    # needs no extra job
+    proven = max_rows is not None and rows <= max_rows
+    return broadcast_if_bounded(stored, max_rows, checked=proven) if proven else stored
 
 
 def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,

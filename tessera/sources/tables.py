@@ -6,7 +6,7 @@ import datetime as _dt
 import json as _json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,10 +128,24 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as parquet below ``spark.checkpoint.dir`` and read it back:
     cuts the lineage (a lost executor re-reads files instead of recomputing) and
     gives later size checks real file statistics."""
+    return materialize_counted(df, label)[0]
+
+
+def write_counted(df: DataFrame, path: str) -> int:
+    """Write ``df`` as parquet at ``path`` (overwrite) and return the exact
+    number of rows written, observed during the write itself (no second job)."""
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return int(obs.get.get("rows") or 0)
+
+
+def materialize_counted(df: DataFrame, label: str,
+                        path: str | None = None) -> tuple[DataFrame, int]:
+    """:func:`materialize` that also returns the row count it observed."""
     spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = path or scratch_path(spark, label)
+    rows = write_counted(df, path)
+    return spark.read.schema(df.schema).parquet(path), rows
 
 
 # ---------------------------------------------------------------- retention
@@ -217,9 +231,12 @@ class VersionedTable:
 
     # -- staging and commits
     def stage(self, df: DataFrame) -> str:
+        return self.stage_counted(df)[0]
+
+    def stage_counted(self, df: DataFrame) -> tuple[str, int]:
+        """Stage ``df`` as an unpublished segment; also return its row count."""
         seg = f"seg-{uuid.uuid4().hex[:16]}"
-        df.write.mode("overwrite").parquet(f"{self.path}/{seg}")
-        return seg
+        return seg, write_counted(df, f"{self.path}/{seg}")
 
     def read_segment(self, seg: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{seg}")
