@@ -70,9 +70,12 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
     staged = table.read_segment(seg, source.schema)
 
     per_key = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    parts = per_key.agg(F.lit("max_n").alias("stat"), F.max("_n").cast("long").alias("v"))
-    parts = parts.unionByName(per_key.agg(F.lit("keys").alias("stat"),
-                                          F.count(F.lit(1)).cast("long").alias("v")))
+    parts = (per_key.agg(F.max("_n").cast("long").alias("max_n"),
+                         F.count(F.lit(1)).cast("long").alias("keys"))
+             .select(F.explode(F.array(
+                 F.struct(F.lit("max_n").alias("stat"), F.col("max_n").alias("v")),
+                 F.struct(F.lit("keys").alias("stat"), F.col("keys").alias("v")))).alias("s"))
+             .select("s.stat", "s.v"))
     if mark_col is not None:
         grp = F.col(mark_by).cast("string") if mark_by else F.lit("")
         parts = parts.unionByName(
