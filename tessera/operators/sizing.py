@@ -2,10 +2,11 @@
 
 A dimension is broadcast only after its row count has been *proven* below a
 bound; beyond the bound the join stays a shuffle join (sort-merge, with AQE's
-skew-join splitting hot keys).  The proof is a bounded count
-(``limit(n + 1).count()``), run over a materialised dimension (see
-``tables.materialize``), so it reads at most ``n + 1`` stored rows and never
-recomputes the dimension's lineage.
+skew-join splitting hot keys).  Where a frame is written anyway, the proof is
+the row count observed during the write (``tables.write_counted``), which
+costs no job; otherwise it is a bounded count (``limit(n + 1).count()``) that
+reads at most ``n + 1`` rows — run it over stored data, not over a long
+lineage.
 """
 
 from __future__ import annotations

@@ -70,7 +70,7 @@ def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
                stream_silver: DataFrame | None = None, dims_root: str | None = None) -> Gold:
     """Dimensions are full-refresh gold tables: they are written first (the
     three independent jobs run concurrently), which keeps the fact's lineage
-    short and makes each broadcast size proof a cheap bounded read.  The
+    short; each broadcast size proof is the row count observed while writing.  The
     researcher leads (one per vessel) are then taken from the stored
     researcher dimension, so its sources are read once."""
     d = dims(spark, sf_dir, as_of)
