@@ -46,3 +46,24 @@ def test_replayed_batch_overwrites_itself(spark, scratch):
     write(batch, 0)
     assert S.read_silver(spark, paths).count() == 1
     assert S.read_dead_letters(spark, paths).count() == 1
+
+
+def test_long_running_query_picks_up_new_deliveries(spark, scratch):
+    root = scratch("live")
+    paths, topic = S.StreamPaths(root), f"{root}/topic"
+    _drop(spark, topic, [GOOD % 1])
+    q = S.start_silver(spark, topic_source(spark, topic), paths,
+                       trigger={"processingTime": "1 second"}, query_name="live_silver_test")
+    try:
+        q.processAllAvailable()
+        assert S.read_silver(spark, paths).count() == 1
+        _drop(spark, topic, [GOOD % 2, GOOD % 3, "junk"])
+        q.processAllAvailable()
+        assert S.read_silver(spark, paths).count() == 3
+        assert S.read_dead_letters(spark, paths).count() == 1
+        assert q.isActive and q.exception() is None
+    finally:
+        q.stop()
+    # restarted from the same checkpoint: nothing is replayed
+    S.run_available(spark, topic_source(spark, topic), paths)
+    assert S.read_silver(spark, paths).count() == 3
