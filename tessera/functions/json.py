@@ -6,6 +6,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def parse_payload(col: Column | str) -> Column:
+    """JSON text -> VARIANT (NULL for malformed text).  Parse a payload once
+    with this and extract several paths with :func:`variant_scalar`."""
+    return F.try_parse_json(F.col(col) if isinstance(col, str) else col)
+
+
+def variant_scalar(v: Column | str, path: str) -> Column:
+    """Scalar at ``path`` of a VARIANT as STRING; NULL for object / array /
+    JSON null / missing path."""
+    root = F.col(v) if isinstance(v, str) else v
+    node = F.try_variant_get(root, path, "variant")
+    kind = F.schema_of_variant(node)
+    return (F.when(node.isNull() | kind.rlike("^(OBJECT|ARRAY)"), F.lit(None).cast("string"))
+            .otherwise(F.try_variant_get(node, "$", "string")))
+
+
 def json_scalar(col: Column | str, path: str) -> Column:
     """Value at ``path`` as STRING when it is a JSON scalar; NULL for objects,
     arrays, JSON null, a missing path or malformed text.
@@ -13,8 +29,4 @@ def json_scalar(col: Column | str, path: str) -> Column:
     ``get_json_object`` would return the text of a nested object, so the value
     is parsed to VARIANT once and its type is checked before the cast.
     """
-    c = F.col(col) if isinstance(col, str) else col
-    v = F.try_variant_get(F.try_parse_json(c), path, "variant")
-    kind = F.schema_of_variant(v)
-    return (F.when(v.isNull() | kind.rlike("^(OBJECT|ARRAY)"), F.lit(None).cast("string"))
-            .otherwise(F.try_variant_get(v, "$", "string")))
+    return variant_scalar(parse_payload(col), path)
