@@ -20,7 +20,7 @@ from tessera.plans import audit as A
 from tessera.plans import oracle as O
 from tessera.plans import stream_flow as SF
 from tessera.functions.cursor import cursor_position, format_cursor
-from tessera.functions.json import json_scalar
+from tessera.functions.json import parse_payload, variant_scalar
 from tessera.schemas import API_RAW, RAW_TELEMETRY, with_key_type
 from tessera.session import scratch_path
 from tessera.sources import bindings, tables
@@ -171,9 +171,9 @@ def q_api_union_streams(spark, d):
 @register("json_scalar_extract", O.with_ctes(
     "SELECT event_id, measure_value, event_message FROM api_silver"))
 def q_json_scalar_extract(spark, d):
-    raw = bindings.api_raw(spark, d)
-    return raw.select("event_id", json_scalar("data", "$.k").alias("measure_value"),
-                      json_scalar("data", "$.message").alias("event_message"))
+    raw = bindings.api_raw(spark, d).withColumn("_payload", parse_payload("data"))
+    return raw.select("event_id", variant_scalar("_payload", "$.k").alias("measure_value"),
+                      variant_scalar("_payload", "$.message").alias("event_message"))
 
 
 @register("stg_api_telemetry", O.table("api_silver"))
