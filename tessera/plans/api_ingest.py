@@ -13,12 +13,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators import incremental as inc
 from tessera.operators.silver import api_silver_projection
 from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS
-from pyspark.sql import types as T
-
 from tessera.schemas import API_RAW, WATERMARKS
 from tessera.sources import bindings
 from tessera.sources.tables import (RUN_COL, VersionedTable, append_raw, read_ndjson,
@@ -128,8 +127,8 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     cursors = inc.watermark_lookup(spark, streams, wm_table.read())
     extracted = inc.extract_new(log, cursors)
 
-    # land: NDJSON per stream and ingestion day, one folder per run
-    # land: the newest consumed offset per stream is observed in the same pass
+    # land: NDJSON per stream and ingestion day, one folder per run; the
+    # newest consumed offset per stream is observed in the same pass
     landing_dir = f"{tables.landing}/run_id={run_id}"
     obs = Observation(f"cursors_{run_id}")
     rows = (inc.sanitize(extracted.observe(obs, *inc.cursor_metrics(streams)), stamp)
@@ -140,7 +139,6 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     # raw append (one job for all streams)
     append_raw(landed.select(*API_RAW.fieldNames()), tables.raw, run_id=run_id)
 
-    # incremental silver
     # incremental silver: the high-water marks come from the table's pointer
     silver = tables.silver(spark)
     raw_tbl = spark.read.schema(RAW_TABLE).parquet(tables.raw)
@@ -158,7 +156,7 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     if any(v is not None for v in metrics.values()):
         new_cursors = inc.cursors_from_metrics(spark, metrics, stamp)
         wm = wm_table.read()
-        wm_table.rewrite(inc.upsert(wm, new_cursors, "stream_name", "checked")
+        wm_table.rewrite(inc.upsert(wm, new_cursors, "stream_name", "checked", source_small=True)
                          .select(*WATERMARKS.fieldNames()))
     return {"run_id": run_id, "silver_write": mode}
 
