@@ -52,7 +52,7 @@ def incremental_filter(raw: DataFrame, target: DataFrame | None, stamp_col: str
     """Rows of ``raw`` strictly newer than the target's high-water mark.
 
     ``scope="global"``: one ``MAX`` over the whole target, ``COALESCE``-d to
-    1900-01-01 (the reference behaviour).  ``scope="per_stream"``: one mark per
+    1900-01-01 (the upstream behaviour).  ``scope="per_stream"``: one mark per
     ``by`` value; streams unknown to the target are read whole.  The marks are
     computed first and applied as literals, so the predicate reaches the
     parquet scan (and, with ``partition_col`` = an ingest-day partition
