@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -22,10 +21,8 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false"))
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        # only tests choose their own shared folder, and only when the
-        # environment names none
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-test-ckpt-"))
+    # the environment's spark.checkpoint.dir is used when set; only in local
+    # mode and only when it is unset does the library pick its own folder
     from tessera.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(s)
     yield s
