@@ -48,20 +48,20 @@ def dims(spark: SparkSession, sf_dir: str, as_of: str = bindings.AS_OF) -> Dims:
     )
 
 
-def _materialize_sized(df: DataFrame, label: str, max_rows: int | None,
-                       root: str | None) -> DataFrame:
-    """Write once, read back, and decide the broadcast from the row count
-    observed during the write.
-
-    With ``root`` the dimension is (re)written as the gold table
+def _materialize_counted(df: DataFrame, label: str, root: str | None) -> tuple[DataFrame, int]:
+    """Write once and read back; the exact row count is observed during the
+    write.  With ``root`` the dimension is (re)written as the gold table
     ``<root>/<label>``; otherwise it goes to a fresh folder below
     ``spark.checkpoint.dir``."""
     path = None if root is None else f"{root.rstrip('/')}/{label}"
-    stored, rows = materialize_counted(df, label, path)
-    # the exact row count was observed while writing, so the size proof
-    # needs no extra job
+    return materialize_counted(df, label, path)
+
+
+def _join_side(stored: DataFrame, rows: int, max_rows: int | None) -> DataFrame:
+    """Broadcast a stored dimension only when its observed row count proves it
+    small; the hint is attached where the frame is joined, nowhere else."""
     proven = max_rows is not None and rows <= max_rows
-    return broadcast_if_bounded(stored, max_rows, checked=proven) if proven else stored
+    return broadcast_if_bounded(stored, max_rows, checked=True) if proven else stored
 
 
 def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
@@ -70,33 +70,35 @@ def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
                stream_silver: DataFrame | None = None, dims_root: str | None = None) -> Gold:
     """Dimensions are full-refresh gold tables: they are written first (the
     three independent jobs run concurrently), which keeps the fact's lineage
-    short; each broadcast size proof is the row count observed while writing.  The
+    short; each broadcast size proof is the row count observed while writing.
+    The
     researcher leads (one per vessel) are then taken from the stored
     researcher dimension, so its sources are read once."""
     d = dims(spark, sf_dir, as_of)
     todo = {"dim_vessels": d.vessels, "dim_locations": d.locations,
             "dim_researchers": d.researchers}
-    job = inheritable_thread_target(spark)(_materialize_sized)  # keep job group, tags
+    job = inheritable_thread_target(spark)(_materialize_counted)  # keep job group, tags
     with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-        futs = {k: pool.submit(job, v, k, broadcast_max_rows, dims_root) for k, v in todo.items()}
+        futs = {k: pool.submit(job, v, k, dims_root) for k, v in todo.items()}
         done = {k: f.result() for k, f in futs.items()}
     if lead_first:
         # from the *stored* dimension: the orders aggregate is not computed twice
-        done["lead_researchers"] = _materialize_sized(
-            gold.lead_researchers(done["dim_researchers"]), "lead_researchers",
-            broadcast_max_rows, dims_root)
-    mdims = Dims(done["dim_vessels"], done["dim_locations"], done["dim_researchers"])
+        done["lead_researchers"] = _materialize_counted(
+            gold.lead_researchers(done["dim_researchers"][0]), "lead_researchers", dims_root)
+    mdims = Dims(done["dim_vessels"][0], done["dim_locations"][0], done["dim_researchers"][0])
     batch = stg_telemetry(spark, sf_dir)
     stream = None
     if include_stream:
         stream = stream_silver if stream_silver is not None \
             else bindings.stream_silver_table(spark, sf_dir)
     telemetry = gold.unified_telemetry(batch, stream)
-    # the dims carry their broadcast decision already; leads are one per vessel
-    researchers = done["lead_researchers"] if lead_first else done["dim_researchers"]
-    fact = gold.fact_events(telemetry, mdims.vessels, mdims.locations, researchers,
+    # each joined side carries its own proven broadcast decision
+    side = {k: _join_side(df, rows, broadcast_max_rows) for k, (df, rows) in done.items()}
+    researchers = side["lead_researchers"] if lead_first else side["dim_researchers"]
+    fact = gold.fact_events(telemetry, side["dim_vessels"], side["dim_locations"], researchers,
                             lead_first=False, dedupe=True, broadcast_max_rows=None)
-    return Gold(mdims, researchers, fact)
+    leads = (done["lead_researchers"] if lead_first else done["dim_researchers"])[0]
+    return Gold(mdims, leads, fact)
 
 
 def fact(spark: SparkSession, sf_dir: str, include_stream: bool, **kw) -> DataFrame:
