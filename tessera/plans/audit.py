@@ -60,7 +60,8 @@ def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "stg_researchers": d.researchers.select(*_STG_RESEARCHERS),
         "stg_vessels": d.vessels.select(*_STG_VESSELS),
         "stg_locations": silver.stg_locations(d.locations),
-        "stg_telemetry_stream": medallion.stg_telemetry_stream(spark, sf_dir, PROCESSED_AT),
+        # the stream silver *table* (typed rows as the sink holds them)
+        "stg_telemetry_stream": bindings.stream_silver_table(spark, sf_dir, PROCESSED_AT),
         "stg_api_telemetry": silver.api_silver_projection(bindings.api_raw(spark, sf_dir), "$.k"),
         "dim_researchers": d.researchers,
         "fct_events": g.fact,

@@ -426,7 +426,7 @@ _BETWEEN_SUITE = [_suite_of("stg_telemetry_stream", ("between",)),
 @register("check_between", O.suite_sql(_BETWEEN_SUITE))
 def q_check_between(spark, d):
     """Inclusive range checks (NULL passes) on stream silver and the fact."""
-    models = {"stg_telemetry_stream": medallion.stg_telemetry_stream(spark, d, A.PROCESSED_AT),
+    models = {"stg_telemetry_stream": bindings.stream_silver_table(spark, d, A.PROCESSED_AT),
               "fct_events": medallion.fact_unified(spark, d)}
     return Q.audit(models, _BETWEEN_SUITE)
 
