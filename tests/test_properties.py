@@ -71,3 +71,27 @@ def test_configured_streams_filter_equals_open_filter(spark, rows, done):
     a = inc.incremental_filter(raw, target, scope="per_stream")
     b = inc.incremental_filter(raw, target, scope="per_stream", streams=["a", "b"])
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def _title_case_model(s):
+    from tessera.functions.text import INITCAP_DELIMITERS
+    delims = set(INITCAP_DELIMITERS) | {" ", "\t", "\n"}
+    out, start = [], True
+    for ch in s:
+        if ch in delims:
+            out.append(ch)
+            start = True
+        else:
+            out.append(ch.upper() if start else ch.lower())
+            start = False
+    return "".join(out)
+
+
+@SETTINGS
+@given(words=st.lists(st.text(alphabet="abcXYZ09'-_. @#/(", min_size=0, max_size=12),
+                      min_size=1, max_size=8))
+def test_title_case_matches_model(spark, words):
+    from tessera.functions.text import title_case
+    df = spark.createDataFrame([(w,) for w in words], "s string")
+    got = [r[0] for r in df.select(title_case("s")).collect()]
+    assert got == [_title_case_model(w) for w in words]
