@@ -94,7 +94,7 @@ def append_raw(df: DataFrame, path: str, ingest_col: str = "ingested_at",
 
 # ------------------------------------------------------- full-refresh table (A5)
 def write_partitioned_table(df: DataFrame, path: str, day_source: str, day_col: str,
-                            cluster_by=(), tiebreak=()) -> None:
+                            cluster_by=(), tiebreak=(), num_partitions: int | None = None) -> None:
     """A5: rebuild a table partitioned by the day of ``day_source`` and clustered.
 
     Range-partitioning on (day, *cluster) gives each task a contiguous key
@@ -104,10 +104,15 @@ def write_partitioned_table(df: DataFrame, path: str, day_source: str, day_col:
     it would sort again.  ``tiebreak`` columns (high cardinality, e.g. the
     event id) end the range key so that one hot (day, cluster) combination is
     still cut into several ranges instead of landing in a single task.
+    ``num_partitions`` sizes the ranges for the data (see
+    ``session.shuffle_partitions_for``); by default the session's shuffle
+    partition count is used and AQE coalesces small ranges.
     """
     keys = [day_col, *cluster_by, *tiebreak]
-    (df.withColumn(day_col, F.to_date(day_source))
-     .repartitionByRange(*keys)
+    out = df.withColumn(day_col, F.to_date(day_source))
+    out = (out.repartitionByRange(num_partitions, *keys) if num_partitions
+           else out.repartitionByRange(*keys))
+    (out
      .sortWithinPartitions(*keys)
      .write.mode("overwrite").partitionBy(day_col).parquet(path))
 
