@@ -144,16 +144,14 @@ def stream_list(spark: SparkSession, streams: list[str]) -> DataFrame:
     return spark.createDataFrame([(s,) for s in streams], schema)
 
 
-def watermark_lookup(spark: SparkSession, streams: list[str], watermarks: DataFrame | None,
-                     strict: bool = True) -> DataFrame:
-    """C4/K2: every configured stream with its stored cursor (NULL = start from
-    the beginning) and the parsed position.  A non-NULL cursor that does not
-    parse is an error (``strict``) rather than a silent full reload.
-
-    The join runs once in Spark; its result has one row per *configured*
-    stream, so it is collected (bounded by configuration) and handed back as a
-    small local DataFrame that later joins broadcast for free.
-    """
+def lookup_rows(spark: SparkSession, streams: list[str], watermarks: DataFrame | None,
+                strict: bool = True) -> list:
+    """C4/K2 as driver rows ``(stream_name, current_cursor, cursor_pos)``: every
+    configured stream with its stored cursor (NULL = start from the
+    beginning) and the parsed position.  A non-NULL cursor that does not parse
+    is an error (``strict``) rather than a silent full reload.  The join runs
+    in Spark; its result has one row per *configured* stream, so bringing it
+    to the driver is bounded by configuration."""
     cfg = stream_list(spark, streams)
     if watermarks is None:
         out = cfg.select("stream_name", F.lit(None).cast("string").alias("current_cursor"))
@@ -164,16 +162,27 @@ def watermark_lookup(spark: SparkSession, streams: list[str], watermarks: DataFr
                   .groupBy("stream_name")
                   .agg(F.max_by("current_cursor", "updated_at").alias("current_cursor")))
         out = cfg.join(F.broadcast(latest), "stream_name", "left")
-    out = out.withColumn("cursor_pos", cursor_position("current_cursor"))
-    rows = out.collect()
+    rows = out.withColumn("cursor_pos", cursor_position("current_cursor")).collect()
     if strict:
         bad = [r.asDict() for r in rows if r.current_cursor is not None and r.cursor_pos is None]
         if bad:
             raise ValueError(f"unparsable cursors: {bad}")
-    return spark.createDataFrame(rows, out.schema)
+    return rows
+
+
+LOOKUP_SCHEMA = T.StructType([T.StructField("stream_name", T.StringType(), False),
+                              T.StructField("current_cursor", T.StringType(), True),
+                              T.StructField("cursor_pos", T.LongType(), True)])
+
+
+def watermark_lookup(spark: SparkSession, streams: list[str], watermarks: DataFrame | None,
+                     strict: bool = True) -> DataFrame:
+    """C4/K2 as a (small, local) DataFrame; see :func:`lookup_rows`."""
+    rows = lookup_rows(spark, streams, watermarks, strict)
+    return spark.createDataFrame([tuple(r) for r in rows], LOOKUP_SCHEMA)
 
 
-def extract_new(log: DataFrame, cursors: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+def extract_new(log: DataFrame, cursors, page_size: int = PAGE_SIZE) -> DataFrame:
     """K1: rows of the stream log beyond each stream's cursor, all streams in one job.
 
     ``pos`` is the log's own monotonic offset within a stream, so the cut is a
@@ -182,9 +191,11 @@ def extract_new(log: DataFrame, cursors: DataFrame, page_size: int = PAGE_SIZE)
     predicates instead of a join: an exact per-stream condition plus the
     weaker ``pos > min(cursor)`` bound, which Catalyst pushes into the scan
     so parquet row-group statistics skip data that was consumed before.  The
-    page label is arithmetic on the offset.
+    page label is arithmetic on the offset.  ``cursors`` is the lookup's
+    DataFrame or its rows (:func:`lookup_rows`).
     """
-    rows = cursors.select("stream_name", "cursor_pos").collect()  # bounded by configuration
+    rows = (cursors.select("stream_name", "cursor_pos").collect()  # bounded by configuration
+            if isinstance(cursors, DataFrame) else list(cursors))
     if not rows:
         return log.where(F.lit(False)).withColumn("page", F.lit(None).cast("long"))
     stream, pos = F.col("stream_name"), F.col("pos")

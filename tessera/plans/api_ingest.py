@@ -124,7 +124,7 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     """One ingestion run over a stream log ``(stream_name, pos, event_id,
     stream_type, data, timestamp)``.  Returns a small report."""
     wm_table = tables.watermarks(spark)
-    cursors = inc.watermark_lookup(spark, streams, wm_table.read())
+    cursors = inc.lookup_rows(spark, streams, wm_table.read())
     extracted = inc.extract_new(log, cursors)
 
     # land: NDJSON per stream and ingestion day, one folder per run; the
