@@ -4,6 +4,7 @@ import datetime as dt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tessera.operators import incremental as inc
@@ -95,3 +96,38 @@ def test_title_case_matches_model(spark, words):
     df = spark.createDataFrame([(w,) for w in words], "s string")
     got = [r[0] for r in df.select(title_case("s")).collect()]
     assert got == [_title_case_model(w) for w in words]
+
+
+@SETTINGS
+@given(log=st.lists(st.tuples(st.sampled_from(["fraud", "audit", "access"]), st.integers(0, 3000)),
+                    max_size=20, unique=True),
+       cursors=st.dictionaries(st.sampled_from(["fraud", "audit", "access"]),
+                               st.one_of(st.none(), st.integers(0, 3000))))
+def test_extract_matches_model(spark, log, cursors):
+    streams = ["fraud", "audit", "access"]
+    df = spark.createDataFrame(log, "stream_name string, pos long")
+    rows = [(s, cursors.get(s)) for s in streams]
+    got = sorted((r.stream_name, r.pos, r.page) for r in
+                 inc.extract_new(df, [Row(stream_name=s, cursor_pos=c)
+                                      for s, c in rows]).collect())
+    expected = []
+    for s, p in log:
+        c = cursors.get(s)
+        if c is None or p > c:
+            base = -1 if c is None else c
+            expected.append((s, p, (p - base - 1) // 1000))
+    assert got == sorted(expected)
+
+
+@SETTINGS
+@given(xs=st.lists(st.floats(min_value=-1e6, max_value=1e6, allow_nan=False)
+                   .map(lambda v: round(v * 2) / 2), min_size=1, max_size=10))
+def test_float_seconds_round_half_away_from_zero(spark, xs):
+    import decimal
+    from tessera.functions.temporal import seconds_to_timestamp
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(seconds_to_timestamp("x")).collect()]
+    epoch = dt.datetime(1970, 1, 1)
+    want = [epoch + dt.timedelta(seconds=int(decimal.Decimal(repr(x)).quantize(
+        decimal.Decimal(1), rounding=decimal.ROUND_HALF_UP))) for x in xs]
+    assert got == want
