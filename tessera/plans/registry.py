@@ -502,11 +502,7 @@ def q_stream_dead_letter(spark, d):
     """Messages the streaming query routed to the dead-letter table
     (none on well-formed input; see tests for the rejected shapes)."""
     paths = SF.run_stream(spark, d, scratch_path(spark, "stream"))
-    try:
-        dl = SS.read_dead_letters(spark, paths)
-    except Exception:  # noqa: BLE001 - no dead letter was ever written
-        dl = spark.createDataFrame([], T.StructType([
-            T.StructField("value", T.StringType()), T.StructField("reject_reason", T.StringType())]))
+    dl = SS.read_dead_letters(spark, paths)
     return dl.select("value", F.lit("rejected").alias("reject_reason"))
 
 
@@ -515,7 +511,7 @@ def q_stream_silver(spark, d):
     """The continuous transform run to completion; silver without the
     processing stamp."""
     paths = SF.run_stream(spark, d, scratch_path(spark, "stream"))
-    return SF.silver_core(SS.read_silver(spark, paths))
+    return SF.silver_core(SS.read_silver(spark, paths, bindings.STREAM_RECORD))
 
 
 @register("stream_silver_partitions", O.with_ctes(
@@ -523,7 +519,8 @@ def q_stream_silver(spark, d):
 def q_stream_silver_partitions(spark, d):
     """Silver is partitioned by event day; the day column comes from the folders."""
     paths = SF.run_stream(spark, d, scratch_path(spark, "stream"))
-    return SS.read_silver(spark, paths).select("event_id", "observed_at", "observed_date")
+    return (SS.read_silver(spark, paths, bindings.STREAM_RECORD)
+            .select("event_id", "observed_at", "observed_date"))
 
 
 @register("stream_restart_once", O.with_ctes(_SILVER_CORE))
@@ -531,14 +528,15 @@ def q_stream_restart_once(spark, d):
     """Two deliveries, a restart from the checkpoint and an idle run: every
     message lands in silver exactly once."""
     paths = SF.run_with_restart(spark, d, scratch_path(spark, "stream-restart"))
-    return SF.silver_core(SS.read_silver(spark, paths))
+    return SF.silver_core(SS.read_silver(spark, paths, bindings.STREAM_RECORD))
 
 
 @register("fact_stream_sink", O.table("fact_unified"))
 def q_fact_stream_sink(spark, d):
     """Batch gold over the streaming sink (Lambda-style unification)."""
     paths = SF.run_stream(spark, d, scratch_path(spark, "stream"))
-    return medallion.fact_unified(spark, d, stream_silver=SS.read_silver(spark, paths))
+    sink = SS.read_silver(spark, paths, bindings.STREAM_RECORD)
+    return medallion.fact_unified(spark, d, stream_silver=sink)
 
 
 @register("fact_literal_fanout", O.table("fact_unified"))

@@ -101,9 +101,32 @@ def run_available(spark: SparkSession, messages: DataFrame, paths: StreamPaths,
         raise q.exception()
 
 
-def read_silver(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.parquet(paths.silver)
+DEAD_LETTER_SCHEMA = T.StructType([
+    T.StructField("value", T.StringType()),
+    T.StructField("reject_reason", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
+
+
+def silver_schema(record: T.StructType = STREAM_RECORD) -> T.StructType:
+    """Stream silver as written, partition columns included."""
+    return T.StructType([
+        T.StructField("event_id", T.LongType()),
+        T.StructField("vessel_id", record["vessel_id"].dataType),
+        T.StructField("location_id", record["location_id"].dataType),
+        T.StructField("gravity_g", T.DoubleType()),
+        T.StructField("observed_at", T.TimestampNTZType()),
+        T.StructField("processed_at", T.TimestampNTZType()),
+        T.StructField(DAY_COL, T.DateType()),
+        T.StructField("batch_id", T.LongType()),
+    ])
+
+
+def read_silver(spark: SparkSession, paths: StreamPaths,
+                record: T.StructType = STREAM_RECORD) -> DataFrame:
+    """Batch read of the sink (declared schema: an empty sink reads as empty)."""
+    return spark.read.schema(silver_schema(record)).parquet(paths.silver)
 
 
 def read_dead_letters(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.parquet(paths.dead_letters)
+    return spark.read.schema(DEAD_LETTER_SCHEMA).parquet(paths.dead_letters)

@@ -67,3 +67,12 @@ def test_long_running_query_picks_up_new_deliveries(spark, scratch):
     # restarted from the same checkpoint: nothing is replayed
     S.run_available(spark, topic_source(spark, topic), paths)
     assert S.read_silver(spark, paths).count() == 3
+
+
+def test_empty_dead_letter_table_reads_as_empty(spark, scratch):
+    root = scratch("clean")
+    paths, topic = S.StreamPaths(root), f"{root}/topic"
+    _drop(spark, topic, [GOOD % 1])
+    S.run_available(spark, topic_source(spark, topic), paths)
+    assert S.read_dead_letters(spark, paths).count() == 0
+    assert S.read_silver(spark, paths).count() == 1
