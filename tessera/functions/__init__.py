@@ -7,7 +7,8 @@ from tessera.functions.temporal import (days_between, epoch_seconds, iso_utc_tex
 from tessera.functions.text import full_name, title_case
 
 __all__ = [
-    "cursor_position", "format_cursor", "json_scalar", "parse_payload", "variant_scalar", "days_between", "epoch_seconds",
+    "cursor_position", "format_cursor", "json_scalar", "parse_payload", "variant_scalar",
+    "days_between", "epoch_seconds",
     "iso_utc_text", "parse_iso_timestamp", "seconds_to_timestamp", "to_ntz", "full_name",
     "title_case",
 ]

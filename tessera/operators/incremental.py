@@ -107,10 +107,10 @@ def upsert(target: DataFrame | None, source: DataFrame, key: str | list[str],
     ``on_duplicate="error"`` fails when the source holds a key twice (as a
     warehouse MERGE does); ``"latest"`` keeps the row with the largest
     ``order_col``; ``"checked"`` means the caller has already proven the
-    source keys unique (e.g. the output of a ``groupBy`` on the key).  The anti join broadcasts the source *keys* only when their
-    count is proven small (``source_small=True`` when the caller already
-    holds that proof, ``False`` to never broadcast); otherwise it is a
-    shuffle join.
+    source keys unique (e.g. the output of a ``groupBy`` on the key).  The
+    anti join broadcasts the source *keys* only when their count is proven
+    small (``source_small=True`` when the caller already holds that proof,
+    ``False`` to never broadcast); otherwise it is a shuffle join.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if on_duplicate == "latest":

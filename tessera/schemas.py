@@ -66,7 +66,8 @@ WATERMARKS = T.StructType([
 CORE_TELEMETRY_COLUMNS = ("event_id", "vessel_id", "location_id", "gravity_g", "observed_at")
 
 
-def with_key_type(schema: T.StructType, key_type: T.DataType, keys: tuple[str, ...]) -> T.StructType:
+def with_key_type(schema: T.StructType, key_type: T.DataType,
+                  keys: tuple[str, ...]) -> T.StructType:
     """Copy of ``schema`` with the named key columns retyped (bindings use integer keys)."""
     return T.StructType([
         T.StructField(f.name, key_type if f.name in keys else f.dataType, f.nullable)
