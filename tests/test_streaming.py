@@ -76,3 +76,19 @@ def test_empty_dead_letter_table_reads_as_empty(spark, scratch):
     S.run_available(spark, topic_source(spark, topic), paths)
     assert S.read_dead_letters(spark, paths).count() == 0
     assert S.read_silver(spark, paths).count() == 1
+
+
+def test_topic_payloads_follow_the_contract(spark):
+    import json
+
+    from tessera.sources import bindings
+    msgs = [json.loads(r.value) for r in
+            bindings.stream_messages(spark, "/root/testdata/sf0.001").limit(50).collect()]
+    assert msgs
+    for m in msgs:
+        assert set(m) == {"id", "vessel_id", "raw_force_reading", "location_id", "event_time"}
+        assert isinstance(m["id"], int) and isinstance(m["raw_force_reading"], float)
+        assert m["event_time"].endswith("Z") and "T" in m["event_time"]
+    parsed = parse_contract(bindings.stream_messages(spark, "/root/testdata/sf0.001"),
+                            bindings.STREAM_RECORD)
+    assert parsed.where(F.col("reject_reason").isNotNull()).count() == 0
