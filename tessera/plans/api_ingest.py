@@ -20,8 +20,7 @@ from tessera.operators.silver import api_silver_projection
 from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS
 from tessera.schemas import API_RAW, WATERMARKS
 from tessera.sources import bindings
-from tessera.sources.tables import (RUN_COL, VersionedTable, append_raw, read_ndjson,
-                                   write_landing)
+from tessera.sources.tables import RUN_COL, VersionedTable, append_raw, write_landing
 
 RAW_TABLE = T.StructType(API_RAW.fields + [T.StructField("_ingest_date", T.DateType()),
                                             T.StructField(RUN_COL, T.StringType())])
@@ -132,12 +131,14 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     landing_dir = f"{tables.landing}/run_id={run_id}"
     obs = Observation(f"cursors_{run_id}")
     rows = (inc.sanitize(extracted.observe(obs, *inc.cursor_metrics(streams)), stamp)
-            .withColumn("dt", F.to_date("ingested_at")))
-    write_landing(rows, landing_dir)
-    landed = read_ndjson(spark, landing_dir, API_RAW)
-
-    # raw append (one job for all streams)
-    append_raw(landed.select(*API_RAW.fieldNames()), tables.raw, run_id=run_id)
+            .withColumn("dt", F.to_date("ingested_at"))).persist()
+    try:
+        write_landing(rows, landing_dir)
+        # raw append (one job for all streams) from the same rows, so the run's
+        # extract is computed once and the landed text is not parsed back
+        append_raw(rows.select(*API_RAW.fieldNames()), tables.raw, run_id=run_id)
+    finally:
+        rows.unpersist()
 
     # incremental silver: the high-water marks come from the table's pointer
     silver = tables.silver(spark)
