@@ -3,8 +3,9 @@ incremental silver -> cursor advance, all streams in one Spark job per step.
 
 Commit order is land -> raw -> silver -> cursors: a crash before the cursor
 update makes the next run re-read the same offsets, and the keyed upsert makes
-that re-read harmless.  Every landing folder carries its run id, so a load
-reads exactly one run (no re-appending of a whole day's folder).
+that re-read harmless.  Every landing folder and every raw partition carries
+its run id, so a retried run replaces its own output and never re-appends a
+whole day's folder.
 """
 
 from __future__ import annotations
