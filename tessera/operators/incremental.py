@@ -252,3 +252,19 @@ def sanitize(extracted: DataFrame, stamp, stream_col: str = "stream_name",
         F.col(stream_col).alias("source_stream"),
         "event_id", "stream_type", "data", "timestamp", *extra,
     )
+
+
+def merge_into_catalog_table(source: DataFrame, table_name: str, key: str | list[str]) -> None:
+    """A8 on a row-level table format (Delta / Iceberg catalog table): a real
+    ``MERGE`` — matched rows updated, new keys inserted — so only the files
+    holding matched keys are rewritten.  Needs the format's catalog on the
+    classpath; plain parquet tables reject it (use ``api_ingest.merge_into``)."""
+    keys = [key] if isinstance(key, str) else list(key)
+    cond = None
+    for k in keys:
+        c = F.col(f"{table_name}.{k}") == F.col(f"source.{k}")
+        cond = c if cond is None else cond & c
+    (source.alias("source").mergeInto(table_name, cond)
+     .whenMatched().updateAll()
+     .whenNotMatched().insertAll()
+     .merge())

@@ -154,3 +154,15 @@ def test_crash_before_cursor_commit_is_harmless(spark, scratch, monkeypatch):
     silver = tabs.silver(spark).read()
     assert silver.count() == 8 and silver.select("event_id").distinct().count() == 8
     assert [r.current_cursor for r in tabs.watermarks(spark).read().collect()] == ["cursor_fraud_8"]
+
+
+def test_catalog_merge_needs_a_row_level_format(spark):
+    name = "tessera_merge_probe"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.createDataFrame([(1, "a")], "k long, v string").write.format("parquet").saveAsTable(name)
+    try:
+        with pytest.raises(Exception, match="MERGE"):
+            inc.merge_into_catalog_table(
+                spark.createDataFrame([(1, "b")], "k long, v string"), name, "k")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
