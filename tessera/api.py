@@ -13,7 +13,8 @@ from tessera.operators.gold import (dim_locations, dim_researchers, dim_vessels,
                                     lead_researchers, low_g_flag, top1, unified_telemetry)
 from tessera.operators.gold import fact_events as fact
 from tessera.operators.incremental import (advance_cursors, extract_new, high_water_mark,
-                                           incremental_filter, sanitize, upsert,
+                                           incremental_filter, lookup_rows,
+                                           merge_into_catalog_table, sanitize, upsert,
                                            watermark_lookup)
 from tessera.operators.quality import Check, ModelChecks, audit, duplicate_keys, gate, null_counts
 from tessera.operators.quality import run_checks as run_quality
