@@ -44,32 +44,38 @@ def register(name: str, sql: str | None = None):
 # ------------------------------------------------------------ silver
 @register("stg_telemetry", O.table("stg_telemetry"))
 def q_stg_telemetry(spark, d):
+    """B1: rename, force / 9.80665 -> g, typed event time."""
     return medallion.stg_telemetry(spark, d)
 
 
 @register("stg_vessels", O.table("stg_vessels"))
 def q_stg_vessels(spark, d):
+    """Typed projection of the vessels."""
     return silver.stg_vessels(bindings.raw_vessels(spark, d))
 
 
 @register("stg_researchers", O.table("stg_researchers"))
 def q_stg_researchers(spark, d):
+    """Title-cased names, lower-cased email, typed join time."""
     return silver.stg_researchers(bindings.raw_researchers(spark, d))
 
 
 # --------------------------------------------------------------- dims (H3, H4)
 @register("dim_locations", O.table("dim_locations"))
 def q_dim_locations(spark, d):
+    """B2: the location dimension."""
     return medallion.dims(spark, d).locations
 
 
 @register("dim_vessels", O.table("dim_vessels"))
 def q_dim_vessels(spark, d):
+    """H4: vessel dimension with the age in calendar days at the as-of date."""
     return medallion.dims(spark, d).vessels
 
 
 @register("dim_researchers", O.table("dim_researchers"))
 def q_dim_researchers(spark, d):
+    """H3 / H4: researcher dimension with full name and tenure in days."""
     return medallion.dims(spark, d).researchers
 
 
@@ -77,12 +83,14 @@ def q_dim_researchers(spark, d):
 @register("low_g_flag", O.with_ctes(
     "SELECT event_id, gravity_g, COALESCE(gravity_g <= 0.1, FALSE) AS is_low_g FROM stg_telemetry"))
 def q_low_g_flag(spark, d):
+    """``gravity_g <= 0.1``, NULL counted as false."""
     t = medallion.stg_telemetry(spark, d)
     return t.select("event_id", "gravity_g", gold.low_g_flag("gravity_g").alias("is_low_g"))
 
 
 @register("unified_telemetry", O.table("telemetry_unified"))
 def q_unified_telemetry(spark, d):
+    """Batch and stream silver under one schema, tagged by ingestion mode."""
     return gold.unified_telemetry(medallion.stg_telemetry(spark, d),
                                   medallion.stg_telemetry_stream(spark, d))
 
@@ -92,6 +100,7 @@ def q_unified_telemetry(spark, d):
     SELECT t.event_id, t.vessel_id, v.vessel_name, v.vessel_type, v.age_days AS vessel_age_days
     FROM stg_telemetry t LEFT JOIN dim_vessels v ON t.vessel_id = v.vessel_id"""))
 def q_enrich_vessels(spark, d):
+    """Events LEFT JOIN vessels (N:1)."""
     t = medallion.stg_telemetry(spark, d)
     v = medallion.dims(spark, d).vessels.select(
         "vessel_id", "vessel_name", "vessel_type", F.col("age_days").alias("vessel_age_days"))
@@ -103,6 +112,7 @@ def q_enrich_vessels(spark, d):
     SELECT t.event_id, t.location_id, l.location_name, l.region
     FROM stg_telemetry t LEFT JOIN dim_locations l ON t.location_id = l.location_id"""))
 def q_enrich_locations(spark, d):
+    """Events LEFT JOIN locations (N:1)."""
     t = medallion.stg_telemetry(spark, d)
     lo = medallion.dims(spark, d).locations.select("location_id", "location_name", "region")
     return t.join(lo, "location_id", "left").select(
@@ -113,6 +123,7 @@ def q_enrich_locations(spark, d):
     SELECT t.event_id, t.vessel_id, r.researcher_id, r.full_name AS lead_researcher, r.tenure_days
     FROM stg_telemetry t LEFT JOIN dim_researchers r ON t.vessel_id = r.assigned_vessel_id"""))
 def q_enrich_researchers_fanout(spark, d):
+    """C3 literal: events LEFT JOIN every researcher of the vessel (N:M fan-out)."""
     t = medallion.stg_telemetry(spark, d)
     r = medallion.dims(spark, d).researchers
     return (t.join(r, t.vessel_id == r.assigned_vessel_id, "left")
@@ -141,11 +152,13 @@ def q_lead_researcher_top1(spark, d):
 # --------------------------------------------------------------- facts
 @register("fact_batch_only", O.table("fact_batch"))
 def q_fact_batch_only(spark, d):
+    """The gold fact with the stream half switched off."""
     return medallion.fact_batch_only(spark, d)
 
 
 @register("fact_unified", O.table("fact_unified"))
 def q_fact_unified(spark, d):
+    """P2 (flagship): the gold fact over batch and stream silver."""
     return medallion.fact_unified(spark, d)
 
 
@@ -171,6 +184,7 @@ def q_api_union_streams(spark, d):
 @register("json_scalar_extract", O.with_ctes(
     "SELECT event_id, measure_value, event_message FROM api_silver"))
 def q_json_scalar_extract(spark, d):
+    """H8: JSON scalars as text; objects, arrays, null and missing give NULL."""
     raw = bindings.api_raw(spark, d).withColumn("_payload", parse_payload("data"))
     return raw.select("event_id", variant_scalar("_payload", "$.k").alias("measure_value"),
                       variant_scalar("_payload", "$.message").alias("event_message"))
@@ -186,6 +200,7 @@ def q_stg_api_telemetry(spark, d):
     SELECT TIMESTAMP '{api_ingest.STAMP_1}' AS ingested_at, stream_name AS source_stream,
            event_id, stream_type, data, timestamp FROM api_log"""))
 def q_sanitize_raw_events(spark, d):
+    """One ingestion stamp per run and the stream tag on every raw row."""
     return inc.sanitize(bindings.api_log(spark, d), api_ingest.STAMP_1)
 
 
