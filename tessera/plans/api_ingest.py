@@ -49,7 +49,8 @@ class ApiTables:
 def merge_into(table: VersionedTable, source: DataFrame, key: str,
                on_duplicate: str = "error", order_col: str | None = None,
                broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-               mark_col: str | None = None, mark_by: str | None = None) -> str:
+               mark_col: str | None = None, mark_by: str | None = None,
+               mark_groups: list[str] | None = None) -> str:
     """Upsert ``source`` into a versioned table; returns append / rewrite / noop.
 
     The source is computed exactly once: it is staged as an unpublished
@@ -57,7 +58,8 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
     "is a source key repeated?", "does any already exist?" and, with
     ``mark_col``, "what is the newest ``mark_col`` per ``mark_by``?" (kept in
     the table's pointer as its high-water marks, so the next incremental run
-    does not scan the table for them).  Target keys are probed against the
+    does not scan the table for them).  With ``mark_groups`` (the known values
+    of ``mark_by``) the marks are observed while staging instead.  Target keys are probed against the
     size-checked source keys, so the target itself is never shuffled.  When
     nothing matches (the usual incremental case) the staged segment is simply
     published; otherwise a new version with the merged rows is written.
@@ -65,7 +67,13 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
     if on_duplicate == "latest":
         source = inc.upsert(None, source, key, "latest", order_col)
     target = table.read() if table.exists() else None
-    seg, staged_rows = table.stage_counted(source)
+    observed_marks = []
+    if mark_col is not None and mark_groups:
+        micros = F.unix_micros(F.col(mark_col).cast("timestamp"))
+        observed_marks = [F.max(F.when(F.col(mark_by) == F.lit(g), micros)).alias(f"mark:{g}")
+                          for g in mark_groups]
+    seg, observed = table.stage_observed(source, observed_marks)
+    staged_rows = int(observed["rows"] or 0)
     staged = table.read_segment(seg, source.schema)
 
     per_key = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
@@ -75,7 +83,7 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
                  F.struct(F.lit("max_n").alias("stat"), F.col("max_n").alias("v")),
                  F.struct(F.lit("keys").alias("stat"), F.col("keys").alias("v")))).alias("s"))
              .select("s.stat", "s.v"))
-    if mark_col is not None:
+    if mark_col is not None and not observed_marks:
         grp = F.col(mark_by).cast("string") if mark_by else F.lit("")
         parts = parts.unionByName(
             staged.groupBy(grp.alias("_g"))
@@ -89,6 +97,7 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
         parts = parts.unionByName(hits.agg(F.lit("matched").alias("stat"),
                                            F.count(F.lit(1)).cast("long").alias("v")))
     stats = {r["stat"]: r["v"] for r in parts.collect()}
+    stats.update({k: v for k, v in observed.items() if k.startswith("mark:")})
     if not stats.get("keys"):
         return "noop"
     if on_duplicate == "error" and (stats.get("max_n") or 0) > 1:
@@ -151,7 +160,7 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
                                      streams=streams)
     new_raw = new_raw.drop(RUN_COL)
     mode = merge_into(silver, api_silver_projection(new_raw, value_path, message_path), "event_id",
-                      mark_col="ingested_at", mark_by="source_stream")
+                      mark_col="ingested_at", mark_by="source_stream", mark_groups=streams)
 
     # cursors last (one row per stream: keys unique by construction)
     metrics = obs.get

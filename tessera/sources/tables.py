@@ -139,9 +139,16 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 def write_counted(df: DataFrame, path: str) -> int:
     """Write ``df`` as parquet at ``path`` (overwrite) and return the exact
     number of rows written, observed during the write itself (no second job)."""
+    return int(write_observed(df, path)["rows"] or 0)
+
+
+def write_observed(df: DataFrame, path: str, metrics: list | None = None) -> dict:
+    """Write ``df`` as parquet at ``path`` (overwrite); return the row count
+    (``rows``) and any extra aggregate ``metrics`` computed in the same pass."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-    return int(obs.get.get("rows") or 0)
+    df.observe(obs, F.count(F.lit(1)).alias("rows"), *(metrics or [])) \
+        .write.mode("overwrite").parquet(path)
+    return dict(obs.get)
 
 
 def materialize_counted(df: DataFrame, label: str,
@@ -240,8 +247,13 @@ class VersionedTable:
 
     def stage_counted(self, df: DataFrame) -> tuple[str, int]:
         """Stage ``df`` as an unpublished segment; also return its row count."""
+        seg, observed = self.stage_observed(df)
+        return seg, int(observed["rows"] or 0)
+
+    def stage_observed(self, df: DataFrame, metrics: list | None = None) -> tuple[str, dict]:
+        """Stage ``df``; return the segment and the metrics observed while writing."""
         seg = f"seg-{uuid.uuid4().hex[:16]}"
-        return seg, write_counted(df, f"{self.path}/{seg}")
+        return seg, write_observed(df, f"{self.path}/{seg}", metrics)
 
     def read_segment(self, seg: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{seg}")
