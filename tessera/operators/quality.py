@@ -106,6 +106,8 @@ def run_checks(df: DataFrame, spec: ModelChecks) -> DataFrame:
                              F.lit(chk.kind).alias("check_name"),
                              observed.alias("observed"),
                              (observed >= F.lit(chk.min_rows)).alias("passed")))
+    if not rows:  # a model declared without checks has nothing to report
+        return df.sparkSession.createDataFrame([], RESULT_SCHEMA)
     return (agg.select(F.explode(F.array(*rows)).alias("r"))
             .select(F.lit(spec.model).alias("model"), "r.column_name", "r.check_name",
                     "r.observed", "r.passed"))

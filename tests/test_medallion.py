@@ -182,3 +182,18 @@ def test_daily_build_writes_and_gates(spark, scratch):
     # readings go far above, so the gate stops the build after writing the fact
     with pytest.raises(AssertionError, match="gravity_g between"):
         medallion.daily_build(spark, "/root/testdata/sf0.001", scratch("daily2"))
+
+
+def test_read_fact_prunes_to_the_requested_days(spark, scratch):
+    from tessera import api
+    from tessera.operators.quality import ModelChecks
+    from tessera.plans import medallion
+    no_checks = [ModelChecks(m, []) for m in ("dim_vessels", "fct_events")]
+    out = medallion.daily_build(spark, "/root/testdata/sf0.001", scratch("rf"), suite=no_checks)
+    got = api.read_fact(spark, out["fact"], "2024-01-10", "2024-01-11")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "observed_date" in plan
+    rows = got.collect()
+    assert rows and all(r.observed_at.date() == dt.date(2024, 1, 10) for r in rows)
+    whole = spark.read.parquet(out["fact"])
+    assert len(rows) == whole.where(F.to_date("observed_at") == F.lit("2024-01-10")).count()

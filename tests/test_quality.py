@@ -28,3 +28,8 @@ def test_gate_ignores_warnings(spark):
     suite_err = [ModelChecks("f", [Check("not_null", "r")])]
     with pytest.raises(AssertionError):
         gate(audit({"f": df}, suite_err), suite_err)
+
+
+def test_model_without_checks_reports_nothing(spark):
+    df = spark.createDataFrame([(1,)], "k long")
+    assert run_checks(df, ModelChecks("m", [])).count() == 0
