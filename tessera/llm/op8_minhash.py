@@ -13,12 +13,16 @@ Method
    most ``CHUNK_ERRORS`` differing slots.  The allowed errors of each chunk are
    enumerated as its variants with that slot left out, and each variant is an
    index key: all pairs within the distance share a key.
-4. Candidates that are within the distance are confirmed on the full sets.
-   First each class is compared with a few hubs of its keys, which is linear in
-   the size of a key.  The components found so far then exclude most pairs: the
-   self-join of step two only meets classes of *different* components, so a
-   large group of near copies is never expanded into all its pairs.
-5. Confirmed links are closed into components by alternating star contraction.
+4. Candidates are gathered into loose *clusters*: classes within the distance of
+   one of a few hubs of a shared key (linear in the key's size), then pairs that
+   share a key, are within the distance and still lie in different clusters.
+   All pairs within the distance are inside a cluster, and a large group of near
+   copies is never expanded into its pairs.
+5. Clusters are confirmed on the full shingle sets, ``BLOCK`` classes at a time:
+   a task counts the common shingles of its block and returns a spanning forest
+   of the links.  In clusters of several blocks, classes that did not join the
+   cluster's main component are then compared with all other blocks.
+6. The forests are closed into components by alternating star contraction.
 
 At similarity 0.75 the distance is binomial(64, 0.25); it exceeds 33 with a
 chance of 3e-6, and with less above 0.75.
@@ -47,6 +51,8 @@ CHUNK_ERRORS = MAX_DISTANCE // CHUNKS  # 1
 LINK_NUM, LINK_DEN = 75, 100
 #: Different hub orders among the keys of a class.
 HUB_ORDERS = 4
+#: Classes of a cluster that one task compares (two such blocks in the second pass).
+BLOCK = 512
 
 SIG = [f"s{i}" for i in range(SLOTS // 8)]
 FP = ["fp1", "fp2", "n"]
@@ -144,36 +150,112 @@ def distance(a: str, b: str) -> Column:
     return total
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def forest(n: np.ndarray, sets: list[np.ndarray], comps: np.ndarray, sides: np.ndarray,
+           across: bool) -> list[tuple[int, int]]:
+    """Spanning forest of the links among classes of different components.
+
+    ``across``: only between the two sides.  Common shingles are counted by
+    products of 0/1 matrices over the shingles that two classes or more have.
+    """
+    m = len(sets)
+    owner = np.repeat(np.arange(m), n)
+    _, code, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = seen > 1
+    column = np.cumsum(shared) - 1
+    keep = shared[code]
+    owner, code = owner[keep], column[code[keep]]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    common = np.zeros((m, m), dtype=np.float32)
+    wide = int(shared.sum())
+    for lo in range(0, wide, 4096):
+        i, j = np.searchsorted(code, [lo, lo + 4096])
+        part = np.zeros((m, min(4096, wide - lo)), dtype=np.float32)
+        part[owner[i:j], code[i:j] - lo] = 1.0
+        common += part @ part.T
+    common = common.astype(np.int64)
+    link = LINK_DEN * common >= LINK_NUM * (n[:, None] + n[None, :] - common)
+    link &= comps[:, None] != comps[None, :]
+    if across:
+        link &= sides[:, None] != sides[None, :]
+    edges, left = [], link.any(axis=1)
+    while left.any():
+        root = int(np.argmax(left))
+        left[root] = False
+        front = [root]
+        while front:
+            reached = np.flatnonzero(link[front].any(axis=0) & left)
+            left[reached] = False
+            edges += [(root, int(v)) for v in reached]
+            front = reached.tolist()
+    return edges
+
+
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (cl, lo, hi): the forest of each such group."""
+    key, group = None, []
+
+    def close() -> pa.RecordBatch:
+        ids = [g[0] for g in group]
+        n = np.array([len(g[3]) for g in group], dtype=np.int64)
+        found = forest(n, [g[3] for g in group], np.array([g[1] for g in group]),
+                       np.array([g[2] for g in group]), key[1] != key[2]) if len(group) > 1 else []
+        return pa.RecordBatch.from_arrays(
+            [pa.array([ids[x] for x, _ in found], pa.int64()),
+             pa.array([ids[y] for _, y in found], pa.int64())], names=["a", "b"])
+
     for batch in batches:
+        at, lo, hi, ids, comps, sides = (batch.column(c).to_pylist()
+                                         for c in ("cl", "lo", "hi", "id", "comp", "side"))
         for first, last, data, offsets in blocks(batch.column("text")):
             shingles, bounds = shingle_sets(data, offsets)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(first, last - first),
-                 pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)),
-                                          pa.array(shingles.view(np.int64)))],
-                names=["id", "shingles"])
+            for k in range(first, last):
+                if (at[k], lo[k], hi[k]) != key:
+                    if len(group) > 1:
+                        yield close()
+                    key, group = (at[k], lo[k], hi[k]), []
+                group.append((ids[k], comps[k], sides[k],
+                              shingles[bounds[k - first]:bounds[k - first + 1]].copy()))
+    if len(group) > 1:
+        yield close()
 
 
-def confirm(spark: SparkSession, docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b, na, nb) whose full shingle sets are similar enough; (a, b).
+def confirm(spark: SparkSession, docs: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Forest links (a, b) of the groups (cl, lo, hi) that ``tasks`` deals the ids into.
 
-    Sets are made anew for the documents in question only.  ``pairs`` must be a
-    written table, as it is read three times.
+    Sets are made anew, in the task, from the texts of the documents in question.
     """
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = pick(docs, id="doc_id", text="text").select(F.col("id").cast("bigint").alias("id"), "text")
-    sets = written(spark, texts.join(wanted, "id", "left_semi")
-                   .mapInArrow(_sets, "id bigint, shingles array<bigint>"), "nd-sets")
-    sets = sets.dropDuplicates(["id"])
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb")).cast("bigint")
-    return (pairs.join(left, "a").join(right, "b")
-            .withColumn("common", common)
-            .filter(LINK_DEN * F.col("common") >=
-                    LINK_NUM * (F.col("na") + F.col("nb") - F.col("common")))
-            .select("a", "b"))
+    rows = (texts.join(tasks, "id").dropDuplicates(["id", "cl", "lo", "hi"])
+            .repartition("cl", "lo", "hi").sortWithinPartitions("cl", "lo", "hi", "id"))
+    return written(spark, rows.mapInArrow(_confirm, "a bigint, b bigint"), "nd-links")
+
+
+def block_tasks(members: DataFrame) -> DataFrame:
+    """First pass: every cluster (id, cl, k = its size) in blocks, each on its own."""
+    number = F.ceil(F.col("k") / BLOCK)
+    block = F.pmod(F.xxhash64("id"), number).cast("int")
+    return members.select("id", "cl", block.alias("lo"), block.alias("hi"),
+                          F.lit(0).alias("side"), F.col("id").alias("comp"))
+
+
+def stray_tasks(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """Second pass, clusters of several blocks: classes outside the main component
+    meet all others; members of the main component never meet each other."""
+    big = (members.filter(F.col("k") > BLOCK).join(comps, "id", "left")
+           .withColumn("comp", F.coalesce("comp", "id")))
+    parts = big.groupBy("cl", "comp").agg(F.count("*").alias("c"))
+    main = parts.groupBy("cl").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"),
+                                   F.max("c").alias("c"))
+    big = (big.join(main, "cl").withColumn("stray", F.col("comp") != F.col("main"))
+           .withColumn("s", F.ceil((F.col("k") - F.col("c")) / BLOCK).cast("int"))
+           .withColumn("g", F.ceil(F.col("c") / BLOCK).cast("int")).filter("s > 0"))
+    i = F.pmod(F.xxhash64("id"), F.when(F.col("stray"), F.col("s")).otherwise(F.col("g"))).cast("int")
+    others = F.when(F.col("stray"), F.expr("sequence(0, s + g - 1)")).otherwise(F.expr("sequence(0, s - 1)"))
+    own = F.when(F.col("stray"), F.col("i")).otherwise(F.col("s") + F.col("i"))
+    return (big.withColumn("i", i).withColumn("own", own).withColumn("other", F.explode(others))
+            .select("id", "cl", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                    (F.col("own") > F.col("other")).cast("int").alias("side"), "comp"))
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -228,25 +310,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     shared = written(spark, keyed.join(hubs, "key"), "nd-shared")
     stars = shared.filter("id <> hub").select(
         F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
-    first = written(spark, _within(stars, sig), "nd-stars")
-    links = written(spark, confirm(spark, docs, first), "nd-links")
-    comps = written(spark, components(spark, links), "nd-comps")
+    loose = written(spark, _within(stars, sig), "nd-stars")
+    clusters = written(spark, components(spark, loose), "nd-clusters")
 
-    # what is left: classes of different components that share a key
-    part = (shared.select("id", "key").join(comps, "id", "left")
+    # what is left: classes of different clusters that share a key
+    part = (shared.select("id", "key").join(clusters, "id", "left")
             .withColumn("comp", F.coalesce("comp", "id")))
     mixed = (part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .filter("lo < hi").select("key"))
     rest = written(spark, part.join(mixed, "key", "left_semi").join(sig, "id"), "nd-rest")
     x, y = rest.alias("x"), rest.alias("y")
     met = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id"))
-                  & (F.col("x.comp") != F.col("y.comp")) & (distance("x", "y") <= MAX_DISTANCE))
-           .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"),
-                   F.col("x.n").alias("na"), F.col("y.n").alias("nb")).distinct())
-    met = written(spark, met.join(first.select("a", "b"), ["a", "b"], "left_anti"), "nd-met")
-    links = links.union(confirm(spark, docs, met))
-    links = written(spark, links, "nd-links")
+                  & (F.col("x.comp") != F.col("y.comp")) & close_enough("x", "y"))
+           .select(F.col("x.comp").alias("a"), F.col("y.comp").alias("b")).distinct())
+    bridges = written(spark, met, "nd-bridges")
+    if not bridges.isEmpty():
+        clusters = written(spark, components(spark, loose.union(bridges)), "nd-clusters")
+
+    sizes = clusters.groupBy("comp").agg(F.count("*").alias("k"))
+    members = written(spark, clusters.join(sizes, "comp")
+                      .select("id", F.col("comp").alias("cl"), "k"), "nd-members")
+    links = confirm(spark, docs, block_tasks(members))
     comps = written(spark, components(spark, links), "nd-comps")
+    if not members.filter(F.col("k") > BLOCK).isEmpty():
+        links = links.union(confirm(spark, docs, stray_tasks(members, comps)))
+        comps = written(spark, components(spark, links), "nd-comps")
 
     owner = (classes.select(*FP, "id").join(comps, "id", "left")
              .select(*FP, F.coalesce("comp", "id").alias("comp")))
@@ -256,12 +344,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
                     .alias("component_id")))
 
 
+def close_enough(a: str, b: str) -> Column:
+    """Set sizes that allow the similarity, and signatures within the distance."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    return ((LINK_DEN * F.least(n, m) >= LINK_NUM * F.greatest(n, m))
+            & (distance(a, b) <= MAX_DISTANCE))
+
+
 def _within(pairs: DataFrame, sig: DataFrame) -> DataFrame:
-    """(a, b, na, nb) of the pairs whose signatures are within the distance."""
+    """The pairs (a, b) that are close enough."""
     return (pairs.join(sig.alias("x"), F.col("a") == F.col("x.id"))
             .join(sig.alias("y"), F.col("b") == F.col("y.id"))
-            .filter(distance("x", "y") <= MAX_DISTANCE)
-            .select("a", "b", F.col("x.n").alias("na"), F.col("y.n").alias("nb")))
+            .filter(close_enough("x", "y")).select("a", "b"))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
