@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tessera.session import scratch_path
 
 
-def _position(names: list[str], wanted: str) -> int:
+def position(names: list[str], wanted: str) -> int:
+    """Index of a column: by its exact name, else by the first that differs in case only."""
     if wanted in names:
         return names.index(wanted)
     lowered = [n.lower() for n in names]
@@ -26,29 +27,10 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     """
     names = df.columns
     tagged = df.toDF(*[f"c{i}" for i in range(len(names))])
-    return tagged.select(*[F.col(f"c{_position(names, src)}").alias(out)
+    return tagged.select(*[F.col(f"c{position(names, src)}").alias(out)
                            for out, src in columns.items()])
 
 
-def with_hidden(df: DataFrame, **hidden: str) -> tuple[DataFrame, list[str]]:
-    """All columns renamed to ``c0 .. cn`` plus copies ``hidden`` of named ones.
-
-    For operators that return their input's columns: work on the tagged frame,
-    then restore with ``untag``.
-    """
-    names = df.columns
-    tagged = df.toDF(*[f"c{i}" for i in range(len(names))])
-    return tagged.withColumns({out: F.col(f"c{_position(names, src)}")
-                               for out, src in hidden.items()}), names
-
-
-def untag(df: DataFrame, names: list[str], **replaced: Column) -> DataFrame:
-    """Inverse of ``with_hidden``; ``replaced`` gives new values by column name."""
-    at = {_position(names, k): v for k, v in replaced.items()}
-    out = df.select(*[at.get(i, F.col(f"c{i}")).alias(f"c{i}") for i in range(len(names))])
-    return out.toDF(*names)
-
-
 def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 

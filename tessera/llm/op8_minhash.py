@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick, written
+from tessera.llm.common import pick, position, written
 from tessera.llm.textcore import NON_SPACE, U64, blocks, chain, mix, words
 
 SHINGLE = 5
@@ -397,7 +397,7 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     names = docs.columns
     gone = written(spark, found.filter("doc_id <> component_id").select("doc_id").distinct(), "nd-gone")
     tagged = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    key = f"c{[n.lower() for n in names].index('doc_id')}"
+    key = f"c{position(names, 'doc_id')}"
     kept = tagged.join(gone, F.col(key) == gone.doc_id, "left_anti")
     ids = pick(docs, doc_id="doc_id")
     twice = written(spark, ids.filter("doc_id IS NOT NULL").groupBy("doc_id")
