@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from tessera.llm import op1_toxicity, op3_pii, op4_quality, op8_minhash, op9_decontaminate
+from tessera.llm import op1_toxicity, op3_pii, op4_quality, op5_mixing, op8_minhash, op9_decontaminate
 
 QUERIES = {
     "op1_toxicity": op1_toxicity.op1_toxicity,
     "op3_pii": op3_pii.op3_pii,
     "op4_quality": op4_quality.op4_quality,
+    "op5_mixing": op5_mixing.op5_mixing,
     "op8_near_duplicates": op8_minhash.op8_near_duplicates,
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
 }
 
 ORACLES = {
+    "op5_mixing": op5_mixing.ORACLE,
     "op8_near_duplicates": op8_minhash.ORACLE,
     "op9_decontaminate": op9_decontaminate.ORACLE,
 }
