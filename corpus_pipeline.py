@@ -1,6 +1,67 @@
-"""Pipeline over ``documents``: stages of the training-data operators, in order."""
+"""Training-data pipeline over ``documents``.
+
+Five stages, each a function ``(spark, docs, sf_dir) -> DataFrame`` of the
+operators in ``tessera.llm``; ``run`` writes each stage's rows as Parquet to the
+shared scratch folder and hands the table to the next one.  All stages but the
+last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.llm import op3_pii, op4_quality, op5_mixing, op8_minhash, op9_decontaminate
+from tessera.llm.common import written
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ranking model puts below its cut go; learned from ``labels``."""
+    return op4_quality.keep_good(spark, docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies stays."""
+    return op8_minhash.keep_one(spark, docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a window of ``benchmark`` go."""
+    return op9_decontaminate.clean_documents(spark, docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data is replaced by its kind; every document stays."""
+    return op3_pii.without_pii(spark, docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each copy that the mix of sources takes, with ``copy`` 1 or 2."""
+    return op5_mixing.mixed_documents(spark, docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", personal_data),
+    ("mixing", mixing),
+]
+
+#: The first two stages are learned or iterative: no SQL states their rows.
+ORACLE_SQL: str | None = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
+
+
+QUERIES = {"pipeline": run}
+ORACLES = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
-from tessera.llm import op1_toxicity, op3_pii, op4_quality, op5_mixing, op8_minhash, op9_decontaminate
+from tessera.llm import (
+    op1_toxicity,
+    op3_pii,
+    op4_quality,
+    op5_mixing,
+    op6_warc,
+    op8_minhash,
+    op9_decontaminate,
+    op10_html,
+)
 
 QUERIES = {
     "op1_toxicity": op1_toxicity.op1_toxicity,
     "op3_pii": op3_pii.op3_pii,
     "op4_quality": op4_quality.op4_quality,
     "op5_mixing": op5_mixing.op5_mixing,
+    "op6_warc": op6_warc.op6_warc,
     "op8_near_duplicates": op8_minhash.op8_near_duplicates,
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
+    "op10_html": op10_html.op10_html,
 }
 
 ORACLES = {
     "op5_mixing": op5_mixing.ORACLE,
+    "op6_warc": op6_warc.ORACLE,
     "op8_near_duplicates": op8_minhash.ORACLE,
     "op9_decontaminate": op9_decontaminate.ORACLE,
 }
