@@ -53,6 +53,7 @@ LINK_NUM, LINK_DEN = 75, 100
 HUB_ORDERS = 4
 #: Classes of a cluster that one task compares (two such blocks in the second pass).
 BLOCK = 512
+PIVOTS = 32
 
 SIG = [f"s{i}" for i in range(SLOTS // 8)]
 FP = ["fp1", "fp2", "n"]
@@ -152,7 +153,8 @@ def distance(a: str, b: str) -> Column:
 
 def forest(n: np.ndarray, sets: list[np.ndarray], comps: np.ndarray, sides: np.ndarray,
            across: bool) -> list[tuple[int, int]]:
-    """Spanning forest of the links among classes of different components.
+    """Pairs (first member, other member) of each component of the links among
+    classes of different components so far.
 
     ``across``: only between the two sides.  Common shingles are counted by
     products of 0/1 matrices over the shingles that two classes or more have.
@@ -193,7 +195,7 @@ def forest(n: np.ndarray, sets: list[np.ndarray], comps: np.ndarray, sides: np.n
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (cl, lo, hi): the forest of each such group."""
-    key, group = None, []
+    key, group, size = None, [], 0
 
     def close() -> pa.RecordBatch:
         ids = [g[0] for g in group]
@@ -201,19 +203,22 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = forest(n, [g[3] for g in group], np.array([g[1] for g in group]),
                        np.array([g[2] for g in group]), key[1] != key[2]) if len(group) > 1 else []
         return pa.RecordBatch.from_arrays(
-            [pa.array([ids[x] for x, _ in found], pa.int64()),
-             pa.array([ids[y] for _, y in found], pa.int64())], names=["a", "b"])
+            [pa.array([ids[y] for _, y in found], pa.int64()),
+             pa.array([ids[x] for x, _ in found], pa.int64()),
+             pa.array([size] * len(found), pa.int64())], names=["a", "b", "k"])
 
     for batch in batches:
-        at, lo, hi, ids, comps, sides = (batch.column(c).to_pylist()
-                                         for c in ("cl", "lo", "hi", "id", "comp", "side"))
+        at, lo, hi, ids, comps, sides, sizes = (
+            batch.column(c).to_pylist() for c in ("cl", "lo", "hi", "id", "comp", "side", "k"))
         for first, last, data, offsets in blocks(batch.column("text")):
             shingles, bounds = shingle_sets(data, offsets)
             for k in range(first, last):
                 if (at[k], lo[k], hi[k]) != key:
                     if len(group) > 1:
                         yield close()
-                    key, group = (at[k], lo[k], hi[k]), []
+                    key, group, size = (at[k], lo[k], hi[k]), [], sizes[k]
+                if group and group[-1][0] == ids[k]:
+                    continue  # a repeated row
                 group.append((ids[k], comps[k], sides[k],
                               shingles[bounds[k - first]:bounds[k - first + 1]].copy()))
     if len(group) > 1:
@@ -221,22 +226,27 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def confirm(spark: SparkSession, docs: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Forest links (a, b) of the groups (cl, lo, hi) that ``tasks`` deals the ids into.
+    """Components (a, b = smallest id, k) of the groups (cl, lo, hi) that ``tasks`` deals ids into.
 
     Sets are made anew, in the task, from the texts of the documents in question.
     """
     texts = pick(docs, id="doc_id", text="text").select(F.col("id").cast("bigint").alias("id"), "text")
-    rows = (texts.join(tasks, "id").dropDuplicates(["id", "cl", "lo", "hi"])
+    rows = (texts.join(tasks, "id")
             .repartition("cl", "lo", "hi").sortWithinPartitions("cl", "lo", "hi", "id"))
-    return written(spark, rows.mapInArrow(_confirm, "a bigint, b bigint"), "nd-links")
+    return written(spark, rows.mapInArrow(_confirm, "a bigint, b bigint, k bigint"), "nd-links")
 
 
 def block_tasks(members: DataFrame) -> DataFrame:
-    """First pass: every cluster (id, cl, k = its size) in blocks, each on its own."""
-    number = F.ceil(F.col("k") / BLOCK)
+    """First pass: every cluster (id, cl, k = its size) in blocks, each on its own.
+
+    About ``PIVOTS`` members of a cluster of several blocks are in all of them,
+    so that components meet across blocks.
+    """
+    number = F.ceil(F.col("k") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("id"), number).cast("int")
-    return members.select("id", "cl", block.alias("lo"), block.alias("hi"),
-                          F.lit(0).alias("side"), F.col("id").alias("comp"))
+    pivot = (number > 1) & (F.pmod(F.xxhash64("id", F.lit("pivot")), F.col("k")) < PIVOTS)
+    return (members.withColumn("lo", F.explode(F.when(pivot, F.sequence(F.lit(0), number - 1)).otherwise(F.array(block))))
+            .select("id", "cl", "k", "lo", F.col("lo").alias("hi"), F.lit(0).alias("side"), F.col("id").alias("comp")))
 
 
 def stray_tasks(members: DataFrame, comps: DataFrame) -> DataFrame:
@@ -254,7 +264,7 @@ def stray_tasks(members: DataFrame, comps: DataFrame) -> DataFrame:
     others = F.when(F.col("stray"), F.expr("sequence(0, s + g - 1)")).otherwise(F.expr("sequence(0, s - 1)"))
     own = F.when(F.col("stray"), F.col("i")).otherwise(F.col("s") + F.col("i"))
     return (big.withColumn("i", i).withColumn("own", own).withColumn("other", F.explode(others))
-            .select("id", "cl", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+            .select("id", "cl", "k", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
                     (F.col("own") > F.col("other")).cast("int").alias("side"), "comp"))
 
 
@@ -271,16 +281,15 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.join(low, "u").filter("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct())
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .filter("u <> v").union(low.select("u", F.col("m").alias("v"))).distinct())
-        after = written(spark, small, "nd-edges")
-        # stars: no node that is pointed at points further, none points twice
-        nodes = after.select("u", F.lit(1).alias("up")).union(
-            after.select(F.col("v").alias("u"), F.lit(0).alias("up")).distinct())
-        loose = nodes.groupBy("u").agg(F.count("*").alias("k")).filter("k > 1").limit(1).count()
-        edges = after
+        edges = written(spark, small, "nd-edges")
+        # stars: no node points twice, and none that is pointed at points further
+        ends = edges.select("u", F.lit(1).alias("out")).union(edges.select(F.col("v").alias("u"), F.lit(0).alias("out")))
+        loose = (ends.groupBy("u").agg(F.sum("out").alias("out"), F.min("out").alias("least"))
+                 .filter("out > 1 OR out = 1 AND least = 0").agg(F.count("*")).first()[0])
         if not loose:
             break
     return edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(
@@ -316,12 +325,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     # what is left: classes of different clusters that share a key
     part = (shared.select("id", "key").join(clusters, "id", "left")
             .withColumn("comp", F.coalesce("comp", "id")))
-    mixed = (part.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .filter("lo < hi").select("key"))
-    rest = written(spark, part.join(mixed, "key", "left_semi").join(sig, "id"), "nd-rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    met = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") > F.col("y.id"))
-                  & (F.col("x.comp") != F.col("y.comp")) & close_enough("x", "y"))
+    # pairs of a key's main cluster need no look: one side of each pair is outside of it
+    main = (part.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
+            .agg(F.max_by("comp", F.struct("c", "comp")).alias("main"), F.count("*").alias("parts"))
+            .filter("parts > 1").select("key", "main"))
+    rest = written(spark, part.join(main, "key").join(sig, "id"), "nd-rest")
+    x, y = rest.filter("comp <> main").alias("x"), rest.alias("y")
+    met = (x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp"))
+                  & ((F.col("y.comp") == F.col("y.main")) | (F.col("x.id") > F.col("y.id")))
+                  & close_enough("x", "y"))
            .select(F.col("x.comp").alias("a"), F.col("y.comp").alias("b")).distinct())
     bridges = written(spark, met, "nd-bridges")
     if not bridges.isEmpty():
@@ -330,11 +342,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     sizes = clusters.groupBy("comp").agg(F.count("*").alias("k"))
     members = written(spark, clusters.join(sizes, "comp")
                       .select("id", F.col("comp").alias("cl"), "k"), "nd-members")
-    links = confirm(spark, docs, block_tasks(members))
-    comps = written(spark, components(spark, links), "nd-comps")
+    found = confirm(spark, docs, block_tasks(members))
+    # a cluster of one block is final: its rows point at the component's smallest id
+    final = found.filter(F.col("k") <= BLOCK)
+    comps = final.select(F.col("a").alias("id"), F.col("b").alias("comp"))
     if not members.filter(F.col("k") > BLOCK).isEmpty():
-        links = links.union(confirm(spark, docs, stray_tasks(members, comps)))
-        comps = written(spark, components(spark, links), "nd-comps")
+        links = found.filter(F.col("k") > BLOCK).select("a", "b")
+        so_far = written(spark, components(spark, links), "nd-comps")
+        links = links.union(confirm(spark, docs, stray_tasks(members, so_far)).select("a", "b"))
+        comps = comps.union(written(spark, components(spark, links), "nd-comps"))
 
     owner = (classes.select(*FP, "id").join(comps, "id", "left")
              .select(*FP, F.coalesce("comp", "id").alias("comp")))
