@@ -2,7 +2,7 @@
 
     python -m tessera daily-build --sf-dir D --gold-root G [--no-stream]
     python -m tessera api-cycle   --sf-dir D --root R --run-id N --stamp "2024-01-31 00:00:00"
-    python -m tessera stream      --sf-dir D --root R [--available-now]
+    python -m tessera stream      --root R (--topic FOLDER | --kafka KEY=VALUE ...) [--available-now]
     python -m tessera audit       --sf-dir D
 
 Each command prints one JSON line describing what it wrote or found.
@@ -27,9 +27,12 @@ def main(argv: list[str] | None = None) -> int:
     a.add_argument("--root", required=True)
     a.add_argument("--run-id", required=True)
     a.add_argument("--stamp", required=True)
+    a.add_argument("--keep-days", type=int, default=7, help="days that landed files are kept")
     s = sub.add_parser("stream")
-    s.add_argument("--sf-dir", required=True)
     s.add_argument("--root", required=True)
+    where = s.add_mutually_exclusive_group(required=True)
+    where.add_argument("--topic", help="folder of newline-delimited JSON messages")
+    where.add_argument("--kafka", nargs="+", metavar="KEY=VALUE", help="options of the Kafka source")
     s.add_argument("--available-now", action="store_true")
     q = sub.add_parser("audit")
     q.add_argument("--sf-dir", required=True)
@@ -48,16 +51,14 @@ def main(argv: list[str] | None = None) -> int:
         from tessera.sources import bindings
         out = api_ingest.run_cycle(spark, bindings.api_log(spark, args.sf_dir),
                                    api_ingest.ApiTables(args.root), api_ingest.STREAMS,
-                                   args.stamp, args.run_id, "$.k")
+                                   args.stamp, args.run_id, "$.k", keep_days=args.keep_days)
     elif args.cmd == "stream":
-        from tessera.plans import stream_flow
         from tessera.sources import bindings
         from tessera.streaming import silver as S
         from tessera.streaming.bronze import topic_source
         paths = S.StreamPaths(args.root)
-        topic = f"{args.root}/topic"
-        stream_flow.drop_messages(spark, args.sf_dir, topic)
-        src = topic_source(spark, topic)
+        kafka = dict(o.split("=", 1) for o in args.kafka) if args.kafka else None
+        src = topic_source(spark, args.topic, kafka=kafka)
         if args.available_now:
             S.run_available(spark, src, paths, record=bindings.STREAM_RECORD)
         else:  # long-running: 5-minute trigger until stopped

@@ -12,21 +12,28 @@ def parse_payload(col: Column | str) -> Column:
     return F.try_parse_json(F.col(col) if isinstance(col, str) else col)
 
 
-def variant_scalar(v: Column | str, path: str) -> Column:
-    """Scalar at ``path`` of a VARIANT as STRING; NULL for object / array /
-    JSON null / missing path."""
+def variant_kind(v: Column | str, path: str) -> Column:
+    """Type of the value at ``path`` of a VARIANT (``OBJECT<...>``, ``ARRAY<...>``, a scalar type)."""
     root = F.col(v) if isinstance(v, str) else v
-    node = F.try_variant_get(root, path, "variant")
-    kind = F.schema_of_variant(node)
-    return (F.when(node.isNull() | kind.rlike("^(OBJECT|ARRAY)"), F.lit(None).cast("string"))
-            .otherwise(F.try_variant_get(node, "$", "string")))
+    return F.schema_of_variant(F.try_variant_get(root, path, "variant"))
 
 
-def json_scalar(col: Column | str, path: str) -> Column:
+def json_scalar(col: Column | str, path: str, parsed: Column | str | None = None) -> Column:
     """Value at ``path`` as STRING when it is a JSON scalar; NULL for objects,
     arrays, JSON null, a missing path or malformed text.
 
-    ``get_json_object`` would return the text of a nested object, so the value
-    is parsed to VARIANT once and its type is checked before the cast.
+    The text of the value comes from the JSON itself, so ``1.0`` and numbers of
+    any length stay as written; of a repeated key the first counts.
+    ``get_json_object`` also returns the text of nested values: the parsed
+    payload tells those from strings that look like them.  A payload that
+    VARIANT rejects (repeated keys) has no such type, and there a value that is
+    itself an object or array counts as nested.  ``parsed`` is the payload's
+    VARIANT, when the caller has it for several paths.
     """
-    return variant_scalar(parse_payload(col), path)
+    text = F.col(col) if isinstance(col, str) else col
+    parsed = parse_payload(text) if parsed is None else F.col(parsed) if isinstance(parsed, str) else parsed
+    value = F.get_json_object(text, path)
+    looks_nested = value.rlike(r"^[\{\[]")
+    nested = F.when(parsed.isNotNull(), variant_kind(parsed, path).rlike("^(OBJECT|ARRAY)")) \
+        .otherwise(F.try_parse_json(value).isNotNull())
+    return F.when(~F.coalesce(looks_nested & nested, F.lit(False)), value)

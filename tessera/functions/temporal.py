@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+ISO_PATTERN = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}"
+               r"(:[0-9]{2}(\.[0-9]{1,9})?)?(Z|[+-][0-9]{2}:[0-9]{2})?$")
+
+
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -24,8 +28,11 @@ def to_ntz(col: Column | str, dtype: T.DataType | None = None) -> Column:
 
 
 def parse_iso_timestamp(col: Column | str) -> Column:
-    """ISO-8601 text (``...Z`` accepted) -> TIMESTAMP_NTZ; NULL when unparsable."""
-    return F.try_to_timestamp(_c(col)).cast("timestamp_ntz")
+    """ISO-8601 text with a full date and a time (seconds, fraction and ``Z`` or
+    an offset optional) -> TIMESTAMP_NTZ; NULL for anything else.  The cast
+    alone would take a bare time as today's and a bare year as its first day."""
+    c = _c(col)
+    return F.when(c.rlike(ISO_PATTERN), F.try_to_timestamp(c)).cast("timestamp_ntz")
 
 
 def iso_utc_text(col: Column | str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.json import parse_payload, variant_scalar
+from tessera.functions.json import json_scalar, parse_payload
 from tessera.functions.temporal import parse_iso_timestamp, seconds_to_timestamp, to_ntz
 from tessera.functions.text import title_case
 
@@ -108,8 +108,8 @@ def api_silver_projection(raw: DataFrame, value_path: str = "$.value",
         "event_id",
         "stream_type",
         "source_stream",
-        variant_scalar("_payload", value_path).alias("measure_value"),
-        variant_scalar("_payload", message_path).alias("event_message"),
+        json_scalar("data", value_path, "_payload").alias("measure_value"),
+        json_scalar("data", message_path, "_payload").alias("event_message"),
         seconds_to_timestamp("timestamp").alias("observed_at"),
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
     )

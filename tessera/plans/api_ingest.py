@@ -1,15 +1,19 @@
 """Hourly API ingestion cycle (P4): cursors -> extract -> land -> raw append ->
-incremental silver -> cursor advance, all streams in one Spark job per step.
+silver -> cursor advance, all streams in one Spark job per step.
 
-Commit order is land -> raw -> silver -> cursors: a crash before the cursor
-update makes the next run re-read the same offsets, and the keyed upsert makes
-that re-read harmless.  Every landing folder and every raw partition carries
-its run id, so a retried run replaces its own output and never re-appends a
-whole day's folder.
+Commit order is land -> raw -> silver -> cursors.  Landing and raw rows live in
+folders of the run, which a retry replaces as a whole, and silver is merged by
+key from the run's own raw rows, whatever its stamp is: no row depends on a
+comparison with an earlier run's stamp.  The cursor table's next version names
+the run that commits it, so "the cursors moved" and "the run is finished" are one
+atomic step.  A crash before it makes the retry read the same offsets (and what
+the log has gained) again; a run that is finished is not run again and its
+folders stay untouched.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -20,11 +24,18 @@ from tessera.operators import incremental as inc
 from tessera.operators.silver import api_silver_projection
 from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS
 from tessera.schemas import API_RAW, WATERMARKS
-from tessera.sources import bindings
-from tessera.sources.tables import RUN_COL, VersionedTable, append_raw, write_landing
+from tessera.sources import bindings, fs
+from tessera.sources.tables import (
+    VersionedTable,
+    append_raw,
+    expire_partitions,
+    read_ndjson,
+    run_folder,
+    write_landing,
+)
 
-RAW_TABLE = T.StructType(API_RAW.fields + [T.StructField("_ingest_date", T.DateType()),
-                                            T.StructField(RUN_COL, T.StringType())])
+RAW_RUN = T.StructType(API_RAW.fields + [T.StructField("_ingest_date", T.DateType())])
+LANDED = T.StructType(API_RAW.fields + [T.StructField("dt", T.DateType())])
 
 
 @dataclass
@@ -66,6 +77,7 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
     """
     if on_duplicate == "latest":
         source = inc.upsert(None, source, key, "latest", order_col)
+    base = table.version
     target = table.read() if table.exists() else None
     observed_marks = []
     if mark_col is not None and mark_groups:
@@ -111,10 +123,10 @@ def merge_into(table: VersionedTable, source: DataFrame, key: str,
                 g = stat[len("mark:"):]
                 marks[g] = max(marks.get(g, v), v)
     if target is None or not stats.get("matched"):
-        table.commit_append(seg, source.schema, marks)
+        table.commit_append(seg, source.schema, marks, base)
         return "append"
     table.commit_rewrite(inc.upsert(target, staged, key, "checked", None,
-                                    source_small=small), marks)
+                                    source_small=small), marks, base)
     return "rewrite"
 
 
@@ -127,49 +139,73 @@ def marks_as_timestamps(marks: dict | None) -> dict | None:
     return {k: epoch + _dt.timedelta(microseconds=int(v)) for k, v in marks.items()}
 
 
+def _finished(spark: SparkSession, tables: ApiTables, wm: VersionedTable, run_id: str) -> bool:
+    """Whether the run committed its cursors (or found nothing to commit).
+
+    The run's note says which version of the cursor table it was about to
+    commit; that version names the run that did.
+    """
+    note = fs.read_text(spark, f"{tables.root}/runs/{run_id}.done")
+    if note is not None:
+        return True
+    for name in fs.list_files(spark, f"{tables.root}/runs"):
+        if name.startswith(f"{run_id}.v") and wm.run_of(int(name.rsplit(".v", 1)[1])) == run_id:
+            fs.publish_new(spark, f"{tables.root}/runs/{run_id}.done", "")
+            return True
+    return False
+
+
 def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: list[str],
               stamp, run_id: str, value_path: str = "$.value", message_path: str = "$.message",
-              scope: str = "per_stream") -> dict:
+              keep_days: int | None = None, after_step: Callable[[str], None] = lambda step: None) -> dict:
     """One ingestion run over a stream log ``(stream_name, pos, event_id,
-    stream_type, data, timestamp)``.  Returns a small report."""
+    stream_type, data, timestamp)``.  Returns a small report.
+
+    ``stamp`` may be older than an earlier run's (a backfill) or equal to it.
+    ``keep_days`` expires landed days that are older than that before the stamp.
+    ``after_step`` is called after each commit point (land, raw, silver, cursors).
+    """
     wm_table = tables.watermarks(spark)
-    cursors = inc.lookup_rows(spark, streams, wm_table.read())
+    if _finished(spark, tables, wm_table, run_id):
+        return {"run_id": run_id, "silver_write": "finished before"}
+    base = wm_table.version
+    wm = wm_table.read()
+    cursors = inc.lookup_rows(spark, streams, wm)
     extracted = inc.extract_new(log, cursors)
 
-    # land: NDJSON per stream and ingestion day, one folder per run; the
-    # newest consumed offset per stream is observed in the same pass
-    landing_dir = f"{tables.landing}/run_id={run_id}"
+    # land: NDJSON per stream and ingestion day in the run's folder; the newest
+    # consumed offset per stream is observed in the same pass
+    landing_dir = run_folder(tables.landing, run_id)
     obs = Observation(f"cursors_{run_id}")
     rows = (inc.sanitize(extracted.observe(obs, *inc.cursor_metrics(streams)), stamp)
-            .withColumn("dt", F.to_date("ingested_at"))).persist()
-    try:
-        write_landing(rows, landing_dir)
-        # raw append (one job for all streams) from the same rows, so the run's
-        # extract is computed once and the landed text is not parsed back
-        append_raw(rows.select(*API_RAW.fieldNames()), tables.raw, run_id=run_id)
-    finally:
-        rows.unpersist()
-
-    # incremental silver: the high-water marks come from the table's pointer
-    silver = tables.silver(spark)
-    raw_tbl = spark.read.schema(RAW_TABLE).parquet(tables.raw)
-    target = silver.read() if silver.exists() else None
-    marks = marks_as_timestamps(silver.marks()) if target is not None else {}
-    new_raw = inc.incremental_filter(raw_tbl, target, scope=scope, partition_col="_ingest_date",
-                                     marks=marks,  # None -> computed from target
-                                     streams=streams)
-    new_raw = new_raw.drop(RUN_COL)
-    mode = merge_into(silver, api_silver_projection(new_raw, value_path, message_path), "event_id",
+            .withColumn("dt", F.to_date("ingested_at")))
+    write_landing(rows, landing_dir)
+    metrics = obs.get
+    after_step("land")
+
+    # raw: the landed files loaded into the run's folder of the raw table
+    landed = read_ndjson(spark, landing_dir, LANDED).select(*API_RAW.fieldNames())
+    append_raw(landed, tables.raw, run_id=run_id)
+    after_step("raw")
+
+    # silver: this run's raw rows, merged by key
+    own = spark.read.schema(RAW_RUN).parquet(run_folder(tables.raw, run_id))
+    mode = merge_into(tables.silver(spark), api_silver_projection(own, value_path, message_path), "event_id",
                       mark_col="ingested_at", mark_by="source_stream", mark_groups=streams)
+    after_step("silver")
 
     # cursors last (one row per stream: keys unique by construction)
-    metrics = obs.get
     if any(v is not None for v in metrics.values()):
         new_cursors = inc.cursors_from_metrics(spark, metrics, stamp)
-        wm = wm_table.read()
-        wm_table.rewrite(inc.upsert(wm, new_cursors, "stream_name", "checked", source_small=True)
-                         .select(*WATERMARKS.fieldNames()))
-    return {"run_id": run_id, "silver_write": mode}
+        fs.publish_new(spark, f"{tables.root}/runs/{run_id}.v{base + 1}", "")
+        wm_table.commit_rewrite(inc.upsert(wm, new_cursors, "stream_name", "checked", source_small=True)
+                                .select(*WATERMARKS.fieldNames()), wm_table.marks(), base, run_id)
+        after_step("cursors")
+    fs.publish_new(spark, f"{tables.root}/runs/{run_id}.done", "")
+    expired = []
+    if keep_days is not None:
+        expired = expire_partitions(spark, tables.landing, "dt", str(stamp)[:10], keep_days)
+    return {"run_id": run_id, "silver_write": mode, "expired": len(expired)}
 
 
 # ---------------------------------------------------------------------------
@@ -192,3 +228,30 @@ def two_runs(spark: SparkSession, sf_dir: str, root: str) -> ApiTables:
     run_cycle(spark, log_as_of(log, FIRST_RUN_CUT), tables, STREAMS, STAMP_1, "1", "$.k")
     run_cycle(spark, log, tables, STREAMS, STAMP_2, "2", "$.k")
     return tables
+
+
+class Crash(RuntimeError):
+    """A run stopped on purpose at a commit point."""
+
+
+def crashing_runs(spark: SparkSession, sf_dir: str, root: str) -> ApiTables:
+    """A scenario of failures that must not lose or repeat a row: run 1 is stopped
+    after each commit point in turn and retried with the same id, with a grown log
+    and another stamp; a backfill with an older stamp takes the rest of the log;
+    then finished runs are started again."""
+    log = bindings.api_log(spark, sf_dir)
+    tables = ApiTables(root)
+    cuts = ["2024-01-05 00:00:00", "2024-01-09 00:00:00", "2024-01-13 00:00:00", FIRST_RUN_CUT]
+    for step, cut in zip(("land", "raw", "silver", "cursors"), cuts):
+        def stop(done, at=step):
+            if done == at:
+                raise Crash(at)
+        try:
+            run_cycle(spark, log_as_of(log, cut), tables, STREAMS, f"{cut[:10]} 23:59:00", "1", "$.k", after_step=stop)
+        except Crash:
+            pass
+    run_cycle(spark, log_as_of(log, FIRST_RUN_CUT), tables, STREAMS, STAMP_1, "1", "$.k")
+    run_cycle(spark, log, tables, STREAMS, "2023-12-31 00:00:00", "backfill", "$.k")
+    for run in ("1", "backfill"):
+        run_cycle(spark, log, tables, STREAMS, STAMP_2, run, "$.k")
+    return tables

@@ -20,7 +20,7 @@ from tessera.plans import audit as A
 from tessera.plans import oracle as O
 from tessera.plans import stream_flow as SF
 from tessera.functions.cursor import cursor_position, format_cursor
-from tessera.functions.json import parse_payload, variant_scalar
+from tessera.functions.json import json_scalar, parse_payload
 from tessera.schemas import API_RAW, RAW_TELEMETRY, with_key_type
 from tessera.session import scratch_path
 from tessera.sources import bindings, tables
@@ -186,8 +186,8 @@ def q_api_union_streams(spark, d):
 def q_json_scalar_extract(spark, d):
     """H8: JSON scalars as text; objects, arrays, null and missing give NULL."""
     raw = bindings.api_raw(spark, d).withColumn("_payload", parse_payload("data"))
-    return raw.select("event_id", variant_scalar("_payload", "$.k").alias("measure_value"),
-                      variant_scalar("_payload", "$.message").alias("event_message"))
+    return raw.select("event_id", json_scalar("data", "$.k", "_payload").alias("measure_value"),
+                      json_scalar("data", "$.message", "_payload").alias("event_message"))
 
 
 @register("stg_api_telemetry", O.table("api_silver"))
@@ -320,6 +320,26 @@ def q_api_cycle_two_runs(spark, d):
     return t.silver(spark).read()
 
 
+@register("api_crashing_runs", O.with_ctes(f"SELECT {_API_SILVER_COLS} FROM api_silver"))
+def q_api_crashing_runs(spark, d):
+    """K3 / K5: runs stopped at every commit point, retried with a grown log and other
+    stamps, a backfill with an older stamp, finished runs started again: every row once."""
+    t = api_ingest.crashing_runs(spark, d, scratch_path(spark, "api-crash"))
+    return t.silver(spark).read().drop("ingested_at")
+
+
+@register("api_crashing_runs_landing", O.with_ctes("""
+    SELECT CASE WHEN event_ts < TIMESTAMP '2024-01-16 00:00:00' THEN '1' ELSE 'backfill' END AS run,
+           stream_name AS source_stream, event_id, stream_type, data, timestamp FROM api_log"""))
+def q_api_crashing_runs_landing(spark, d):
+    """A3: landed files of the same scenario: every payload once, text unchanged, in the
+    folder of the run that finished with it; starting a finished run again leaves them."""
+    t = api_ingest.crashing_runs(spark, d, scratch_path(spark, "api-crash"))
+    landed = tables.read_ndjson(spark, t.landing, T.StructType(
+        [*api_ingest.LANDED.fields, T.StructField(tables.RUN_COL, T.StringType())]))
+    return landed.select(F.col(tables.RUN_COL).alias("run"), "source_stream", "event_id", "stream_type", "data", "timestamp")
+
+
 # ============================================================ files and tables
 @register("seed_csv_load", O.table("raw_telemetry"))
 def q_seed_csv_load(spark, d):
@@ -330,7 +350,7 @@ def q_seed_csv_load(spark, d):
     return tables.read_csv_typed(spark, path, schema)
 
 
-_RAW_MIN = "ingested_at, source_stream, event_id, stream_type, CAST(json(data) AS VARCHAR) AS data, timestamp"
+_RAW_MIN = "ingested_at, source_stream, event_id, stream_type, data, timestamp"
 
 
 @register("ndjson_land_scan", O.with_ctes(f"SELECT {_RAW_MIN} FROM api_raw"))
@@ -399,9 +419,11 @@ _PROCESSED_AT = "2024-02-01 00:00:00"
 @register("stream_silver_view", O.with_ctes(
     f"SELECT *, TIMESTAMP '{_PROCESSED_AT}' AS processed_at FROM stg_telemetry_stream"))
 def q_stream_silver_view(spark, d):
-    """A view exposing the six stream-silver columns."""
-    medallion.stg_telemetry_stream(spark, d, processed_at=_PROCESSED_AT) \
-        .createOrReplaceTempView("stg_telemetry_stream")
+    """A view over the streaming sink exposing its six columns."""
+    paths = SF.run_stream(spark, d, scratch_path(spark, "stream"), processed_at=_PROCESSED_AT)
+    (SS.read_silver(spark, paths, bindings.STREAM_RECORD)
+     .select("event_id", "vessel_id", "location_id", "gravity_g", "observed_at", "processed_at")
+     .createOrReplaceTempView("stg_telemetry_stream"))
     return spark.table("stg_telemetry_stream")
 
 
@@ -492,7 +514,7 @@ _SILVER_CORE = "SELECT event_id, vessel_id, location_id, gravity_g, observed_at
 def q_stream_bronze_ingest(spark, d):
     """A10 + I1: the topic read from the beginning into typed bronze rows."""
     paths = SF.run_stream(spark, d, scratch_path(spark, "stream"))
-    return spark.read.parquet(paths.bronze).drop("ingest_batch")
+    return SS.read_bronze(spark, paths, bindings.STREAM_RECORD).select(*bindings.STREAM_RECORD.fieldNames())
 
 
 @register("stream_contract_valid", O.with_ctes("""
@@ -546,6 +568,14 @@ def q_stream_restart_once(spark, d):
     return SF.silver_core(SS.read_silver(spark, paths, bindings.STREAM_RECORD))
 
 
+@register("stream_new_checkpoint", O.with_ctes(_SILVER_CORE))
+def q_stream_new_checkpoint(spark, d):
+    """A second query with a checkpoint of its own on the same sink adds its rows
+    and replaces none of the first query's."""
+    paths = SF.run_with_new_checkpoint(spark, d, scratch_path(spark, "stream-two"))
+    return SF.silver_core(SS.read_silver(spark, paths, bindings.STREAM_RECORD))
+
+
 @register("fact_stream_sink", O.table("fact_unified"))
 def q_fact_stream_sink(spark, d):
     """Batch gold over the streaming sink (Lambda-style unification)."""

@@ -24,11 +24,11 @@ def drop_messages(spark: SparkSession, sf_dir: str, folder: str,
     msgs.select(F.to_json(F.struct(*msgs.columns)).alias("value")).write.mode("append").text(folder)
 
 
-def run_stream(spark: SparkSession, sf_dir: str, root: str) -> S.StreamPaths:
+def run_stream(spark: SparkSession, sf_dir: str, root: str, processed_at=None) -> S.StreamPaths:
     paths = S.StreamPaths(root)
     topic = f"{root}/topic"
     drop_messages(spark, sf_dir, topic)
-    S.run_available(spark, topic_source(spark, topic), paths, record=bindings.STREAM_RECORD)
+    S.run_available(spark, topic_source(spark, topic), paths, processed_at, record=bindings.STREAM_RECORD)
     return paths
 
 
@@ -45,5 +45,18 @@ def run_with_restart(spark: SparkSession, sf_dir: str, root: str) -> S.StreamPat
     return paths
 
 
+def run_with_new_checkpoint(spark: SparkSession, sf_dir: str, root: str) -> S.StreamPaths:
+    """Half of the topic with one checkpoint, then the other half as a new topic with
+    a fresh checkpoint on the same sink: the second query adds to the first one's rows."""
+    cut = F.lit(FIRST_DELIVERY_CUT).cast("timestamp_ntz")
+    paths = S.StreamPaths(root)
+    for name, part in (("a", F.col("event_time") < cut), ("b", F.col("event_time") >= cut)):
+        topic = f"{root}/topic-{name}"
+        drop_messages(spark, sf_dir, topic, part)
+        own = S.StreamPaths(root, checkpoint_name=f"_checkpoint-{name}")
+        S.run_available(spark, topic_source(spark, topic), own, record=bindings.STREAM_RECORD)
+    return paths
+
+
 def silver_core(df: DataFrame) -> DataFrame:
     return df.select("event_id", "vessel_id", "location_id", "gravity_g", "observed_at")

@@ -4,6 +4,9 @@ always read and written by Spark."""
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -37,20 +40,44 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write ``text`` to a sibling temp file, then rename it over ``path``."""
+def publish_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text`` at once and only if it does not exist yet.
+
+    The text goes to a sibling file first; renaming that one never replaces an
+    existing file.  Readers see the whole file or none, and of two writers of
+    the same path one gets ``False``.
+    """
     jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), "._tmp_" + p.getName())
+    p = fs.makeQualified(p)
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f"._tmp_{uuid.uuid4().hex}_{p.getName()}")
     out = fs.create(tmp, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not publish {path}")
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.NONE
+    try:
+        context.rename(tmp, p, how)
+        return True
+    except Py4JJavaError as e:
+        fs.delete(tmp, False)
+        if "FileAlreadyExistsException" in str(e.java_exception.getClass().getName()):
+            return False
+        raise
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the plain files directly below ``path`` (hidden ones left out)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                  if st.isFile() and not st.getPath().getName().startswith("."))
 
 
 def list_partition_values(spark: SparkSession, path: str, column: str) -> list[str]:

@@ -42,34 +42,54 @@ def write_csv_seed(df: DataFrame, path: str) -> None:
      .csv(path))
 
 
-def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_ndjson(spark: SparkSession, path: str, schema: T.StructType, payload: str = "data") -> DataFrame:
     """A2: newline-delimited JSON with an explicit schema.  A STRING field keeps a
-    nested object's JSON text, so the payload stays semi-structured."""
-    return (spark.read.schema(schema)
-            .option("mode", "PERMISSIVE")
-            .option("timestampNTZFormat", ISO_FORMAT)
-            .option("timestampFormat", ISO_FORMAT)
-            .json(path))
+    nested object's JSON text as it stands in the file; a payload that was landed
+    as text (see :func:`landing_lines`) comes back in the same column."""
+    kept_as_text = payload + TEXT_SUFFIX
+    read = T.StructType([*schema.fields, T.StructField(kept_as_text, T.StringType())])
+    df = (spark.read.schema(read if payload in schema.names else schema)
+          .option("mode", "PERMISSIVE")
+          .option("timestampNTZFormat", ISO_FORMAT)
+          .option("timestampFormat", ISO_FORMAT)
+          .json(path))
+    if payload not in schema.names:
+        return df
+    return df.withColumn(payload, F.coalesce(payload, kept_as_text)).drop(kept_as_text)
+
 
+# --------------------------------------------------------------- landing (A3, A4)
+#: Suffix of the field that holds a payload which is no JSON object or array.
+TEXT_SUFFIX = "_text"
 
-def with_json_payload(df: DataFrame, column: str = "data") -> DataFrame:
-    """Turn a JSON-text column into VARIANT so the JSON writer emits it as a
-    nested object (as the API returned it), not as an escaped string.  A
-    payload that is not valid JSON lands as NULL (the API contract promises an
-    object; the extraction treats malformed text as NULL anyway)."""
-    return df.withColumn(column, F.try_parse_json(column))
+
+def landing_lines(df: DataFrame, partition_cols=(), payload: str = "data") -> DataFrame:
+    """One JSON line per row in ``value``, beside the partition columns.
+
+    A payload that is a JSON object or array on one line stands in the line as
+    it is, byte for byte.  Any other payload (malformed text, repeated keys,
+    scalars, line breaks) is kept as an escaped string in ``<payload>_text``.
+    """
+    options = {"timestampNTZFormat": ISO_FORMAT, "timestampFormat": ISO_FORMAT}
+    rest = [c for c in df.columns if c not in partition_cols and c != payload]
+    plain = F.to_json(F.struct(*rest), options)
+    whole = (F.try_parse_json(payload).isNotNull() & F.col(payload).rlike(r"^[\{\[]")
+             & ~F.col(payload).rlike(r"[\r\n]"))
+    spliced = F.concat(F.expr("left(_plain, length(_plain) - 1)"),
+                       F.when(F.col("_plain") == "{}", F.lit("")).otherwise(F.lit(",")),
+                       F.lit(f'"{payload}":'), F.col(payload), F.lit("}"))
+    as_text = F.to_json(F.struct(*rest, F.col(payload).alias(payload + TEXT_SUFFIX)), options)
+    return df.withColumn("_plain", plain).select(
+        F.when(F.coalesce(whole, F.lit(False)), spliced).otherwise(as_text).alias("value"), *partition_cols)
 
 
-# --------------------------------------------------------------- landing (A3, A4)
 def write_landing(df: DataFrame, path: str, partition_cols=("source_stream", "dt"),
                   rows_per_file: int = LANDING_ROWS_PER_FILE, mode: str = "overwrite") -> None:
     """A3: NDJSON under ``<stream>/<day>`` folders, at most ``rows_per_file`` per file."""
-    (with_json_payload(df).write.mode(mode)
+    (landing_lines(df, partition_cols).write.mode(mode)
      .partitionBy(*partition_cols)
      .option("maxRecordsPerFile", rows_per_file)
-     .option("timestampNTZFormat", ISO_FORMAT)
-     .option("timestampFormat", ISO_FORMAT)
-     .json(path))
+     .text(path))
 
 
 RUN_COL = "_run_id"
@@ -79,17 +99,20 @@ def append_raw(df: DataFrame, path: str, ingest_col: str = "ingested_at",
                run_id: str | None = None) -> None:
     """A4: append landed rows to the raw table, partitioned by ingestion day.
 
-    With a ``run_id`` the rows go to ``_ingest_date=/_run_id=`` folders written
-    with dynamic partition overwrite: retrying a run replaces exactly its own
-    folders instead of appending its rows a second time.
+    With a ``run_id`` the rows go to the run's own folder ``_run_id=`` (day
+    folders inside), which a retry replaces as a whole: whatever day or stamp
+    the retry runs with, the run's rows are there once.
     """
     out = df.withColumn("_ingest_date", F.to_date(ingest_col))
     if run_id is None:
         out.write.mode("append").partitionBy("_ingest_date").parquet(path)
         return
-    (out.withColumn(RUN_COL, F.lit(str(run_id)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("_ingest_date", RUN_COL).parquet(path))
+    out.write.mode("overwrite").partitionBy("_ingest_date").parquet(run_folder(path, run_id))
+
+
+def run_folder(path: str, run_id: str) -> str:
+    """Folder of a run's rows in a raw table."""
+    return f"{path.rstrip('/')}/{RUN_COL}={run_id}"
 
 
 # ------------------------------------------------------- full-refresh table (A5)
@@ -162,18 +185,18 @@ def materialize_counted(df: DataFrame, label: str,
 
 # ---------------------------------------------------------------- retention
 def expire_partitions(spark: SparkSession, path: str, column: str, as_of: str | _dt.date,
-                      keep_days: int = 7, max_depth: int = 3) -> list[str]:
+                      keep_days: int = 7) -> list[str]:
     """Delete ``column=<day>`` folders older than ``keep_days`` before ``as_of``.
 
     Works from a directory listing only (no data scan); the day folders may sit
-    below other partition folders (``source_stream=x/dt=...``).  Returns the
+    below other partition folders (``source_stream=x/dt=...``) at any depth.  Returns the
     dropped folders.
     """
     day = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
     cutoff = day - _dt.timedelta(days=keep_days)
     dropped: list[str] = []
 
-    def walk(folder: str, depth: int) -> None:
+    def walk(folder: str) -> None:
         for value in fs.list_partition_values(spark, folder, column):
             try:
                 d = _dt.date.fromisoformat(value)
@@ -183,36 +206,51 @@ def expire_partitions(spark: SparkSession, path: str, column: str, as_of: str |
                 target = f"{folder}/{column}={value}"
                 fs.delete(spark, target)
                 dropped.append(target)
-        if depth < max_depth:
-            for sub in fs.list_partition_dirs(spark, folder):
-                if not sub.startswith(column + "="):
-                    walk(f"{folder}/{sub}", depth + 1)
+        for sub in fs.list_partition_dirs(spark, folder):
+            if not sub.startswith(column + "="):
+                walk(f"{folder}/{sub}")
 
-    walk(path.rstrip("/"), 0)
+    walk(path.rstrip("/"))
     return dropped
 
 
 # ------------------------------------------------------ versioned table (for A8)
+class StaleVersion(RuntimeError):
+    """The table moved on since the version that a commit builds on."""
+
+
+class LostPointer(RuntimeError):
+    """A committed table without any pointer file."""
+
+
 class VersionedTable:
-    """A parquet table published through a small pointer file.
-
-    The pointer ``_current`` names the segment folders of the live version,
-    the schema, and optional high-water marks of the data.  Writers first
-    *stage* a segment (written, not yet visible), then commit it either as an
-    extra segment (append) or by writing a whole new version (rewrite); the
-    commit replaces the pointer atomically.  Readers therefore never see a
-    half-written table, and a plan never overwrites a path it is reading.
-    Single writer per table (the ingestion cycle is one job at a time).
+    """A parquet table published through small numbered pointer files.
+
+    ``_pointer/v<N>.json`` names the segment folders of version N, its schema,
+    and optional high-water marks; the highest number is the live version.
+    Writers first *stage* a segment (written, not yet visible), then commit it
+    as an extra segment (append) or as a whole new version (rewrite).  A commit
+    creates the next pointer file, which fails if that file exists: of two
+    writers that start from one version, one gets :class:`StaleVersion`.  No
+    pointer is ever replaced, so there is no moment without one; a table that
+    was committed once and has none left is an error, not an empty table.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.pointer = f"{self.path}/_current"
+        self.pointers = f"{self.path}/_pointer"
+
+    def _versions(self) -> list[str]:
+        return [n for n in fs.list_files(self.spark, self.pointers) if n.startswith("v")]
 
     def _state(self) -> dict:
-        text = fs.read_text(self.spark, self.pointer)
-        return _json.loads(text) if text else {"version": 0, "segments": []}
+        found = self._versions()
+        if found:
+            return _json.loads(fs.read_text(self.spark, f"{self.pointers}/{found[-1]}"))
+        if fs.exists(self.spark, f"{self.path}/_created"):
+            raise LostPointer(f"{self.path} was committed before, but has no pointer file")
+        return {"version": 0, "segments": []}
 
     def exists(self) -> bool:
         return bool(self._state()["segments"])
@@ -258,8 +296,11 @@ class VersionedTable:
     def read_segment(self, seg: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{seg}")
 
-    def _publish(self, segments: list[str], schema: T.StructType, marks: dict | None) -> None:
+    def _publish(self, segments: list[str], schema: T.StructType, marks: dict | None,
+                 base: int | None = None, run: str | None = None) -> None:
         st = self._state()
+        if base is not None and st["version"] != base:
+            raise StaleVersion(f"{self.path}: built on version {base}, live is {st['version']}")
         have = st.get("schema")
         if have and segments[:-1] == st["segments"] and len(segments) > 1:
             old = T.StructType.fromJson(_json.loads(have))
@@ -269,24 +310,39 @@ class VersionedTable:
         body = {"version": st["version"] + 1, "segments": segments, "schema": schema.json()}
         if marks is not None:
             body["marks"] = marks
-        fs.write_text_atomic(self.spark, self.pointer, _json.dumps(body))
-
-    def commit_append(self, seg: str, schema: T.StructType, marks: dict | None = None) -> None:
-        self._publish(self._state()["segments"] + [seg], schema, marks)
-
-    def commit_rewrite(self, df: DataFrame, marks: dict | None = None) -> None:
+        if run is not None:
+            body["run"] = run
+        if not st["version"]:
+            fs.publish_new(self.spark, f"{self.path}/_created", "")
+        if not fs.publish_new(self.spark, f"{self.pointers}/v{body['version']:012d}.json", _json.dumps(body)):
+            raise StaleVersion(f"{self.path}: another writer committed version {body['version']}")
+
+    def run_of(self, version: int) -> str | None:
+        """Run id that committed a version (``None`` if none was given or it is gone)."""
+        text = fs.read_text(self.spark, f"{self.pointers}/v{version:012d}.json")
+        return _json.loads(text).get("run") if text else None
+
+    def commit_append(self, seg: str, schema: T.StructType, marks: dict | None = None,
+                      base: int | None = None) -> None:
+        self._publish(self._state()["segments"] + [seg], schema, marks, base)
+
+    def commit_rewrite(self, df: DataFrame, marks: dict | None = None, base: int | None = None,
+                       run: str | None = None) -> None:
         seg = self.stage(df)
-        self._publish([seg], df.schema, marks)
+        self._publish([seg], df.schema, marks, base, run)
 
     def append(self, df: DataFrame) -> None:
         self.commit_append(self.stage(df), df.schema, self.marks())
 
     def vacuum(self) -> list[str]:
         """Delete segment folders the live version no longer names (superseded
-        versions and staged segments that were never committed).  Run it when
-        no reader still uses an older version."""
+        versions and staged segments that were never committed) and all pointer
+        files but the newest.  Run it when no reader still uses an older version
+        and no writer is at work."""
         live = set(self._state()["segments"])
         dropped = []
+        for name in self._versions()[:-1]:
+            fs.delete(self.spark, f"{self.pointers}/{name}")
         for name in fs.list_dirs(self.spark, self.path):
             if name.startswith("seg-") and name not in live:
                 fs.delete(self.spark, f"{self.path}/{name}")

@@ -2,10 +2,13 @@
 
 One streaming query reads the topic once; ``foreachBatch`` splits each
 micro-batch into valid rows (bronze + silver) and dead letters.  Every write
-overwrites only its own ``batch_id`` partitions (dynamic partition overwrite),
-so a micro-batch replayed after a failure replaces its earlier output instead
-of duplicating it; offsets live in the checkpoint, so a restart neither loses
-nor replays committed batches.
+overwrites only partitions of its own query and batch (dynamic partition
+overwrite), so a micro-batch replayed after a failure replaces its earlier
+output instead of duplicating it; offsets live in the checkpoint, so a restart
+neither loses nor replays committed batches.  The query's id is kept in the
+checkpoint: a query with a new checkpoint has another id and its batch 0 never
+replaces an older query's.  Bronze is foldered by day of arrival, which is the
+batch's own recorded time and so the same when a batch is replayed.
 """
 
 from __future__ import annotations
@@ -20,14 +23,17 @@ from pyspark.sql import types as T
 
 from tessera.operators.silver import stg_telemetry_stream
 from tessera.schemas import STREAM_RECORD
-from tessera.streaming.bronze import dead_letters, parse_contract, valid_records
+from tessera.streaming.bronze import dead_letters, parse_contract
 
 DAY_COL = "observed_date"
+ARRIVED_COL = "arrived_on"
+QUERY_COL = "query_id"
 
 
 @dataclass
 class StreamPaths:
     root: str
+    checkpoint_name: str = "_checkpoint"
 
     @property
     def bronze(self) -> str:
@@ -43,7 +49,7 @@ class StreamPaths:
 
     @property
     def checkpoint(self) -> str:
-        return f"{self.root}/_checkpoint"
+        return f"{self.root}/{self.checkpoint_name}"
 
 
 def _overwrite_own_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
@@ -56,18 +62,20 @@ def micro_batch_writer(paths: StreamPaths, processed_at=None,
     """The ``foreachBatch`` function: idempotent per ``batch_id``."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        own = {QUERY_COL: F.lit(query_id or "direct"), "batch_id": F.lit(batch_id).cast("long")}
+        if ARRIVED_COL not in batch.columns:  # called outside of a streaming query
+            batch = batch.withColumn(ARRIVED_COL, F.to_date(F.current_timestamp()))
         batch = batch.persist()
         try:
-            bid = F.lit(batch_id).cast("long")
-            valid = valid_records(batch, record)
+            valid = batch.where(F.col("reject_reason").isNull())
             _overwrite_own_partitions(
-                valid.withColumn("ingest_batch", bid), paths.bronze, ["ingest_batch"])
-            silver = (stg_telemetry_stream(valid, processed_at)
-                      .withColumn(DAY_COL, F.to_date("observed_at"))
-                      .withColumn("batch_id", bid))
-            _overwrite_own_partitions(silver, paths.silver, [DAY_COL, "batch_id"])
-            _overwrite_own_partitions(
-                dead_letters(batch).withColumn("batch_id", bid), paths.dead_letters, ["batch_id"])
+                valid.select(*record.fieldNames(), ARRIVED_COL).withColumns(own),
+                paths.bronze, [ARRIVED_COL, *own])
+            silver = (stg_telemetry_stream(valid.select(*record.fieldNames()), processed_at)
+                      .withColumn(DAY_COL, F.to_date("observed_at")).withColumns(own))
+            _overwrite_own_partitions(silver, paths.silver, [DAY_COL, *own])
+            _overwrite_own_partitions(dead_letters(batch).withColumns(own), paths.dead_letters, list(own))
         finally:
             batch.unpersist()
 
@@ -82,7 +90,9 @@ def start_silver(spark: SparkSession, messages: DataFrame, paths: StreamPaths,
     processing-time trigger (the tolerated staleness); tests pass
     ``{"availableNow": True}``."""
     trig = trigger or {"processingTime": "5 minutes"}
-    writer = (parse_contract(messages, record).writeStream
+    # in a streaming plan this is the batch's recorded time, also when it is replayed
+    arrived = F.to_date(F.current_timestamp())
+    writer = (parse_contract(messages, record).withColumn(ARRIVED_COL, arrived).writeStream
               .foreachBatch(micro_batch_writer(paths, processed_at, record))
               .option("checkpointLocation", paths.checkpoint)
               .trigger(**trig))
@@ -104,6 +114,7 @@ def run_available(spark: SparkSession, messages: DataFrame, paths: StreamPaths,
 DEAD_LETTER_SCHEMA = T.StructType([
     T.StructField("value", T.StringType()),
     T.StructField("reject_reason", T.StringType()),
+    T.StructField(QUERY_COL, T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
 
@@ -118,6 +129,7 @@ def silver_schema(record: T.StructType = STREAM_RECORD) -> T.StructType:
         T.StructField("observed_at", T.TimestampNTZType()),
         T.StructField("processed_at", T.TimestampNTZType()),
         T.StructField(DAY_COL, T.DateType()),
+        T.StructField(QUERY_COL, T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ])
 
@@ -130,3 +142,14 @@ def read_silver(spark: SparkSession, paths: StreamPaths,
 
 def read_dead_letters(spark: SparkSession, paths: StreamPaths) -> DataFrame:
     return spark.read.schema(DEAD_LETTER_SCHEMA).parquet(paths.dead_letters)
+
+
+def bronze_schema(record: T.StructType = STREAM_RECORD) -> T.StructType:
+    """Bronze as written, partition columns included."""
+    fields = [T.StructField(f.name, f.dataType) for f in record.fields]
+    return T.StructType([*fields, T.StructField(ARRIVED_COL, T.DateType()),
+                         T.StructField(QUERY_COL, T.StringType()), T.StructField("batch_id", T.LongType())])
+
+
+def read_bronze(spark: SparkSession, paths: StreamPaths, record: T.StructType = STREAM_RECORD) -> DataFrame:
+    return spark.read.schema(bronze_schema(record)).parquet(paths.bronze)

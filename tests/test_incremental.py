@@ -156,6 +156,50 @@ def test_crash_before_cursor_commit_is_harmless(spark, scratch, monkeypatch):
     assert [r.current_cursor for r in tabs.watermarks(spark).read().collect()] == ["cursor_fraud_8"]
 
 
+def _log(spark, n):
+    return spark.createDataFrame(
+        [("fraud", i, str(i), "error", '{"value": %d}' % i, float(i)) for i in range(1, n + 1)],
+        "stream_name string, pos long, event_id string, stream_type string, data string, timestamp double")
+
+
+def _state(spark, tabs):
+    import glob
+    cursors = [r.current_cursor for r in tabs.watermarks(spark).read().collect()]
+    raw = spark.read.parquet(tabs.raw).count()
+    landed = sum(1 for f in glob.glob(f"{tabs.landing}/**/*.txt", recursive=True) for _ in open(f))
+    return tabs.silver(spark).read().count(), raw, landed, cursors
+
+
+def test_same_and_older_stamps_lose_no_row(spark, scratch):
+    tabs = ApiTables(scratch("stamps"))
+    for run, n, stamp in (("1", 4, "2024-01-02"), ("2", 8, "2024-01-02"), ("3", 12, "2023-06-01")):
+        run_cycle(spark, _log(spark, n), tabs, ["fraud"], f"{stamp} 00:00:00", run)
+    assert _state(spark, tabs) == (12, 12, 12, ["cursor_fraud_12"])
+
+
+@pytest.mark.parametrize("step", ["land", "raw", "silver", "cursors"])
+def test_crash_at_a_commit_point_then_retry_across_midnight(spark, scratch, step):
+    tabs = ApiTables(scratch("points"))
+
+    def stop(done):
+        if done == step:
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        run_cycle(spark, _log(spark, 4), tabs, ["fraud"], "2024-01-02 23:59:00", "1", after_step=stop)
+    run_cycle(spark, _log(spark, 8), tabs, ["fraud"], "2024-01-03 00:04:00", "1")
+    run_cycle(spark, _log(spark, 9), tabs, ["fraud"], "2024-01-03 01:00:00", "2")
+    assert _state(spark, tabs) == (9, 9, 9, ["cursor_fraud_9"])
+
+
+def test_a_finished_run_started_again_changes_nothing(spark, scratch):
+    tabs = ApiTables(scratch("again"))
+    run_cycle(spark, _log(spark, 4), tabs, ["fraud"], "2024-01-02 00:00:00", "1")
+    before = _state(spark, tabs)
+    report = run_cycle(spark, _log(spark, 4), tabs, ["fraud"], "2024-01-02 00:00:00", "1")
+    assert report["silver_write"] == "finished before" and _state(spark, tabs) == before
+
+
 def test_catalog_merge_needs_a_row_level_format(spark):
     name = "tessera_merge_probe"
     spark.sql(f"DROP TABLE IF EXISTS {name}")

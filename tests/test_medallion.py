@@ -1,4 +1,4 @@
-"""Given/expected rows of the upstream model tests, and the seed golden values."""
+"""Given and expected rows of the models, on invented seeds."""
 
 import datetime as dt
 
@@ -15,38 +15,19 @@ def ts(s):
     return dt.datetime.fromisoformat(s)
 
 
-# The upstream seed rows, neutral free text (10 events, 5 vessels, 4 locations, 5 researchers).
+# The readings at the boundaries of the flag (0.980665 is 0.1 g exactly, and
+# counts as low; 0.0; -0.1), and two researchers who share a vessel.  The rest is invented.
+READINGS = {"tug-7": [9.80665, 19.6, 0.980665, 0.0], "ferry-2": [5.0, -0.1, 0.9807], "kite-9": [0.5, 9.0, 0.98]}
 SEED_TELEMETRY = [
-    (1, "V001", 9.80665, "L001", ts("2026-03-18 10:00:00")),
-    (2, "V001", 4.903325, "L001", ts("2026-03-18 10:15:00")),
-    (3, "V002", 9.80665, "L002", ts("2026-03-18 10:20:00")),
-    (4, "V002", 0.980665, "L002", ts("2026-03-18 10:30:00")),
-    (5, "V001", 0.0, "L001", ts("2026-03-18 11:00:00")),
-    (6, "V003", 9.80665, "L003", ts("2026-03-18 11:05:00")),
-    (7, "V003", 0.1, "L003", ts("2026-03-18 11:20:00")),
-    (8, "V002", -0.1, "L002", ts("2026-03-18 11:45:00")),
-    (9, "V001", 9.80665, "L001", ts("2026-03-18 12:00:00")),
-    (10, "V003", 0.001, "L003", ts("2026-03-18 12:15:00")),
-]
-SEED_VESSELS = [
-    ("V001", "icarus", "probe", ts("2025-01-15 00:00:00")),
-    ("V002", "daedalus", "shuttle", ts("2024-11-20 00:00:00")),
-    ("V003", "hermes", "drone", ts("2025-03-01 00:00:00")),
-    ("V004", "artemis", "lander", ts("2024-06-10 00:00:00")),
-    ("V005", "voyager", "explorer", ts("2023-01-01 00:00:00")),
-]
-SEED_LOCATIONS = [
-    ("L001", "Lunar Outpost Alpha", "Moon", "Research"),
-    ("L002", "Mars Base Ares", "Mars", "Mining"),
-    ("L003", "Orbital Lab", "Low Earth Orbit", "Laboratory"),
-    ("L004", "Europa Deep Sea", "Europa", "Exploration"),
-]
+    (100 * k + i, vessel, force, f"bay-{k}", ts(f"2026-02-0{k} 0{i}:30:00"))
+    for k, (vessel, forces) in enumerate(READINGS.items(), 1) for i, force in enumerate(forces)]
+SEED_VESSELS = [(v, f"{v} the vessel", v.split("-")[0], ts("2022-05-01 00:00:00")) for v in [*READINGS, "idle-1"]]
+SEED_LOCATIONS = [(f"bay-{k}", f"Bay number {k}", "north" if k % 2 else "south", "dock") for k in range(1, 5)]
 SEED_RESEARCHERS = [
-    (1, "Alice", "Smith", "alice.smith@lab.example", "Field physics", "V001", ts("2025-01-15 09:00:00")),
-    (2, "Bob", "Jones", "BOB.JONES@RESEARCH.ORG", "Tachyon", "V002", ts("2024-06-12 10:30:00")),
-    (3, "Charlie", "Davis", "charlie.davis@physics.edu", "Field physics", "V001", ts("2025-02-20 08:45:00")),
-    (4, "Diana", "Prince", "diana@themyscira.io", "Gravitics", "V004", ts("2023-11-01 11:00:00")),
-    (5, "Edward", "Nigma", "edward@riddler.com", "Field physics", "V003", ts("2025-03-10 14:00:00")),
+    (11, "Oana", "Brandt", "oana@dock.example", "hulls", "tug-7", ts("2021-07-01 09:00:00")),
+    (12, "PIET", "de wit", "Piet@Dock.Example", "ropes", "ferry-2", ts("2023-02-03 10:00:00")),
+    (13, "Runa", "Falk", "runa@dock.example", "hulls", "tug-7", ts("2020-01-31 08:00:00")),
+    (14, "Sami", "Okoro", "sami@dock.example", "sails", "kite-9", ts("2025-08-09 12:00:00")),
 ]
 
 
@@ -78,10 +59,9 @@ def test_seed_fact_golden_values(seeds):
     fact = build_fact(*seeds)
     rows = {r.event_id: r for r in fact.collect()}
     assert len(rows) == 10
-    assert sorted(k for k, r in rows.items() if r.is_low_g) == [4, 5, 7, 8, 10]
+    assert sorted(k for k, r in rows.items() if r.is_low_g) == [102, 103, 201, 300, 302]
     lead = {r.vessel_id: (r.researcher_id, r.lead_researcher) for r in rows.values()}
-    assert lead == {"V001": (1, "Alice Smith"), "V002": (2, "Bob Jones"),
-                    "V003": (5, "Edward Nigma")}
+    assert lead == {"tug-7": (13, "Runa Falk"), "ferry-2": (12, "Piet De Wit"), "kite-9": (14, "Sami Okoro")}
     assert all(r.vessel_name is not None and r.location_name is not None for r in rows.values())
 
 
@@ -94,26 +74,26 @@ def test_lead_first_equals_fan_out(seeds):
 def test_researcher_standardisation(seeds):
     _, _, _, res = seeds
     rows = {r.researcher_id: r for r in silver.stg_researchers(res).collect()}
-    assert rows[2].email == "bob.jones@research.org"
-    assert rows[1].first_name == "Alice"
+    assert rows[12].email == "piet@dock.example"
+    assert rows[12].first_name == "Piet"
 
 
 def test_enrichment_of_one_event(spark):
     tel = spark.createDataFrame([(101, "V1", 0.05 * 9.80665, "L1", ts("2026-03-20 10:00:00"))],
                                 RAW_TELEMETRY)
-    ves = spark.createDataFrame([("V1", "icarus", "probe", ts("2025-01-01 00:00:00"))], RAW_VESSELS)
-    loc = spark.createDataFrame([("L1", "Lunar", "Moon", "Research")], RAW_LOCATIONS)
-    res = spark.createDataFrame([(1, "John", "Doe", "j@x.org", "Field physics", "V1",
+    ves = spark.createDataFrame([("V1", "gull", "barge", ts("2025-01-01 00:00:00"))], RAW_VESSELS)
+    loc = spark.createDataFrame([("L1", "Quay", "north", "dock")], RAW_LOCATIONS)
+    res = spark.createDataFrame([(1, "Ida", "Lund", "i@x.org", "hulls", "V1",
                                   ts("2025-01-01 00:00:00"))], RAW_RESEARCHERS)
     r = build_fact(tel, ves, loc, res).first()
     assert (r.event_id, r.vessel_name, r.location_name, r.lead_researcher, r.is_low_g) == \
-        (101, "icarus", "Lunar", "John Doe", True)
+        (101, "gull", "Quay", "Ida Lund", True)
 
 
 def test_stream_half_only(spark):
     tel = spark.createDataFrame([], RAW_TELEMETRY)
-    ves = spark.createDataFrame([("V1", "icarus", "probe", ts("2025-01-01 00:00:00"))], RAW_VESSELS)
-    loc = spark.createDataFrame([("L1", "Lunar", "Moon", "Research")], RAW_LOCATIONS)
+    ves = spark.createDataFrame([("V1", "gull", "barge", ts("2025-01-01 00:00:00"))], RAW_VESSELS)
+    loc = spark.createDataFrame([("L1", "Quay", "north", "dock")], RAW_LOCATIONS)
     res = spark.createDataFrame([], RAW_RESEARCHERS)
     records = spark.createDataFrame(
         [(102, "V1", 0.05 * 9.80665, "L1", "2026-03-20T10:00:00Z")],
@@ -141,12 +121,12 @@ def test_union_guard_rejects_mismatched_types(spark):
 
 
 def test_malformed_timestamp_text_fails_the_build(spark):
-    raw = spark.createDataFrame([("V1", "icarus", "probe", "not a time")],
+    raw = spark.createDataFrame([("V1", "gull", "barge", "not a time")],
                                 "vessel_id string, vessel_name string, vessel_type string, "
                                 "commissioned_at string")
     with pytest.raises(Exception):
         silver.stg_vessels(raw).collect()
-    ok = spark.createDataFrame([("V1", "icarus", "probe", "2025-01-15 00:00:00")], raw.schema)
+    ok = spark.createDataFrame([("V1", "gull", "barge", "2025-01-15 00:00:00")], raw.schema)
     assert silver.stg_vessels(ok).first().commissioned_at == ts("2025-01-15 00:00:00")
 
 

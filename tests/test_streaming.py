@@ -48,6 +48,25 @@ def test_replayed_batch_overwrites_itself(spark, scratch):
     assert S.read_dead_letters(spark, paths).count() == 1
 
 
+def test_time_only_and_year_only_texts_are_rejected(spark):
+    texts = ["12:30", "2024", "2024-05", "2024-05-01", "2024-13-01T00:00:00Z", "2024-05-01T10:00:00Z",
+             "2024-05-01 10:00", "2024-05-01T10:00:00.5+02:00"]
+    lines = [('{"id": 1, "vessel_id": "V", "raw_force_reading": 1.0, "location_id": "L", "event_time": "%s"}' % t,)
+             for t in texts]
+    got = {r.event_time: r.reject_reason for r in parse_contract(spark.createDataFrame(lines, "value string")).collect()}
+    assert [t for t in texts if got[t] is None] == texts[-3:]
+    assert {got[t] for t in texts[:5]} == {"bad_event_time"}
+
+
+def test_new_checkpoint_on_an_old_sink_keeps_its_rows(spark, scratch):
+    root = scratch("two")
+    for name, ids in (("a", (1, 2, 3)), ("b", (4,))):
+        _drop(spark, f"{root}/topic-{name}", [GOOD % i for i in ids])
+        S.run_available(spark, topic_source(spark, f"{root}/topic-{name}"), S.StreamPaths(root, f"_checkpoint-{name}"))
+    assert sorted(r.event_id for r in S.read_silver(spark, S.StreamPaths(root)).collect()) == [1, 2, 3, 4]
+    assert S.read_bronze(spark, S.StreamPaths(root)).count() == 4
+
+
 def test_long_running_query_picks_up_new_deliveries(spark, scratch):
     root = scratch("live")
     paths, topic = S.StreamPaths(root), f"{root}/topic"
