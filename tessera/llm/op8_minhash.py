@@ -22,7 +22,8 @@ Method
    a task counts the common shingles of its block and returns a spanning forest
    of the links.  In clusters of several blocks, classes that did not join the
    cluster's main component are then compared with all other blocks.
-6. The forests are closed into components by alternating star contraction.
+6. The forests are closed into components: up to ``LINKS_PER_TASK`` links by one
+   task, more by alternating star contraction.
 
 At similarity 0.75 the distance is binomial(64, 0.25); it exceeds 33 with a
 chance of 3e-6, and with less above 0.75.
@@ -54,6 +55,8 @@ HUB_ORDERS = 4
 #: Classes of a cluster that one task compares (two such blocks in the second pass).
 BLOCK = 512
 PIVOTS = 32
+#: Links (16 bytes each) that one task may close into components; more go by star rounds.
+LINKS_PER_TASK = 1_000_000
 
 SIG = [f"s{i}" for i in range(SLOTS // 8)]
 FP = ["fp1", "fp2", "n"]
@@ -268,13 +271,41 @@ def stray_tasks(members: DataFrame, comps: DataFrame) -> DataFrame:
                     (F.col("own") > F.col("other")).cast("int").alias("side"), "comp"))
 
 
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Components of all links (a, b) of the partition: labels sink to the smallest."""
+    ends = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches if b.num_rows]
+    if not ends:
+        return
+    nodes, at = np.unique(np.concatenate([x for e in ends for x in e]), return_inverse=True)
+    bounds = np.cumsum([0] + [len(x) for e in ends for x in e])
+    pieces = [at[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
+    u, v = np.concatenate(pieces[0::2]), np.concatenate(pieces[1::2])
+    label = np.arange(len(nodes))
+    while True:
+        low = label.copy()
+        np.minimum.at(low, u, label[v])
+        np.minimum.at(low, v, label[u])
+        np.minimum.at(low, label[u], low[u])
+        np.minimum.at(low, label[v], low[v])
+        low = low[low]
+        if np.array_equal(low, label):
+            break
+        label = low
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], names=["id", "comp"])
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
-    """(id, comp): smallest id reachable, for every id that has a link.
+    """(id, comp): smallest id reachable, for every id that has a link (a, b).
 
-    Alternating star contraction: each round links every node's larger
+    ``links`` must be a written table: it is counted first.  Up to
+    ``LINKS_PER_TASK`` links are closed by one task.  More are closed by
+    alternating star contraction: each round links every node's larger
     neighbours, then its smaller ones, to its smallest neighbour, until the
     links are stars.  Links only ever go down, so rounds are logarithmic.
     """
+    if links.count() <= LINKS_PER_TASK:
+        return written(spark, links.select("a", "b").coalesce(1)
+                       .mapInArrow(_close, "id bigint, comp bigint"), "nd-comps")
     edges = written(spark, links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                     .filter("u <> v").distinct(), "nd-edges")
     while True:
@@ -292,8 +323,8 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
                  .filter("out > 1 OR out = 1 AND least = 0").agg(F.count("*")).first()[0])
         if not loose:
             break
-    return edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(
-        edges.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct())
+    return written(spark, edges.select(F.col("u").alias("id"), F.col("v").alias("comp")).union(
+        edges.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct()), "nd-comps")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -320,7 +351,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     stars = shared.filter("id <> hub").select(
         F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
     loose = written(spark, _within(stars, sig), "nd-stars")
-    clusters = written(spark, components(spark, loose), "nd-clusters")
+    clusters = components(spark, loose)
 
     # what is left: classes of different clusters that share a key
     part = (shared.select("id", "key").join(clusters, "id", "left")
@@ -337,7 +368,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
            .select(F.col("x.comp").alias("a"), F.col("y.comp").alias("b")).distinct())
     bridges = written(spark, met, "nd-bridges")
     if not bridges.isEmpty():
-        clusters = written(spark, components(spark, loose.union(bridges)), "nd-clusters")
+        clusters = components(spark, loose.union(bridges))
 
     sizes = clusters.groupBy("comp").agg(F.count("*").alias("k"))
     members = written(spark, clusters.join(sizes, "comp")
@@ -348,9 +379,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame) -> DataFrame:
     comps = final.select(F.col("a").alias("id"), F.col("b").alias("comp"))
     if not members.filter(F.col("k") > BLOCK).isEmpty():
         links = found.filter(F.col("k") > BLOCK).select("a", "b")
-        so_far = written(spark, components(spark, links), "nd-comps")
+        so_far = components(spark, links)
         links = links.union(confirm(spark, docs, stray_tasks(members, so_far)).select("a", "b"))
-        comps = comps.union(written(spark, components(spark, links), "nd-comps"))
+        comps = comps.union(components(spark, links))
 
     owner = (classes.select(*FP, "id").join(comps, "id", "left")
              .select(*FP, F.coalesce("comp", "id").alias("comp")))

@@ -46,9 +46,10 @@ def corpus():
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("block", [512, 4])
-def test_classes_are_those_of_all_pairs(spark, documents, monkeypatch, block):
+@pytest.mark.parametrize("block, links", [(512, 1_000_000), (4, 0)])
+def test_classes_are_those_of_all_pairs(spark, documents, monkeypatch, block, links):
     monkeypatch.setattr(m, "BLOCK", block)   # 4: clusters of several blocks, strays against all
+    monkeypatch.setattr(m, "LINKS_PER_TASK", links)   # 0: star contraction
     rows = corpus()
     got = m.near_duplicates(spark, documents([(i, t, "s") for i, t in rows])).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
@@ -87,3 +88,13 @@ def test_signatures_within_the_distance_share_a_key():
 def test_query_columns(spark):
     got = m.op8_near_duplicates(spark, SF_SMALL)
     assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+
+
+@pytest.mark.parametrize("links", [1_000_000, 0])
+def test_components_of_a_long_chain(spark, monkeypatch, links, scratch):
+    monkeypatch.setattr(m, "LINKS_PER_TASK", links)
+    rows = [(k, k + 1) for k in range(0, 40)] + [(101, 100), (100, 102), (102, 101), (7, 7)]
+    edges = spark.createDataFrame(rows, "a bigint, b bigint")
+    got = {r.id: r.comp for r in m.components(spark, edges).collect()}
+    assert got == {k: 0 for k in range(41)} | {k: 100 for k in (100, 101, 102)}
+    assert m.components(spark, edges.filter("a > 1000")).count() == 0
