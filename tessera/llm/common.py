@@ -42,6 +42,22 @@ def written(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Ids (8 bytes each) that may be broadcast to pick rows out of a table of texts.
+MAX_BROADCAST_IDS = 2_000_000
+
+
+def rows_of(texts: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of ``texts`` whose ``column`` is (``left_anti``: is not) among ``ids``.
+
+    ``ids`` must be a written one-column table: it is counted first, and up to
+    ``MAX_BROADCAST_IDS`` of them are broadcast, so that the texts stay where they
+    are.  More ids make it a shuffle join.
+    """
+    few = ids.count() <= MAX_BROADCAST_IDS
+    wanted = ids.toDF("wanted_id")
+    return texts.join(F.broadcast(wanted) if few else wanted, F.col(column) == F.col("wanted_id"), how)
+
+
 def remainder_of_five(doc_id: Column) -> Column:
     """crc32 of the id's decimal text, modulo 5; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5

@@ -123,7 +123,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, max_rows: int)
     share = min(1.0, max_rows / max(1, known.count()))
     drawn = known.filter(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("sample")),
                                 F.lit(1_000_003)) < int(share * 1_000_003) + 1)
-    return pick(docs, doc_id="doc_id", text="text").join(drawn, "doc_id")
+    # at most about max_rows narrow rows: broadcast, so that the texts stay where they are
+    return pick(docs, doc_id="doc_id", text="text").join(F.broadcast(drawn), "doc_id")
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "toxic",

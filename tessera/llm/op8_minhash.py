@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick, position, written
+from tessera.llm.common import pick, position, rows_of, written
 from tessera.llm.textcore import NON_SPACE, U64, blocks, chain, mix, words
 
 SHINGLE = 5
@@ -51,7 +51,7 @@ CHUNK_ERRORS = MAX_DISTANCE // CHUNKS  # 1
 #: A link needs LINK_DEN * intersection >= LINK_NUM * union.
 LINK_NUM, LINK_DEN = 75, 100
 #: Different hub orders among the keys of a class.
-HUB_ORDERS = 4
+HUB_ORDERS = 16
 #: Classes of a cluster that one task compares (two such blocks in the second pass).
 BLOCK = 512
 PIVOTS = 32
@@ -234,7 +234,9 @@ def confirm(spark: SparkSession, docs: DataFrame, tasks: DataFrame) -> DataFrame
     Sets are made anew, in the task, from the texts of the documents in question.
     """
     texts = pick(docs, id="doc_id", text="text").select(F.col("id").cast("bigint").alias("id"), "text")
-    rows = (texts.join(tasks, "id")
+    tasks = written(spark, tasks, "nd-tasks")
+    ids = written(spark, tasks.select("id").distinct(), "nd-ids")
+    rows = (rows_of(texts, "id", ids).join(tasks, "id")
             .repartition("cl", "lo", "hi").sortWithinPartitions("cl", "lo", "hi", "id"))
     return written(spark, rows.mapInArrow(_confirm, "a bigint, b bigint, k bigint"), "nd-links")
 
@@ -445,13 +447,13 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     gone = written(spark, found.filter("doc_id <> component_id").select("doc_id").distinct(), "nd-gone")
     tagged = docs.toDF(*[f"c{i}" for i in range(len(names))])
     key = f"c{position(names, 'doc_id')}"
-    kept = tagged.join(gone, F.col(key) == gone.doc_id, "left_anti")
+    kept = rows_of(tagged, key, gone, "left_anti")
     ids = pick(docs, doc_id="doc_id")
     twice = written(spark, ids.filter("doc_id IS NOT NULL").groupBy("doc_id")
                     .agg(F.count("*").alias("k")).filter("k > 1").select("doc_id"), "nd-twice")
     if not twice.isEmpty():
         # rare: only the repeated ids are gathered by id
-        once = kept.join(twice, F.col(key) == twice.doc_id, "left_anti")
-        some = kept.join(twice, F.col(key) == twice.doc_id, "left_semi").dropDuplicates([key])
+        once = rows_of(kept, key, twice, "left_anti")
+        some = rows_of(kept, key, twice).dropDuplicates([key])
         kept = once.unionByName(some)
     return kept.toDF(*names)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick, position, written
+from tessera.llm.common import MAX_BROADCAST_IDS, pick, position, written
 
 WINDOW = 10
 #: Window hashes that may be part of the plan (8 bytes each).
@@ -116,8 +116,15 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Pipeline stage: documents with any verified hit go; the columns stay as they are."""
+    """Pipeline stage: documents with any verified hit go; the columns stay as they are.
+
+    Up to ``MAX_BROADCAST_IDS`` (id, digest) pairs of them are broadcast, so that
+    the texts stay where they are; more make it a shuffle join.
+    """
     _, found = scan(spark, docs, benchmark)
+    found = found.select("doc_id", "digest")
+    if found.count() <= MAX_BROADCAST_IDS:
+        found = F.broadcast(found)
     names = docs.columns
     d = docs.toDF(*[f"c{i}" for i in range(len(names))])
     doc_id = F.col(f"c{position(names, 'doc_id')}").cast("bigint")
