@@ -122,6 +122,19 @@ def enrich(telemetry: DataFrame, vessels: DataFrame, locations: DataFrame,
             .drop("assigned_vessel_id"))
 
 
+def describe(narrow: DataFrame, vessels: DataFrame, locations: DataFrame, researchers: DataFrame,
+             broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Descriptive columns of the three dimensions, joined by their unique keys."""
+    v = broadcast_if_bounded(vessels.select(
+        "vessel_id", "vessel_name", "vessel_type", F.col("age_days").alias("vessel_age_days")),
+        broadcast_max_rows)
+    lo = broadcast_if_bounded(locations.select("location_id", "location_name", "region"), broadcast_max_rows)
+    who = broadcast_if_bounded(researchers.select(
+        "researcher_id", F.col("full_name").alias("lead_researcher"), "specialization"), broadcast_max_rows)
+    return (narrow.join(v, "vessel_id", "left").join(lo, "location_id", "left")
+            .join(who, "researcher_id", "left"))
+
+
 def fact_events(telemetry: DataFrame, vessels: DataFrame, locations: DataFrame,
                 researchers: DataFrame, lead_first: bool = True, dedupe: bool = True,
                 broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
@@ -133,10 +146,19 @@ def fact_events(telemetry: DataFrame, vessels: DataFrame, locations: DataFrame,
     literal fan-out form (``lead_first=False``), which gives the same rows.
     """
     r = lead_researchers(researchers) if lead_first else researchers
-    joined = enrich(telemetry, vessels, locations, r, broadcast_max_rows)
-    if dedupe:
+    if not dedupe:
+        joined = enrich(telemetry, vessels, locations, r, broadcast_max_rows)
+    else:
+        # reduce narrow rows: keys, readings and what the order needs; no
+        # descriptive text goes through the shuffle
+        keys = broadcast_if_bounded(r.select("assigned_vessel_id", "researcher_id", "tenure_days"),
+                                    broadcast_max_rows)
+        narrow = (telemetry.join(keys, telemetry.vessel_id == keys.assigned_vessel_id, "left")
+                  .drop("assigned_vessel_id"))
         order = _lead_order() + [F.col(c).asc_nulls_last() for c in
                                  ("vessel_id", "location_id", "observed_at", "gravity_g")]
-        joined = top1(joined, ["event_id", "ingestion_mode"], order)
+        narrow = top1(narrow, ["event_id", "ingestion_mode"], order)
+        # descriptions are functions of the surviving keys (each dimension's key is unique)
+        joined = describe(narrow, vessels, locations, r, broadcast_max_rows)
     return joined.select(*[c for c in FACT_COLUMNS if c != "is_low_g"],
                          low_g_flag("gravity_g").alias("is_low_g"))

@@ -4,9 +4,8 @@ A dimension is broadcast only after its row count has been *proven* below a
 bound; beyond the bound the join stays a shuffle join (sort-merge, with AQE's
 skew-join splitting hot keys).  Where a frame is written anyway, the proof is
 the row count observed during the write (``tables.write_counted``), which
-costs no job; otherwise it is a bounded count (``limit(n + 1).count()``) that
-reads at most ``n + 1`` rows — run it over stored data, not over a long
-lineage.
+costs no job; otherwise it is a plain count, of which each task sends one
+number — run it over stored data, not over a long lineage.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,

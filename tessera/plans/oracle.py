@@ -24,7 +24,7 @@ def _days(x: str) -> str:
 
 CTES: dict[str, str] = {
     "raw_telemetry": """
-        SELECT event_id AS id, user_id AS vessel_id, value AS raw_force_reading,
+        SELECT event_id AS id, user_id AS vessel_id, value % CAST(19 AS DOUBLE) AS raw_force_reading,
                event_id % 30 AS location_id, ts AS event_time
         FROM events""",
     "stg_telemetry": """
@@ -33,7 +33,7 @@ CTES: dict[str, str] = {
                event_time AS observed_at
         FROM raw_telemetry""",
     "stream_records": """
-        SELECT event_id AS id, user_id AS vessel_id, value AS raw_force_reading,
+        SELECT event_id AS id, user_id AS vessel_id, value % CAST(19 AS DOUBLE) AS raw_force_reading,
                event_id % 30 AS location_id,
                strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS event_time
         FROM events""",
@@ -67,7 +67,7 @@ CTES: dict[str, str] = {
                split_part(c.c_name, '#', 2) AS last_name,
                upper(c.c_name) || '@X.ORG' AS email,
                c.c_mktsegment AS specialization,
-               c.c_custkey % 120 AS assigned_vessel_id,
+               4 * c.c_custkey // 50 AS assigned_vessel_id,
                o.joined_at
         FROM customer c
         LEFT JOIN (SELECT o_custkey, min(o_orderdate) AS joined_at
@@ -139,12 +139,13 @@ def _scalar(path: str) -> str:
 
 CTES["api_log"] = """
         SELECT CASE event_type WHEN 'error' THEN 'fraud' WHEN 'view' THEN 'audit'
-                               WHEN 'click' THEN 'access' END AS stream_name,
+                               WHEN 'click' THEN 'access' WHEN 'signup' THEN 'members'
+                               WHEN 'purchase' THEN 'sales' END AS stream_name,
                event_id AS pos, CAST(event_id AS VARCHAR) AS event_id,
                event_type AS stream_type, props AS data,
                CAST(epoch_us(ts) AS DOUBLE) / CAST(1000000 AS DOUBLE) AS timestamp,
                ts AS event_ts
-        FROM events WHERE event_type IN ('error', 'view', 'click')"""
+        FROM events"""
 CTES["api_raw"] = """
         SELECT CAST(date_trunc('day', event_ts) AS TIMESTAMP) AS ingested_at,
                stream_name AS source_stream, event_id, stream_type, data, timestamp

@@ -133,18 +133,26 @@ def q_enrich_researchers_fanout(spark, d):
 
 # ---------------------------------------------------------------- top-1
 @register("lead_researcher_top1", O.with_ctes("""
+    -- every tenth event delivered twice, the second time by the next vessel
     SELECT t.event_id, t.ingestion_mode, t.vessel_id, r.researcher_id,
            r.full_name AS lead_researcher, r.tenure_days
-    FROM telemetry_unified t LEFT JOIN dim_researchers r ON t.vessel_id = r.assigned_vessel_id
+    FROM (SELECT event_id, ingestion_mode, vessel_id FROM telemetry_unified UNION ALL
+          SELECT event_id, ingestion_mode, vessel_id + 1 FROM telemetry_unified WHERE event_id % 10 = 0) t
+    LEFT JOIN dim_researchers r ON t.vessel_id = r.assigned_vessel_id
     QUALIFY row_number() OVER (PARTITION BY t.event_id, t.ingestion_mode
                                ORDER BY r.tenure_days DESC NULLS LAST,
-                                        r.researcher_id ASC NULLS LAST) = 1"""))
+                                        r.researcher_id ASC NULLS LAST, t.vessel_id) = 1"""))
 def q_lead_researcher_top1(spark, d):
-    """Lead-first (R1): one lead per vessel, then a fan-out-free join."""
+    """E1, lead-first (R1): one lead per vessel, a fan-out-free join, then the top-1 per
+    (event_id, ingestion_mode), which redelivered events need."""
     t = gold.unified_telemetry(medallion.stg_telemetry(spark, d),
                                medallion.stg_telemetry_stream(spark, d))
+    again = t.where(F.col("event_id") % 10 == 0).withColumn("vessel_id", F.col("vessel_id") + 1)
+    t = t.unionByName(again)
     leads = gold.lead_researchers(medallion.dims(spark, d).researchers)
-    return (t.join(leads, t.vessel_id == leads.assigned_vessel_id, "left")
+    joined = t.join(leads, t.vessel_id == leads.assigned_vessel_id, "left")
+    order = [F.col("tenure_days").desc_nulls_last(), F.col("researcher_id").asc_nulls_last(), F.col("vessel_id")]
+    return (gold.top1(joined, ["event_id", "ingestion_mode"], order)
             .select("event_id", "ingestion_mode", "vessel_id", "researcher_id",
                     F.col("full_name").alias("lead_researcher"), "tenure_days"))
 
@@ -262,14 +270,14 @@ _LOOKUP_SQL = """
     SELECT s.stream_name,
            'cursor_' || s.stream_name || '_' || CAST(w.last_pos AS VARCHAR) AS current_cursor,
            w.last_pos AS cursor_pos
-    FROM (VALUES ('fraud'), ('audit'), ('access')) s(stream_name)
+    FROM (VALUES ('fraud'), ('audit'), ('access'), ('members'), ('sales')) s(stream_name)
     LEFT JOIN (SELECT * FROM run1_cursors WHERE stream_name IN ('fraud', 'audit')) w
            ON s.stream_name = w.stream_name"""
 
 
 @register("watermark_lookup", O.with_ctes(_LOOKUP_SQL))
 def q_watermark_lookup(spark, d):
-    """C4: configured streams LEFT JOIN stored cursors; ``access`` has none yet."""
+    """C4: configured streams LEFT JOIN stored cursors; three have none yet."""
     wm = _run1_watermarks(spark, d, ["fraud", "audit"])
     return inc.watermark_lookup(spark, api_ingest.STREAMS, wm)
 

@@ -6,16 +6,18 @@ integers (equi-joins behave the same as with the domain's string keys).
 
 Mapping (fixed values of the test binding):
   raw_telemetry   <- events: id=event_id, vessel_id=user_id,
-                     raw_force_reading=value, location_id=event_id % 30, event_time=ts
+                     raw_force_reading=value % 19 (0 to 1.94 g), location_id=event_id % 30,
+                     event_time=ts
   stream records  <- events, same columns, event_time as ISO-8601 text with Z
   raw_vessels     <- supplier + first l_shipdate per supplier:
                      vessel_type = 'T' || s_nationkey % 5
   raw_locations   <- nation + region: facility_type = 'F' || n_nationkey % 4
   raw_researchers <- customer + first o_orderdate per customer:
                      name split on '#', email = upper(c_name) || '@X.ORG',
-                     assigned_vessel_id = c_custkey % 120
-  API log         <- events of type error / view / click as streams
-                     fraud / audit / access; pos = event_id
+                     assigned_vessel_id = 4 * c_custkey div 50 (four vessels in five have
+                     researchers, 12 or 13 each, at every scale)
+  API log         <- all events, their five types error / view / click / signup / purchase
+                     as streams fraud / audit / access / members / sales; pos = event_id
 """
 
 from __future__ import annotations
@@ -32,10 +34,11 @@ from tessera.schemas import stream_record_schema
 LOCATION_BUCKETS = 30
 VESSEL_TYPE_BUCKETS = 5
 FACILITY_BUCKETS = 4
-RESEARCHER_VESSELS = 120
+READING_RANGE = 19.0
 
 # Event type -> API stream name.
-API_STREAMS = {"error": "fraud", "view": "audit", "click": "access"}
+API_STREAMS = {"error": "fraud", "view": "audit", "click": "access", "signup": "members",
+               "purchase": "sales"}
 # The topic contract with this binding's integer keys.
 STREAM_RECORD = stream_record_schema(T.LongType())
 # Fixed value: the reporting date used for ages and tenures.
@@ -75,7 +78,7 @@ def raw_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("event_id").alias("id"),
         F.col("user_id").alias("vessel_id"),
-        F.col("value").alias("raw_force_reading"),
+        (F.col("value") % READING_RANGE).alias("raw_force_reading"),
         (F.col("event_id") % LOCATION_BUCKETS).alias("location_id"),
         F.col("ts").alias("event_time"),
     )
@@ -141,7 +144,7 @@ def raw_researchers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.split_part(F.col("c_name"), F.lit("#"), F.lit(2)).alias("last_name"),
                     F.concat(F.upper("c_name"), F.lit("@X.ORG")).alias("email"),
                     F.col("c_mktsegment").alias("specialization"),
-                    (F.col("c_custkey") % RESEARCHER_VESSELS).alias("assigned_vessel_id"),
+                    F.expr("4 * c_custkey div 50").alias("assigned_vessel_id"),
                     F.col("joined_at")))
 
 

@@ -20,7 +20,7 @@ def test_fact_plan_stays_in_the_jvm(spark):
     plan = medallion.fact_unified(spark, "/root/testdata/sf0.001")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "WindowGroupLimit" in plan
-    assert plan.count("BroadcastHashJoin") == 3
+    assert plan.count("BroadcastHashJoin") == 4
     assert "Python" not in plan and "ArrowEval" not in plan
 
 
