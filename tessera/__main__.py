@@ -1,9 +1,9 @@
 """Command line for the four flows (what the upstream scheduler triggers).
 
-    python -m tessera daily-build --sf-dir D --gold-root G [--no-stream]
+    python -m tessera daily-build (--sf-dir D | --seeds FOLDER [--stream-root S]) --gold-root G [--no-stream]
     python -m tessera api-cycle   --sf-dir D --root R --run-id N --stamp "2024-01-31 00:00:00"
     python -m tessera stream      --root R (--topic FOLDER | --kafka KEY=VALUE ...) [--available-now]
-    python -m tessera audit       --sf-dir D
+    python -m tessera audit       --gold-root G [--api-root R] [--stream-root S]
 
 Each command prints one JSON line describing what it wrote or found.
 """
@@ -19,7 +19,10 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tessera")
     sub = ap.add_subparsers(dest="cmd", required=True)
     d = sub.add_parser("daily-build")
-    d.add_argument("--sf-dir", required=True)
+    which = d.add_mutually_exclusive_group(required=True)
+    which.add_argument("--sf-dir")
+    which.add_argument("--seeds", help="folder of declared CSV seeds")
+    d.add_argument("--stream-root", help="stream sink to union with the seeds' telemetry")
     d.add_argument("--gold-root", required=True)
     d.add_argument("--no-stream", action="store_true")
     a = sub.add_parser("api-cycle")
@@ -35,7 +38,9 @@ def main(argv: list[str] | None = None) -> int:
     where.add_argument("--kafka", nargs="+", metavar="KEY=VALUE", help="options of the Kafka source")
     s.add_argument("--available-now", action="store_true")
     q = sub.add_parser("audit")
-    q.add_argument("--sf-dir", required=True)
+    q.add_argument("--gold-root", required=True)
+    q.add_argument("--api-root")
+    q.add_argument("--stream-root")
     for p in (d, a, s, q):
         p.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -44,8 +49,13 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(args.master)
     if args.cmd == "daily-build":
         from tessera.plans import medallion
+        sources = None
+        if args.seeds:
+            from tessera.streaming import silver as S
+            stream = S.read_silver(spark, S.StreamPaths(args.stream_root)) if args.stream_root else None
+            sources = medallion.Sources.of_seeds(spark, args.seeds, stream)
         out = medallion.daily_build(spark, args.sf_dir, args.gold_root,
-                                    include_stream=not args.no_stream)
+                                    include_stream=not args.no_stream, sources=sources)
     elif args.cmd == "api-cycle":
         from tessera.plans import api_ingest
         from tessera.sources import bindings
@@ -67,7 +77,8 @@ def main(argv: list[str] | None = None) -> int:
         out = {"silver": paths.silver, "dead_letters": paths.dead_letters}
     else:
         from tessera.plans import audit
-        out = {"checks": [r.asDict() for r in audit.quality_audit(spark, args.sf_dir).collect()]}
+        found = audit.stored_audit(spark, args.gold_root, args.api_root, args.stream_root)
+        out = {"checks": [r.asDict() for r in found.collect()]}
     print(json.dumps(out, default=str))
     spark.stop()
     return 0

@@ -8,6 +8,8 @@ from tessera.operators import silver
 from tessera.operators.quality import Check, ModelChecks, audit
 from tessera.plans import medallion
 from tessera.sources import bindings
+from tessera.sources.tables import Releases, VersionedTable
+from tessera.streaming.silver import StreamPaths, read_silver
 
 # The declared suite.  The fact's grain is (event_id, ingestion_mode), so its
 # uniqueness is checked on the pair; researcher_id may be NULL after the LEFT
@@ -70,5 +72,24 @@ def models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+def stored_models(spark: SparkSession, gold_root: str, api_root: str | None = None,
+                  stream_root: str | None = None, record=bindings.STREAM_RECORD) -> dict[str, DataFrame]:
+    """The audited models as they are stored: the live gold release, the API
+    silver table and the stream sink.  Nothing is rebuilt."""
+    found = {name: spark.read.parquet(path) for name, path in Releases(spark, gold_root).paths().items()}
+    if api_root is not None:
+        found["stg_api_telemetry"] = VersionedTable(spark, f"{api_root.rstrip('/')}/silver").read()
+    if stream_root is not None:
+        found["stg_telemetry_stream"] = read_silver(spark, StreamPaths(stream_root.rstrip("/")), record)
+    return found
+
+
+def stored_audit(spark: SparkSession, gold_root: str, api_root: str | None = None,
+                 stream_root: str | None = None) -> DataFrame:
+    """The declared suite over the stored models (those that are given)."""
+    found = stored_models(spark, gold_root, api_root, stream_root)
+    return audit(found, [s for s in SUITE if s.model in found])
+
+
 def quality_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(models(spark, sf_dir), SUITE)

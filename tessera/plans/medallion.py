@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import gold, silver
 from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
+from tessera.schemas import RAW_LOCATIONS, RAW_RESEARCHERS, RAW_TELEMETRY, RAW_VESSELS
 from tessera.sources import bindings
-from tessera.sources.tables import materialize_counted
+from tessera.sources.tables import Releases, load_seeds, materialize_counted, write_partitioned_table
 
 
 @dataclass
@@ -29,6 +30,43 @@ class Gold:
     fact: DataFrame
 
 
+@dataclass
+class Sources:
+    """The declared raw tables of the build; ``stream_silver`` is optional."""
+    telemetry: DataFrame
+    vessels: DataFrame
+    locations: DataFrame
+    researchers: DataFrame
+    stream_silver: DataFrame | None = None
+
+    @classmethod
+    def of_tables(cls, spark: SparkSession, sf_dir: str) -> Sources:
+        """The domain tables bound to the driver's parquet."""
+        return cls(bindings.raw_telemetry(spark, sf_dir), bindings.raw_vessels(spark, sf_dir),
+                   bindings.raw_locations(spark, sf_dir), bindings.raw_researchers(spark, sf_dir),
+                   bindings.stream_silver_table(spark, sf_dir))
+
+    @classmethod
+    def of_seeds(cls, spark: SparkSession, folder: str, stream_silver: DataFrame | None = None) -> Sources:
+        """A folder of declared CSV seeds, ``raw_<table>.csv``."""
+        seeds = load_seeds(spark, folder, {
+            "raw_telemetry": RAW_TELEMETRY, "raw_vessels": RAW_VESSELS,
+            "raw_locations": RAW_LOCATIONS, "raw_researchers": RAW_RESEARCHERS})
+        return cls(*seeds.values(), stream_silver)
+
+    def silver(self) -> dict[str, DataFrame]:
+        """The silver models."""
+        return {"stg_telemetry": silver.stg_telemetry(self.telemetry),
+                "stg_vessels": silver.stg_vessels(self.vessels),
+                "stg_locations": silver.stg_locations(self.locations),
+                "stg_researchers": silver.stg_researchers(self.researchers)}
+
+    def dims(self, as_of: str) -> Dims:
+        s = self.silver()
+        return Dims(gold.dim_vessels(s["stg_vessels"], as_of), gold.dim_locations(s["stg_locations"]),
+                    gold.dim_researchers(s["stg_researchers"], as_of))
+
+
 def stg_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.stg_telemetry(bindings.raw_telemetry(spark, sf_dir))
 
@@ -40,12 +78,7 @@ def stg_telemetry_stream(spark: SparkSession, sf_dir: str, processed_at=None) ->
 
 
 def dims(spark: SparkSession, sf_dir: str, as_of: str = bindings.AS_OF) -> Dims:
-    return Dims(
-        vessels=gold.dim_vessels(silver.stg_vessels(bindings.raw_vessels(spark, sf_dir)), as_of),
-        locations=gold.dim_locations(silver.stg_locations(bindings.raw_locations(spark, sf_dir))),
-        researchers=gold.dim_researchers(
-            silver.stg_researchers(bindings.raw_researchers(spark, sf_dir)), as_of),
-    )
+    return Sources.of_tables(spark, sf_dir).dims(as_of)
 
 
 def _materialize_counted(df: DataFrame, label: str, root: str | None) -> tuple[DataFrame, int]:
@@ -67,14 +100,16 @@ def _join_side(stored: DataFrame, rows: int, max_rows: int | None) -> DataFrame:
 def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
                as_of: str = bindings.AS_OF, lead_first: bool = True,
                broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
-               stream_silver: DataFrame | None = None, dims_root: str | None = None) -> Gold:
+               stream_silver: DataFrame | None = None, dims_root: str | None = None,
+               sources: Sources | None = None) -> Gold:
     """Dimensions are full-refresh gold tables: they are written first (the
     three independent jobs run concurrently), which keeps the fact's lineage
     short; each broadcast size proof is the row count observed while writing.
     The
     researcher leads (one per vessel) are then taken from the stored
     researcher dimension, so its sources are read once."""
-    d = dims(spark, sf_dir, as_of)
+    sources = sources or Sources.of_tables(spark, sf_dir)
+    d = sources.dims(as_of)
     todo = {"dim_vessels": d.vessels, "dim_locations": d.locations,
             "dim_researchers": d.researchers}
     job = inheritable_thread_target(spark)(_materialize_counted)  # keep job group, tags
@@ -86,11 +121,10 @@ def build_gold(spark: SparkSession, sf_dir: str, include_stream: bool = True,
         done["lead_researchers"] = _materialize_counted(
             gold.lead_researchers(done["dim_researchers"][0]), "lead_researchers", dims_root)
     mdims = Dims(done["dim_vessels"][0], done["dim_locations"][0], done["dim_researchers"][0])
-    batch = stg_telemetry(spark, sf_dir)
+    batch = silver.stg_telemetry(sources.telemetry)
     stream = None
     if include_stream:
-        stream = stream_silver if stream_silver is not None \
-            else bindings.stream_silver_table(spark, sf_dir)
+        stream = stream_silver if stream_silver is not None else sources.stream_silver
     telemetry = gold.unified_telemetry(batch, stream)
     # each joined side carries its own proven broadcast decision
     side = {k: _join_side(df, rows, broadcast_max_rows) for k, (df, rows) in done.items()}
@@ -113,28 +147,44 @@ def fact_unified(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return fact(spark, sf_dir, include_stream=True, **kw)
 
 
-def daily_build(spark: SparkSession, sf_dir: str, gold_root: str, suite=None,
-                include_stream: bool = True, as_of: str = bindings.AS_OF) -> dict:
-    """The daily medallion build: every gold table is written once (dimensions,
-    then the day-partitioned, clustered fact) and gated by its declared checks
-    before the next step; a failing error-severity check stops the build."""
+def daily_build(spark: SparkSession, sf_dir: str | None, gold_root: str, suite=None,
+                include_stream: bool = True, as_of: str = bindings.AS_OF,
+                sources: Sources | None = None) -> dict:
+    """The daily medallion build: write, check, then publish.
+
+    Silver models are gated first; the gold tables (dimensions, then the
+    day-partitioned, clustered fact) are written to a folder of the build, gated
+    as stored, and only then published as the next release.  A failing
+    error-severity check or a lost driver leaves the release before untouched.
+    ``sources`` are the raw tables; by default those bound to ``sf_dir``.
+    """
     from tessera.operators.quality import audit, gate
     from tessera.plans.audit import SUITE
-    from tessera.sources.tables import write_partitioned_table
 
     suite = SUITE if suite is None else suite
-    root = gold_root.rstrip("/")
-    g = build_gold(spark, sf_dir, include_stream=include_stream, as_of=as_of, dims_root=root)
+    sources = sources or Sources.of_tables(spark, sf_dir)
+    releases = Releases(spark, gold_root)
+    base, folder = releases.version, releases.new_folder()
+    checks = []
+
+    def gated(models: dict[str, DataFrame]) -> None:
+        specs = [s for s in suite if s.model in models]
+        if not specs:
+            return
+        results = audit(models, specs)
+        gate(results, specs)
+        checks.extend(r.asDict() for r in results.collect())
+
+    gated(sources.silver())
+    g = build_gold(spark, sf_dir, include_stream=include_stream, as_of=as_of, dims_root=folder,
+                   sources=sources)
     dims_models = {"dim_vessels": g.dims.vessels, "dim_locations": g.dims.locations,
                    "dim_researchers": g.dims.researchers}
-    dim_specs = [s for s in suite if s.model in dims_models]
-    gate(audit(dims_models, dim_specs), dim_specs)
-    fact_path = f"{root}/fct_events"
+    gated(dims_models)
+    fact_path = f"{folder}/fct_events"
     write_partitioned_table(g.fact, fact_path, "observed_at", "observed_date",
                             ("location_id", "vessel_id", "vessel_type"), tiebreak=("event_id",))
-    fact_specs = [s for s in suite if s.model == "fct_events"]
-    stored = spark.read.parquet(fact_path)
-    results = audit({"fct_events": stored}, fact_specs)
-    gate(results, fact_specs)
-    return {"fact": fact_path, "dims": {k: f"{root}/{k}" for k in dims_models},
-            "checks": [r.asDict() for r in results.collect()]}
+    gated({"fct_events": spark.read.parquet(fact_path)})
+    paths = {k: f"{folder}/{k}" for k in dims_models} | {"fct_events": fact_path}
+    return {"release": releases.publish(paths, base), "fact": fact_path,
+            "dims": {k: paths[k] for k in dims_models}, "checks": checks}

@@ -351,3 +351,38 @@ class VersionedTable:
 
     def rewrite(self, df: DataFrame) -> None:
         self.commit_rewrite(df, self.marks())
+
+
+class Releases:
+    """Sets of tables that become visible together.
+
+    A build writes its tables to a folder of its own and publishes their paths
+    under the next number; readers take the highest.  Until then, and if a check
+    fails, they keep reading the release before.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.pointers = f"{self.root}/_releases"
+
+    def _numbers(self) -> list[str]:
+        return [n for n in fs.list_files(self.spark, self.pointers) if n.startswith("r")]
+
+    @property
+    def version(self) -> int:
+        found = self._numbers()
+        return int(found[-1][1:-5]) if found else 0
+
+    def paths(self) -> dict[str, str]:
+        """Table name to path of the live release; empty before the first."""
+        found = self._numbers()
+        return _json.loads(fs.read_text(self.spark, f"{self.pointers}/{found[-1]}")) if found else {}
+
+    def new_folder(self) -> str:
+        return f"{self.root}/build-{uuid.uuid4().hex[:12]}"
+
+    def publish(self, paths: dict[str, str], base: int) -> int:
+        """Make ``paths`` the release after ``base``; :class:`StaleVersion` if there is one already."""
+        if not fs.publish_new(self.spark, f"{self.pointers}/r{base + 1:012d}.json", _json.dumps(paths)):
+            raise StaleVersion(f"{self.root}: release {base + 1} exists already")
+        return base + 1

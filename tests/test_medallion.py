@@ -149,19 +149,41 @@ def test_seed_folder_loads_with_declared_types(spark, scratch, seeds):
     assert got["raw_vessels"].schema == RAW_VESSELS
 
 
-def test_daily_build_writes_and_gates(spark, scratch):
+def test_daily_build_checks_before_it_publishes(spark, scratch):
     from tessera.operators.quality import Check, ModelChecks
+    from tessera.plans import audit, medallion
+    from tessera.sources.tables import Releases
+    root = scratch("daily")
+    out = medallion.daily_build(spark, "/root/testdata/sf0.001", root)   # the declared suite passes
+    assert out["release"] == 1 and spark.read.parquet(out["fact"]).count() == 2000
+    assert any(c["model"] == "stg_vessels" and c["check_name"] == "unique" for c in out["checks"])
+    # a check that fails after the tables are written: the release before stays live
+    strict = [ModelChecks("fct_events", [Check("between", "gravity_g", low=0, high=0.5)])]
+    with pytest.raises(AssertionError, match="gravity_g between"):
+        medallion.daily_build(spark, "/root/testdata/sf0.001", root, suite=strict)
+    assert Releases(spark, root).version == 1 and Releases(spark, root).paths()["fct_events"] == out["fact"]
+    # researcher_id may be NULL after the left join: that check only warns
+    assert all(r.passed or r.column_name == "researcher_id" for r in audit.stored_audit(spark, root).collect())
+    # a fault in the stored table is found, as nothing is rebuilt
+    first = spark.read.parquet(out["fact"]).limit(1)
+    spark.createDataFrame(first.collect(), first.schema).write.mode("append").partitionBy("observed_date").parquet(out["fact"])
+    bad = [r for r in audit.stored_audit(spark, root).collect() if not r.passed and r.column_name != "researcher_id"]
+    assert [(r.model, r.check_name) for r in bad] == [("fct_events", "unique")]
+
+
+def test_daily_build_from_a_folder_of_seeds(spark, scratch, seeds):
+    from tessera.operators.quality import ModelChecks
     from tessera.plans import medallion
     from tessera.plans.audit import SUITE
-    keys_only = [ModelChecks(s.model, [c for c in s.checks if c.kind in ("unique", "not_null")])
-                 for s in SUITE]
-    out = medallion.daily_build(spark, "/root/testdata/sf0.001", scratch("daily"), suite=keys_only)
-    assert spark.read.parquet(out["fact"]).count() == 2000
-    assert any(c["check_name"] == "unique" and c["passed"] for c in out["checks"])
-    # the declared suite bounds the fact's gravity to [-1, 2] g; the driver's
-    # readings go far above, so the gate stops the build after writing the fact
-    with pytest.raises(AssertionError, match="gravity_g between"):
-        medallion.daily_build(spark, "/root/testdata/sf0.001", scratch("daily2"))
+    from tessera.sources.tables import write_csv_seed
+    folder = scratch("seeds")
+    for name, df in zip(("telemetry", "vessels", "locations", "researchers"), seeds):
+        write_csv_seed(df, f"{folder}/raw_{name}.csv")
+    suite = [ModelChecks(s.model, [c for c in s.checks if c.kind != "between"]) for s in SUITE]
+    out = medallion.daily_build(spark, None, scratch("gold"), suite, include_stream=False,
+                                sources=medallion.Sources.of_seeds(spark, folder))
+    got = {r.event_id: r.lead_researcher for r in spark.read.parquet(out["fact"]).collect()}
+    assert len(got) == 10 and got[101] == "Runa Falk"
 
 
 def test_read_fact_prunes_to_the_requested_days(spark, scratch):
