@@ -45,7 +45,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
-    from tessera.session import build_session
+    from tessera.session import build_session, release_scratch
     spark = build_session(args.master)
     if args.cmd == "daily-build":
         from tessera.plans import medallion
@@ -80,6 +80,7 @@ def main(argv: list[str] | None = None) -> int:
         found = audit.stored_audit(spark, args.gold_root, args.api_root, args.stream_root)
         out = {"checks": [r.asDict() for r in found.collect()]}
     print(json.dumps(out, default=str))
+    release_scratch(spark)
     spark.stop()
     return 0
 

@@ -97,7 +97,17 @@ def checkpoint_base(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_base(spark).rstrip('/')}/tessera/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique folder below the shared checkpoint location."""
-    base = checkpoint_base(spark).rstrip("/")
-    return f"{base}/tessera/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique folder of this application below the shared checkpoint location."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch folders, once no result that reads them is
+    needed any more (results are lazy: write or collect them first)."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)

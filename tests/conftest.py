@@ -23,9 +23,10 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     # the environment's spark.checkpoint.dir is used when set; only in local
     # mode and only when it is unset does the library pick its own folder
-    from tessera.session import ensure_checkpoint_dir
+    from tessera.session import ensure_checkpoint_dir, release_scratch
     ensure_checkpoint_dir(s)
     yield s
+    release_scratch(s)
 
 
 @pytest.fixture
