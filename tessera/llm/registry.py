@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from tessera.llm import (
     op1_toxicity,
+    op2_topk,
     op3_pii,
     op4_quality,
     op5_mixing,
     op6_warc,
+    op7_licences,
     op8_minhash,
     op9_decontaminate,
     op10_html,
@@ -15,18 +17,22 @@ from tessera.llm import (
 
 QUERIES = {
     "op1_toxicity": op1_toxicity.op1_toxicity,
+    "op2_topk": op2_topk.op2_topk,
     "op3_pii": op3_pii.op3_pii,
     "op4_quality": op4_quality.op4_quality,
     "op5_mixing": op5_mixing.op5_mixing,
     "op6_warc": op6_warc.op6_warc,
+    "op7_licences": op7_licences.op7_licences,
     "op8_near_duplicates": op8_minhash.op8_near_duplicates,
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
     "op10_html": op10_html.op10_html,
 }
 
 ORACLES = {
+    "op2_topk": op2_topk.ORACLE,
     "op5_mixing": op5_mixing.ORACLE,
     "op6_warc": op6_warc.ORACLE,
+    "op7_licences": op7_licences.ORACLE,
     "op8_near_duplicates": op8_minhash.ORACLE,
     "op9_decontaminate": op9_decontaminate.ORACLE,
 }
