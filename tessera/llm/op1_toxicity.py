@@ -11,7 +11,7 @@ L1 sparsity, then passes over that sample in one task.  L1 leaves a few hundred
 non-zero weights: the model is collected and broadcast only after its size is
 checked against ``MAX_WEIGHTS``.
 
-Scoring streams over the whole texts, 1 MiB blocks at a time.
+Scoring streams over the whole texts, a block at a time.
 """
 
 from __future__ import annotations

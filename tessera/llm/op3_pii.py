@@ -223,8 +223,14 @@ def redact(text: str | None, found: list[Span]) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
+def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _slices(batches):
         rows = [spans(t.as_py()) for t in batch.column("text")]
         base = [joined([s for s in r if s[0] in BASE]) for r in rows]
         yield pa.RecordBatch.from_arrays(
@@ -251,7 +257,7 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _redact(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _slices(batches):
         at = batch.schema.get_field_index(column)
         texts = batch.column(at).to_pylist()
         clean = pa.array([redact(t, spans(t)) for t in texts], batch.schema.field(at).type)

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes of text handled at once; temporaries take about 40 times as much.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
