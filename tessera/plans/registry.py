@@ -507,6 +507,26 @@ def q_check_non_negative(spark, d):
     return Q.audit({"dim_vessels": medallion.dims(spark, d).vessels}, _NON_NEG_SUITE)
 
 
+@register("check_faults", O.with_ctes("""
+    SELECT 'dim_vessels' AS model, 'age_days' AS column_name, 'non_negative' AS check_name,
+           CAST(count(*) FILTER (WHERE date_diff('day', CAST(commissioned_at AS DATE), DATE '1992-02-01') < 0) AS BIGINT) AS observed,
+           count(*) FILTER (WHERE date_diff('day', CAST(commissioned_at AS DATE), DATE '1992-02-01') < 0) = 0 AS passed
+    FROM stg_vessels
+    UNION ALL SELECT 'stg_telemetry', 'event_id', 'not_null',
+           CAST(count(*) FILTER (WHERE event_id % 10 = 0) AS BIGINT), false FROM stg_telemetry
+    UNION ALL SELECT 'stg_telemetry', 'event_id', 'unique',
+           CAST(count(*) FILTER (WHERE event_id % 10 = 5) AS BIGINT), false FROM stg_telemetry"""))
+def q_check_faults(spark, d):
+    """D2 / D4 / D6 / J2 on faults made on purpose: ages as of a day before some vessels were
+    commissioned, event ids nulled in every tenth row and delivered twice in another tenth."""
+    ages = medallion.dims(spark, d, as_of="1992-02-01").vessels
+    t = medallion.stg_telemetry(spark, d)
+    t = t.unionByName(t.where(F.col("event_id") % 10 == 5)).withColumn(
+        "event_id", F.when(F.col("event_id") % 10 != 0, F.col("event_id")))
+    return Q.audit({"dim_vessels": ages, "stg_telemetry": t},
+                   [_suite_of("dim_vessels", ("non_negative",)), _suite_of("stg_telemetry", ("not_null", "unique"))])
+
+
 @register("quality_audit", O.suite_sql(A.SUITE))
 def q_quality_audit(spark, d):
     """The whole declared suite, one pass per model."""
@@ -551,6 +571,22 @@ def q_stream_dead_letter(spark, d):
     return dl.select("value", F.lit("rejected").alias("reject_reason"))
 
 
+@register("stream_reject_reasons", O.with_ctes("""
+    SELECT CASE id % 7 WHEN 0 THEN 'missing_or_mistyped:location_id'
+                       WHEN 1 THEN 'missing_or_mistyped:raw_force_reading'
+                       WHEN 2 THEN 'bad_event_time' WHEN 3 THEN 'malformed' ELSE 'silver' END AS outcome,
+           count(*) AS messages, CAST(sum(CASE WHEN id % 7 > 3 THEN id END) AS BIGINT) AS sum_of_ids
+    FROM stream_records GROUP BY 1"""))
+def q_stream_reject_reasons(spark, d):
+    """I2 / I3 on messages of which four in seven break the contract: each reason's
+    dead letters counted, the rest in silver."""
+    paths = SF.run_faulty(spark, d, scratch_path(spark, "stream-faulty"))
+    dead = SS.read_dead_letters(spark, paths).select(F.col("reject_reason").alias("outcome"), F.lit(None).cast("long").alias("id"))
+    good = SS.read_silver(spark, paths, bindings.STREAM_RECORD).select(F.lit("silver").alias("outcome"), F.col("event_id").alias("id"))
+    return dead.unionByName(good).groupBy("outcome").agg(
+        F.count("*").alias("messages"), F.sum("id").alias("sum_of_ids"))
+
+
 @register("stream_silver", O.with_ctes(_SILVER_CORE))
 def q_stream_silver(spark, d):
     """The continuous transform run to completion; silver without the

@@ -24,6 +24,29 @@ def drop_messages(spark: SparkSession, sf_dir: str, folder: str,
     msgs.select(F.to_json(F.struct(*msgs.columns)).alias("value")).write.mode("append").text(folder)
 
 
+def faulty_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic's messages, four in seven spoilt in a way of their own: a field left
+    out, a text for a number, a time without a date, no JSON at all."""
+    rec = bindings.stream_records(spark, sf_dir)
+    way = F.col("id") % 7
+    whole = F.to_json(F.struct(*rec.columns))
+    value = (F.when(way == 0, F.to_json(F.struct(*[c for c in rec.columns if c != "location_id"])))
+             .when(way == 1, F.to_json(F.struct(*[F.lit("x").alias(c) if c == "raw_force_reading" else F.col(c)
+                                                  for c in rec.columns])))
+             .when(way == 2, F.to_json(F.struct(*[F.lit("12:30").alias(c) if c == "event_time" else F.col(c)
+                                                  for c in rec.columns])))
+             .when(way == 3, F.concat(F.lit("junk "), F.col("id").cast("string"))).otherwise(whole))
+    return rec.select(value.alias("value"))
+
+
+def run_faulty(spark: SparkSession, sf_dir: str, root: str) -> S.StreamPaths:
+    paths = S.StreamPaths(root)
+    topic = f"{root}/topic"
+    faulty_messages(spark, sf_dir).write.mode("append").text(topic)
+    S.run_available(spark, topic_source(spark, topic), paths, record=bindings.STREAM_RECORD)
+    return paths
+
+
 def run_stream(spark: SparkSession, sf_dir: str, root: str, processed_at=None) -> S.StreamPaths:
     paths = S.StreamPaths(root)
     topic = f"{root}/topic"
