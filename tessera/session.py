@@ -11,11 +11,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL_FALLBACK: dict[str, str] = {}  # application id -> folder chosen in local mode
+_SHIPPED: set[str] = set()  # application ids whose workers have the package
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -97,6 +99,25 @@ def checkpoint_base(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application.
+
+    Functions that run in workers are sent by name, so every machine needs the
+    package; where it is installed or on PYTHONPATH this changes nothing.
+    """
+    app, here = spark.sparkContext.applicationId, os.path.dirname(os.path.abspath(__file__))
+    if app in _SHIPPED or not os.path.isdir(here):  # inside an archive: shipped already
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-"), "tessera.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                archive.write(full, os.path.relpath(full, os.path.dirname(here)))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def _scratch_root(spark: SparkSession) -> str:
     return f"{checkpoint_base(spark).rstrip('/')}/tessera/{spark.sparkContext.applicationId}"
 
