@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path
+from tessera.session import scratch_path, ship_package
 
 
 def position(names: list[str], wanted: str) -> int:
@@ -18,6 +18,13 @@ def position(names: list[str], wanted: str) -> int:
     raise ValueError(f"column {wanted!r} is missing; the table has {names}")
 
 
+def tag(df: DataFrame) -> DataFrame:
+    """Columns renamed to ``c0 .. cn``; every operator begins here or in ``pick``, so
+    here the package is made known to the workers."""
+    ship_package(df.sparkSession)
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """``pick(df, out=name)``: the named columns only, found by position.
 
@@ -26,7 +33,7 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     ``select`` would call such a name ambiguous.
     """
     names = df.columns
-    tagged = df.toDF(*[f"c{i}" for i in range(len(names))])
+    tagged = tag(df)
     return tagged.select(*[F.col(f"c{position(names, src)}").alias(out)
                            for out, src in columns.items()])
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick, position
+from tessera.llm.common import pick, position, tag
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = BASE + ("url", "secret", "account")
@@ -271,7 +271,7 @@ def without_pii(spark: SparkSession, docs: DataFrame) -> DataFrame:
     other columns stay as they are.
     """
     names = docs.columns
-    tagged = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    tagged = tag(docs)
     text = f"c{position(names, 'text')}"
     clean = tagged.mapInArrow(partial(_redact, column=text), tagged.schema)
     if "n_chars" in [n.lower() for n in names]:

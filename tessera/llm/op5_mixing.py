@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick, position, written
+from tessera.llm.common import pick, position, tag, written
 
 WEIGHTS = (3, 1, 2)
 BUDGET, MAX_COPIES = 1.5, 2
@@ -184,7 +184,7 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, seed: str = "mix:") ->
     """
     _, ends = plan_mix(spark, docs, seed)
     names = docs.columns
-    tagged = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    tagged = tag(docs)
     at = {k: F.col(f"c{position(names, k)}") for k in ("doc_id", "source", "text")}
     rows = tagged.withColumns({"doc_id": at["doc_id"].cast("bigint"), "source": at["source"], "size": size_of(at["text"])})
     taken = with_rank(by_source(rows, ends), seed).withColumn("copies", copies()).filter("copies > 0")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import pick, written
-from tessera.session import scratch_path
+from tessera.session import scratch_path, ship_package
 
 REVISIT_BYTES = 100
 #: Bytes of an archive after which the writer begins another.
@@ -242,6 +242,7 @@ def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, with_payl
 
     Ranges are dealt by path and offset, so one large archive is read by many tasks.
     """
+    ship_package(archives.sparkSession)
     splits = (archives.filter("bytes > 0")
               .withColumn("start", F.explode(F.sequence(F.lit(0), F.col("bytes") - 1, F.lit(split_bytes))))
               .select("path", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end")))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick, position, rows_of, written
+from tessera.llm.common import pick, position, rows_of, tag, written
 from tessera.llm.textcore import NON_SPACE, U64, blocks, chain, mix, words
 
 SHINGLE = 5
@@ -445,7 +445,7 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     found = near_duplicates(spark, docs)
     names = docs.columns
     gone = written(spark, found.filter("doc_id <> component_id").select("doc_id").distinct(), "nd-gone")
-    tagged = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    tagged = tag(docs)
     key = f"c{position(names, 'doc_id')}"
     kept = rows_of(tagged, key, gone, "left_anti")
     ids = pick(docs, doc_id="doc_id")

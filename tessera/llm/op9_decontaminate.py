@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import MAX_BROADCAST_IDS, pick, position, written
+from tessera.llm.common import MAX_BROADCAST_IDS, pick, position, tag, written
 
 WINDOW = 10
 #: Window hashes that may be part of the plan (8 bytes each).
@@ -126,7 +126,7 @@ def clean_documents(spark: SparkSession, docs: DataFrame, benchmark: DataFrame)
     if found.count() <= MAX_BROADCAST_IDS:
         found = F.broadcast(found)
     names = docs.columns
-    d = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    d = tag(docs)
     doc_id = F.col(f"c{position(names, 'doc_id')}").cast("bigint")
     digest = F.xxhash64(F.coalesce(F.col(f"c{position(names, 'text')}"), F.lit("")))
     return d.join(found, doc_id.eqNullSafe(found.doc_id) & (digest == found.digest), "left_anti").toDF(*names)
