@@ -9,9 +9,10 @@ and become sets of word bigrams.  A unit is a notice of a template if
 
 Size bounds prune first: a unit of n words can only reach the threshold with a
 template of between ``t / (2 - t)`` and ``(2 - t) / t`` times its bigrams, so units
-outside the range of all templates, which is nearly all of them, never leave
-their row, and the equi-join on bigrams drops the rest but for shared wording.
-Both sides' sizes are compared again per pair before the counting.
+outside the range of all templates never leave their row, nor do units that share
+no bigram with any template (while the templates have at most ``MAX_SET`` bigrams,
+which are then part of the plan). An equi-join on bigrams counts what is common;
+both sides' sizes are compared again per pair before.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import pick, written
-from tessera.llm.op9_decontaminate import _words
+from tessera.llm.op9_decontaminate import MAX_SET, _words
 
 THRESHOLD = 0.8
 
@@ -75,6 +76,10 @@ def scan(spark: SparkSession, docs: DataFrame, rows=TEMPLATES, threshold: float
     # n words make at most n - 1 bigrams, and at least as many as they have distinct words less one
     fits = (f"size(ws) >= {least} AND (size(ws) <= {most + 1} OR size(array_distinct(ws)) <= {most + 1} "
             f"AND size({_bigrams('ws')}) <= {most})")
+    if (known.agg(F.sum("size")).first()[0] or 0) <= MAX_SET:
+        grams = sorted(r.g for r in known.select(F.explode("bigrams").alias("g")).distinct().collect())
+        listed = ", ".join(f"'{g}'" for g in grams) or "NULL"   # of word characters and blanks only
+        fits += f" AND exists({_bigrams('ws')}, g -> g IN ({listed}))"
     units = f"transform(array({cut}), us -> filter(array_distinct(concat(us, array(flatten(us)))), ws -> {fits}))[0]"
     scanned = written(spark, texts.select("doc_id", F.xxhash64("text").alias("digest"), F.expr(units).alias("units")), "lic-units")
     unit = (scanned.filter("size(units) > 0").groupBy("doc_id", "digest").agg(F.first("units").alias("units"))
