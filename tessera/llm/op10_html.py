@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -38,7 +38,26 @@ _TOKEN = re.compile(
     r"|<[!?/][^>]*+(?:>|\Z)", re.S | re.I)
 _BLOCK = frozenset("p div h1 h2 h3 h4 h5 h6 li ul ol dl dt dd table thead tbody tfoot tr td th caption section "
                    "article main header footer nav aside form blockquote pre hr figure figcaption address "
-                   "details summary body html head fieldset menu dialog center option button".split())
+                   "details summary body html head fieldset menu dialog center option button optgroup".split())
+_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: What may stand in a head; any other start tag, or text, ends it.
+_IN_HEAD = frozenset("base basefont bgsound link meta noframes head html".split())
+_ENDS_P = frozenset("address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption "
+                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section "
+                    "summary table ul".split())
+_CELLS = ("td", "th", "caption")
+_P_WITHIN = (*_CELLS, "table", "button")
+_ROWS = ("thead", "tbody", "tfoot")
+#: Start tag: the open elements that it ends, and those that it does not reach out of.
+_IMPLIED = ({"li": (("li",), ("ul", "ol", "menu", *_CELLS)), "option": (("option",), ("select", "datalist", "optgroup")),
+             "optgroup": (("option", "optgroup"), ("select", "datalist"))}
+            | dict.fromkeys(("dt", "dd"), (("dt", "dd"), ("dl", *_CELLS)))
+            | dict.fromkeys(("td", "th"), (("td", "th", "caption"), ("table",)))
+            | {"tr": (("tr", *_CELLS), ("table",))}
+            | dict.fromkeys(_ROWS, (("tr", *_CELLS, *_ROWS), ("table",))))
+#: End tag: the open elements that it does not reach out of, if not cells.
+_WITHIN = (dict.fromkeys((*_CELLS, *_ROWS, "tr"), ("table",))
+           | dict.fromkeys(("table", "body", "html", "article", "main"), ()))
 _APART = frozenset("nav footer aside form menu dialog button head".split())
 _HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menus?|sidebar|breadcrumbs?|footer|header|"
@@ -59,7 +78,7 @@ def _apart(tag: str, attrs: str, inside: int) -> bool:
     """Whether an element is declared to be something else than main text."""
     if tag in _APART or tag == "header" and not inside:
         return True
-    if tag in ("html", "body", "main"):
+    if tag in ("html", "body", "main") or tag in _VOID:
         return False
     for name, *values in _NAMED.findall(attrs):
         value = "".join(values)
@@ -74,15 +93,19 @@ def _apart(tag: str, attrs: str, inside: int) -> bool:
 def lines(page: str | None) -> list[Line]:
     """Text blocks of a page in order, without the elements set apart.
 
-    Character references are decoded, white space becomes single blanks.  Tags
-    that are cut off or never closed do not lose text that follows; an element
-    set apart that is still open where an article begins ends there.
+    Character references are decoded, white space becomes single blanks.  An element
+    set apart ends at its end tag, at a tag that implies it (for those whose end tag
+    HTML lets out), at the end tag of a block around it, and where an article begins;
+    void elements have no content to set apart.
     """
     if not page:
         return []
     out: list[Line] = []
     parts: list[str] = []
-    apart, depth, inside, at = "", 0, 0, 0
+    inside, at = 0, 0
+    stack: list[str] = []          # open blocks, and whatever else is set apart or inside of that
+    where: dict[str, list[int]] = {}   # places in the stack by tag
+    apart = -1                     # place of the element set apart
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(parts)).split()) if parts else ""
@@ -90,36 +113,66 @@ def lines(page: str | None) -> list[Line]:
         if text:
             out.append(Line(text, inside > 0))
 
+    def last(tags: Iterable[str]) -> int:
+        return max((where[t][-1] for t in tags if where.get(t)), default=-1)
+
+    def close(place: int) -> None:
+        nonlocal apart
+        while len(stack) > place:
+            where[stack.pop()].pop()
+        if place <= apart:
+            apart = -1
+
     for m in _TOKEN.finditer(page):
-        if not apart and m.start() > at:
-            parts.append(page[at:m.start()])
+        if m.start() > at:
+            if apart >= 0 and stack[apart] == "head" and page[at:m.start()].strip():
+                close(apart)
+            if apart < 0:
+                parts.append(page[at:m.start()])
         at = m.end()
         tag = (m["tag"] or "").lower()
         if not tag:
             continue
         closes = bool(m["close"])
-        if apart:
-            if not closes and tag in ("article", "main") and apart not in ("aside", "section", "article"):
-                apart = ""
-            else:
-                if tag == apart:
-                    depth += -1 if closes else 1
-                    if not depth:
-                        apart = ""
-                continue
-        if tag == "br":
-            parts.append(" ")
+        if apart >= 0 and not closes:
+            if stack[apart] == "head" and tag not in _IN_HEAD:
+                close(apart)
+            elif tag in ("article", "main") and stack[apart] not in ("aside", "section", "article"):
+                close(apart)
+        if apart < 0:
+            if tag == "br":
+                parts.append(" ")
+            elif tag in _BLOCK:
+                flush()
+        if closes:
+            place = last((tag,))
+            if place >= 0 and place > last(_WITHIN.get(tag, _CELLS)):
+                close(place)
+            if apart < 0 and tag in ("article", "main"):
+                inside = max(0, inside - 1)
             continue
-        attrs = m["attrs"]
-        if not closes and not attrs.endswith("/") and _apart(tag, attrs, inside):
-            flush()
-            apart, depth = tag, 1
+        if tag in _ENDS_P:
+            place = last(("p",))
+            if place > last(_P_WITHIN):
+                close(place)
+        if tag in _IMPLIED:
+            ended, within = _IMPLIED[tag]
+            bound = last(within)
+            places = [where[t][-1] for t in ended if where.get(t) and where[t][-1] > bound]
+            if places:
+                close(min(places))
+        if tag in _VOID:
             continue
-        if tag in _BLOCK:
+        if apart < 0 and not m["attrs"].endswith("/") and _apart(tag, m["attrs"], inside):
             flush()
-            if tag in ("article", "main"):
-                inside = max(0, inside + (-1 if closes else 1))
-    if not apart and at < len(page):
+            apart = len(stack)
+        elif tag not in _BLOCK and (apart < 0 or tag != stack[apart]):
+            continue
+        where.setdefault(tag, []).append(len(stack))
+        stack.append(tag)
+        if apart < 0 and tag in ("article", "main"):
+            inside += 1
+    if at < len(page) and (apart < 0 or stack[apart] == "head" and page[at:].strip()):
         parts.append(page[at:])
     flush()
     return out

@@ -40,6 +40,38 @@ def test_damaged_pages():
     assert len(m.lines("<p>x</p>" * 50_000)) == 50_000
 
 
+def _texts(page):
+    return [x.text for x in m.lines(page)]
+
+
+def test_void_elements_set_nothing_apart():
+    for tag in ('<img class="banner">', '<input id="search">', '<hr class="footer-rule">', '<link class="ad">', '<wbr class="ad">'):
+        assert _texts(f"<p>a</p>{tag}<p>b</p>") == ["a", "b"]
+        assert _texts(f"<article><p>a</p>{tag}<p>b</p></article>") == ["a", "b"]
+        assert _texts(f"<nav>{tag}menu</nav><p>b") == ["b"]
+
+
+def test_elements_set_apart_end_without_end_tags():
+    assert _texts('<p class="ad">x<p>a<div>b</div>') == ["a", "b"]
+    assert _texts('<div><p class="ad">x</div>a') == ["a"]
+    assert _texts('<p class="ad">x <b>y</b><table><tr><td>a</table>b') == ["a", "b"]
+    assert _texts('<ul><li class="ad">x<ul><li>y</ul>z<li>a</ul>b') == ["a", "b"]
+    assert _texts('<ul><li>a<li class="ad">x</ul>b') == ["a", "b"]
+    assert _texts('<dl><dt class="ad">x<dd>a<dd class="ad">y</dl>b') == ["a", "b"]
+    assert _texts('<table><tr><td class="ad">x<table><tr><td>y</table>z<td>a<tr><th class="ad">y<tr class="ad"><td>z'
+                  '<tbody><tr><td>b</table>c') == ["a", "b", "c"]
+    assert _texts('<datalist><option class="ad">x<option>a</datalist>') == ["a"]
+    assert _texts('<div><span class="ad">x</div>a') == ["a"]
+    assert _texts('<div class="ad"><p>x<div>y</div>z</b></div>a') == ["a"]
+
+
+def test_head_ends_at_the_body():
+    assert _texts('<head><meta charset="x"><link rel="y"><title>t</title><p>a') == ["a"]
+    assert _texts("<head><title>t</title><body>a<p>b") == ["a", "b"]
+    assert _texts("<head><title>t</title> a<p>b") == ["a", "b"]
+    assert _texts("<head><title>t</title> a") == ["a"]
+
+
 def _site(spark, n):
     """Pages without an article element: the template shows by differencing only."""
     rows = []
