@@ -5,14 +5,13 @@ next to the pages of its host with the nearest paths, and a large host is spread
 over many tasks.  A page is cut into lines (its text blocks).  Its lines are
 aligned with those of the neighbour that shares the longer path prefix by a
 longest common subsequence; lines that both have are the site's template and
-are deleted.  Two exceptions keep real text: a neighbour that shares most of the
-text is a copy, not a template, and is passed over; and lines inside an
-``article`` or ``main`` element are the page's own by declaration.
+are deleted, inside ``article`` and ``main`` elements too.  A neighbour that shares
+most of the text is a copy, not a template, and is passed over.
 
 Elements that HTML itself declares not to be main text (menus, headers, footers,
 sidebars, forms, scripts, styles, and blocks classed as adverts, notices or
 reader comments) never become candidate lines.  Where a page has an ``article``
-or ``main`` element with text, lines outside of it are dropped as well.
+or ``main`` element with text, lines outside of it are dropped as well, shared or not.
 """
 
 from __future__ import annotations
@@ -248,11 +247,14 @@ def shared_with(page: Page, others: list[Page]) -> set[int]:
 
 
 def main_text(page: Page, others: list[Page]) -> str:
-    """The page's own lines, joined by line feeds."""
-    declared = any(x.own for x in page.lines)
+    """The page's own lines, joined by line feeds.
+
+    Shared lines go, wherever they are.  What is left and lies outside of article
+    and main stays only if nothing lies inside of them.
+    """
     shared = shared_with(page, others)
-    return "\n".join(x.text for i, x in enumerate(page.lines)
-                     if x.own or not declared and i not in shared)
+    declared = any(x.own for x in page.lines)
+    return "\n".join(x.text for i, x in enumerate(page.lines) if i not in shared and (x.own or not declared))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

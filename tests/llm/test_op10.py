@@ -1,3 +1,4 @@
+import os
 import random
 
 from conftest import SF_SMALL
@@ -107,3 +108,34 @@ def test_query_equals_brute_force(spark):
     assert len(got) == len(pages)
     for p in pages:
         assert got[p.page_id] == "\n".join(x.text for x in m.lines(p.html) if x.own)
+
+
+def _differenced(pages):
+    """Expected texts: every page against the nearest neighbours in one sorted list, by the plain rules."""
+    sites = sorted((p.url.split("/")[2], p.url.split("/", 3)[3], p.page_id, m.lines(p.html)) for p in pages)
+    for k, (host, path, page_id, mine) in enumerate(sites):
+        near = [sites[j] for j in (k - 1, k + 1) if 0 <= j < len(sites) and sites[j][0] == host]
+        near.sort(key=lambda o: -len(os.path.commonprefix([path, o[1]])))
+        gone = set()
+        for other in near:
+            a, b = [x.text for x in mine], [x.text for x in other[3]]
+            found = m.common(a, b)
+            if sum(len(a[i]) for i in found) < 0.6 * min(len("".join(a)), len("".join(b))):
+                gone = found
+                break
+        yield page_id, "\n".join(x.text for i, x in enumerate(mine) if i not in gone)
+
+
+def test_differencing_decides_inside_main(spark):
+    rng = random.Random(7)
+    rows = []
+    for k in range(120):
+        body = "".join(f"<p>{rng.random()} {rng.random()} {rng.random()}</p>" for _ in range(rng.randint(2, 6)))
+        tag = rng.choice(["article", "main"])
+        rows.append((k, f"https://h{k % 7}.example/{rng.randint(0, 3)}/{k:03d}",
+                     f"<body><{tag}><div>All our topics</div>{body}<p>Write to us</p></{tag}></body>"))
+    got = {r.page_id: r.text for r in m.main_texts(spark.createDataFrame(
+        rows, "page_id bigint, url string, html string").coalesce(1)).collect()}
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").collect()
+    assert got == dict(_differenced(pages))
+    assert not any("topics" in x or "Write" in x for x in got.values())
