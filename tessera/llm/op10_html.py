@@ -1,12 +1,13 @@
 """Main text of web pages by nearest-URL page differencing.
 
-Pages are range-partitioned and sorted by host and URL path, so each page stands
-next to the pages of its host with the nearest paths, and a large host is spread
-over many tasks.  A page is cut into lines (its text blocks).  Its lines are
-aligned with those of the neighbour that shares the longer path prefix by a
-longest common subsequence; lines that both have are the site's template and
-are deleted, inside ``article`` and ``main`` elements too.  A neighbour that shares
-most of the text is a copy, not a template, and is passed over.
+Pages are put in the order of host and URL path and cut into blocks of equal
+numbers of pages, each with the pages beyond its edges, so that a large host is spread
+over many tasks and the cuts change no row.  A page is cut into lines (its text
+blocks).  Its lines are aligned with those of the neighbour that shares the longest
+path prefix by a longest common subsequence; lines that both have are the site's
+template and are deleted, inside ``article`` and ``main`` elements too.  Equal pages in
+a row count once, and a neighbour that shares most of the text is a copy, not a
+template, and is passed over for the next one.
 
 Elements that HTML itself declares not to be main text (menus, headers, footers,
 sidebars, forms, scripts, styles, and blocks classed as adverts, notices or
@@ -16,19 +17,27 @@ or ``main`` element with text, lines outside of it are dropped as well, shared o
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import partial
 from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick
+from tessera.llm.common import pick, written
 
-#: A neighbour that shares this part of the shorter page's text is a copy of it.
+#: A neighbour that shares this part of the shorter page's text is a copy of it ...
 COPY_SHARE = 0.6
+#: ... judged without the lines that the pages around repeat, unless it shares as much as this.
+SAME_SHARE = 0.9
+#: Different pages on each side among which a neighbour that is no copy is looked for.
+AROUND = 8
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -215,13 +224,19 @@ def common(a: list[str], b: list[str]) -> set[int]:
 
 
 class Page(NamedTuple):
-    """A page of a sorted partition."""
+    """A page, its lines and a hash of them."""
 
     page_id: int | None
     url: str | None
     host: str
     path: str
     lines: list[Line]
+    digest: int
+
+
+def _digest(page: list[Line]) -> int:
+    text = "\n".join(("+" if x.own else "-") + x.text for x in page)
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
 def _prefix(a: str, b: str) -> int:
@@ -233,16 +248,37 @@ def _prefix(a: str, b: str) -> int:
     return n
 
 
+def _repeated(page: Page, near: list[Page]) -> set[str]:
+    """Undeclared lines that more than half of the pages around have too, and two at least."""
+    around = {o.digest: {x.text for x in o.lines} for o in near if o.digest != page.digest}.values()
+    return {t for t in {x.text for x in page.lines if not x.own}
+            if sum(t in o for o in around) > max(1, len(around) / 2)}
+
+
 def shared_with(page: Page, others: list[Page]) -> set[int]:
-    """Lines that the page shares with its nearest neighbour that is not a copy of it."""
+    """Lines that the page shares with its nearest neighbour that is not a copy of it.
+
+    ``others``: nearest first.  Lines that the pages around repeat do not make a copy,
+    unless the two have hardly anything else.
+    """
     mine = [x.text for x in page.lines]
     near = [o for o in others if o.host == page.host and page.host]
+    repeated = None
     for other in sorted(near, key=lambda o: -_prefix(page.path, o.path)):
+        if other.digest == page.digest:
+            continue
         theirs = [x.text for x in other.lines]
         found = common(mine, theirs)
         size = min(sum(map(len, mine)), sum(map(len, theirs)))
-        if sum(len(mine[i]) for i in found) < COPY_SHARE * size:
+        shared = sum(len(mine[i]) for i in found)
+        if shared < COPY_SHARE * size:
             return found
+        if shared < SAME_SHARE * size:
+            if repeated is None:
+                repeated = _repeated(page, near)
+            rest = min(sum(len(x) for x in side if x not in repeated) for side in (mine, theirs))
+            if sum(len(mine[i]) for i in found if mine[i] not in repeated) < COPY_SHARE * rest:
+                return found
     return set()
 
 
@@ -257,48 +293,150 @@ def main_text(page: Page, others: list[Page]) -> str:
     return "\n".join(x.text for i, x in enumerate(page.lines) if i not in shared and (x.own or not declared))
 
 
-def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages of a partition in (host, path) order, each with its two neighbours."""
-    def rows() -> Iterator[Page]:
-        for batch in batches:
-            columns = [batch.column(c) for c in ("page_id", "url", "host", "path", "html")]
-            for k in range(batch.num_rows):
-                page_id, url, host, path, text = (c[k].as_py() for c in columns)
-                yield Page(page_id, url, host, path, lines(text))
-
-    def pack(done: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.int64()),
-                                           pa.array([d[1] for d in done], pa.string()),
-                                           pa.array([d[2] for d in done], pa.string())], names=["page_id", "url", "text"])
-
-    done, held, before, here = [], 0, None, None
-    for after in rows():
-        if here is not None:
-            done.append((here.page_id, here.url, main_text(here, [x for x in (before, after) if x])))
-            held += len(done[-1][2])
-            if len(done) >= 2000 or held > 8 << 20:
-                yield pack(done)
-                done, held = [], 0
-        before, here = here, after
-    if here is not None:
-        done.append((here.page_id, here.url, main_text(here, [before] if before else [])))
+_KEY = ["host", "path", "page_id", "digest"]
+
+
+def _order(host: str, path: str, page_id: int | None, digest: int) -> tuple:
+    """The key as Spark orders it: a null id comes first."""
+    return host, path, page_id is not None, page_id or 0, digest
+
+
+def _pages(batches: Iterator[pa.RecordBatch]) -> Iterator[Page]:
+    for batch in batches:
+        columns = [batch.column(c) for c in ("page_id", "url", "host", "path", "html")]
+        for k in range(batch.num_rows):
+            page_id, url, host, path, text = (c[k].as_py() for c in columns)
+            found = lines(text)
+            yield Page(page_id, url, host, path, found, _digest(found))
+
+
+def _packed(rows: Iterable[tuple], schema: pa.Schema, size=lambda row: 0) -> Iterator[pa.RecordBatch]:
+    def pack() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], f.type) for i, f in enumerate(schema)],
+                                          schema=schema)
+
+    done, held = [], 0
+    for row in rows:
+        done.append(row)
+        held += size(row)
+        if len(done) >= 2000 or held > 8 << 20:
+            yield pack()
+            done, held = [], 0
     if done:
-        yield pack(done)
+        yield pack()
+
+
+_KEYS = pa.schema([("host", pa.string()), ("path", pa.string()), ("page_id", pa.int64()), ("digest", pa.int64())])
+_NUMBERED = pa.schema([*_KEYS, ("part", pa.int32()), ("idx", pa.int64()), ("first", pa.bool_()), ("nth", pa.int64())])
+_DEALT = pa.schema([("block", pa.int32()), ("halo", pa.bool_()), *_KEYS, ("url", pa.string()),
+                    ("lines", pa.list_(pa.string())), ("own", pa.list_(pa.bool_()))])
+_TEXTS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _packed(((p.host, p.path, p.page_id, p.digest) for p in _pages(batches)), _KEYS)
+
+
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Place in the sorted partition; ``first`` of a run of equal pages, and the ``nth`` run."""
+    def rows() -> Iterator[tuple]:
+        part, before, idx, nth = TaskContext.get().partitionId(), None, 0, 0
+        for batch in batches:
+            for host, path, page_id, digest in zip(*(batch.column(c).to_pylist() for c in _KEY)):
+                first = (host, digest) != before
+                before, nth = (host, digest), nth + first
+                yield host, path, page_id, digest, part, idx, first, nth
+                idx += 1
+
+    return _packed(rows(), _NUMBERED)
+
+
+def _deal(batches: Iterator[pa.RecordBatch], starts: list[tuple], halo: dict[tuple, list[int]]) -> Iterator[pa.RecordBatch]:
+    """Each page to its block of the order, and to the blocks that it is an edge page of."""
+    def rows() -> Iterator[tuple]:
+        for p in _pages(batches):
+            key = _order(p.host, p.path, p.page_id, p.digest)
+            block = max(0, bisect_right(starts, key) - 1)
+            for b in (block, *(h for h in halo.get(key, ()) if h != block)):
+                yield (b, b != block, p.host, p.path, p.page_id, p.digest, p.url,
+                       [x.text for x in p.lines], [x.own for x in p.lines])
 
+    return _packed(rows(), _DEALT, lambda row: sum(map(len, row[7])))
 
-def main_texts(pages: DataFrame) -> DataFrame:
+
+def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Main text of the pages of a block in order, each with ``AROUND`` runs on both sides."""
+    def pages() -> Iterator[tuple[bool, Page]]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                yield r["halo"], Page(r["page_id"], r["url"], r["host"], r["path"],
+                                      [Line(*x) for x in zip(r["lines"], r["own"])], r["digest"])
+
+    def texts(runs: list[list[tuple[bool, Page]]], at: int) -> Iterator[tuple]:
+        others = [runs[j][0][1] for d in range(1, AROUND + 1) for j in (at - d, at + d) if 0 <= j < len(runs)]
+        for edge, page in runs[at]:
+            if not edge:
+                yield page.page_id, page.url, main_text(page, others)
+
+    def rows() -> Iterator[tuple]:
+        runs, at = [], 0    # the last run may still grow
+        for edge, page in pages():
+            if runs and (page.host, page.digest) == (runs[-1][0][1].host, runs[-1][0][1].digest):
+                runs[-1].append((edge, page))
+                continue
+            if len(runs) - 1 - at >= AROUND:
+                yield from texts(runs, at)
+                at += 1
+                if at > AROUND:
+                    runs.pop(0)
+                    at -= 1
+            runs.append([(edge, page)])
+        for k in range(at, len(runs)):
+            yield from texts(runs, k)
+
+    return _packed(rows(), _TEXTS, lambda row: len(row[2]))
+
+
+def main_texts(pages: DataFrame, block_rows: int | None = None) -> DataFrame:
     """(page_id, url, text, n_chars) of every row; no html or no main text gives ''.
 
-    Pages without a host (null or odd URLs) have no neighbours.
+    Pages without a host (null or odd URLs) have no neighbours.  ``block_rows`` sets
+    how many pages one task takes, not what comes out.
     """
+    spark = pages.sparkSession
     p = pick(pages, page_id="page_id", url="url", html="html")
     url = F.coalesce("url", F.lit(""))
     keyed = p.select(
         F.col("page_id").cast("bigint").alias("page_id"), "url",
         F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)).alias("host"),
         F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1).alias("path"), "html")
-    key = ["host", "path", "page_id", F.xxhash64("html")]
-    return (keyed.repartitionByRange(*key).sortWithinPartitions(*key)
+    keys = "host string, path string, page_id bigint, digest bigint"
+    narrow = written(spark, keyed.mapInArrow(_keys, keys), "html-keys")
+    numbered = written(spark, narrow.repartitionByRange(*_KEY).sortWithinPartitions(*_KEY).mapInArrow(
+        _number, f"{keys}, part int, idx bigint, first boolean, nth bigint"), "html-order")
+    ends = numbered.groupBy("part").agg(
+        F.count("*").alias("n"), F.max("nth").alias("runs"), F.min_by(F.struct("host", "digest"), "idx").alias("head"),
+        F.max_by(F.struct("host", "digest"), "idx").alias("tail")).orderBy("part").collect()
+    offsets, total, runs, tail = [], 0, 0, None
+    for e in ends:      # a run may go on over the end of a partition
+        same = int(e.head == tail)
+        offsets.append((e.part, total, runs - same, same))
+        total, runs, tail = total + e.n, runs + e.runs - same, e.tail
+    size = block_rows or max(256, -(-total // 1000))
+    placed = (numbered.join(F.broadcast(spark.createDataFrame(offsets, "part int, rows long, runs long, same int")), "part")
+              .select(*_KEY, (F.col("rows") + F.col("idx")).alias("place"), (F.col("runs") + F.col("nth")).alias("run"),
+                      (F.col("first") & ~((F.col("idx") == 0) & (F.col("same") == 1))).alias("first")))
+    starts = sorted(_order(*r) for r in placed.filter(F.col("place") % size == 0).select(*_KEY).collect())
+    around = [(r.block, k) for r in placed.groupBy(F.floor(F.col("place") / size).alias("block"))
+              .agg(F.min("run").alias("lo"), F.max("run").alias("hi")).collect()
+              for k in {*range(r.lo - AROUND, r.lo + 1), *range(r.hi, r.hi + AROUND + 1)}]
+    halo: dict[tuple, list[int]] = {}
+    for r in (placed.filter("first").join(F.broadcast(spark.createDataFrame(around, "block long, run long")), "run")
+              .select(*_KEY, "block").collect()):
+        halo.setdefault(_order(*r[:4]), []).append(r.block)
+    dealt = keyed.mapInArrow(partial(_deal, starts=starts, halo=halo),
+                             f"block int, halo boolean, {keys}, url string, lines array<string>, own array<boolean>")
+    return (dealt.repartitionById(max(1, len(starts)), "block").sortWithinPartitions(*_KEY, "halo")
             .mapInArrow(_extract, "page_id bigint, url string, text string")
             .withColumn("n_chars", F.length("text").cast("bigint")))
 

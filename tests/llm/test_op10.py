@@ -139,3 +139,43 @@ def test_differencing_decides_inside_main(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").collect()
     assert got == dict(_differenced(pages))
     assert not any("topics" in x or "Write" in x for x in got.values())
+
+
+def _pages(spark, rows):
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string")
+
+
+MENU = "".join(f"<div>{w} of our site for all of our many readers</div>" for w in "One Two Three Four Five Six".split())
+
+
+def test_template_longer_than_the_text_goes(spark):
+    texts = [" ".join(str(random.Random(100 * k + i).random()) for i in range(8)) for k in range(12)]
+    got = m.main_texts(_pages(spark, [(k, f"https://a.example/{k:02d}", f"{MENU}<p>{t}</p>") for k, t in enumerate(texts)])).collect()
+    assert len("".join(m.lines(MENU)[i].text for i in range(6))) > 0.6 * (len(texts[0]) + 260)
+    assert {r.page_id: r.text for r in got} == dict(enumerate(texts))
+
+
+def test_copies_in_a_row_are_passed_over(spark):
+    rng = random.Random(3)
+    long = " ".join(str(rng.random()) for _ in range(40))
+    rows = [(k, f"https://a.example/a/{k}", f"{MENU}<p>{long}</p>") for k in range(5)]
+    rows += [(10 + k, f"https://a.example/b/{k}", f"{MENU}<p>{long}</p><p>{k}</p>") for k in range(5)]
+    rows += [(20, "https://a.example/c/1", f"{MENU}<p>{' '.join(str(rng.random()) for _ in range(40))}</p>")]
+    got = {r.page_id: r.text for r in m.main_texts(_pages(spark, rows)).collect()}
+    assert all(got[k] == long for k in range(5)) and all(got[10 + k] == f"{long}\n{k}" for k in range(5))
+
+
+def test_blocks_and_partitions_change_no_row(spark):
+    rng = random.Random(5)
+    rows = []
+    for k in range(150):
+        text = rng.choice(["<p>same page</p>", f"<p>{rng.random()}</p>" * rng.randint(1, 3), f"<p>{rng.random()}</p><p>long text of a copy</p>"])
+        host = rng.choice("aab")
+        rows.append((rng.choice([k, k, None]), f"https://{host}.example/{rng.randint(0, 2)}/{k % 50:03d}",
+                     f"<div>Site {host}</div>{text}<div>Bye {k % 4}</div>"))
+    want = None
+    for parts, size in ((1, 1000), (7, 1), (3, 10), (40, 17)):
+        got = sorted((r.url, r.page_id or -1, r.text, r.n_chars) for r in
+                     m.main_texts(_pages(spark, rows).repartition(parts), size).collect())
+        want = want or got
+        assert got == want and len(got) == len(rows)
