@@ -13,6 +13,12 @@ outside the range of all templates never leave their row, nor do units that shar
 no bigram with any template (while the templates have at most ``MAX_SET`` bigrams,
 which are then part of the plan). An equi-join on bigrams counts what is common;
 both sides' sizes are compared again per pair before.
+
+Notices that are no unit of their own (wrapped over lines, or with other words around)
+are found by windows of words across all line and sentence ends.  A window begins and
+ends with a bigram of a template, as the best one does, and has no more bigrams than
+the bounds allow.  It counts if it touches no unit that matches and no window with a
+better score.
 """
 
 from __future__ import annotations
@@ -48,6 +54,25 @@ def _bigrams(words: str) -> str:
             f"i -> concat(element_at({words}, i), ' ', element_at({words}, i + 1))))")
 
 
+def _windows(grams: list[str], listed: str, least: int, most: int) -> str:
+    """Windows (ws, at, touched) of the words ``all`` of the pieces ``us``.
+
+    ``least``: template bigrams that a window has, ``most``: bigrams it may have;
+    ``touched``: hashes of the pieces it has words of, and of the whole text.
+    """
+    known = ", ".join(f"'{w}'" for w in sorted({w for g in grams for w in g.split(" ")})) or "NULL"
+    hits = ("filter(if(size(all) > 1, sequence(1, size(all) - 1), array()), i -> "
+            f"all[i - 1] IN ({known}) AND all[i] IN ({known}) AND concat(all[i - 1], ' ', all[i]) IN ({listed}))")
+    pairs = (f"flatten(transform(hs, (i, a) -> transform(filter(slice(hs, a + {least}, {most}), j -> j - i < {most}), "
+             "j -> struct(i, j))))")
+    window = ("struct(slice(all, p.i, p.j - p.i + 2) AS ws, p.i AS at, "
+              "concat(transform(sequence(z.piece[p.i - 1], z.piece[p.j]), k -> z.hash[k]), array(z.whole)) AS touched)")
+    around = ("struct(flatten(transform(us, (u, k) -> array_repeat(k, size(u)))) AS piece, "
+              "transform(us, u -> xxhash64(u)) AS hash, xxhash64(all) AS whole)")
+    return (f"flatten(transform(filter(array({hits}), hs -> size(hs) >= {least}), hs -> "
+            f"transform(array({around}), z -> transform({pairs}, p -> {window}))[0]))")
+
+
 def templates(spark: SparkSession, rows=TEMPLATES) -> DataFrame:
     """(licence, size, bigrams) of the templates that have two words or more."""
     df = spark.createDataFrame(list(rows), "licence string, text string")
@@ -76,24 +101,41 @@ def scan(spark: SparkSession, docs: DataFrame, rows=TEMPLATES, threshold: float
     # n words make at most n - 1 bigrams, and at least as many as they have distinct words less one
     fits = (f"size(ws) >= {least} AND (size(ws) <= {most + 1} OR size(array_distinct(ws)) <= {most + 1} "
             f"AND size({_bigrams('ws')}) <= {most})")
+    grams = sorted(r.g for r in known.select(F.explode("bigrams").alias("g")).distinct().collect())
+    listed = ", ".join(f"'{g}'" for g in grams) or "NULL"   # of word characters and blanks only
     if (known.agg(F.sum("size")).first()[0] or 0) <= MAX_SET:
-        grams = sorted(r.g for r in known.select(F.explode("bigrams").alias("g")).distinct().collect())
-        listed = ", ".join(f"'{g}'" for g in grams) or "NULL"   # of word characters and blanks only
         fits += f" AND exists({_bigrams('ws')}, g -> g IN ({listed}))"
-    units = f"transform(array({cut}), us -> filter(array_distinct(concat(us, array(flatten(us)))), ws -> {fits}))[0]"
-    scanned = written(spark, texts.select("doc_id", F.xxhash64("text").alias("digest"), F.expr(units).alias("units")), "lic-units")
+    units = (f"transform(filter(array_distinct(concat(us, array(all))), ws -> {fits}), "
+             "ws -> struct(ws, 0 AS at, array(xxhash64(ws)) AS touched))")
+    wide = _windows(grams, listed, max(1, math.ceil((lo or 1) / ratio)), most)
+    scanned = written(spark, texts.select("doc_id", F.xxhash64("text").alias("digest"), F.expr(
+        f"transform(array({cut}), us -> transform(array(flatten(us)), all -> concat({units}, {wide}))[0])[0]"
+    ).alias("units")), "lic-units")
     unit = (scanned.filter("size(units) > 0").groupBy("doc_id", "digest").agg(F.first("units").alias("units"))
-            .select("doc_id", "digest", F.posexplode("units").alias("unit", "ws"))
-            .select("doc_id", "digest", "unit", F.expr(_bigrams("ws")).alias("bigrams")))
-    bigrams = unit.select("doc_id", "digest", "unit", F.size("bigrams").alias("n"), F.explode("bigrams").alias("bigram"))
+            .select("doc_id", "digest", F.posexplode("units").alias("unit", "u"))
+            .select("doc_id", "digest", "unit", "u.at", F.size("u.ws").alias("len"), "u.touched",
+                    F.xxhash64("u.ws").alias("words"), F.expr(_bigrams("u.ws")).alias("bigrams")))
+    place = ["doc_id", "digest", "unit", "at", "len", "touched", "words"]
+    bigrams = unit.select(*place, F.size("bigrams").alias("n"), F.explode("bigrams").alias("bigram"))
     common = (bigrams.join(known.select("licence", "size", F.explode("bigrams").alias("bigram")), "bigram")
               .filter((F.col("n") <= ratio * F.col("size")) & (F.col("size") <= ratio * F.col("n")))
-              .groupBy("doc_id", "digest", "unit", "licence", "n", "size").agg(F.count("*").alias("c"))
+              .groupBy(*place, "licence", "n", "size").agg(F.count("*").alias("c"))
               .withColumn("score", 2 * F.col("c") / (F.col("n") + F.col("size"))).filter(F.col("score") >= threshold))
-    found = common.groupBy("doc_id", "digest").agg(
-        F.size(F.collect_set("unit")).cast("bigint").alias("n_matches"),
-        F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"),
-        F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("best"))
+    matches = common.groupBy(*place).agg(
+        F.min(F.struct((-F.col("score")).alias("minus"), "licence")).alias("best"), F.collect_set("licence").alias("licences"))
+    # a window's order: the better score, then the earlier, then the shorter
+    found = (matches.groupBy("doc_id", "digest").agg(F.collect_list(F.struct(
+                 F.col("best.minus").alias("minus"), "at", "len", "words", "touched", "licences", "best")).alias("ms"))
+             .withColumn("us", F.expr("filter(ms, m -> m.at = 0)"))
+             .withColumn("taken", F.expr("flatten(transform(us, m -> m.touched))"))
+             .withColumn("ws", F.expr("array_sort(filter(ms, m -> m.at > 0 AND NOT arrays_overlap(m.touched, taken)))"))
+             .withColumn("ws", F.expr(
+                 "aggregate(ws, filter(ws, w -> false), (kept, w) -> if(exists(kept, k -> k.at < w.at + w.len "
+                 "AND w.at < k.at + k.len), kept, concat(kept, array(w))))"))
+             .withColumn("ms", F.concat("us", "ws"))
+             .select("doc_id", "digest", F.expr("size(array_distinct(transform(ms, m -> m.words)))").cast("bigint").alias("n_matches"),
+                     F.expr("array_join(array_sort(array_distinct(flatten(transform(ms, m -> m.licences)))), ',')").alias("licences"),
+                     F.expr("array_min(transform(ms, m -> m.best))").alias("best")))
     t, f = scanned.select("doc_id", "digest").alias("t"), found.alias("f")
     both = t.join(f, F.col("t.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("t.digest") == F.col("f.digest")), "left")
     return both.select("t.doc_id", F.coalesce("n_matches", F.lit(0)).cast("bigint").alias("n_matches"),

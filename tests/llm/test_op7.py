@@ -33,6 +33,34 @@ def test_repeated_rows_null_ids_other_templates_and_no_rows(spark, documents):
     assert m.scan(spark, documents([])).count() == 0
 
 
+def test_notices_across_line_and_sentence_ends(spark, documents):
+    a, b = " ".join(prose(1, 300)), " ".join(prose(2, 300))
+    texts = {1: f"{a}\nLicensed under the Apache\nLicense, Version 2.0.\n{b}",
+             2: f"{a}\n# This work is licensed under\n# the GNU General Public License, version 3.\n{b}",
+             3: f"{a} released under the MIT License {b}",
+             4: f"{a}\nLicensed under the Apache\nLicense, Version 2.0. Licensed under\nCC BY 4.0.\n{b}",
+             5: f"{a}\nLicensed under CC BY 4.0.\n{b}\nReleased under\nthe MIT License\n{b}\nReleased under\nthe MIT License\n{a}",
+             6: f"{a}\nReleased under the\n{b}\nMIT License\n{a}",
+             7: f"{a}\nThis work, by us, is licensed under the GNU\nLesser\nGeneral Public License, version 3. {b}"}
+    got = {r.doc_id: tuple(r)[1:] for r in m.scan(spark, documents([(k, v, "s") for k, v in texts.items()])).collect()}
+    assert got[1] == (1, "Apache-2.0", "Apache-2.0", 1.0)
+    assert got[2][0] == 1 and got[2][2:] == ("GPL-3.0", 1.0)
+    assert got[3] == (1, "MIT", "MIT", 1.0)
+    assert got[4][0] == 2 and {"Apache-2.0", "CC-BY-4.0"} <= set(got[4][1].split(","))
+    assert got[5][0] == 2 and {"MIT", "CC-BY-4.0"} <= set(got[5][1].split(",")) and got[5][3] == 1.0
+    assert got[6] == (0, "", None, 0.0)
+    assert got[7][0] == 1 and got[7][2] == "LGPL-3.0"
+
+
+def test_templates_of_several_sentences(spark, documents):
+    own = [("X", "Copies may be made.\nThe above notice stays. There is no warranty of any kind.")]
+    a = " ".join(prose(3, 200))
+    docs = documents([(1, f"{a}\nCopies may be made. The above\nnotice stays.\nThere is no warranty of any kind.\n{a}", "s"),
+                      (2, f"{a}\nThere is no warranty of any kind.\n{a}", "s")])
+    got = {r.doc_id: tuple(r)[1:] for r in m.scan(spark, docs, own).collect()}
+    assert got == {1: (1, "X", "X", 1.0), 2: (0, "", None, 0.0)}
+
+
 def test_plan_has_no_python(spark):
     from conftest import SF_SMALL
     plan = m.op7_licences(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
