@@ -71,6 +71,14 @@ _HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|nav\w*|menus?|sidebar|breadcrumbs?|footer|header|"
     r"masthead|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|share|sharing|social|related|"
     r"comments?|disqus|repl(?:y|ies)|login|search|pagination|pager|widget|copyright)(?=$|[\s_-])", re.I)
+#: Classes and ids that inside of an article or main element name no main text; whole names only.
+_NAMES = frozenset("ad ads advert adverts advertisement advertising ad-container ad-slot banner sponsor sponsored promo "
+                   "promotion nav navbar navigation menu sidebar breadcrumb breadcrumbs footer masthead cookie cookies "
+                   "cookie-banner cookie-notice consent gdpr popup modal newsletter newsletter-signup subscribe "
+                   "share-buttons social-share related-posts related-articles comment comments comment-list "
+                   "comments-area disqus reply replies login pagination pager widget copyright".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())   # their ids are anchors, ...
+_SECTIONS = _HEADINGS | {"section", "article"}             # ... and so are those inside of an article
 _ROLE = frozenset("navigation banner contentinfo complementary search form alert dialog menu".split())
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
@@ -83,7 +91,11 @@ class Line(NamedTuple):
 
 
 def _apart(tag: str, attrs: str, inside: int) -> bool:
-    """Whether an element is declared to be something else than main text."""
+    """Whether an element is declared to be something else than main text.
+
+    Inside of an article or main element only whole class names (and ids, if no heading
+    or section has them) count; doubtful words are left to the differencing.
+    """
     if tag in _APART or tag == "header" and not inside:
         return True
     if tag in ("html", "body", "main") or tag in _VOID:
@@ -93,6 +105,12 @@ def _apart(tag: str, attrs: str, inside: int) -> bool:
         if name.lower() == "role":
             if value.lower() in _ROLE:
                 return True
+        elif inside:
+            if (name.lower() == "class" or tag not in _SECTIONS) and not _NAMES.isdisjoint(value.lower().split()):
+                if tag != "article" or re.search("comment|repl", value, re.I):
+                    return True
+        elif name.lower() == "id" and tag in _HEADINGS:
+            continue
         elif _HINT.search(value) and (tag != "article" or re.search("comment|repl", value, re.I)):
             return True
     return False

@@ -66,6 +66,15 @@ def test_elements_set_apart_end_without_end_tags():
     assert _texts('<div class="ad"><p>x<div>y</div>z</b></div>a') == ["a"]
 
 
+def test_slugs_inside_an_article_are_no_hints():
+    body = ('<h2 id="related-work">A</h2><section id="search"><p>b</p></section><h2 id="social-impact">C</h2><p id="notices">d</p>'
+            '<div class="article-header"><h1>E</h1></div><p class="alert">f</p><p class="header notice">g</p>')
+    for tag in ("article", "main"):
+        assert _texts(f"<{tag}>{body}</{tag}>") == list("AbCdEfg")
+        assert _texts(f'<{tag}><div class="x newsletter">n</div><div id="comments">c</div><p class="ad">x</p><p>a</p></{tag}>') == ["a"]
+    assert _texts('<h2 id="related-work">A</h2><div class="site-header">x</div><p>b</p>') == ["A", "b"]
+
+
 def test_head_ends_at_the_body():
     assert _texts('<head><meta charset="x"><link rel="y"><title>t</title><p>a') == ["a"]
     assert _texts("<head><title>t</title><body>a<p>b") == ["a", "b"]
