@@ -13,6 +13,7 @@ from tessera.llm import (
     op8_minhash,
     op9_decontaminate,
     op10_html,
+    op11_prefix_trie,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_near_duplicates": op8_minhash.op8_near_duplicates,
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
     "op10_html": op10_html.op10_html,
+    "op11_prefix_trie": op11_prefix_trie.op11_prefix_trie,
 }
 
 ORACLES = {
@@ -35,4 +37,5 @@ ORACLES = {
     "op7_licences": op7_licences.ORACLE,
     "op8_near_duplicates": op8_minhash.ORACLE,
     "op9_decontaminate": op9_decontaminate.ORACLE,
+    "op11_prefix_trie": op11_prefix_trie.ORACLE,
 }
