@@ -14,6 +14,8 @@ from tessera.llm import (
     op9_decontaminate,
     op10_html,
     op11_prefix_trie,
+    op12_hard_negatives,
+    op13_substring,
 )
 
 QUERIES = {
@@ -28,6 +30,8 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate.op9_decontaminate,
     "op10_html": op10_html.op10_html,
     "op11_prefix_trie": op11_prefix_trie.op11_prefix_trie,
+    "op12_hard_negatives": op12_hard_negatives.op12_hard_negatives,
+    "op13_substring_dedup": op13_substring.op13_substring_dedup,
 }
 
 ORACLES = {
@@ -38,4 +42,6 @@ ORACLES = {
     "op8_near_duplicates": op8_minhash.ORACLE,
     "op9_decontaminate": op9_decontaminate.ORACLE,
     "op11_prefix_trie": op11_prefix_trie.ORACLE,
+    "op12_hard_negatives": op12_hard_negatives.ORACLE,
+    "op13_substring_dedup": op13_substring.ORACLE,
 }

@@ -68,7 +68,7 @@ class Words:
 
     hashes: np.ndarray   # uint64, one per word, in reading order
     bounds: np.ndarray   # int64, texts + 1: words of text i are bounds[i]:bounds[i + 1]
-    data: np.ndarray     # lower-cased bytes of the block
+    data: np.ndarray     # bytes of the block, lower-cased if asked for
     offsets: np.ndarray  # int64, texts + 1: bytes of text i
     starts: np.ndarray   # int64, first byte of each word
     ends: np.ndarray     # int64, byte after each word
@@ -98,9 +98,9 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray) -> Words:
-    """Lower-case A-Z, split into words and hash each word."""
-    data = _LOWER[data]
+def words(data: np.ndarray, offsets: np.ndarray, word_byte: np.ndarray, lower: bool = True) -> Words:
+    """Lower-case A-Z (unless told not to), split into words and hash each word."""
+    data = _LOWER[data] if lower else data
     inside = np.zeros(len(data) + 1, dtype=bool)
     inside[:-1] = word_byte[data]
     before = np.zeros(len(data) + 1, dtype=bool)
