@@ -25,6 +25,7 @@ from tessera.operators.silver import api_silver_projection
 from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS
 from tessera.schemas import API_RAW, WATERMARKS
 from tessera.sources import bindings, fs
+from tessera.sources.keyed import KeyedTable
 from tessera.sources.tables import (
     VersionedTable,
     append_raw,
@@ -50,84 +51,53 @@ class ApiTables:
     def raw(self) -> str:
         return f"{self.root}/raw"
 
-    def silver(self, spark: SparkSession) -> VersionedTable:
-        return VersionedTable(spark, f"{self.root}/silver")
+    def silver(self, spark: SparkSession) -> KeyedTable:
+        return KeyedTable(spark, f"{self.root}/silver", "event_id")
 
     def watermarks(self, spark: SparkSession) -> VersionedTable:
         return VersionedTable(spark, f"{self.root}/watermarks")
 
 
-def merge_into(table: VersionedTable, source: DataFrame, key: str,
+def merge_into(table: KeyedTable, source: DataFrame, key: str | list[str],
                on_duplicate: str = "error", order_col: str | None = None,
                broadcast_max_rows: int | None = DEFAULT_BROADCAST_MAX_ROWS,
                mark_col: str | None = None, mark_by: str | None = None,
                mark_groups: list[str] | None = None) -> str:
-    """Upsert ``source`` into a versioned table; returns append / rewrite / noop.
-
-    The source is computed exactly once: it is staged as an unpublished
-    segment and every later step reads that segment.  One job then answers
-    "is a source key repeated?", "does any already exist?" and, with
-    ``mark_col``, "what is the newest ``mark_col`` per ``mark_by``?" (kept in
-    the table's pointer as its high-water marks, so the next incremental run
-    does not scan the table for them).  With ``mark_groups`` (the known values
-    of ``mark_by``) the marks are observed while staging instead.  Target keys are probed against the
-    size-checked source keys, so the target itself is never shuffled.  When
-    nothing matches (the usual incremental case) the staged segment is simply
-    published; otherwise a new version with the merged rows is written.
+    """Upsert ``source`` into a keyed table; returns append / rewrite / noop.
+
+    See :meth:`KeyedTable.merge`: only buckets with a redelivered key are written anew.
+    With ``mark_col`` the newest value per ``mark_by`` is kept in the table's pointer as
+    its high-water mark, so the next incremental run does not scan the table for it.  The
+    marks of ``mark_groups`` (the known values of ``mark_by``) are observed while the
+    source is staged; without them they are collected from the source's groups.
     """
+    if (keys := [key] if isinstance(key, str) else list(key)) != table.key:
+        raise ValueError(f"the table's key is {table.key}, not {keys}")
     if on_duplicate == "latest":
         source = inc.upsert(None, source, key, "latest", order_col)
-    base = table.version
-    target = table.read() if table.exists() else None
-    observed_marks = []
-    if mark_col is not None and mark_groups:
-        micros = F.unix_micros(F.col(mark_col).cast("timestamp"))
-        observed_marks = [F.max(F.when(F.col(mark_by) == F.lit(g), micros)).alias(f"mark:{g}")
-                          for g in mark_groups]
-    seg, observed = table.stage_observed(source, observed_marks)
-    staged_rows = int(observed["rows"] or 0)
-    staged = table.read_segment(seg, source.schema)
-
-    per_key = staged.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    parts = (per_key.agg(F.max("_n").cast("long").alias("max_n"),
-                         F.count(F.lit(1)).cast("long").alias("keys"))
-             .select(F.explode(F.array(
-                 F.struct(F.lit("max_n").alias("stat"), F.col("max_n").alias("v")),
-                 F.struct(F.lit("keys").alias("stat"), F.col("keys").alias("v")))).alias("s"))
-             .select("s.stat", "s.v"))
-    if mark_col is not None and not observed_marks:
-        grp = F.col(mark_by).cast("string") if mark_by else F.lit("")
-        parts = parts.unionByName(
-            staged.groupBy(grp.alias("_g"))
-            .agg(F.max(F.unix_micros(F.col(mark_col).cast("timestamp"))).alias("v"))
-            .select(F.concat(F.lit("mark:"), F.col("_g")).alias("stat"), "v"))
-    # distinct source keys <= staged rows, counted while staging: a proven bound
-    small = broadcast_max_rows is not None and staged_rows <= broadcast_max_rows
-    if target is not None:
-        probe = F.broadcast(per_key.select(key)) if small else per_key.select(key)
-        hits = target.select(key).join(probe, key, "inner")
-        parts = parts.unionByName(hits.agg(F.lit("matched").alias("stat"),
-                                           F.count(F.lit(1)).cast("long").alias("v")))
-    stats = {r["stat"]: r["v"] for r in parts.collect()}
-    stats.update({k: v for k, v in observed.items() if k.startswith("mark:")})
-    if not stats.get("keys"):
-        return "noop"
-    if on_duplicate == "error" and (stats.get("max_n") or 0) > 1:
-        raise ValueError(f"source holds a key more than once (max {stats['max_n']} rows)")
-
-    marks = table.marks()
+    metrics = []
     if mark_col is not None:
-        marks = dict(marks or {})
-        for stat, v in stats.items():
+        micros = F.unix_micros(F.col(mark_col).cast("timestamp"))
+        if mark_groups:
+            metrics = [F.max(F.when(F.col(mark_by) == F.lit(g), micros)).alias(f"mark:{g}") for g in mark_groups]
+        elif mark_by is None:
+            metrics = [F.max(micros).alias("mark:")]
+
+    def marks(observed: dict, old: dict | None) -> dict | None:
+        if mark_col is None:
+            return old
+        merged = dict(old or {})
+        for stat, v in observed.items():
             if stat.startswith("mark:") and v is not None:
                 g = stat[len("mark:"):]
-                marks[g] = max(marks.get(g, v), v)
-    if target is None or not stats.get("matched"):
-        table.commit_append(seg, source.schema, marks, base)
-        return "append"
-    table.commit_rewrite(inc.upsert(target, staged, key, "checked", None,
-                                    source_small=small), marks, base)
-    return "rewrite"
+                merged[g] = max(merged.get(g, v), v)
+        return merged
+
+    if mark_col is not None and mark_by is not None and not mark_groups:
+        found = source.groupBy(F.col(mark_by).cast("string").alias("g")).agg(F.max(micros).alias("v")).collect()
+        known = {f"mark:{r['g']}": r["v"] for r in found}
+        return table.merge(source, on_duplicate, lambda _, old: marks(known, old), broadcast_max_rows=broadcast_max_rows).mode
+    return table.merge(source, on_duplicate, marks, metrics, broadcast_max_rows).mode
 
 
 def marks_as_timestamps(marks: dict | None) -> dict | None:

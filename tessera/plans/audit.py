@@ -8,7 +8,8 @@ from tessera.operators import silver
 from tessera.operators.quality import Check, ModelChecks, audit
 from tessera.plans import medallion
 from tessera.sources import bindings
-from tessera.sources.tables import Releases, VersionedTable
+from tessera.plans.api_ingest import ApiTables
+from tessera.sources.tables import Releases
 from tessera.streaming.silver import StreamPaths, read_silver
 
 # The declared suite.  The fact's grain is (event_id, ingestion_mode), so its
@@ -78,7 +79,7 @@ def stored_models(spark: SparkSession, gold_root: str, api_root: str | None = No
     silver table and the stream sink.  Nothing is rebuilt."""
     found = {name: spark.read.parquet(path) for name, path in Releases(spark, gold_root).paths().items()}
     if api_root is not None:
-        found["stg_api_telemetry"] = VersionedTable(spark, f"{api_root.rstrip('/')}/silver").read()
+        found["stg_api_telemetry"] = ApiTables(api_root.rstrip("/")).silver(spark).read()
     if stream_root is not None:
         found["stg_telemetry_stream"] = read_silver(spark, StreamPaths(stream_root.rstrip("/")), record)
     return found

@@ -24,6 +24,7 @@ from tessera.functions.json import json_scalar, parse_payload
 from tessera.schemas import API_RAW, RAW_TELEMETRY, with_key_type
 from tessera.session import scratch_path
 from tessera.sources import bindings, tables
+from tessera.sources.keyed import KeyedTable
 from tessera.streaming import bronze as SB
 from tessera.streaming import silver as SS
 
@@ -230,7 +231,7 @@ def q_incremental_api_silver(spark, d):
     """First run builds the table in full, the second only merges rows
     beyond the high-water mark; the result equals a full rebuild."""
     raw = bindings.api_raw(spark, d)
-    table = tables.VersionedTable(spark, scratch_path(spark, "api-silver"))
+    table = KeyedTable(spark, scratch_path(spark, "api-silver"), "event_id")
     for visible in (raw.where(F.col("ingested_at") < F.lit(_CUT).cast("timestamp_ntz")), raw):
         target = table.read() if table.exists() else None
         marks = api_ingest.marks_as_timestamps(table.marks()) if target is not None else {}

@@ -165,12 +165,12 @@ def write_counted(df: DataFrame, path: str) -> int:
     return int(write_observed(df, path)["rows"] or 0)
 
 
-def write_observed(df: DataFrame, path: str, metrics: list | None = None) -> dict:
+def write_observed(df: DataFrame, path: str, metrics: list | None = None, partition_by: list[str] | None = None) -> dict:
     """Write ``df`` as parquet at ``path`` (overwrite); return the row count
     (``rows``) and any extra aggregate ``metrics`` computed in the same pass."""
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows"), *(metrics or [])) \
-        .write.mode("overwrite").parquet(path)
+        .write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
     return dict(obs.get)
 
 
@@ -219,6 +219,10 @@ class StaleVersion(RuntimeError):
     """The table moved on since the version that a commit builds on."""
 
 
+class Rewritten(RuntimeError):
+    """Rows were replaced in a range of versions of which only the added rows were asked for."""
+
+
 class LostPointer(RuntimeError):
     """A committed table without any pointer file."""
 
@@ -226,14 +230,15 @@ class LostPointer(RuntimeError):
 class VersionedTable:
     """A parquet table published through small numbered pointer files.
 
-    ``_pointer/v<N>.json`` names the segment folders of version N, its schema,
-    and optional high-water marks; the highest number is the live version.
+    ``_pointer/v<N>.json`` names the segment folders of version N, its schema, the time
+    of its commit and optional high-water marks; the highest number is the live version.
     Writers first *stage* a segment (written, not yet visible), then commit it
     as an extra segment (append) or as a whole new version (rewrite).  A commit
     creates the next pointer file, which fails if that file exists: of two
     writers that start from one version, one gets :class:`StaleVersion`.  No
     pointer is ever replaced, so there is no moment without one; a table that
     was committed once and has none left is an error, not an empty table.
+    Older versions can be read until ``vacuum`` takes them.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -244,7 +249,16 @@ class VersionedTable:
     def _versions(self) -> list[str]:
         return [n for n in fs.list_files(self.spark, self.pointers) if n.startswith("v")]
 
-    def _state(self) -> dict:
+    def _pointer(self, version: int) -> str:
+        return f"{self.pointers}/v{version:012d}.json"
+
+    def _state(self, version: int | None = None) -> dict:
+        """The pointer of a version, by default of the live one."""
+        if version is not None:
+            text = fs.read_text(self.spark, self._pointer(version))
+            if text is None:
+                raise KeyError(f"{self.path} has no version {version} (any more)")
+            return _json.loads(text)
         found = self._versions()
         if found:
             return _json.loads(fs.read_text(self.spark, f"{self.pointers}/{found[-1]}"))
@@ -252,13 +266,31 @@ class VersionedTable:
             raise LostPointer(f"{self.path} was committed before, but has no pointer file")
         return {"version": 0, "segments": []}
 
+    def _dirs(self, state: dict) -> list[str]:
+        """Folders of a version's rows, below the table's."""
+        return state["segments"]
+
     def exists(self) -> bool:
-        return bool(self._state()["segments"])
+        return bool(self._dirs(self._state()))
 
     @property
     def version(self) -> int:
         return int(self._state()["version"])
 
+    def history(self) -> list[dict]:
+        """Version, commit time (UTC), run and kind of each version that can still be read."""
+        states = [self._state(int(n[1:-5])) for n in self._versions()]
+        return [{"version": s["version"], "committed_at": s.get("committed_at"), "run": s.get("run"),
+                 "appends": s.get("appends")} for s in states]
+
+    def version_at(self, moment: str | _dt.datetime) -> int:
+        """The version that was live at ``moment`` (UTC)."""
+        at = str(moment if isinstance(moment, _dt.datetime) else _dt.datetime.fromisoformat(moment))
+        found = [h["version"] for h in self.history() if h["committed_at"] is not None and h["committed_at"] <= at]
+        if not found:
+            raise KeyError(f"{self.path} has no version as old as {at}")
+        return found[-1]
+
     def schema(self) -> T.StructType | None:
         st = self._state()
         return T.StructType.fromJson(_json.loads(st["schema"])) if st.get("schema") else None
@@ -267,17 +299,30 @@ class VersionedTable:
         """High-water marks recorded at commit time (``None`` if never recorded)."""
         return self._state().get("marks")
 
-    def read(self, schema: T.StructType | None = None) -> DataFrame | None:
-        segs = self._state()["segments"]
-        schema = schema or self.schema()
-        if not segs:
-            if schema is None:
-                return None
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(*[f"{self.path}/{s}" for s in segs])
+    def read(self, schema: T.StructType | None = None, version: int | None = None) -> DataFrame | None:
+        """Rows of the live version, or of an older one."""
+        state = self._state(version)
+        if schema is None and state.get("schema"):
+            schema = T.StructType.fromJson(_json.loads(state["schema"]))
+        return self._frame(self._dirs(state), schema)
+
+    def _frame(self, dirs: list[str], schema: T.StructType | None) -> DataFrame | None:
+        if not dirs:
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        return reader.parquet(*[f"{self.path}/{d}" for d in dirs])
+
+    def added(self, since: int, upto: int | None = None) -> DataFrame | None:
+        """Rows appended after version ``since``; :class:`Rewritten` if a version between
+        replaced rows, as its new folders hold old rows too."""
+        upto = self.version if upto is None else upto
+        for v in range(since + 1, upto + 1):
+            if not self._state(v).get("appends"):
+                raise Rewritten(f"{self.path}: version {v} replaced rows")
+        before = set(self._dirs(self._state(since))) if since else set()
+        state = self._state(upto) if upto else self._state()
+        schema = T.StructType.fromJson(_json.loads(state["schema"])) if state.get("schema") else None
+        return self._frame([d for d in self._dirs(state) if d not in before], schema)
 
     # -- staging and commits
     def stage(self, df: DataFrame) -> str:
@@ -288,43 +333,45 @@ class VersionedTable:
         seg, observed = self.stage_observed(df)
         return seg, int(observed["rows"] or 0)
 
-    def stage_observed(self, df: DataFrame, metrics: list | None = None) -> tuple[str, dict]:
+    def stage_observed(self, df: DataFrame, metrics: list | None = None,
+                       partition_by: list[str] | None = None) -> tuple[str, dict]:
         """Stage ``df``; return the segment and the metrics observed while writing."""
         seg = f"seg-{uuid.uuid4().hex[:16]}"
-        return seg, write_observed(df, f"{self.path}/{seg}", metrics)
+        return seg, write_observed(df, f"{self.path}/{seg}", metrics, partition_by)
 
     def read_segment(self, seg: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{seg}")
 
     def _publish(self, segments: list[str], schema: T.StructType, marks: dict | None,
-                 base: int | None = None, run: str | None = None) -> None:
+                 base: int | None = None, run: str | None = None, extra: dict | None = None,
+                 appends: bool = False) -> None:
         st = self._state()
         if base is not None and st["version"] != base:
             raise StaleVersion(f"{self.path}: built on version {base}, live is {st['version']}")
-        have = st.get("schema")
-        if have and segments[:-1] == st["segments"] and len(segments) > 1:
-            old = T.StructType.fromJson(_json.loads(have))
+        if appends and st.get("schema"):
+            old = T.StructType.fromJson(_json.loads(st["schema"]))
             if [(f.name, f.dataType) for f in old] != [(f.name, f.dataType) for f in schema]:
                 raise ValueError(f"appended schema {schema.simpleString()} differs from "
                                  f"table schema {old.simpleString()}")
-        body = {"version": st["version"] + 1, "segments": segments, "schema": schema.json()}
+        body = {"version": st["version"] + 1, "segments": segments, "schema": schema.json(), "appends": appends,
+                "committed_at": str(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)), **(extra or {})}
         if marks is not None:
             body["marks"] = marks
         if run is not None:
             body["run"] = run
         if not st["version"]:
             fs.publish_new(self.spark, f"{self.path}/_created", "")
-        if not fs.publish_new(self.spark, f"{self.pointers}/v{body['version']:012d}.json", _json.dumps(body)):
+        if not fs.publish_new(self.spark, self._pointer(body["version"]), _json.dumps(body)):
             raise StaleVersion(f"{self.path}: another writer committed version {body['version']}")
 
     def run_of(self, version: int) -> str | None:
         """Run id that committed a version (``None`` if none was given or it is gone)."""
-        text = fs.read_text(self.spark, f"{self.pointers}/v{version:012d}.json")
+        text = fs.read_text(self.spark, self._pointer(version))
         return _json.loads(text).get("run") if text else None
 
     def commit_append(self, seg: str, schema: T.StructType, marks: dict | None = None,
                       base: int | None = None) -> None:
-        self._publish(self._state()["segments"] + [seg], schema, marks, base)
+        self._publish(self._state()["segments"] + [seg], schema, marks, base, appends=True)
 
     def commit_rewrite(self, df: DataFrame, marks: dict | None = None, base: int | None = None,
                        run: str | None = None) -> None:
@@ -334,19 +381,34 @@ class VersionedTable:
     def append(self, df: DataFrame) -> None:
         self.commit_append(self.stage(df), df.schema, self.marks())
 
-    def vacuum(self) -> list[str]:
-        """Delete segment folders the live version no longer names (superseded
-        versions and staged segments that were never committed) and all pointer
-        files but the newest.  Run it when no reader still uses an older version
-        and no writer is at work."""
-        live = set(self._state()["segments"])
+    def vacuum(self, older_than: str | _dt.datetime | None = None, keep: frozenset[int] = frozenset()) -> list[str]:
+        """Forget versions and delete the segment folders that only they name.
+
+        The live version stays, and so do versions in ``keep`` (the pointer alone: it tells
+        which run committed them) and versions that were live after ``older_than`` (UTC).
+        Without ``older_than`` all but the live version go, staged segments that were never
+        committed too; with it, staged segments are left to their writers.
+        """
+        names = self._versions()
+        at = None if older_than is None else str(older_than if isinstance(older_than, _dt.datetime)
+                                                 else _dt.datetime.fromisoformat(older_than))
+        states = [self._state(int(n[1:-5])) for n in names]
+        gone = []
+        for state, following in zip(states, states[1:]):
+            # a version was live until the next one was committed
+            if at is None or (following.get("committed_at") or "") <= at:
+                gone.append(state)
+        stay = [s for s in states if s not in gone]
+        live = {d.split("/")[0] for s in stay for d in self._dirs(s)}
+        named = {d.split("/")[0] for s in gone for d in self._dirs(s)}
         dropped = []
-        for name in self._versions()[:-1]:
-            fs.delete(self.spark, f"{self.pointers}/{name}")
         for name in fs.list_dirs(self.spark, self.path):
-            if name.startswith("seg-") and name not in live:
+            if name.startswith("seg-") and name not in live and (at is None or name in named):
                 fs.delete(self.spark, f"{self.path}/{name}")
                 dropped.append(name)
+        for state in gone:
+            if state["version"] not in keep:
+                fs.delete(self.spark, self._pointer(state["version"]))
         return dropped
 
     def rewrite(self, df: DataFrame) -> None:

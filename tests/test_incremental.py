@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import incremental as inc
 from tessera.plans.api_ingest import ApiTables, merge_into, run_cycle
+from tessera.sources.keyed import KeyedTable
 from tessera.sources.tables import VersionedTable
 
 T0 = dt.datetime(2024, 1, 1)
@@ -68,7 +69,7 @@ def test_unparsable_cursor_is_an_error(spark):
 
 
 def test_versioned_table_append_then_rewrite(spark, scratch):
-    t = VersionedTable(spark, scratch("vt"))
+    t = KeyedTable(spark, scratch("vt"), "k")
     assert not t.exists()
     a = spark.createDataFrame([(1, "a")], "k long, v string")
     assert merge_into(t, a, "k") == "append"
@@ -95,7 +96,7 @@ def test_cycle_is_safe_to_rerun(spark, scratch):
 
 
 def test_merge_records_high_water_marks(spark, scratch):
-    t = VersionedTable(spark, scratch("marks"))
+    t = KeyedTable(spark, scratch("marks"), "k")
     rows = [(1, "fraud", T0), (2, "audit", T0 + dt.timedelta(days=2))]
     df = spark.createDataFrame(rows, "k long, source_stream string, ingested_at timestamp_ntz")
     merge_into(t, df, "k", mark_col="ingested_at", mark_by="source_stream")
