@@ -26,6 +26,7 @@ from tessera.session import scratch_path
 from tessera.sources import bindings, tables
 from tessera.sources.keyed import KeyedTable
 from tessera.streaming import bronze as SB
+from tessera.streaming import delivery as SD
 from tessera.streaming import silver as SS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -621,6 +622,35 @@ def q_stream_new_checkpoint(spark, d):
     return SF.silver_core(SS.read_silver(spark, paths, bindings.STREAM_RECORD))
 
 
+@register("stream_compaction", O.with_ctes(f"""
+    SELECT p.phase, s.* FROM ({_SILVER_CORE}) s
+    CROSS JOIN (VALUES ('before'), ('compacted'), ('replayed'), ('cleaned')) p(phase)"""))
+def q_stream_compaction(spark, d):
+    """The sink's rows before its batch folders are merged, after it, after the replay of
+    a merged batch, and without the replaced folders: the same rows each time."""
+    return SF.run_compacted(spark, d, scratch_path(spark, "stream-compact"))
+
+
+@register("stream_delivery_attempts", O.with_ctes("""
+    SELECT CASE WHEN id % 7 IN (0, 4, 5, 6) THEN 'silver'
+                WHEN id % 7 = 1 THEN 'missing_or_mistyped:raw_force_reading'
+                WHEN id % 7 = 2 THEN 'bad_event_time' ELSE 'malformed' END AS outcome,
+           CASE WHEN id % 7 IN (1, 2, 3) THEN 5 END AS attempts,
+           count(*) AS messages, CAST(sum(CASE WHEN id % 7 IN (0, 4, 5, 6) THEN id END) AS BIGINT) AS sum_of_ids
+    FROM stream_records GROUP BY 1, 2"""))
+def q_stream_delivery_attempts(spark, d):
+    """Rejected records are tried again; a mended contract rescues those without a
+    location, the rest is given up after five attempts, and nothing stays pending."""
+    paths = SF.run_redelivery(spark, d, scratch_path(spark, "stream-redelivery"))
+    none = F.lit(None).cast("long").alias("id")
+    dead = SD.read_undeliverable(spark, paths).select(F.col("reject_reason").alias("outcome"), "attempts", none)
+    left = SD.pending(spark, paths).select(F.lit("pending").alias("outcome"), "attempts", none)
+    good = SS.read_silver(spark, paths, bindings.STREAM_RECORD).select(
+        F.lit("silver").alias("outcome"), F.lit(None).cast("int").alias("attempts"), F.col("event_id").alias("id"))
+    return (dead.unionByName(left).unionByName(good).groupBy("outcome", "attempts")
+            .agg(F.count("*").alias("messages"), F.sum("id").alias("sum_of_ids")))
+
+
 @register("fact_stream_sink", O.table("fact_unified"))
 def q_fact_stream_sink(spark, d):
     """Batch gold over the streaming sink (Lambda-style unification)."""

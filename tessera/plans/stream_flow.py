@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.sources import bindings
+from tessera.sources import bindings, fs
+from tessera.sources.tables import materialize
+from tessera.streaming import delivery, sink
 from tessera.streaming import silver as S
 from tessera.streaming.bronze import topic_source
 
@@ -81,5 +85,45 @@ def run_with_new_checkpoint(spark: SparkSession, sf_dir: str, root: str) -> S.St
     return paths
 
 
+def replay_last_batch(spark: SparkSession, topic: str, paths: S.StreamPaths) -> None:
+    """Run the query again after the loss of its checkpoint's last commit: Spark hands the
+    last batch to the sink once more."""
+    commits = f"{paths.checkpoint}/commits"
+    fs.delete(spark, f"{commits}/{max(fs.list_files(spark, commits), key=int)}")
+    S.run_available(spark, topic_source(spark, topic), paths, record=bindings.STREAM_RECORD)
+
+
+def run_compacted(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Sink rows of a restarted query, labelled with the phase that they were read in: before a
+    compaction of all days, after it, after the replay of a batch that it holds, and with
+    the replaced folders deleted."""
+    paths = run_with_restart(spark, sf_dir, root)
+    seen = []
+
+    def look(phase: str) -> None:
+        rows = silver_core(S.read_silver(spark, paths, bindings.STREAM_RECORD))
+        seen.append(materialize(rows.select(F.lit(phase).alias("phase"), *rows.columns), f"sink-{phase}"))
+
+    look("before")
+    S.compact(spark, paths, "9999-12-31", bindings.STREAM_RECORD)
+    look("compacted")
+    replay_last_batch(spark, f"{root}/topic", paths)
+    look("replayed")
+    sink.drop_superseded(spark, paths.root, paths.silver, S.DAY_COL)
+    look("cleaned")
+    return reduce(DataFrame.unionByName, seen)
+
+
+def run_redelivery(spark: SparkSession, sf_dir: str, root: str) -> S.StreamPaths:
+    """The faulty topic, one redelivery under the same contract, then a mended contract that
+    does without a location, until nothing is pending."""
+    paths = run_faulty(spark, sf_dir, root)
+    delivery.redeliver(spark, paths, bindings.STREAM_RECORD)
+    mended = [n for n in bindings.STREAM_RECORD.names if n != "location_id"]
+    while delivery.redeliver(spark, paths, bindings.STREAM_RECORD, required=mended) < delivery.MAX_ATTEMPTS - 1:
+        pass
+    return paths
+
+
 def silver_core(df: DataFrame) -> DataFrame:
     return df.select("event_id", "vessel_id", "location_id", "gravity_g", "observed_at")

@@ -112,3 +112,9 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return bool(fs.delete(p, True))
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``, from the file system's own summary."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

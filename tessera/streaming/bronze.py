@@ -54,27 +54,30 @@ def _parse_schema(record: T.StructType) -> T.StructType:
 
 
 def parse_contract(messages: DataFrame, record: T.StructType = STREAM_RECORD,
-                   time_field: str = "event_time") -> DataFrame:
+                   time_field: str = "event_time", required: list[str] | None = None,
+                   keep: list[str] | None = None) -> DataFrame:
     """Parse payloads against the record schema and mark each row valid or
     not, with a reason.  Unknown fields are ignored; every declared field is
-    required; the event time must parse as ISO-8601.  Works on batch and
-    streaming DataFrames alike."""
+    required (or those in ``required``); the event time must parse as ISO-8601.  Works on
+    batch and streaming DataFrames alike.  ``keep`` names columns beside ``value`` to carry on."""
     schema = _parse_schema(record)
+    keep = keep or []
     parsed = messages.select(
-        "value",
+        "value", *keep,
         F.from_json("value", schema, {"mode": "PERMISSIVE",
                                       "columnNameOfCorruptRecord": CORRUPT_COL}).alias("r"))
     names = [f.name for f in record.fields]
+    must = names if required is None else [n for n in names if n in required]
     missing = F.array_compact(F.array(*[
-        F.when(F.col(f"r.{n}").isNull(), F.lit(n)) for n in names]))
-    unreadable = F.col("r").isNull() | (F.col(f"r.{CORRUPT_COL}").isNotNull()
-                                        & (F.size(missing) == len(names)))
+        F.when(F.col(f"r.{n}").isNull(), F.lit(n)) for n in must]))
+    nothing = F.coalesce(*[F.col(f"r.{n}").cast("string") for n in names]).isNull()
+    unreadable = F.col("r").isNull() | (F.col(f"r.{CORRUPT_COL}").isNotNull() & nothing)
     reason = (F.when(unreadable, F.lit("malformed"))
               .when(F.size(missing) > 0, F.concat(F.lit("missing_or_mistyped:"),
                                                   F.array_join(missing, ",")))
               .when(parse_iso_timestamp(F.col(f"r.{time_field}")).isNull(),
                     F.lit("bad_" + time_field)))
-    return parsed.select("value", *[F.col(f"r.{n}").alias(n) for n in names],
+    return parsed.select("value", *keep, *[F.col(f"r.{n}").alias(n) for n in names],
                          reason.alias("reject_reason"))
 
 

@@ -4,11 +4,14 @@ One streaming query reads the topic once; ``foreachBatch`` splits each
 micro-batch into valid rows (bronze + silver) and dead letters.  Every write
 overwrites only partitions of its own query and batch (dynamic partition
 overwrite), so a micro-batch replayed after a failure replaces its earlier
-output instead of duplicating it; offsets live in the checkpoint, so a restart
-neither loses nor replays committed batches.  The query's id is kept in the
-checkpoint: a query with a new checkpoint has another id and its batch 0 never
-replaces an older query's.  Bronze is foldered by day of arrival, which is the
-batch's own recorded time and so the same when a batch is replayed.
+output instead of duplicating it.  Readers see a batch once all its tables are
+written (``sink.commit_batch``), and a batch that is replayed after that, as its
+offsets were not recorded any more, is skipped: it may be compacted already.
+Offsets live in the checkpoint, so a restart neither loses nor replays committed
+batches.  The query's id is kept in the checkpoint: a query with a new checkpoint
+has another id and its batch 0 never replaces an older query's.  Bronze is foldered
+by day of arrival, which is the batch's own recorded time and so the same when a
+batch is replayed.
 """
 
 from __future__ import annotations
@@ -23,11 +26,12 @@ from pyspark.sql import types as T
 
 from tessera.operators.silver import stg_telemetry_stream
 from tessera.schemas import STREAM_RECORD
+from tessera.streaming import sink
 from tessera.streaming.bronze import dead_letters, parse_contract
+from tessera.streaming.sink import QUERY_COL
 
 DAY_COL = "observed_date"
 ARRIVED_COL = "arrived_on"
-QUERY_COL = "query_id"
 
 
 @dataclass
@@ -57,27 +61,35 @@ def _overwrite_own_partitions(df: DataFrame, path: str, partition_cols: list[str
      .partitionBy(*partition_cols).parquet(path))
 
 
+def write_valid(valid: DataFrame, paths: StreamPaths, own: dict, record: T.StructType = STREAM_RECORD,
+                processed_at=None) -> None:
+    """Bronze and silver of valid records, in the partitions of ``own`` (query and batch)."""
+    if ARRIVED_COL not in valid.columns:  # not from a streaming query
+        valid = valid.withColumn(ARRIVED_COL, F.to_date(F.current_timestamp()))
+    _overwrite_own_partitions(valid.select(*record.fieldNames(), ARRIVED_COL).withColumns(own),
+                              paths.bronze, [ARRIVED_COL, *own])
+    silver = (stg_telemetry_stream(valid.select(*record.fieldNames()), processed_at)
+              .withColumn(DAY_COL, F.to_date("observed_at")).withColumns(own))
+    _overwrite_own_partitions(silver, paths.silver, [DAY_COL, *own])
+
+
 def micro_batch_writer(paths: StreamPaths, processed_at=None,
                        record: T.StructType = STREAM_RECORD):
-    """The ``foreachBatch`` function: idempotent per ``batch_id``."""
+    """The ``foreachBatch`` function: each batch of a query takes effect once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        own = {QUERY_COL: F.lit(query_id or "direct"), "batch_id": F.lit(batch_id).cast("long")}
-        if ARRIVED_COL not in batch.columns:  # called outside of a streaming query
-            batch = batch.withColumn(ARRIVED_COL, F.to_date(F.current_timestamp()))
+        spark = batch.sparkSession
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        if sink.last_batch(spark, paths.root, query_id) >= batch_id:
+            return
+        own = {QUERY_COL: F.lit(query_id), sink.BATCH_COL: F.lit(batch_id).cast("long")}
         batch = batch.persist()
         try:
-            valid = batch.where(F.col("reject_reason").isNull())
-            _overwrite_own_partitions(
-                valid.select(*record.fieldNames(), ARRIVED_COL).withColumns(own),
-                paths.bronze, [ARRIVED_COL, *own])
-            silver = (stg_telemetry_stream(valid.select(*record.fieldNames()), processed_at)
-                      .withColumn(DAY_COL, F.to_date("observed_at")).withColumns(own))
-            _overwrite_own_partitions(silver, paths.silver, [DAY_COL, *own])
+            write_valid(batch.where(F.col("reject_reason").isNull()), paths, own, record, processed_at)
             _overwrite_own_partitions(dead_letters(batch).withColumns(own), paths.dead_letters, list(own))
         finally:
             batch.unpersist()
+        sink.commit_batch(spark, paths.root, query_id, batch_id)
 
     return write
 
@@ -136,12 +148,12 @@ def silver_schema(record: T.StructType = STREAM_RECORD) -> T.StructType:
 
 def read_silver(spark: SparkSession, paths: StreamPaths,
                 record: T.StructType = STREAM_RECORD) -> DataFrame:
-    """Batch read of the sink (declared schema: an empty sink reads as empty)."""
-    return spark.read.schema(silver_schema(record)).parquet(paths.silver)
+    """Batch read of the sink's committed batches (declared schema: an empty sink reads as empty)."""
+    return sink.read_visible(spark, paths.root, paths.silver, silver_schema(record), DAY_COL)
 
 
 def read_dead_letters(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.schema(DEAD_LETTER_SCHEMA).parquet(paths.dead_letters)
+    return sink.read_visible(spark, paths.root, paths.dead_letters, DEAD_LETTER_SCHEMA)
 
 
 def bronze_schema(record: T.StructType = STREAM_RECORD) -> T.StructType:
@@ -152,4 +164,11 @@ def bronze_schema(record: T.StructType = STREAM_RECORD) -> T.StructType:
 
 
 def read_bronze(spark: SparkSession, paths: StreamPaths, record: T.StructType = STREAM_RECORD) -> DataFrame:
-    return spark.read.schema(bronze_schema(record)).parquet(paths.bronze)
+    return sink.read_visible(spark, paths.root, paths.bronze, bronze_schema(record), ARRIVED_COL)
+
+
+def compact(spark: SparkSession, paths: StreamPaths, before, record: T.StructType = STREAM_RECORD,
+            target_bytes: int = 256 << 20) -> dict[str, sink.Compaction]:
+    """Merge the batch folders of silver's and bronze's closed days (earlier than ``before``)."""
+    return {"silver": sink.compact(spark, paths.root, paths.silver, silver_schema(record), DAY_COL, before, "event_id", target_bytes),
+            "bronze": sink.compact(spark, paths.root, paths.bronze, bronze_schema(record), ARRIVED_COL, before, "id", target_bytes)}
