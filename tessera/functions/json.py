@@ -18,22 +18,23 @@ def variant_kind(v: Column | str, path: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(root, path, "variant"))
 
 
-def json_scalar(col: Column | str, path: str, parsed: Column | str | None = None) -> Column:
+def json_scalar(col: Column | str, path: str) -> Column:
     """Value at ``path`` as STRING when it is a JSON scalar; NULL for objects,
     arrays, JSON null, a missing path or malformed text.
 
-    The text of the value comes from the JSON itself, so ``1.0`` and numbers of
-    any length stay as written; of a repeated key the first counts.
-    ``get_json_object`` also returns the text of nested values: the parsed
-    payload tells those from strings that look like them.  A payload that
-    VARIANT rejects (repeated keys) has no such type, and there a value that is
-    itself an object or array counts as nested.  ``parsed`` is the payload's
-    VARIANT, when the caller has it for several paths.
+    The value is the first of a repeated key.  Strings come unescaped and integers of any
+    length as written; a number with a fraction or an exponent is printed as the double it
+    stands for (``1.50`` gives ``1.5``, ``1e5`` gives ``100000.0``).
+
+    ``get_json_object`` also returns the text of nested values.  Only where a value begins
+    like one is the payload parsed a second time, as a VARIANT, whose type tells an object or
+    array from a string that looks like it.  A payload that VARIANT rejects (repeated keys)
+    has no such type, and there a value that is itself an object or array counts as nested.
     """
     text = F.col(col) if isinstance(col, str) else col
-    parsed = parse_payload(text) if parsed is None else F.col(parsed) if isinstance(parsed, str) else parsed
     value = F.get_json_object(text, path)
-    looks_nested = value.rlike(r"^[\{\[]")
+    parsed = parse_payload(text)
     nested = F.when(parsed.isNotNull(), variant_kind(parsed, path).rlike("^(OBJECT|ARRAY)")) \
         .otherwise(F.try_parse_json(value).isNotNull())
-    return F.when(~F.coalesce(looks_nested & nested, F.lit(False)), value)
+    return (F.when(~F.substring(value, 1, 1).isin("{", "["), value)
+            .when(value.isNotNull(), F.when(~F.coalesce(nested, F.lit(False)), value)))

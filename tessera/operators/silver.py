@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.json import json_scalar, parse_payload
+from tessera.functions.json import json_scalar
 from tessera.functions.temporal import parse_iso_timestamp, seconds_to_timestamp, to_ntz
 from tessera.functions.text import title_case
 
@@ -101,15 +101,12 @@ def api_silver_projection(raw: DataFrame, value_path: str = "$.value",
     ``raw`` carries ``source_stream`` (one DataFrame for all streams, the
     stream being a column rather than a separate table per stream).
     """
-    # parse each payload once; both paths read the same VARIANT (the parse is
-    # not cheap, so Catalyst keeps it in its own projection)
-    parsed = raw.withColumn("_payload", parse_payload("data"))
-    return parsed.select(
+    return raw.select(
         "event_id",
         "stream_type",
         "source_stream",
-        json_scalar("data", value_path, "_payload").alias("measure_value"),
-        json_scalar("data", message_path, "_payload").alias("event_message"),
+        json_scalar("data", value_path).alias("measure_value"),
+        json_scalar("data", message_path).alias("event_message"),
         seconds_to_timestamp("timestamp").alias("observed_at"),
         F.col("ingested_at").cast("timestamp_ntz").alias("ingested_at"),
     )

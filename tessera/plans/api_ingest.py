@@ -28,9 +28,8 @@ from tessera.sources import bindings, fs
 from tessera.sources.keyed import KeyedTable
 from tessera.sources.tables import (
     VersionedTable,
-    append_raw,
     expire_partitions,
-    read_ndjson,
+    load_landed,
     run_folder,
     write_landing,
 )
@@ -51,6 +50,10 @@ class ApiTables:
     def raw(self) -> str:
         return f"{self.root}/raw"
 
+    @property
+    def rejects(self) -> str:
+        return f"{self.root}/rejects"
+
     def silver(self, spark: SparkSession) -> KeyedTable:
         return KeyedTable(spark, f"{self.root}/silver", "event_id")
 
@@ -127,12 +130,16 @@ def _finished(spark: SparkSession, tables: ApiTables, wm: VersionedTable, run_id
 
 def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: list[str],
               stamp, run_id: str, value_path: str = "$.value", message_path: str = "$.message",
-              keep_days: int | None = None, after_step: Callable[[str], None] = lambda step: None) -> dict:
+              keep_days: int | None = None, after_step: Callable[[str], None] = lambda step: None,
+              max_rejected: int = 0, forget_before: str | None = None) -> dict:
     """One ingestion run over a stream log ``(stream_name, pos, event_id,
     stream_type, data, timestamp)``.  Returns a small report.
 
     ``stamp`` may be older than an earlier run's (a backfill) or equal to it.
     ``keep_days`` expires landed days that are older than that before the stamp.
+    Landed lines that cannot be read are set aside; more than ``max_rejected`` of them stop
+    the run before silver and cursors move.  ``forget_before`` (a UTC time) deletes what only
+    table versions superseded by then hold.
     ``after_step`` is called after each commit point (land, raw, silver, cursors).
     """
     wm_table = tables.watermarks(spark)
@@ -154,8 +161,7 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     after_step("land")
 
     # raw: the landed files loaded into the run's folder of the raw table
-    landed = read_ndjson(spark, landing_dir, LANDED).select(*API_RAW.fieldNames())
-    append_raw(landed, tables.raw, run_id=run_id)
+    loaded = load_landed(spark, landing_dir, LANDED, API_RAW.fieldNames(), tables.raw, tables.rejects, run_id, max_rejected)
     after_step("raw")
 
     # silver: this run's raw rows, merged by key
@@ -175,7 +181,20 @@ def run_cycle(spark: SparkSession, log: DataFrame, tables: ApiTables, streams: l
     expired = []
     if keep_days is not None:
         expired = expire_partitions(spark, tables.landing, "dt", str(stamp)[:10], keep_days)
-    return {"run_id": run_id, "silver_write": mode, "expired": len(expired)}
+    forgotten = forget_versions(spark, tables, forget_before) if forget_before is not None else []
+    return {"run_id": run_id, "silver_write": mode, "expired": len(expired), "forgotten": len(forgotten), **loaded}
+
+
+def forget_versions(spark: SparkSession, tables: ApiTables, before: str) -> list[str]:
+    """Delete what only versions superseded before ``before`` (UTC) hold, of silver and cursors.
+
+    A run that is not noted as done may have committed the cursor version its note names:
+    that version's pointer stays, so the run is still known to be finished.
+    """
+    notes = fs.list_files(spark, f"{tables.root}/runs")
+    done = {n.removesuffix(".done") for n in notes if n.endswith(".done")}
+    named = {int(n.rsplit(".v", 1)[1]) for n in notes if not n.endswith(".done") and n.rsplit(".v", 1)[0] not in done}
+    return tables.silver(spark).vacuum(before) + tables.watermarks(spark).vacuum(before, keep=frozenset(named))
 
 
 # ---------------------------------------------------------------------------

@@ -12,7 +12,8 @@ from tessera.operators import gold, silver
 from tessera.operators.sizing import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_bounded
 from tessera.schemas import RAW_LOCATIONS, RAW_RESEARCHERS, RAW_TELEMETRY, RAW_VESSELS
 from tessera.sources import bindings
-from tessera.sources.tables import Releases, load_seeds, materialize_counted, write_partitioned_table
+from tessera.sources.layout import write_clustered_table
+from tessera.sources.tables import Releases, load_seeds, materialize_counted
 
 
 @dataclass
@@ -182,8 +183,8 @@ def daily_build(spark: SparkSession, sf_dir: str | None, gold_root: str, suite=N
                    "dim_researchers": g.dims.researchers}
     gated(dims_models)
     fact_path = f"{folder}/fct_events"
-    write_partitioned_table(g.fact, fact_path, "observed_at", "observed_date",
-                            ("location_id", "vessel_id", "vessel_type"), tiebreak=("event_id",))
+    write_clustered_table(g.fact, fact_path, "observed_at", "observed_date",
+                          ["location_id", "vessel_id", "vessel_type"], tiebreak=["event_id"])
     gated({"fct_events": spark.read.parquet(fact_path)})
     paths = {k: f"{folder}/{k}" for k in dims_models} | {"fct_events": fact_path}
     return {"release": releases.publish(paths, base), "fact": fact_path,

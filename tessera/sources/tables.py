@@ -42,20 +42,65 @@ def write_csv_seed(df: DataFrame, path: str) -> None:
      .csv(path))
 
 
-def read_ndjson(spark: SparkSession, path: str, schema: T.StructType, payload: str = "data") -> DataFrame:
+BROKEN_COL, FILE_COL = "_broken", "_file"
+
+
+def read_ndjson(spark: SparkSession, path: str, schema: T.StructType, payload: str = "data",
+                with_broken: bool = False) -> DataFrame:
     """A2: newline-delimited JSON with an explicit schema.  A STRING field keeps a
     nested object's JSON text as it stands in the file; a payload that was landed
-    as text (see :func:`landing_lines`) comes back in the same column."""
+    as text (see :func:`landing_lines`) comes back in the same column.
+
+    ``with_broken`` adds the line itself in ``_broken`` where it is no JSON object, does
+    not fit the schema or holds none of its fields, and the file it is in as ``_file``.
+    """
     kept_as_text = payload + TEXT_SUFFIX
-    read = T.StructType([*schema.fields, T.StructField(kept_as_text, T.StringType())])
-    df = (spark.read.schema(read if payload in schema.names else schema)
+    read = T.StructType([*schema.fields, *([T.StructField(kept_as_text, T.StringType())] if payload in schema.names else []),
+                         *([T.StructField(BROKEN_COL, T.StringType())] if with_broken else [])])
+    df = (spark.read.schema(read)
           .option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", BROKEN_COL)
           .option("timestampNTZFormat", ISO_FORMAT)
           .option("timestampFormat", ISO_FORMAT)
           .json(path))
-    if payload not in schema.names:
-        return df
-    return df.withColumn(payload, F.coalesce(payload, kept_as_text)).drop(kept_as_text)
+    if with_broken:
+        empty = F.coalesce(*[F.col(c).cast("string") for c in read.names if c != BROKEN_COL]).isNull()
+        df = (df.withColumn(FILE_COL, F.col("_metadata.file_path"))
+              .withColumn(BROKEN_COL, F.coalesce(BROKEN_COL, F.when(empty, F.lit("{}")))))
+    if payload in schema.names:
+        df = df.withColumn(payload, F.coalesce(payload, kept_as_text)).drop(kept_as_text)
+    return df
+
+
+class TooManyRejected(RuntimeError):
+    """A load set aside more lines than it was allowed to."""
+
+
+def load_landed(spark: SparkSession, landing: str, schema: T.StructType, columns: list[str], raw: str, rejects: str,
+                run_id: str, max_rejected: int = 0) -> dict[str, int]:
+    """A2 / A4: load a run's landed files into its folder of the raw table.
+
+    Broken lines do not become rows of nulls: they go, with their file, to the run's folder
+    below ``rejects``.  One pass loads and counts; a second one is made only if there are
+    broken lines.  Returns ``lines``, ``loaded`` and ``rejected`` (the sum of the two is the
+    first); more than ``max_rejected`` raise :class:`TooManyRejected`, after they were set aside.
+    """
+    lines = read_ndjson(spark, landing, schema, with_broken=True)
+    seen = Observation(f"load_{uuid.uuid4().hex[:8]}")
+    broken = F.col(BROKEN_COL).isNotNull()
+    counted = lines.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(broken).alias("rejected"))
+    append_raw(counted.where(~broken).select(*columns), raw, run_id=run_id)
+    found = {k: int(v or 0) for k, v in seen.get.items()}
+    found["loaded"] = found["lines"] - found["rejected"]
+    aside = run_folder(rejects, run_id)
+    if found["rejected"]:
+        lines.where(broken).select(F.col(BROKEN_COL).alias("line"), F.col(FILE_COL).alias("file")) \
+            .write.mode("overwrite").parquet(aside)
+    else:
+        fs.delete(spark, aside)  # of an earlier try of this run
+    if found["rejected"] > max_rejected:
+        raise TooManyRejected(f"{found['rejected']} of {found['lines']} landed lines are broken ({max_rejected} allowed): see {aside}")
+    return found
 
 
 # --------------------------------------------------------------- landing (A3, A4)
@@ -127,9 +172,9 @@ def write_partitioned_table(df: DataFrame, path: str, day_source: str, day_col:
     it would sort again.  ``tiebreak`` columns (high cardinality, e.g. the
     event id) end the range key so that one hot (day, cluster) combination is
     still cut into several ranges instead of landing in a single task.
-    ``num_partitions`` sizes the ranges for the data (see
-    ``session.shuffle_partitions_for``); by default the session's shuffle
-    partition count is used and AQE coalesces small ranges.
+    By default the session's shuffle partition count is used and AQE coalesces small
+    ranges; :func:`tessera.sources.layout.write_clustered_table` sizes them by the data
+    and clusters on all columns alike.
     """
     keys = [day_col, *cluster_by, *tiebreak]
     out = df.withColumn(day_col, F.to_date(day_source))

@@ -26,6 +26,21 @@ def test_json_scalar_only_returns_scalars(spark):
     assert got == ["{x", None, None, None, "1.5", "true", None, None, None]
 
 
+def test_json_scalar_numbers_and_repeated_keys(spark):
+    docs = {'{"v": 12345678901234567890123456789012345678901}': "12345678901234567890123456789012345678901",
+            '{"v": 1e5}': "100000.0", '{"v": 0.1000}': "0.1", '{"v": -0}': "0", '{"v": "1.50"}': "1.50",
+            '{"v": "[1]"}': "[1]", '{"v": "{\\"a\\": 1}"}': '{"a": 1}', '{"v": 1, "v": 2}': "1",
+            '{"v": {"a": 1}, "v": 2}': None, '{"v": "[x", "v": 2}': "[x", '{"v": ""}': ""}
+    df = spark.createDataFrame([(d,) for d in docs], "d string")
+    assert {r.d: r.x for r in df.select("d", json_scalar("d", "$.v").alias("x")).collect()} == docs
+
+
+def test_the_variant_is_parsed_in_a_branch_only(spark):
+    df = spark.createDataFrame([('{"v": 1}',)], "d string").select(json_scalar("d", "$.v").alias("x"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("CASE WHEN") < plan.find("parseJson")
+
+
 def test_seconds_round_half_away_from_zero(spark):
     df = spark.createDataFrame([(1.5,), (-0.5,), (2.5,)], "x double")
     got = [r[0] for r in df.select(seconds_to_timestamp("x")).collect()]
