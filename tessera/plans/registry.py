@@ -254,7 +254,7 @@ def q_incremental_api_silver(spark, d):
         marks = api_ingest.marks_as_timestamps(table.marks()) if target is not None else {}
         new = inc.incremental_filter(visible, target, scope="per_stream", marks=marks)
         api_ingest.merge_into(table, silver.api_silver_projection(new, "$.k"), "event_id",
-                              mark_col="ingested_at", mark_by="source_stream")
+                              mark_col="ingested_at", mark_by="source_stream", mark_groups=api_ingest.STREAMS)
     return table.read()
 
 

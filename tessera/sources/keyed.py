@@ -51,11 +51,14 @@ class Merge:
 
 
 class KeyedTable(VersionedTable):
+    """``filter_rows``: entries of fewer rows have no filter, as reading their keys costs no more."""
+
     def __init__(self, spark: SparkSession, path: str, key: str | list[str], buckets: int = 8,
-                 rows_per_bucket: int = 4_000_000, max_files: int = 8):
+                 rows_per_bucket: int = 4_000_000, max_files: int = 8, filter_rows: int = 100_000):
         super().__init__(spark, path)
         self.key = [key] if isinstance(key, str) else list(key)
         self.buckets, self.rows_per_bucket, self.max_files = buckets, rows_per_bucket, max_files
+        self.filter_rows = filter_rows
 
     # ------------------------------------------------------------------ layout
     def entries(self, state: dict | None = None) -> list[dict]:
@@ -95,7 +98,7 @@ class KeyedTable(VersionedTable):
         ends = [F.min(self.key[0]), F.max(self.key[0])] if isinstance(ranged, (T.IntegralType, T.StringType)) else [F.lit(None)] * 2
         rows = (staged.groupBy(BUCKET, *self.key).agg(F.count(F.lit(1)).alias("n")).groupBy(BUCKET)
                 .agg(F.sum("n").alias("rows"), F.max("n").alias("most"), ends[0].alias("lo"), ends[1].alias("hi")).collect())
-        entries = [{"seg": seg, "bucket": r[BUCKET], "rows": r["rows"], "blocks": -(-r["rows"] * BITS_PER_KEY // BLOCK_BITS),
+        entries = [{"seg": seg, "bucket": r[BUCKET], "rows": r["rows"], "blocks": -(-r["rows"] * BITS_PER_KEY // BLOCK_BITS) if r["rows"] >= self.filter_rows else 0,
                     "lo": r["lo"], "hi": r["hi"]} for r in sorted(rows, key=lambda r: r[BUCKET])]
         return entries, max((r["most"] for r in rows), default=0)
 
@@ -114,22 +117,28 @@ class KeyedTable(VersionedTable):
                                                       "seg string, bucket int, blocks bigint"))
 
     def _write_bloom(self, seg: str, staged: DataFrame, entries: list[dict]) -> None:
+        entries = [e for e in entries if e["blocks"]]
+        if not entries:
+            return
         keys = staged.select(F.col(BUCKET).alias("bucket"), *self.key).join(self._small(entries), "bucket")
         (self._marked(keys).groupBy("seg", "bucket", "block")
          .agg(*[F.bit_or(f"m{i}").alias(f"w{i}") for i in range(WORDS)])
          .write.mode("overwrite").parquet(f"{self.path}/{seg}/_bloom"))
 
     def may_match(self, keys: DataFrame, entries: list[dict]) -> set[tuple[str, int]]:
-        """(seg, bucket) of entries whose filter holds a key of ``keys`` (_bucket, key columns)."""
+        """(seg, bucket) of entries whose filter holds a key of ``keys`` (_bucket, key columns), and
+        of those without a filter."""
+        open_ = {(e["seg"], e["bucket"]) for e in entries if not e["blocks"]}
+        entries = [e for e in entries if e["blocks"]]
         if not entries:
-            return set()
+            return open_
         segs = sorted({e["seg"] for e in entries})
         bloom = self.spark.read.schema(_BLOOM).parquet(*[f"{self.path}/{s}/_bloom" for s in segs])
         asked = self._marked(keys.withColumnRenamed(BUCKET, "bucket").join(self._small(entries), "bucket"))
         hit = asked.join(bloom, ["seg", "bucket", "block"])
         for i in range(WORDS):
             hit = hit.filter(F.col(f"w{i}").bitwiseAND(F.col(f"m{i}")) == F.col(f"m{i}"))
-        return {(r["seg"], r["bucket"]) for r in hit.select("seg", "bucket").distinct().collect()}
+        return open_ | {(r["seg"], r["bucket"]) for r in hit.select("seg", "bucket").distinct().collect()}
 
     # ---------------------------------------------------------------- the merge
     def merge(self, source: DataFrame, on_duplicate: str = "error", marks=lambda observed, old: old,

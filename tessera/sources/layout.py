@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,22 +35,32 @@ def range_of(column: str, bounds: list, bits: int = BITS) -> Column:
     """Number of bounds that are at most the value, spread over 2**bits places, so that a
     column of few values weighs as much as one of many: a balanced tree of comparisons, as
     many for a row as the number has bits; null counts as the smallest value."""
-    def tree(lo: int, hi: int) -> Column:
+    def tree(lo: int, hi: int) -> str:
         if lo == hi:
-            return F.lit((lo << bits) // (len(bounds) + 1))
+            return str((lo << bits) // (len(bounds) + 1))
         mid = (lo + hi) // 2
-        return F.when(F.col(column) >= F.lit(bounds[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
-    return tree(0, len(bounds)).cast("long")
+        return f"CASE WHEN x.v >= x.b[{mid}] THEN {tree(mid + 1, hi)} ELSE {tree(lo, mid)} END"
+    text = tree(0, len(bounds))
+    for i, value in enumerate(bounds):
+        text = text.replace(f"x.b[{i}]", _literal(value))
+    return F.expr(text.replace("x.v", f"`{column}`")).cast("long")
+
+
+def _literal(value) -> str:
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    if isinstance(value, (bool, int)):
+        return str(value)
+    if isinstance(value, float):
+        return f"double('{value!r}')"
+    return f"'{value}'"  # dates, timestamps and decimals: cast to the column's type by the comparison
 
 
-def interleaved(ranges: list[Column], bits: int = BITS) -> Column:
-    """Z-order number: the ranges' bits in turns, the highest first."""
-    parts = []
-    for bit in range(bits):
-        for i, r in enumerate(ranges):
-            place = bit * len(ranges) + (len(ranges) - 1 - i)
-            parts.append(F.shiftleft(F.shiftright(r, bit).bitwiseAND(F.lit(1).cast("long")), place))
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+def interleaved(ranges: list[str], bits: int = BITS) -> Column:
+    """Z-order number of the named range columns: their bits in turns, the highest first."""
+    return F.expr(" | ".join(f"shiftleft(shiftright({r}, {bit}) & 1L, {bit * len(ranges) + len(ranges) - 1 - i})"
+                             for bit in range(bits) for i, r in enumerate(ranges)))
 
 
 def write_clustered_table(df: DataFrame, path: str, day_source: str, day_col: str, cluster_by: list[str],
@@ -77,7 +85,8 @@ def write_clustered_table(df: DataFrame, path: str, day_source: str, day_col: st
     files = max(1, least, -(-size // target_bytes))
     if order == "z" and cluster_by:
         bounds = range_bounds(stored, list(cluster_by), rows)
-        keyed = stored.withColumn("_z", interleaved([range_of(c, bounds[c]) for c in cluster_by]))
+        places = {f"_r{i}": range_of(c, bounds[c]) for i, c in enumerate(cluster_by)}
+        keyed = stored.withColumns(places).withColumn("_z", interleaved(list(places))).drop(*places)
         keys = [day_col, "_z", *tiebreak]
     else:
         keyed, keys = stored.withColumn("_z", F.lit(0)), [day_col, *cluster_by, *tiebreak]

@@ -22,7 +22,7 @@ def files(t):
 
 @pytest.mark.parametrize("text", [False, True])
 def test_one_redelivered_row_rewrites_one_bucket(spark, scratch, text):
-    t = KeyedTable(spark, scratch("kt"), "k", buckets=8)
+    t = KeyedTable(spark, scratch("kt"), "k", filter_rows=1, buckets=8)
     assert t.merge(rows(spark, range(400), text=text)).mode == "append"
     before = files(t)
     done = t.merge(rows(spark, [17], "b", text))
@@ -36,7 +36,7 @@ def test_one_redelivered_row_rewrites_one_bucket(spark, scratch, text):
 
 
 def test_new_keys_read_no_old_file(spark, scratch):
-    t = KeyedTable(spark, scratch("new"), "k", buckets=4)
+    t = KeyedTable(spark, scratch("new"), "k", filter_rows=1, buckets=4)
     t.merge(rows(spark, range(100)))
     done = t.merge(rows(spark, range(1000, 1050), "b"))       # beyond every key range
     assert (done.mode, done.probed, done.rewritten) == ("append", 0, [])
@@ -50,7 +50,7 @@ def test_new_keys_read_no_old_file(spark, scratch):
 
 
 def test_filters_have_no_false_misses_and_few_false_hits(spark, scratch):
-    t = KeyedTable(spark, scratch("bloom"), "k", buckets=4)
+    t = KeyedTable(spark, scratch("bloom"), "k", filter_rows=1, buckets=4)
     t.merge(spark.range(0, 20_000, 2).select(F.col("id").alias("k"), F.lit("a").alias("v")))
     entries = t.entries()
 
@@ -59,12 +59,13 @@ def test_filters_have_no_false_misses_and_few_false_hits(spark, scratch):
 
     for k in (0, 19_998, 7_000):
         assert len(t.may_match(keys(rows(spark, [k])), entries)) == 1
+    assert KeyedTable(spark, t.path, "k", buckets=4).may_match(keys(rows(spark, [1])), [e | {"blocks": 0} for e in entries])
     misses = [bool(t.may_match(keys(rows(spark, [k])), entries)) for k in range(1, 40, 2)]
     assert sum(misses) <= 1
 
 
 def test_files_of_a_bucket_are_compacted_and_buckets_double(spark, scratch):
-    t = KeyedTable(spark, scratch("grow"), "k", buckets=2, rows_per_bucket=50, max_files=3)
+    t = KeyedTable(spark, scratch("grow"), "k", filter_rows=1, buckets=2, rows_per_bucket=50, max_files=3)
     reports = [t.merge(rows(spark, range(20 * i, 20 * i + 20), str(i))) for i in range(9)]
     assert any(r.compacted for r in reports) and all(r.mode in ("append", "rewrite") for r in reports)
     assert t.bucket_count() == 4
@@ -79,7 +80,7 @@ def test_files_of_a_bucket_are_compacted_and_buckets_double(spark, scratch):
 def test_random_merges_equal_a_dict(spark, scratch):
     import random
     rng = random.Random(4)
-    t, want = KeyedTable(spark, scratch("dict"), ["k", "v"], buckets=3, rows_per_bucket=60, max_files=2), {}
+    t, want = KeyedTable(spark, scratch("dict"), ["k", "v"], filter_rows=7, buckets=3, rows_per_bucket=60, max_files=2), {}
     for step in range(8):
         batch = {(rng.randint(0, 120), rng.choice("xy")): step for _ in range(rng.randint(0, 40))}
         want |= batch
@@ -90,7 +91,7 @@ def test_random_merges_equal_a_dict(spark, scratch):
 
 
 def test_null_keys_match_nothing_and_repeated_keys_fail(spark, scratch):
-    t = KeyedTable(spark, scratch("null"), "k", buckets=2)
+    t = KeyedTable(spark, scratch("null"), "k", filter_rows=1, buckets=2)
     t.merge(rows(spark, [1, None]))
     assert t.merge(rows(spark, [None, 2], "b")).mode == "append"
     assert t.read().count() == 4
@@ -102,9 +103,9 @@ def test_null_keys_match_nothing_and_repeated_keys_fail(spark, scratch):
 
 
 def test_the_loser_of_two_commits_merges_again(spark, scratch, monkeypatch):
-    t = KeyedTable(spark, scratch("race"), "k", buckets=2)
+    t = KeyedTable(spark, scratch("race"), "k", filter_rows=1, buckets=2)
     t.merge(rows(spark, range(10)))
-    other, publish, lost = KeyedTable(spark, t.path, "k", buckets=2), KeyedTable._publish, []
+    other, publish, lost = KeyedTable(spark, t.path, "k", filter_rows=1, buckets=2), KeyedTable._publish, []
 
     def first_let_the_other_win(self, *a, **k):
         if not lost:
@@ -124,7 +125,7 @@ def test_the_loser_of_two_commits_merges_again(spark, scratch, monkeypatch):
 
 
 def test_versions_are_read_added_and_forgotten_by_age(spark, scratch):
-    t = KeyedTable(spark, scratch("old"), "k", buckets=2)
+    t = KeyedTable(spark, scratch("old"), "k", filter_rows=1, buckets=2)
     t.merge(rows(spark, range(5)))
     t.merge(rows(spark, range(10, 13)))
     assert sorted(r.k for r in t.added(1).collect()) == [10, 11, 12]

@@ -57,8 +57,20 @@ def test_ranges_follow_the_values(spark):
 
 
 def test_bits_are_interleaved(spark):
-    a, b = F.lit(0b101).cast("long"), F.lit(0b011).cast("long")
-    assert spark.range(1).select(layout.interleaved([a, b], 3).alias("z")).first().z == 0b100111
+    df = spark.createDataFrame([(0b101, 0b011)], "a long, b long")
+    assert df.select(layout.interleaved(["a", "b"], 3).alias("z")).first().z == 0b100111
+
+
+def test_bounds_of_any_type(spark):
+    import datetime as dt
+    from decimal import Decimal
+    rows = [("it's", 1.5, dt.date(2024, 1, 1), Decimal("1.50"), True, dt.datetime(2024, 1, 1, 2)),
+            ("a\\b", float("inf"), dt.date(2024, 2, 1), Decimal("9.25"), False, dt.datetime(2024, 1, 2, 2)), (None,) * 6]
+    df = spark.createDataFrame(rows, "s string, x double, d date, m decimal(9,2), b boolean, t timestamp_ntz")
+    for c in df.columns:
+        values = sorted(r[c] for r in df.collect() if r[c] is not None)
+        got = [r.r for r in df.orderBy(F.col(c).asc_nulls_first()).select(layout.range_of(c, values, 4).alias("r")).collect()]
+        assert got == [0, 5, 10], c
 
 
 @pytest.mark.parametrize("cluster", [[], ["v"]])
