@@ -10,10 +10,15 @@ records that refer to it.
 
 Reader: archives are cut into byte ranges without looking into them.  A task
 looks for gzip magic in its range, *validates* a candidate by decoding it (it
-must inflate with a correct checksum, begin with a WARC version line and be
-followed by the end of the file or a further member), and from there goes from
-member to member.  It owns the records whose member begins in its range, and
-reads past the range's end to finish the last one.
+must inflate with a correct checksum and begin with a WARC version line), and from
+there goes from member to member.  It owns the records whose member begins in its
+range, and reads past the range's end to finish the last one.  What follows a valid
+member must be another, the end of the file or NUL padding; anything else is a
+*damaged* place, which is an error or, if asked for, a row.  The task that owns the
+member before it finds it, so each place is found once and none is passed over.
+
+Ranges are dealt to tasks by their number, not by the bytes of the rows that name
+them: a range row is tiny, the work behind it is not.
 """
 
 from __future__ import annotations
@@ -25,7 +30,7 @@ from collections.abc import Iterator
 from functools import partial
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import pick, written
@@ -36,6 +41,8 @@ REVISIT_BYTES = 100
 ARCHIVE_BYTES = 1 << 30
 #: Bytes of a reader's range.
 SPLIT_BYTES = 4 << 20
+#: Most tasks that a reader deals its ranges to.
+MAX_TASKS = 20_000
 #: Most repeated payloads (40 bytes each) that are broadcast to the writer.
 MAX_BROADCAST_DIGESTS = 100_000
 #: Capture date of records whose table names none.
@@ -156,19 +163,54 @@ class _Archive:
         except zlib.error:
             return None
         content = b"".join(out)
-        after = self.ahead(here, 3)[:3]
-        if not content.startswith(b"WARC/") or after not in (b"", MAGIC):
-            return None
-        return content, here
-
-    def records(self, start: int, end: int) -> Iterator[tuple[int, bytes]]:
-        """(offset, content) of the members that begin in [start, end)."""
-        at = start
-        while at < min(end, self.size):
-            if self.ahead(at, 3)[:3] == MAGIC and (found := self.member(at)):
+        return (content, here) if content.startswith(b"WARC/") else None
+
+    def after_padding(self, at: int) -> int:
+        """The first byte from ``at`` that is not NUL, or the end of the file."""
+        while at < self.size:
+            part = self.ahead(at, 1)
+            rest = len(part.lstrip(b"\0"))
+            if rest:
+                return at + len(part) - rest
+            at += len(part)
+        return at
+
+    def followed(self, end: int) -> bool:
+        """Whether a further member's magic or the end of the file follows, after padding."""
+        at = self.after_padding(end)
+        return at >= self.size or self.ahead(at, 3)[:3] == MAGIC
+
+    def chained(self, at: int) -> bool:
+        """Whether a member begins here, by going from member to member from the file's beginning."""
+        return any(found == at for found, content in self.records(0, at + 1, sure=True) if content is not None)
+
+    def records(self, start: int, end: int, sure: bool = False) -> Iterator[tuple[int, bytes | None]]:
+        """(offset, content) of the members that begin in [start, end); content is None for a
+        damaged place right after one of them (or at the file's beginning).
+
+        The first member of a range is found by scanning.  One that nothing valid follows may
+        be the content of a member around it, or stand before a damaged place: then the file is
+        read from its beginning to tell (``sure``: that is what is being done)."""
+        at, before = start, start == 0
+        while at < self.size:
+            found = None
+            if before:                       # a member must begin here, be it of the next range
+                at = self.after_padding(at)
+                if at >= self.size:
+                    return
+            if (before or at < end) and self.ahead(at, 3)[:3] == MAGIC:
+                found = self.member(at)
+                if found and not before and not sure and not self.followed(found[1]) and not self.chained(at):
+                    found = None
+            if before and found is None:
+                yield at, None
+            if at >= end:
+                return
+            if found is not None:
                 yield at, found[0]
-                at = found[1]
+                at, before = found[1], True
                 continue
+            before = False
             window = self.ahead(at + 1, min(self.chunk, max(end + 2 - at - 1, 3)))
             hit = window.find(MAGIC)
             at = at + 1 + (hit if hit >= 0 else max(len(window) - 2, 1))
@@ -196,7 +238,7 @@ _RECORDS = ("path string, at bigint, page_id bigint, url string, payload_bytes b
             "payload_digest string, record_type string, refers_to bigint, payload binary")
 
 
-def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], with_payload: bool, damaged: str) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in _RECORDS.split(", ")]
     types = [{"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary()}[c.split()[1]] for c in _RECORDS.split(", ")]
 
@@ -207,19 +249,25 @@ def _read(batches: Iterator[pa.RecordBatch], with_payload: bool) -> Iterator[pa.
         for split in batch.to_pylist():
             rows, held = [], 0
             for at, content in _Archive(split["path"]).records(split["start"], split["end"]):
+                if content is None:
+                    if damaged == "raise":
+                        raise ValueError(f"{split['path']} at {at}: no valid member follows the one before")
+                    rows.append((split["path"], at, None, None, None, None, "damaged", None, None))
+                    continue
                 headers, block = parse(content)
                 kind = headers.get("warc-type")
                 if kind not in ("response", "revisit"):
                     continue
                 http, _, payload = block.partition(b"\r\n\r\n")
-                digest = headers.get("warc-payload-digest", "").removeprefix("sha256:")
+                stated = headers.get("warc-payload-digest")
+                digest = (stated or "").removeprefix("sha256:") or None
                 if kind == "response":
-                    size = len(payload)
-                    if hashlib.sha256(payload).hexdigest() != digest:
+                    size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+                    if (stated or "").startswith("sha256:") and stated != f"sha256:{digest}":
                         raise ValueError(f"{split['path']} at {at}: the payload does not have the stated digest")
                 else:
-                    size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n")
-                                if x.lower().startswith(b"content-length:"))
+                    size = next((int(x.split(b":")[1]) for x in http.split(b"\r\n")
+                                 if x.lower().startswith(b"content-length:")), None)
                 rows.append((split["path"], at, _page(headers.get("warc-record-id")), headers.get("warc-target-uri"),
                              size, digest, kind, _page(headers.get("warc-refers-to")),
                              payload if with_payload and kind == "response" else None))
@@ -237,16 +285,30 @@ def list_archives(spark: SparkSession, folder: str) -> DataFrame:
             .option("pathGlobFilter", "*.warc.gz").load(folder).select("path", F.col("length").alias("bytes")))
 
 
-def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bool = True) -> DataFrame:
+def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, with_payload: bool = True,
+                  damaged: str = "raise") -> DataFrame:
     """Records of archives (path, bytes), each range of ``split_bytes`` in a row of its own.
 
-    Ranges are dealt by path and offset, so one large archive is read by many tasks.
+    As many tasks as there are ranges (at most ``MAX_TASKS``, which take turns) read them, so
+    one large archive is read by many.  ``payload_digest`` is the SHA-256 of the payload,
+    whatever digest a response states (a stated SHA-256 that differs is an error); of a
+    revisit it is what it states, without the prefix ``sha256:``.  ``damaged="report"`` gives
+    a row of record_type ``damaged`` for each place that should hold a member and does not.
     """
+    if damaged not in ("raise", "report"):
+        raise ValueError(f"unknown damaged={damaged!r}")
     ship_package(archives.sparkSession)
-    splits = (archives.filter("bytes > 0")
+    n = F.ceil(F.col("bytes") / split_bytes)
+    ranges = archives.filter("bytes > 0").agg(F.sum(n)).first()[0] or 0
+    tasks = int(max(1, min(ranges, MAX_TASKS)))
+    # a row for each archive: numbering them in one task is bounded by their count
+    before = F.sum(n).over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1))
+    splits = (archives.filter("bytes > 0").withColumn("first", F.coalesce(before, F.lit(0)))
               .withColumn("start", F.explode(F.sequence(F.lit(0), F.col("bytes") - 1, F.lit(split_bytes))))
-              .select("path", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end")))
-    return splits.repartition("path", "start").mapInArrow(partial(_read, with_payload=with_payload), _RECORDS)
+              .select("path", "start", F.least(F.col("start") + split_bytes, "bytes").alias("end"),
+                      F.pmod(F.col("first") + F.floor(F.col("start") / split_bytes), F.lit(tasks)).cast("int").alias("task")))
+    return (splits.repartitionById(tasks, F.col("task")).select("path", "start", "end")
+            .mapInArrow(partial(_read, with_payload=with_payload, damaged=damaged), _RECORDS))
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,8 @@ def test_round_trip_at_any_split(spark, scratch, split):
         assert (r.payload_bytes, r.payload_digest) == (len(body), hashlib.sha256(body).hexdigest())
         assert r.payload == (None if r.record_type == "revisit" else body)
     assert {r.page_id: r.refers_to for r in got if r.record_type == "revisit"} == {5: 3, 9: 3, None: 3}
-    assert {(r.path, r.bytes) for r in m.list_archives(spark, folder).collect()} >= set()
+    listed = {(r.path.split("/")[-1], r.bytes) for r in m.list_archives(spark, folder).collect()}
+    assert {(r.path.split("/")[-1], r.bytes) for r in archives.collect()} <= listed
 
 
 def test_member_inside_a_member_is_no_record(tmp_path):
@@ -43,18 +44,59 @@ def test_member_inside_a_member_is_no_record(tmp_path):
     path = os.path.join(tmp_path, "x.warc.gz")
     with open(path, "wb") as f:
         f.write(b"junk" + outer + m.record("response", {}, b"last"))
-    found = [at for s in range(0, os.path.getsize(path), 7) for at, _ in m._Archive(path).records(s, s + 7)]
-    assert found == [4, 4 + len(outer)]
+    found = [(at, content is None) for s in range(0, os.path.getsize(path), 7) for at, content in m._Archive(path).records(s, s + 7)]
+    assert found == [(0, True), (4, False), (4 + len(outer), False)]
 
 
-def test_damaged_members_are_passed_over(tmp_path):
-    good = m.record("response", {}, b"x" * 500)
-    bad = bytearray(good)
-    bad[len(bad) // 2] ^= 0xFF
-    path = os.path.join(tmp_path, "x.warc.gz")
+def archive(spark, path, data):
     with open(path, "wb") as f:
-        f.write(good + bytes(bad) + good)
-    assert [at for at, _ in m._Archive(path).records(0, 1 << 20)][-1] == len(good) * 2
+        f.write(data)
+    return spark.createDataFrame([(str(path), len(data))], "path string, bytes bigint")
+
+
+def response(i, body, digest=None):
+    headers = {"WARC-Record-ID": f"<urn:page:{i}>"} | ({"WARC-Payload-Digest": digest} if digest else {})
+    return m.record("response", headers, b"HTTP/1.1 200 OK\r\n\r\n" + body)
+
+
+@pytest.mark.parametrize("split", [50, 300, 1 << 22])
+def test_padding_loses_no_record(spark, tmp_path, split):
+    parts = [response(i, b"x%d" % i * 90) for i in range(6)]
+    data = parts[0] + b"\0" * 700 + parts[1] + parts[2] + b"\0" + parts[3] + parts[4] + parts[5] + b"\0" * 2000
+    got = m.read_archives(archive(spark, tmp_path / "p.warc.gz", data), split).collect()
+    assert sorted(r.page_id for r in got) == list(range(6))
+
+
+@pytest.mark.parametrize("split", [40, 300, 1 << 22])
+def test_each_damaged_place_is_found_once(spark, tmp_path, split):
+    parts = [bytearray(response(i, bytes(range(33, 120)) * 3 + b"%d" % i)) for i in range(7)]
+    parts[0][40] ^= 0xFF                     # the first, one inside, a torn magic, a cut last one
+    parts[3][60] ^= 0xFF
+    parts[5][0] ^= 0xFF
+    at = [sum(len(p) for p in parts[:i]) for i in range(8)]
+    archives = archive(spark, tmp_path / "d.warc.gz", b"".join(parts)[:-9])
+    got = m.read_archives(archives, split, damaged="report").collect()
+    assert sorted(r.page_id for r in got if r.record_type == "response") == [1, 2, 4]
+    assert sorted(r.at for r in got if r.record_type == "damaged") == [at[0], at[3], at[5]]
+    with pytest.raises(Exception, match="no valid member"):
+        m.read_archives(archives, split).collect()
+
+
+def test_foreign_digests(spark, tmp_path):
+    data = (response(1, b"a", "sha1:ABCDEF") + response(2, b"b") + response(3, b"c", "sha256:" + hashlib.sha256(b"c").hexdigest())
+            + m.record("revisit", {"WARC-Record-ID": "<urn:page:4>", "WARC-Payload-Digest": "sha1:ABCDEF", "WARC-Refers-To": "<urn:page:1>"}, b""))
+    got = {r.page_id: r for r in m.read_archives(archive(spark, tmp_path / "f.warc.gz", data)).collect()}
+    assert [got[i].payload_digest for i in (1, 2, 3)] == [hashlib.sha256(x).hexdigest() for x in (b"a", b"b", b"c")]
+    assert (got[4].payload_digest, got[4].payload_bytes, got[4].refers_to) == ("sha1:ABCDEF", None, 1)
+    wrong = archive(spark, tmp_path / "w.warc.gz", response(3, b"c", "sha256:" + "0" * 64))
+    with pytest.raises(Exception, match="digest"):
+        m.read_archives(wrong).collect()
+
+
+def test_ranges_are_read_by_many_tasks(spark):
+    archives = spark.createDataFrame([(f"/nowhere/{i}", 1 << 30) for i in range(3)], "path string, bytes bigint")
+    assert m.read_archives(archives).rdd.getNumPartitions() == 3 * 256
+    assert m.read_archives(archives, 1 << 12).rdd.getNumPartitions() == m.MAX_TASKS
 
 
 def test_no_rows(spark, scratch):
