@@ -38,6 +38,8 @@ COPY_SHARE = 0.6
 SAME_SHARE = 0.9
 #: Different pages on each side among which a neighbour that is no copy is looked for.
 AROUND = 8
+#: Most pages in a task, whatever the table (the bounds of all tasks' pages go to every task).
+MOST_ROWS = 16_384
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -266,10 +268,11 @@ def _prefix(a: str, b: str) -> int:
     return n
 
 
-def _repeated(page: Page, near: list[Page]) -> set[str]:
-    """Undeclared lines that more than half of the pages around have too, and two at least."""
+def _repeated(page: Page, near: list[Page], own: bool = False) -> set[str]:
+    """Undeclared (``own``: declared) lines that more than half of the different pages
+    around have too, and two at least."""
     around = {o.digest: {x.text for x in o.lines} for o in near if o.digest != page.digest}.values()
-    return {t for t in {x.text for x in page.lines if not x.own}
+    return {t for t in {x.text for x in page.lines if x.own == own}
             if sum(t in o for o in around) > max(1, len(around) / 2)}
 
 
@@ -303,10 +306,15 @@ def shared_with(page: Page, others: list[Page]) -> set[int]:
 def main_text(page: Page, others: list[Page]) -> str:
     """The page's own lines, joined by line feeds.
 
-    Shared lines go, wherever they are.  What is left and lies outside of article
-    and main stays only if nothing lies inside of them.
+    Lines shared with the nearest neighbour go.  Inside of article and main two pages
+    may say the same by chance (a headline, a sentence), so there a shared line goes only
+    if most of the different pages around have it too: then it is the site's.  What is
+    left and lies outside of article and main stays only if nothing lies inside of them.
     """
     shared = shared_with(page, others)
+    if any(page.lines[i].own for i in shared):
+        site = _repeated(page, [o for o in others if o.host == page.host and page.host], own=True)
+        shared = {i for i in shared if not page.lines[i].own or page.lines[i].text in site}
     declared = any(x.own for x in page.lines)
     return "\n".join(x.text for i, x in enumerate(page.lines) if i not in shared and (x.own or not declared))
 
@@ -440,7 +448,7 @@ def main_texts(pages: DataFrame, block_rows: int | None = None) -> DataFrame:
         same = int(e.head == tail)
         offsets.append((e.part, total, runs - same, same))
         total, runs, tail = total + e.n, runs + e.runs - same, e.tail
-    size = block_rows or max(256, -(-total // 1000))
+    size = block_rows or max(256, min(MOST_ROWS, -(-total // 1000)))
     placed = (numbered.join(F.broadcast(spark.createDataFrame(offsets, "part int, rows long, runs long, same int")), "part")
               .select(*_KEY, (F.col("rows") + F.col("idx")).alias("place"), (F.col("runs") + F.col("nth")).alias("run"),
                       (F.col("first") & ~((F.col("idx") == 0) & (F.col("same") == 1))).alias("first")))
