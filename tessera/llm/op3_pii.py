@@ -137,8 +137,8 @@ def phone_at(text: str, plus: int) -> int | None:
     return end if end > plus + 3 and text[end - 1] in _DIGIT else None
 
 
-def _cued_value(text: str, at: int, needs_sign: bool) -> tuple[int, int] | None:
-    """Value after a cue: optional quote and blank, ``=`` or ``:``, the value."""
+def _cue_end(text: str, at: int, needs_sign: bool) -> int | None:
+    """Where the value after a cue begins: behind an optional quote and blank, ``=`` or ``:``."""
     i = at
     while i < len(text) and i < at + 3 and text[i] in " \"'":
         i += 1
@@ -148,10 +148,26 @@ def _cued_value(text: str, at: int, needs_sign: bool) -> tuple[int, int] | None:
             i += 1
     elif needs_sign or i == at:
         return None
-    end = _while(text, i, _VALUE)
-    while end > i and text[end - 1] in "./-=":
-        end -= 1
-    return (i, end) if end - i >= 6 else None
+    return i
+
+
+class _Run:
+    """The run of allowed characters last looked at, so that none is read twice however many
+    anchors it holds: its end, its end without trailing marks, and its last digit."""
+
+    def __init__(self, allowed: frozenset, trailing: str = ""):
+        self.allowed, self.trailing, self.start, self.end = allowed, trailing, 0, -1
+
+    def at(self, text: str, i: int) -> _Run:
+        if not self.start <= i <= self.end:
+            self.start, self.end = i, _while(text, i, self.allowed)
+            self.trimmed = self.end
+            while self.trimmed > i and text[self.trimmed - 1] in self.trailing:
+                self.trimmed -= 1
+            self.digit = self.trimmed - 1
+            while self.digit >= i and text[self.digit] not in _DIGIT:
+                self.digit -= 1
+        return self
 
 
 def spans(text: str | None) -> list[Span]:
@@ -161,6 +177,7 @@ def spans(text: str | None) -> list[Span]:
         return []
     done = dict.fromkeys(KINDS, 0)  # end of the last match per kind, failed ones included
     runs = 0                        # end of the digits last looked at
+    keys, values = _Run(_LABEL - {"-"}), _Run(_VALUE, "./-=")
     for last, (kind, size) in automaton().iter(text):
         at = last - size + 1
         if kind == "digit":
@@ -194,15 +211,17 @@ def spans(text: str | None) -> list[Span]:
                     done["url"] = end
                     found["url"].append(("url", at, end))
         elif kind == "key":
-            end = _while(text, at, _LABEL - {"-"})
+            end = keys.at(text, at).end
             if end - at == 20 and at >= done["secret"]:
                 done["secret"] = end
                 found["secret"].append(("secret", at, end))
         else:
-            value = _cued_value(text, last + 1, kind == "secret")
-            if value and value[0] >= done[kind] and any(c in _DIGIT for c in text[value[0]:value[1]]):
-                done[kind] = value[1]
-                found[kind].append((kind, *value))
+            start = _cue_end(text, last + 1, kind == "secret")
+            if start is not None and start >= done[kind]:
+                run = values.at(text, start)
+                if run.trimmed - start >= 6 and run.digit >= start:
+                    done[kind] = run.trimmed
+                    found[kind].append((kind, start, run.trimmed))
     return [s for k in KINDS for s in sorted(found[k], key=lambda s: s[1])]
 
 
