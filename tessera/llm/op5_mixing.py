@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import pick, position, tag, written
+from tessera.llm.common import MAX_BROADCAST_IDS, pick, position, tag, written
 
 WEIGHTS = (3, 1, 2)
 BUDGET, MAX_COPIES = 1.5, 2
@@ -98,8 +98,13 @@ def by_source(docs: DataFrame, per_source: DataFrame) -> DataFrame:
 
 
 def with_rank(docs: DataFrame, seed: str) -> DataFrame:
-    """Adds the Pareto rank q, null where the source's rest is empty, and its bin."""
-    digest = F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    """Adds the Pareto rank q, null where the source's rest is empty, and its bin.
+
+    ``nth`` numbers rows of equal id, source and size (see ``numbered``): the first has
+    the hash of its id, each other a hash of its own.
+    """
+    again = F.when(F.col("nth") > 0, F.concat(F.lit(":"), F.col("nth").cast("string"))).otherwise(F.lit(""))
+    digest = F.substring(F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), again)
                                .cast("binary")), 1, 13)
     u = (F.conv(digest, 16, 10).cast("bigint") + 0.5) / float(1 << 52)
     p = (F.col("share") + TILT * F.col("share") * (1 - F.col("share"))
@@ -152,21 +157,53 @@ def copies() -> Column:
     return F.col("whole") + extra.cast("bigint")
 
 
-def plan_mix(spark: SparkSession, docs: DataFrame, seed: str = "mix:") -> tuple[DataFrame, DataFrame]:
-    """(sizes, cuts): the written narrow rows (doc_id, source, size), and the row of each source."""
+_SAME = ["doc_id", "source", "size"]
+
+
+def numbered(spark: SparkSession, rows: DataFrame, twice: DataFrame) -> DataFrame:
+    """``rows`` with ``nth``: 0, or the number of the row among those of its id, source and size.
+
+    ``twice`` (a written table, usually empty) has the ids, sources and sizes that repeat.
+    Only such rows move; they are numbered within the partitions they are in, and a
+    running sum over a group's partitions gives each its first number, so a group of any
+    size is split.  Which of the rows has which number does not matter: they are alike.
+    """
+    count = twice.count()
+    if not count:
+        return rows.withColumn("nth", F.lit(0).cast("bigint"))
+    other = twice.toDF(*[f"_{c}" for c in _SAME], "_k")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _SAME]
+    marked = rows.join(F.broadcast(other) if count <= MAX_BROADCAST_IDS else other, same, "left").drop(*[f"_{c}" for c in _SAME])
+    once = marked.filter("_k IS NULL").drop("_k").withColumn("nth", F.lit(0).cast("bigint"))
+    some = written(spark, marked.filter("_k IS NOT NULL").drop("_k").withColumn("_part", F.spark_partition_id()), "mix-alike")
+    per = some.groupBy(*_SAME, "_part").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*_SAME).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    firsts = written(spark, per.withColumn("_first", F.coalesce(before, F.lit(0))).drop("_n")
+                     .toDF(*[f"_{c}" for c in _SAME], "_of", "_first"), "mix-firsts")
+    local = F.row_number().over(Window.partitionBy(*_SAME, "_part").orderBy(F.lit(0)))
+    some = (some.withColumn("_local", local).join(firsts, [*same, F.col("_part") == F.col("_of")])
+            .withColumn("nth", (F.col("_first") + F.col("_local") - 1).cast("bigint")))
+    return once.unionByName(some.select(*once.columns))
+
+
+def plan_mix(spark: SparkSession, docs: DataFrame, seed: str = "mix:") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sizes, twice, cuts): the narrow rows (doc_id, source, size, nth), the ids, sources and
+    sizes that repeat, and the row of each source."""
     sizes = written(spark, pick(docs, doc_id="doc_id", source="source", text="text").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), "source", size_of(F.col("text")).alias("size")), "mix-sizes")
+    twice = written(spark, sizes.groupBy(*_SAME).agg(F.count("*").alias("k")).filter("k > 1"), "mix-twice")
     per_source = written(spark, targets(sizes), "mix-targets")
-    return sizes, written(spark, cuts(spark, sizes, per_source, seed), "mix-cuts")
+    sizes = numbered(spark, sizes, twice)
+    return sizes, twice, written(spark, cuts(spark, sizes, per_source, seed), "mix-cuts")
 
 
 def mix(spark: SparkSession, docs: DataFrame, seed: str = "mix:") -> DataFrame:
     """(doc_id, size, source_size, target, taken) of every row.
 
-    Null and empty texts have size 0 and nothing is taken of them.  Rows that
-    repeat both id and size share one fate.
+    Null and empty texts have size 0 and nothing is taken of them.  Rows that repeat id,
+    source and size (rows without an id among them) are drawn one by one.
     """
-    sizes, ends = plan_mix(spark, docs, seed)
+    sizes, _, ends = plan_mix(spark, docs, seed)
     return (with_rank(by_source(sizes, ends), seed)
             .select("doc_id", "size", "source_size", "target", (copies() * F.col("size")).alias("taken")))
 
@@ -182,12 +219,12 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, seed: str = "mix:") ->
     Texts do not move: the row of each source comes to them.  A document
     without words is in the mix as often as its source's certain copies say.
     """
-    _, ends = plan_mix(spark, docs, seed)
+    _, twice, ends = plan_mix(spark, docs, seed)
     names = docs.columns
     tagged = tag(docs)
     at = {k: F.col(f"c{position(names, k)}") for k in ("doc_id", "source", "text")}
     rows = tagged.withColumns({"doc_id": at["doc_id"].cast("bigint"), "source": at["source"], "size": size_of(at["text"])})
-    taken = with_rank(by_source(rows, ends), seed).withColumn("copies", copies()).filter("copies > 0")
+    taken = with_rank(by_source(numbered(spark, rows, twice), ends), seed).withColumn("copies", copies()).filter("copies > 0")
     copy = "copy" if "copy" not in [n.lower() for n in names] else "mix_copy"
     return (taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
             .select(*tagged.columns, "copy").toDF(*names, copy))

@@ -55,7 +55,24 @@ def test_stage_repeats_rows_by_copies(spark, documents):
 def test_empty_table_and_repeated_rows(spark, documents):
     assert m.mix(spark, documents([])).count() == 0
     got = m.mix(spark, documents([(1, "a b c", "s"), (1, "a b c", "s"), (None, "a b", None)])).collect()
-    assert len(got) == 3 and len({tuple(r) for r in got if r.doc_id == 1}) == 1
+    assert len(got) == 3 and all(r.taken in (3, 6) for r in got if r.doc_id == 1)
+
+
+@pytest.mark.parametrize("ids, broadcast", [("null", 10_000), ("one", 10_000), ("pairs", 0)])
+def test_rows_that_are_alike_are_drawn_one_by_one(spark, documents, monkeypatch, ids, broadcast):
+    monkeypatch.setattr(m, "MAX_BROADCAST_IDS", broadcast)
+    rows = [(None if ids == "null" else 7 if ids == "one" else i // 2, " ".join(prose(i if ids == "null" else 3, 10)), "ab"[i % 3 == 0])
+            for i in range(150)]
+    def taken(parts):
+        got = m.mix(spark, documents(rows).repartition(parts)).collect()
+        assert len(got) == 150 and all(r.taken in (0, 10, 20) for r in got)
+        for size in {r.source_size for r in got}:
+            mine = [r for r in got if r.source_size == size]
+            assert abs(sum(r.taken for r in mine) - mine[0].target) <= 5
+        return sorted((r.doc_id or -1, r.source_size, r.taken) for r in got)
+    assert taken(3) == taken(7)
+    out = m.mixed_documents(spark, documents(rows))
+    assert out.count() == sum(t for _, _, t in taken(2)) // 10
 
 
 def test_plan_has_no_python(spark):
