@@ -12,7 +12,10 @@ Method
    within ``MAX_DISTANCE`` have, by the pigeonhole principle, one chunk with at
    most ``CHUNK_ERRORS`` differing slots.  The allowed errors of each chunk are
    enumerated as its variants with that slot left out, and each variant is an
-   index key: all pairs within the distance share a key.
+   index key: all pairs whose minhashes differ in at most that many slots share a
+   key.  (Keys are made of whole minhashes, as three bytes of b bits would be
+   shared by chance in a large corpus; the b-bit distance, which is never larger,
+   then decides about the pairs that share a key.)
 4. Candidates are gathered into loose *clusters*: classes within the distance of
    one of a few hubs of a shared key (linear in the key's size), then pairs that
    share a key, are within the distance and still lie in different clusters.
@@ -124,7 +127,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 fp1[full] = np.add.reduceat(mix(shingles), starts)
                 fp2[full] = np.add.reduceat(mix(shingles ^ U64(0xA0761D6478BD642F)), starts)
                 mins = minhashes(shingles, starts)
-                sig[full] = (mins >> U64(56)).astype(np.uint8)
+                sig[full] = (mins & U64(0xFF)).astype(np.uint8)
                 keys = index_keys(mins)
             key_bounds = np.zeros(m + 1, dtype=np.int32)
             key_bounds[1:] = np.cumsum(np.where(n > 0, SLOTS, 0))

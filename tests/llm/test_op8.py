@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from conftest import SF_SMALL
 
@@ -98,3 +99,37 @@ def test_components_of_a_long_chain(spark, monkeypatch, links, scratch):
     got = {r.id: r.comp for r in m.components(spark, edges).collect()}
     assert got == {k: 0 for k in range(41)} | {k: 100 for k in (100, 101, 102)}
     assert m.components(spark, edges.filter("a > 1000")).count() == 0
+
+
+def test_signatures_of_unrelated_long_texts_lie_far_apart():
+    """Low bytes agree by chance in one slot of 256, whatever the size of the sets."""
+    rng = np.random.default_rng(9)
+    for size in (200, 1000, 5000):
+        sets = rng.integers(0, 1 << 63, (20, size), dtype=np.int64).astype(np.uint64)
+        mins = m.minhashes(sets.ravel(), np.arange(20) * size)
+        sig = (mins & np.uint64(0xFF)).astype(np.uint8)
+        d = (sig[:, None] != sig[None]).sum(-1)[np.triu_indices(20, 1)]
+        assert d.min() > 58 and d.mean() > 63
+
+
+def test_minhashes_within_the_distance_share_a_key():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, (300, m.SLOTS), dtype=np.int64).astype(np.uint64)
+    near = base.copy()
+    for row in near:
+        at = rng.choice(m.SLOTS, rng.integers(0, m.MAX_DISTANCE + 1), replace=False)
+        row[at] ^= rng.integers(1, 1 << 62, len(at)).astype(np.uint64)
+    shared = (m.index_keys(base) == m.index_keys(near)).any(axis=1)
+    assert shared.all()
+    assert not (m.index_keys(base[:-1]) == m.index_keys(base[1:])).any()
+
+
+def test_a_common_passage_makes_no_cluster(spark, documents, monkeypatch):
+    """Texts that share a passage of a quarter of their words are not dealt to one group."""
+    from .conftest import prose
+    passage, seen = prose(1, 120), []
+    rows = [(i, " ".join(passage + prose(1000 + i, 360)), "s") for i in range(150)]
+    real = m.block_tasks
+    monkeypatch.setattr(m, "block_tasks", lambda members: (seen.append(members.count()), real(members))[1])
+    got = m.near_duplicates(spark, documents(rows)).collect()
+    assert all(r.component_id == r.doc_id for r in got) and seen[0] <= 10
