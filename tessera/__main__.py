@@ -3,7 +3,7 @@
     python -m tessera daily-build (--sf-dir D | --seeds FOLDER [--stream-root S]) --gold-root G [--no-stream]
     python -m tessera api-cycle   --sf-dir D --root R --run-id N --stamp "2024-01-31 00:00:00"
     python -m tessera stream      --root R (--topic FOLDER | --kafka KEY=VALUE ...) [--available-now]
-    python -m tessera audit       --gold-root G [--api-root R] [--stream-root S]
+    python -m tessera audit       --gold-root G [--api-root R] [--stream-root S] [--history H]
 
 Each command prints one JSON line describing what it wrote or found.
 """
@@ -41,6 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--gold-root", required=True)
     q.add_argument("--api-root")
     q.add_argument("--stream-root")
+    q.add_argument("--history", help="folder of audit states: only what changed since the last audit is read")
     for p in (d, a, s, q):
         p.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -77,7 +78,7 @@ def main(argv: list[str] | None = None) -> int:
         out = {"silver": paths.silver, "dead_letters": paths.dead_letters}
     else:
         from tessera.plans import audit
-        found = audit.stored_audit(spark, args.gold_root, args.api_root, args.stream_root)
+        found = audit.stored_audit(spark, args.gold_root, args.api_root, args.stream_root, args.history)
         out = {"checks": [r.asDict() for r in found.collect()]}
     print(json.dumps(out, default=str))
     release_scratch(spark)

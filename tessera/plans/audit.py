@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import silver
+from tessera.operators.audit_history import AuditHistory, AuditRun, StoredModel
 from tessera.operators.quality import Check, ModelChecks, audit
 from tessera.plans import medallion
 from tessera.sources import bindings
 from tessera.plans.api_ingest import ApiTables
 from tessera.sources.tables import Releases
-from tessera.streaming.silver import StreamPaths, read_silver
+from tessera.streaming.silver import DAY_COL, StreamPaths, read_silver, silver_schema
+from tessera.streaming.sink import visible
 
 # The declared suite.  The fact's grain is (event_id, ingestion_mode), so its
 # uniqueness is checked on the pair; researcher_id may be NULL after the LEFT
@@ -86,11 +88,27 @@ def stored_models(spark: SparkSession, gold_root: str, api_root: str | None = No
 
 
 def stored_audit(spark: SparkSession, gold_root: str, api_root: str | None = None,
-                 stream_root: str | None = None) -> DataFrame:
-    """The declared suite over the stored models (those that are given)."""
+                 stream_root: str | None = None, history: str | None = None) -> DataFrame:
+    """The declared suite over the stored models (those that are given).  With ``history`` (a
+    folder) only days and tables that changed since the last audit are read."""
+    if history is not None:
+        return incremental_audit(spark, history, gold_root, stream_root).results
     found = stored_models(spark, gold_root, api_root, stream_root)
     return audit(found, [s for s in SUITE if s.model in found])
 
 
+def incremental_audit(spark: SparkSession, history: str, gold_root: str, stream_root: str | None = None,
+                      record=bindings.STREAM_RECORD) -> AuditRun:
+    """The suite over the live gold release and the stream sink, against the audit history."""
+    paths = Releases(spark, gold_root).paths()
+    found = {name: StoredModel(path, spark.read.parquet(path).schema, "observed_date" if name == "fct_events" else None)
+             for name, path in paths.items()}
+    if stream_root is not None:
+        sink = StreamPaths(stream_root.rstrip("/"))
+        found["stg_telemetry_stream"] = StoredModel(sink.silver, silver_schema(record), DAY_COL,
+                                                    visible(spark, sink.root, sink.silver, DAY_COL))
+    return AuditHistory(spark, history).run(found, SUITE)
+
+
 def quality_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(models(spark, sf_dir), SUITE)

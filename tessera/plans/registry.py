@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators import gold, silver
+from tessera.operators.audit_history import AuditHistory, StoredModel
 from tessera.operators import incremental as inc
 from tessera.operators import quality as Q
 from tessera.plans import api_ingest, medallion
@@ -29,6 +30,7 @@ from tessera.sources.keyed import KeyedTable
 from tessera.sources.layout import write_clustered_table
 from tessera.streaming import bronze as SB
 from tessera.streaming import delivery as SD
+from tessera.streaming import feed
 from tessera.streaming import silver as SS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -575,6 +577,28 @@ def q_quality_audit(spark, d):
     return A.quality_audit(spark, d)
 
 
+_STORED = [s for s in A.SUITE if s.model in ("dim_researchers", "fct_events", "dim_vessels", "dim_locations")]
+
+
+@register("quality_audit_stored", O.suite_sql(_STORED))
+def q_quality_audit_stored(spark, d):
+    """The suite over stored gold tables, first without the fact's last days, then
+    incrementally: the second audit reads the added days only."""
+    root = scratch_path(spark, "stored-audit")
+    g = medallion.build_gold(spark, d, dims_root=f"{root}/gold")
+    tables.materialize_counted(g.fact.withColumn("observed_date", F.to_date("observed_at")), "fact", f"{root}/whole")
+    whole = spark.read.parquet(f"{root}/whole")
+    late = F.coalesce(F.col("observed_at") >= F.lit(_REDELIVERY_FROM).cast("timestamp_ntz"), F.lit(False))
+    models = {n: StoredModel(f"{root}/gold/{n}", df.schema) for n, df in
+              (("dim_researchers", g.dims.researchers), ("dim_vessels", g.dims.vessels), ("dim_locations", g.dims.locations))}
+    models["fct_events"] = StoredModel(f"{root}/fact", whole.schema, "observed_date")
+    history = AuditHistory(spark, f"{root}/history")
+    for part in (whole.where(~late), whole.where(late)):
+        part.write.mode("append").partitionBy("observed_date").parquet(f"{root}/fact")
+        done = history.run(models, _STORED)
+    return done.results
+
+
 # =================================================================== streaming
 
 _SILVER_CORE = "SELECT event_id, vessel_id, location_id, gravity_g, observed_at FROM stg_telemetry_stream"
@@ -691,6 +715,22 @@ def q_stream_delivery_attempts(spark, d):
             .agg(F.count("*").alias("messages"), F.sum("id").alias("sum_of_ids")))
 
 
+@register("feed_append_stream", O.with_ctes(f"SELECT {_API_SILVER_COLS} FROM api_silver"))
+def q_feed_append_stream(spark, d):
+    """The append feed of a stored table: two commits streamed, a third one after a
+    restart from the checkpoint, an idle run; the sink has every row once."""
+    root = scratch_path(spark, "feed")
+    table = tables.VersionedTable(spark, f"{root}/table")
+    full = _api_silver_full(spark, d).select(*_API_SILVER_COLS.split(", "))
+    third = F.col("event_id").cast("long") % 3
+    for part in range(3):
+        table.append(full.where(third == part))
+        if part:
+            feed.copy_available(spark, table.path, f"{root}/sink", f"{root}/_checkpoint")
+    feed.copy_available(spark, table.path, f"{root}/sink", f"{root}/_checkpoint")
+    return spark.read.schema(full.schema).parquet(f"{root}/sink")
+
+
 @register("fact_stream_sink", O.table("fact_unified"))
 def q_fact_stream_sink(spark, d):
     """Batch gold over the streaming sink (Lambda-style unification)."""

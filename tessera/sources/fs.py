@@ -4,6 +4,7 @@ always read and written by Spark."""
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -118,3 +119,17 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     """Bytes of all files below ``path``, from the file system's own summary."""
     fs, p = _fs(spark, path)
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def fingerprint(spark: SparkSession, path: str) -> str:
+    """Digest of the names, sizes and times of all files below ``path`` (hidden ones left out)."""
+    fs, p = _fs(spark, path)
+    found = []
+    if fs.exists(p):
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            inside = f.getPath().toString()[len(fs.makeQualified(p).toString()):].lstrip("/")
+            if not any(part.startswith(("_", ".")) and "=" not in part for part in inside.split("/")):
+                found.append((inside, f.getLen(), f.getModificationTime()))
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()[:32]
