@@ -471,12 +471,11 @@ _PROCESSED_AT = "2024-02-01 00:00:00"
 @register("stream_silver_view", O.with_ctes(
     f"SELECT *, TIMESTAMP '{_PROCESSED_AT}' AS processed_at FROM stg_telemetry_stream"))
 def q_stream_silver_view(spark, d):
-    """A view over the streaming sink exposing its six columns."""
+    """The flow's lasting view over the streaming sink, with its six columns."""
     paths = SF.run_stream(spark, d, scratch_path(spark, "stream"), processed_at=_PROCESSED_AT)
-    (SS.read_silver(spark, paths, bindings.STREAM_RECORD)
-     .select("event_id", "vessel_id", "location_id", "gravity_g", "observed_at", "processed_at")
-     .createOrReplaceTempView("stg_telemetry_stream"))
-    return spark.table("stg_telemetry_stream")
+    SS.publish_view(spark, paths, "stream_silver_view",
+                    ["event_id", "vessel_id", "location_id", "gravity_g", "observed_at", "processed_at"], bindings.STREAM_RECORD)
+    return spark.table("stream_silver_view")
 
 
 # ================================================================ data quality

@@ -167,6 +167,24 @@ def read_bronze(spark: SparkSession, paths: StreamPaths, record: T.StructType =
     return sink.read_visible(spark, paths.root, paths.bronze, bronze_schema(record), ARRIVED_COL)
 
 
+def publish_view(spark: SparkSession, paths: StreamPaths, name: str, columns: list[str],
+                 record: T.StructType = STREAM_RECORD) -> None:
+    """A lasting view of the sink's committed rows in the catalog, made by the flow.
+
+    The sink is an external table ``<name>_sink`` with the declared schema; the view states
+    which folders are visible, so the flow publishes it again after each run and each
+    compaction (readers between two publications see the batches of the earlier one).
+    """
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in silver_schema(record))
+    spark.sql(f"DROP VIEW IF EXISTS {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}_sink")  # external: its files stay
+    spark.sql(f"CREATE TABLE {name}_sink ({fields}) USING parquet PARTITIONED BY ({DAY_COL}, {QUERY_COL}, {sink.BATCH_COL}) "
+              f"LOCATION '{paths.silver}'")
+    spark.sql(f"ALTER TABLE {name}_sink RECOVER PARTITIONS")
+    where = sink.visible_sql(spark, paths.root, paths.silver, DAY_COL)
+    spark.sql(f"CREATE VIEW {name} AS SELECT {', '.join(columns)} FROM {name}_sink WHERE {where}")
+
+
 def compact(spark: SparkSession, paths: StreamPaths, before, record: T.StructType = STREAM_RECORD,
             target_bytes: int = 256 << 20) -> dict[str, sink.Compaction]:
     """Merge the batch folders of silver's and bronze's closed days (earlier than ``before``)."""

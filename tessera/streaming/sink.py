@@ -61,11 +61,14 @@ def commit_batch(spark: SparkSession, root: str, query: str, batch: int) -> None
         fs.delete(spark, f"{folder}/{name}")
 
 
-def _is_committed(last: dict[str, int]) -> Column:
-    seen = F.lit(False)
-    for query, batch in last.items():
-        seen = seen | ((F.col(QUERY_COL) == query) & (F.col(BATCH_COL) <= batch))
-    return seen
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _is_committed(last: dict[str, int]) -> str:
+    seen = [f"({QUERY_COL} = {_text(q)} AND {BATCH_COL} <= {n})" for q, n in last.items()]
+    return f"({' OR '.join(seen) or 'false'})"
 
 
 # ----------------------------------------------------------------------- compaction
@@ -86,22 +89,26 @@ def _state(spark: SparkSession, table: str) -> tuple[int, dict]:
     return int(names[-1].removesuffix(".json")), json.loads(fs.read_text(spark, f"{table}/_compacted/{names[-1]}"))
 
 
-def visible(spark: SparkSession, root: str, table: str, day_col: str | None = None) -> Column:
+def visible_sql(spark: SparkSession, root: str, table: str, day_col: str | None = None) -> str:
     """Predicate on partition columns: folders of committed batches and live compactions."""
     _, days = _state(spark, table) if day_col else (0, {})
-    batch = _is_committed(committed(spark, root)) & (F.col(QUERY_COL) != COMPACTED)
+    batch = f"({_is_committed(committed(spark, root))} AND {QUERY_COL} <> {_text(COMPACTED)})"
     if not days:
         return batch
-    day = F.date_format(F.col(day_col), "yyyy-MM-dd")
+    day = f"date_format({day_col}, 'yyyy-MM-dd')"
     upto = {f"{d}|{q}": n for d, s in days.items() for q, n in s["upto"].items()}
-    taken = F.element_at(_map(upto), F.concat(day, F.lit("|"), F.col(QUERY_COL)))
-    live = F.element_at(_map({d: s["number"] for d, s in days.items()}), day)
-    return ((batch & (F.col(BATCH_COL) > F.coalesce(taken, F.lit(-1))))
-            | ((F.col(QUERY_COL) == COMPACTED) & (F.coalesce(live, F.lit(-1)) == F.col(BATCH_COL))))
+    taken = f"element_at({_map(upto)}, concat({day}, '|', {QUERY_COL}))" if upto else "-1"
+    live = f"element_at({_map({d: s['number'] for d, s in days.items()})}, {day})"
+    return (f"({batch} AND {BATCH_COL} > coalesce({taken}, -1) OR "
+            f"{QUERY_COL} = {_text(COMPACTED)} AND coalesce({live}, -1) = {BATCH_COL})")
 
 
-def _map(values: dict[str, int]) -> Column:
-    return F.map_from_arrays(F.array(*[F.lit(k) for k in values]), F.array(*[F.lit(v).cast("long") for v in values.values()]))
+def _map(values: dict[str, int]) -> str:
+    return f"map({', '.join(f'{_text(k)}, {v}L' for k, v in values.items())})"
+
+
+def visible(spark: SparkSession, root: str, table: str, day_col: str | None = None) -> Column:
+    return F.expr(visible_sql(spark, root, table, day_col))
 
 
 def read_visible(spark: SparkSession, root: str, table: str, schema: T.StructType, day_col: str | None = None) -> DataFrame:
@@ -139,7 +146,8 @@ def compact(spark: SparkSession, root: str, table: str, schema: T.StructType, da
     for day in done.days:
         first[day], total = total, total + files[day]
     day = F.date_format(F.col(day_col), "yyyy-MM-dd")
-    file = F.element_at(_map(first), day) + F.pmod(F.xxhash64(key), F.element_at(_map(files), day))
+    of_day = lambda values: F.element_at(F.expr(_map(values)), day)
+    file = of_day(first) + F.pmod(F.xxhash64(key), of_day(files))
     rows = (read_visible(spark, root, table, schema, day_col).where(F.col(day_col).isin(*[_dt.date.fromisoformat(d) for d in done.days]))
             .withColumn(QUERY_COL, F.lit(COMPACTED)).withColumn(BATCH_COL, F.lit(done.number).cast("long"))
             .withColumn("_file", file.cast("int")).repartitionById(total, F.col("_file")).drop("_file"))

@@ -155,3 +155,21 @@ def test_a_streaming_query_replays_a_merged_batch(spark, scratch):
         bindings.STREAM_RECORD = record
     assert ids(spark, paths) == [1, 2]
     assert S.read_silver(spark, paths).where(F.col(sink.QUERY_COL) == sink.COMPACTED).count() == 2
+
+
+def test_the_view_lasts_and_follows_the_flow(spark, scratch):
+    paths = S.StreamPaths(scratch("view"))
+    write, columns = S.micro_batch_writer(paths), ["event_id", "gravity_g"]
+    for b in range(3):
+        write(batch(spark, [b]), b)
+    S.publish_view(spark, paths, "sink_view", columns)
+    other = spark.newSession()                                  # not a temporary view of one session
+    assert sorted(r.event_id for r in other.table("sink_view").collect()) == [0, 1, 2]
+    write(batch(spark, [3]), 3)
+    S.compact(spark, paths, "9999-01-01")
+    S.publish_view(spark, paths, "sink_view", columns)
+    assert sorted(r.event_id for r in other.table("sink_view").collect()) == [0, 1, 2, 3]
+    assert other.table("sink_view").columns == columns
+    spark.sql("DROP VIEW sink_view")
+    spark.sql("DROP TABLE sink_view_sink")
+    assert ids(spark, paths) == [0, 1, 2, 3]
