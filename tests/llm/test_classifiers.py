@@ -74,3 +74,56 @@ def test_held_out_rows_are_never_learned_from(spark, documents):
     assert np.array_equal(a[0], b[0]) and np.array_equal(a[1], b[1])
     a, b = op4_quality.fit(docs, labels), op4_quality.fit(docs, flipped)
     assert np.array_equal(a.weights, b.weights) and a.cut == b.cut
+
+
+def test_ftrl_equals_a_plain_loop():
+    """One coordinate at a time, from the published update, on rows that overlap."""
+    import math
+    import random
+
+    from tessera.llm import op1_toxicity as t
+    rng = random.Random(3)
+    rows = [(rng.randint(0, 1), np.array(sorted(rng.sample(range(40), rng.randint(0, 9))), dtype=np.int64)) for _ in range(120)]
+    z, n = [0.0] * 40, [0.0] * 40
+    bz = bn = 0.0
+
+    def weight(z, n, l1, l2):
+        return 0.0 if abs(z) <= l1 else -(z - math.copysign(l1, z)) / ((t.BETA + math.sqrt(n)) / t.ALPHA + l2)
+
+    for _ in range(2):
+        for label, x in rows:
+            w, b = {int(i): weight(z[i], n[i], t.L1, t.L2) for i in x}, weight(bz, bn, 0.0, 0.0)
+            g = 1 / (1 + math.exp(-(sum(w.values()) + b))) - label
+            for i in w:
+                s = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / t.ALPHA
+                z[i] += g - s * w[i]
+                n[i] += g * g
+            bz += g - (math.sqrt(bn + g * g) - math.sqrt(bn)) / t.ALPHA * b
+            bn += g * g
+    got, bias = t.ftrl(rows, 2)
+    want = [weight(a, b, t.L1, t.L2) for a, b in zip(z, n)]
+    assert np.allclose(got[:40], want) and not got[40:].any() and np.isclose(bias, weight(bz, bn, 0.0, 0.0))
+    assert 0 < np.count_nonzero(want) < 40                      # the L1 bound leaves some at zero
+
+
+def test_pairwise_fit_is_about_as_good_as_newton_on_all_pairs():
+    from tessera.llm import op4_quality as q
+    rng = np.random.default_rng(5)
+    k = len(q.FEATURES)
+    truth = rng.normal(size=k)
+    x = rng.normal(size=(300, k))
+    good = (x @ truth + rng.normal(size=300) * 2 > 0).astype(int)
+    model = q.bradley_terry(x, good)
+    z = np.clip((x - model.mean) / model.scale, -8, 8)
+    diff = (z[good == 1][:, None] - z[good == 0][None]).reshape(-1, k)
+
+    def loss(w):
+        return np.logaddexp(0, -diff @ w).mean() + q.RIDGE / 2 * w @ w
+
+    w = np.zeros(k)
+    for _ in range(25):                                         # Newton's method over every pair
+        p = 1 / (1 + np.exp(diff @ w))
+        hessian = (diff * (p * (1 - p))[:, None]).T @ diff / len(diff) + q.RIDGE * np.eye(k)
+        w += np.linalg.solve(hessian, (p[:, None] * diff).mean(axis=0) - q.RIDGE * w)
+    assert loss(w) <= loss(model.weights) < loss(w) * 1.05 + 0.01 < loss(np.zeros(k))
+    assert np.corrcoef(w, model.weights)[0, 1] > 0.97

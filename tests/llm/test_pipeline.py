@@ -31,3 +31,42 @@ def test_rows_are_those_of_the_operators(spark):
     assert {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()} == {
         r.doc_id: int(r.k) for r in want.collect() if r.k}
     assert ids(P.run(spark, SF)) == ids(mixed)
+
+
+def _folder(spark, path, docs, labels, benchmark):
+    docs.coalesce(2).write.parquet(f"{path}/documents.parquet")
+    labels.write.parquet(f"{path}/labels.parquet")
+    benchmark.write.parquet(f"{path}/benchmark.parquet")
+    return path
+
+
+COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, score double, copy string, nth int, label int"
+
+
+def test_nulls_empty_texts_and_clashing_columns(spark, scratch):
+    from .conftest import prose
+    leak = prose(900, 30)
+    texts = ([" ".join(prose(i, 60)) + "." for i in range(40)] + [" ".join(leak + prose(50, 40)), "mail me@x.org " + " ".join(prose(51, 50))]
+             + [" ".join(prose(7, 60)) + "."] * 3)
+    rows = [(i, t, None if i % 3 else "en", None if i % 4 == 0 else f"s{i % 3}") for i, t in enumerate(texts)]
+    rows += [(None, " ".join(prose(60, 50)), None, None), (70, None, None, "s1"), (71, "", "en", None), (72, " \n", "en", "s0"),
+             (1, rows[1][1], "en", "s1")]
+    docs = spark.createDataFrame([(*r, None, 3, 0.5, "c", 1, 0) for r in rows], COLUMNS)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)] + [(70, 0, 0), (71, 0, 1), (None, 1, 1), (5, None, None)],
+                                   "doc_id bigint, quality int, toxic int")
+    benchmark = spark.createDataFrame([("q", " ".join(leak)), (None, None), ("e", "")], "item_id string, text string")
+    out = P.run(spark, _folder(spark, scratch("pipe"), docs, labels, benchmark))
+    assert out.columns == [*docs.columns, "mix_copy"]
+    got = out.collect()
+    kept = {r.doc_id for r in got}
+    assert 40 not in kept and not any("me@x.org" in (r.text or "") for r in got)     # the leak and the address are gone
+    copies = {42, 43, 44}
+    assert not kept & copies                                                        # of the copies of 7 the first stays, if any
+    assert all(r.copy == "c" and r.size == 3 and r.nth == 1 and r.mix_copy in (1, 2) for r in got)
+    assert len(got) == len({(r.doc_id, r.text, r.mix_copy) for r in got})
+
+
+def test_empty_tables(spark, scratch):
+    none = _folder(spark, scratch("none"), spark.createDataFrame([], COLUMNS),
+                   spark.createDataFrame([], "doc_id bigint, quality int, toxic int"), spark.createDataFrame([], "item_id string, text string"))
+    assert P.run(spark, none).count() == 0
