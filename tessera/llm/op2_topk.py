@@ -11,10 +11,11 @@ more in the others.  A query ends when its k-th verified distance is covered by
 that radius, so the result is exact.  Where a step would look up more values
 than the block has codes, the rest of the block is verified instead.
 
-The stated query set (ids divisible by ``QUERY_EVERY``) meets all rows in blocks:
-up to ``CODE_BLOCK`` codes are indexed by a task and searched for up to about
-``QUERY_BLOCK`` queries.  Each task returns k rows a query; the k best of a
-query's rows over all blocks are its result, ties by the smaller id.
+The stated query set (ids divisible by ``QUERY_EVERY``) meets all rows in blocks: a task
+indexes up to ``CODE_BLOCK`` codes once and searches them for all queries, which come to it
+in a stream.  Queries are the small side, so they are what is copied to each block; codes
+move once.  Each task returns k rows a query; the k best of a query's rows over all
+blocks are its result, ties by the smaller id.
 """
 
 from __future__ import annotations
@@ -33,7 +34,8 @@ from tessera.llm.common import pick, written
 K = 10
 QUERY_EVERY = 20
 SEGMENT = 16
-CODE_BLOCK, QUERY_BLOCK = 65_536, 512
+#: Most codes in a block, and fewest where the table is small (then some blocks for every core).
+CODE_BLOCK, LEAST_BLOCK = 65_536, 2_048
 #: Queries searched at once inside a task (a byte for each query and code).
 BATCH = 128
 
@@ -73,14 +75,21 @@ def flips(a: int) -> np.ndarray:
     return np.array([sum(1 << b for b in c) for c in combinations(range(SEGMENT), a)], dtype=np.int64)
 
 
-def search(block: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarray]:
+class Index:
+    """A block of codes (rows of 16-bit segments) with each segment's values in order."""
+
+    def __init__(self, block: np.ndarray):
+        self.block, (self.n, self.m) = block, block.shape
+        self.order = [np.argsort(block[:, j], kind="stable") for j in range(self.m)]
+        self.begin = [np.searchsorted(block[o, j], np.arange((1 << SEGMENT) + 1)) for j, o in enumerate(self.order)]
+
+
+def search(index: Index, queries: np.ndarray, k: int) -> list[np.ndarray]:
     """Per query, the positions of the block's codes that may be among its k nearest:
-    all codes within the k-th smallest distance.  Codes are rows of 16-bit segments."""
-    n, m = block.shape
+    all codes within the k-th smallest distance."""
+    n, m, order, begin = index.n, index.m, index.order, index.begin
     k = min(k, n)
-    order = [np.argsort(block[:, j], kind="stable") for j in range(m)]
-    begin = [np.searchsorted(block[o, j], np.arange((1 << SEGMENT) + 1)) for j, o in enumerate(order)]
-    wide = block.view(np.uint16)
+    wide = index.block.view(np.uint16)
     found: list[np.ndarray] = []
     for lo in range(0, len(queries), BATCH):
         q = queries[lo:lo + BATCH]
@@ -121,60 +130,57 @@ def search(block: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarray]:
     return found
 
 
+def _codes_of(raw: list[bytes]) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b"".join(raw), dtype=">u2").astype(np.uint16).reshape(len(raw), -1))
+
+
 def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (qb, cb): codes (query false) and queries (query true) of a pair of blocks."""
-    key, ids, raw, asks = None, [], [], []
-
-    def close() -> Iterator[pa.RecordBatch]:
-        id_, ask = np.array(ids, dtype=np.int64), np.array(asks, dtype=bool)
-        if not ask.any() or ask.all():
-            return
-        code = np.frombuffer(b"".join(raw), dtype=">u2").astype(np.uint16).reshape(len(ids), -1)
-        block, block_ids = np.ascontiguousarray(code[~ask]), id_[~ask]
-        queries, query_ids = np.ascontiguousarray(code[ask]), id_[ask]
+    """Rows of one block, codes (query false) before queries (query true)."""
+    ids: list[int] = []
+    raw: list[bytes] = []
+    index = None
+    for batch in batches:
+        asked: list[tuple[int, bytes]] = []
+        for vec_id, code, query in zip(*(batch.column(c).to_pylist() for c in ("vec_id", "code", "query"))):
+            if query:
+                asked.append((vec_id, code))
+            else:
+                ids.append(vec_id)
+                raw.append(code)
+        if not asked or not ids:
+            continue
+        if index is None:
+            index, block_ids = Index(_codes_of(raw)), np.array(ids, dtype=np.int64)
+            raw.clear()
+        queries = _codes_of([c for _, c in asked])
         out_q, out_v, out_d = [], [], []
-        for i, at in enumerate(search(block, queries, k)):
-            d = np.bitwise_count(block[at] ^ queries[i]).sum(axis=1, dtype=np.int64)
+        for i, at in enumerate(search(index, queries, k)):
+            d = np.bitwise_count(index.block[at] ^ queries[i]).sum(axis=1, dtype=np.int64)
             best = np.lexsort((block_ids[at], d))[:k]
-            out_q.append(np.full(len(best), query_ids[i]))
+            out_q.append(np.full(len(best), asked[i][0]))
             out_v.append(block_ids[at][best])
             out_d.append(d[best])
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (out_q, out_v, out_d)],
                                          names=["query_id", "vec_id", "distance"])
 
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("qb", "cb", "vec_id", "code", "query")]
-        for qb, cb, vec_id, code, query in zip(*columns):
-            if (qb, cb) != key:
-                if key is not None:
-                    yield from close()
-                key, ids, raw, asks = (qb, cb), [], [], []
-            ids.append(vec_id)
-            raw.append(code)
-            asks.append(query)
-    if key is not None:
-        yield from close()
-
 
 def top_k(spark: SparkSession, vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame:
     """(query_id, rank, vec_id, distance): for each id divisible by ``every``, its k nearest
     codes among all rows, itself included; ties by the smaller id.
 
     A null embedding has no code and a null id no name: such rows neither ask nor
-    answer.  Repeated rows answer as often as they are there and ask once.
+    answer.  Repeated rows answer as often as they are there and ask once; an id
+    that has several codes asks with each, and its k nearest are those of all.
     """
     rows = written(spark, codes(vectors), "topk-codes")
-    asking = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
-    code_blocks = max(1, -(-rows.count() // CODE_BLOCK))
-    query_blocks = max(1, -(-asking.count() // QUERY_BLOCK))
-    qb = F.pmod(F.xxhash64("vec_id", F.lit("q")), F.lit(query_blocks))
-    cb = F.pmod(F.xxhash64("vec_id"), F.lit(code_blocks))
-    tasks = (rows.withColumn("cb", cb).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))))
-             .select(F.col("qb").cast("int"), F.col("cb").cast("int"), "vec_id", "code", F.lit(False).alias("query"))
-             .union(asking.withColumn("qb", qb)
-                    .withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(code_blocks - 1))))
-                    .select(F.col("qb").cast("int"), F.col("cb").cast("int"), "vec_id", "code", F.lit(True))))
-    near = (tasks.repartition("qb", "cb").sortWithinPartitions("qb", "cb")
+    asking = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "code"])
+    n = rows.count()
+    spread = -(-n // (4 * spark.sparkContext.defaultParallelism))
+    blocks = max(1, -(-n // min(CODE_BLOCK, max(LEAST_BLOCK, spread))))
+    cb = F.pmod(F.xxhash64("vec_id", "code", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    tasks = (rows.select(cb.alias("cb"), "vec_id", "code", F.lit(False).alias("query"))
+             .union(asking.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("cb"), "vec_id", "code", F.lit(True))))
+    near = (tasks.repartitionById(blocks, F.col("cb")).sortWithinPartitions("query", "vec_id")
             .mapInArrow(partial(_search, k=k), "query_id bigint, vec_id bigint, distance bigint"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))
     return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "distance")

@@ -31,10 +31,10 @@ def brute(df, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("code_block, query_block, k", [(65_536, 512, 10), (100, 7, 10), (100, 50, 150)])
-def test_equals_brute_force(spark, monkeypatch, code_block, query_block, k):
+@pytest.mark.parametrize("code_block, least, k", [(65_536, 2_048, 10), (100, 100, 10), (100, 30, 150)])
+def test_equals_brute_force(spark, monkeypatch, code_block, least, k):
     monkeypatch.setattr(m, "CODE_BLOCK", code_block)
-    monkeypatch.setattr(m, "QUERY_BLOCK", query_block)
+    monkeypatch.setattr(m, "LEAST_BLOCK", least)
     df = vectors(spark)
     assert sorted(tuple(r) for r in m.top_k(spark, df, k).collect()) == brute(df, k)
 
@@ -44,7 +44,7 @@ def test_search_grows_until_covered():
     block = rng.integers(0, 1 << 16, (30_000, 4)).astype(np.uint16)
     queries = block[:40] ^ (rng.random((40, 4)) < 0.5).astype(np.uint16)
     for k in (1, 5):
-        for q, found in zip(queries, m.search(block, queries, k)):
+        for q, found in zip(queries, m.search(m.Index(block), queries, k)):
             d = np.bitwise_count(block ^ q).sum(axis=1)
             assert set(found) == set(np.flatnonzero(d <= np.sort(d)[k - 1]))
 
@@ -52,3 +52,14 @@ def test_search_grows_until_covered():
 def test_no_rows(spark):
     none = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert m.top_k(spark, none).count() == 0
+
+
+def test_codes_move_once_and_an_id_of_two_codes_asks_with_both(spark, monkeypatch):
+    monkeypatch.setattr(m, "CODE_BLOCK", 50)
+    monkeypatch.setattr(m, "LEAST_BLOCK", 50)
+    df = vectors(spark)
+    plan = m.top_k(spark, df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate explode") == 1                  # only the queries are copied to the blocks
+    two = spark.createDataFrame([(20, [1.0, 1.0]), (20, [-1.0, 1.0]), (1, [-1.0, 1.0])], "vec_id bigint, embedding array<double>")
+    got = [(r.query_id, r.vec_id, r.distance) for r in m.top_k(spark, two, 3).orderBy("rank").collect()]
+    assert got == [(20, 1, 0), (20, 20, 0), (20, 20, 0)]
