@@ -1,6 +1,6 @@
 """Command line for the four flows (what the upstream scheduler triggers).
 
-    python -m tessera daily-build (--sf-dir D | --seeds FOLDER [--stream-root S]) --gold-root G [--no-stream]
+    python -m tessera daily-build (--sf-dir D | --seeds FOLDER [--stream-root S]) --gold-root G [--api-root R] [--no-stream]
     python -m tessera api-cycle   --sf-dir D --root R --run-id N --stamp "2024-01-31 00:00:00"
     python -m tessera stream      --root R (--topic FOLDER | --kafka KEY=VALUE ...) [--available-now]
     python -m tessera audit       --gold-root G [--api-root R] [--stream-root S] [--history H]
@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> int:
     which.add_argument("--seeds", help="folder of declared CSV seeds")
     d.add_argument("--stream-root", help="stream sink to union with the seeds' telemetry")
     d.add_argument("--gold-root", required=True)
+    d.add_argument("--api-root", help="API tables whose silver is gated too")
     d.add_argument("--no-stream", action="store_true")
     a = sub.add_parser("api-cycle")
     a.add_argument("--sf-dir", required=True)
@@ -55,8 +56,12 @@ def main(argv: list[str] | None = None) -> int:
             from tessera.streaming import silver as S
             stream = S.read_silver(spark, S.StreamPaths(args.stream_root)) if args.stream_root else None
             sources = medallion.Sources.of_seeds(spark, args.seeds, stream)
-        out = medallion.daily_build(spark, args.sf_dir, args.gold_root,
-                                    include_stream=not args.no_stream, sources=sources)
+        api = None
+        if args.api_root:
+            from tessera.plans.api_ingest import ApiTables
+            api = ApiTables(args.api_root).silver(spark).read()
+        out = medallion.daily_build(spark, args.sf_dir, args.gold_root, include_stream=not args.no_stream,
+                                    sources=sources, api_silver=api)
     elif args.cmd == "api-cycle":
         from tessera.plans import api_ingest
         from tessera.sources import bindings

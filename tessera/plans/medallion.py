@@ -150,14 +150,15 @@ def fact_unified(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 def daily_build(spark: SparkSession, sf_dir: str | None, gold_root: str, suite=None,
                 include_stream: bool = True, as_of: str = bindings.AS_OF,
-                sources: Sources | None = None) -> dict:
+                sources: Sources | None = None, api_silver: DataFrame | None = None) -> dict:
     """The daily medallion build: write, check, then publish.
 
     Silver models are gated first; the gold tables (dimensions, then the
     day-partitioned, clustered fact) are written to a folder of the build, gated
     as stored, and only then published as the next release.  A failing
     error-severity check or a lost driver leaves the release before untouched.
-    ``sources`` are the raw tables; by default those bound to ``sf_dir``.
+    ``sources`` are the raw tables; by default those bound to ``sf_dir``.  ``api_silver`` is
+    the stored API model (see ``api_ingest``), which is gated with the other silver models.
     """
     from tessera.operators.quality import audit, gate
     from tessera.plans.audit import SUITE
@@ -176,7 +177,7 @@ def daily_build(spark: SparkSession, sf_dir: str | None, gold_root: str, suite=N
         gate(results, specs)
         checks.extend(r.asDict() for r in results.collect())
 
-    gated(sources.silver())
+    gated(sources.silver() | ({} if api_silver is None else {"stg_api_telemetry": api_silver}))
     g = build_gold(spark, sf_dir, include_stream=include_stream, as_of=as_of, dims_root=folder,
                    sources=sources)
     dims_models = {"dim_vessels": g.dims.vessels, "dim_locations": g.dims.locations,
