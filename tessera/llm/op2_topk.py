@@ -14,7 +14,9 @@ than the block has codes, the rest of the block is verified instead.
 The stated query set (ids divisible by ``QUERY_EVERY``) meets all rows in blocks: a task
 indexes up to ``CODE_BLOCK`` codes once and searches them for all queries, which come to it
 in a stream.  Queries are the small side, so they are what is copied to each block; codes
-move once.  Each task returns k rows a query; the k best of a query's rows over all
+move once.  (Only where there are fewer blocks than cores, so in small tables, a block
+goes to several tasks, each with a part of the queries: smaller blocks would cost more, as
+the k-th neighbour in them is farther.)  Each task returns k rows a query; the k best of a query's rows over all
 blocks are its result, ties by the smaller id.
 """
 
@@ -34,8 +36,8 @@ from tessera.llm.common import pick, written
 K = 10
 QUERY_EVERY = 20
 SEGMENT = 16
-#: Most codes in a block, and fewest where the table is small (then some blocks for every core).
-CODE_BLOCK, LEAST_BLOCK = 65_536, 2_048
+#: Most codes in a block, and about how few queries are worth a task of their own.
+CODE_BLOCK, QUERY_RUN = 65_536, 256
 #: Queries searched at once inside a task (a byte for each query and code).
 BATCH = 128
 
@@ -164,6 +166,19 @@ def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatc
                                          names=["query_id", "vec_id", "distance"])
 
 
+def deal(spark: SparkSession, rows: DataFrame, asking: DataFrame) -> tuple[DataFrame, int]:
+    """Codes and queries (task, vec_id, code, query) and the number of tasks."""
+    blocks = max(1, -(-rows.count() // CODE_BLOCK))
+    runs = max(1, min(-(-4 * spark.sparkContext.defaultParallelism // blocks), -(-asking.count() // QUERY_RUN)))
+    block = F.pmod(F.xxhash64("vec_id", "code", F.monotonically_increasing_id()), F.lit(blocks))
+    run = F.pmod(F.xxhash64("vec_id", "code"), F.lit(runs))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = (rows.select(block.alias("block"), upto(runs).alias("run"), "vec_id", "code", F.lit(False).alias("query"))
+             .union(asking.select(upto(blocks), run, "vec_id", "code", F.lit(True)))
+             .withColumn("task", (F.col("block") * runs + F.col("run")).cast("int")))
+    return dealt, blocks * runs
+
+
 def top_k(spark: SparkSession, vectors: DataFrame, k: int = K, every: int = QUERY_EVERY) -> DataFrame:
     """(query_id, rank, vec_id, distance): for each id divisible by ``every``, its k nearest
     codes among all rows, itself included; ties by the smaller id.
@@ -174,13 +189,9 @@ def top_k(spark: SparkSession, vectors: DataFrame, k: int = K, every: int = QUER
     """
     rows = written(spark, codes(vectors), "topk-codes")
     asking = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "code"])
-    n = rows.count()
-    spread = -(-n // (4 * spark.sparkContext.defaultParallelism))
-    blocks = max(1, -(-n // min(CODE_BLOCK, max(LEAST_BLOCK, spread))))
-    cb = F.pmod(F.xxhash64("vec_id", "code", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
-    tasks = (rows.select(cb.alias("cb"), "vec_id", "code", F.lit(False).alias("query"))
-             .union(asking.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("cb"), "vec_id", "code", F.lit(True))))
-    near = (tasks.repartitionById(blocks, F.col("cb")).sortWithinPartitions("query", "vec_id")
+    dealt, tasks = deal(spark, rows, asking)
+    near = (dealt.repartitionById(tasks, F.col("task")).select("vec_id", "code", "query")
+            .sortWithinPartitions("query", "vec_id")
             .mapInArrow(partial(_search, k=k), "query_id bigint, vec_id bigint, distance bigint"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))
     return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "distance")

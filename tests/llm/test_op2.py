@@ -31,10 +31,10 @@ def brute(df, k):
     return sorted(out)
 
 
-@pytest.mark.parametrize("code_block, least, k", [(65_536, 2_048, 10), (100, 100, 10), (100, 30, 150)])
-def test_equals_brute_force(spark, monkeypatch, code_block, least, k):
+@pytest.mark.parametrize("code_block, run, k", [(65_536, 256, 10), (100, 7, 10), (100, 50, 150)])
+def test_equals_brute_force(spark, monkeypatch, code_block, run, k):
     monkeypatch.setattr(m, "CODE_BLOCK", code_block)
-    monkeypatch.setattr(m, "LEAST_BLOCK", least)
+    monkeypatch.setattr(m, "QUERY_RUN", run)
     df = vectors(spark)
     assert sorted(tuple(r) for r in m.top_k(spark, df, k).collect()) == brute(df, k)
 
@@ -54,12 +54,14 @@ def test_no_rows(spark):
     assert m.top_k(spark, none).count() == 0
 
 
-def test_codes_move_once_and_an_id_of_two_codes_asks_with_both(spark, monkeypatch):
-    monkeypatch.setattr(m, "CODE_BLOCK", 50)
-    monkeypatch.setattr(m, "LEAST_BLOCK", 50)
-    df = vectors(spark)
-    plan = m.top_k(spark, df)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Generate explode") == 1                  # only the queries are copied to the blocks
+def test_many_blocks_take_each_code_once_and_an_id_of_two_codes_asks_with_both(spark, monkeypatch):
+    monkeypatch.setattr(m, "CODE_BLOCK", 10)
+    rows = m.codes(vectors(spark))
+    asking = rows.filter("vec_id % 20 = 0").dropDuplicates()
+    dealt, tasks = m.deal(spark, rows, asking)
+    blocks = -(-rows.count() // 10)
+    assert tasks == blocks and dealt.filter("NOT query").count() == rows.count()
+    assert dealt.filter("query").count() == blocks * asking.count()
     two = spark.createDataFrame([(20, [1.0, 1.0]), (20, [-1.0, 1.0]), (1, [-1.0, 1.0])], "vec_id bigint, embedding array<double>")
     got = [(r.query_id, r.vec_id, r.distance) for r in m.top_k(spark, two, 3).orderBy("rank").collect()]
     assert got == [(20, 1, 0), (20, 20, 0), (20, 20, 0)]
