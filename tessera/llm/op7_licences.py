@@ -29,9 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import pick, written
-from tessera.llm.op9_decontaminate import MAX_SET, _words
+from tessera.llm.op9_decontaminate import _words
 
 THRESHOLD = 0.8
+#: Template bigrams that may be part of the plan.
+MAX_SET = 100_000
 
 #: Short notices by licence; any table (licence, text) may take their place.
 TEMPLATES = (

@@ -1,29 +1,33 @@
 """Benchmark decontamination with a hash set of normalised test n-grams.
 
 DataFrame functions only.  Benchmark texts become windows of ``WINDOW``
-consecutive normalised words (a shorter text is one window).  The 64-bit hashes
-of all windows form a set that is shipped with the plan, after its size is
-checked against ``MAX_SET``.  Every training text is then scanned in place:
-its words are cut once, each of its windows is hashed and looked up, and only
-the rare hits leave the row, with their words.  An equi-join of those words with
-the benchmark's windows *verifies* each hit and tells its items.
-
-A benchmark with more windows than ``MAX_SET`` skips the set: all windows of the
-texts go into the same equi-join, which is then a shuffle.  The rows are equal.
-
-Only narrow rows are shuffled (hits, ids, digests), never texts.
+consecutive normalised words (a shorter text is one window).  Of a window of n words
+all runs of ``n // 2 + 1`` words go into a set of 64-bit hashes, which is broadcast.
+Any n consecutive words of a training text hold one such run that begins at every
+``n - n // 2``-th word, so only these runs of a text are hashed and looked up (of ten
+words: runs of six, at every fifth word), and no window is missed.
+
+Texts are scanned in place, as chunks of ``CHUNK`` window starts with the words that
+the last of them need.  Only chunks with a known run leave the scan, with their words; an
+equi-join of their windows with the benchmark's windows *verifies* each hit and tells
+its items.  Texts are never shuffled, whatever the benchmark's size: a set of more than
+``MAX_SET`` hashes is cut into parts, and the texts are scanned once for each part.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.common import MAX_BROADCAST_IDS, pick, position, tag, written
 
 WINDOW = 10
-#: Window hashes that may be part of the plan (8 bytes each).
-MAX_SET = 100_000
+#: Window starts of a chunk of a text.
+CHUNK = 50
+#: Hashes that are broadcast at once (8 bytes each).
+MAX_SET = 4_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words after lower-casing A-Z: runs of a-z, 0-9 and non-ASCII characters.
@@ -37,7 +41,7 @@ def _words(text: str) -> str:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """(w, len, h, items): distinct windows, their hash, the ids of the items that hold them.
+    """(ws, len, items): distinct windows, the ids of the items that hold them.
 
     A text without words has no window; a null item_id names no item.
     """
@@ -46,23 +50,48 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         F.expr(_words("coalesce(text, '')")).alias("ws"))
     cut = items.filter("size(ws) > 0").select("item_id", F.explode(F.expr(
         f"transform(sequence(0, greatest(size(ws) - {WINDOW}, 0)), i -> slice(ws, i + 1, {WINDOW}))")).alias("ws"))
-    return (cut.groupBy(F.array_join("ws", " ").alias("w"), F.size("ws").alias("len"),
-                        F.xxhash64("ws").alias("h"))
-            .agg(F.collect_set("item_id").alias("items")))
+    return cut.groupBy("ws", F.size("ws").alias("len")).agg(F.collect_set("item_id").alias("items"))
+
+
+def runs(windows: DataFrame) -> DataFrame:
+    """(h): distinct hashes of the runs of ``len // 2 + 1`` words of all windows."""
+    return windows.select(F.explode(F.expr(
+        "transform(sequence(1, (len + 1) div 2), i -> xxhash64(len, slice(ws, i, len div 2 + 1)))")).alias("h")).distinct()
+
 
+def _probes(lengths: list[int]) -> str:
+    """SQL: the runs (len, step, h) of a chunk's words ``ws`` that stand for its windows of each length.
 
-def _scan(lengths: dict[int, list[int] | None]) -> str:
-    """SQL: number of words, and the windows of each length whose hash is in its set."""
+    The run of step j stands for the windows that begin at words ``t * j`` to ``t * j + t - 1``
+    of the chunk, with ``t = (len + 1) // 2``; it begins at the last of them.
+    """
     parts = []
-    for size, hashes in sorted(lengths.items()):
-        known = "" if hashes is None else f" AND xxhash64(slice(ws, i + 1, {size})) IN ({', '.join(f'{h}L' for h in hashes)})"
+    for n in lengths:
+        t, run = (n + 1) // 2, n // 2 + 1
         parts.append(
-            f"transform(filter(sequence(0, size(ws)), i -> i + {size} <= size(ws){known}), "
-            f"i -> struct(i AS pos, {size} AS len, array_join(slice(ws, i + 1, {size}), ' ') AS w))")
-    hits = f"concat({', '.join(parts)})" if parts else "CAST(array() AS array<struct<pos:int,len:int,w:string>>)"
-    # the one-element transform binds the words once
-    return (f"transform(array({_words('text')}), ws -> struct(CAST(size(ws) AS bigint) AS n_words, "
-            f"{hits} AS hits))[0]")
+            f"transform(if(size(ws) >= {n}, sequence(0, least((size(ws) - {n}) div {t}, {(CHUNK - 1) // t})), array()), "
+            f"j -> struct({n} AS len, j AS step, xxhash64({n}, slice(ws, {t} * j + {t}, {run})) AS h))")
+    return ", ".join(parts)
+
+
+def _scanned(texts: DataFrame, lengths: list[int], known: DataFrame, counts: bool) -> DataFrame:
+    """(doc_id, digest, n_words, chunk, len, step, ws): the runs that are known; with
+    ``counts`` also a row of null ``len`` for each text.
+
+    Words are cut once.  A text of no words is one empty chunk.
+    """
+    chunks = (f"transform(array({_words('text')}), ws -> struct(CAST(size(ws) AS bigint) AS n_words, "
+              f"transform(sequence(0, greatest(size(ws) - 1, 0) div {CHUNK}), "
+              f"c -> slice(ws, {CHUNK} * c + 1, {CHUNK + WINDOW - 1})) AS chunks))[0]")
+    rows = (texts.select("doc_id", F.xxhash64("text").alias("digest"), F.expr(chunks).alias("s"))
+            .select("doc_id", "digest", "s.n_words", F.posexplode("s.chunks").alias("chunk", "ws")))
+    # the text's own row: its hash is not a run's (and would be verified like any other)
+    own = "if(chunk = 0, array(struct(CAST(null AS int) AS len, 0 AS step, digest AS h)), array())"
+    probes = [part for part in (own if counts else "", _probes(lengths)) if part]
+    probed = rows.select("*", F.inline(F.expr(f"concat({', '.join(probes)})")))
+    return (probed.join(F.broadcast(known.select(F.col("h").alias("known"))), F.col("h") == F.col("known"), "left")
+            .filter("len IS NULL OR known IS NOT NULL")
+            .select("doc_id", "digest", "n_words", "chunk", "len", "step", F.expr("if(len IS NULL, null, ws)").alias("ws")))
 
 
 def scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, max_set: int = MAX_SET) -> tuple[DataFrame, DataFrame]:
@@ -71,27 +100,24 @@ def scan(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, max_set: in
     Rows are told apart by id and text digest, so ids may be null or repeated.
     """
     windows = written(spark, benchmark_windows(benchmark), "dc-windows")
-    sizes = {r.len: r.n for r in windows.groupBy("len").agg(F.count("*").alias("n")).collect()}
-    if sum(sizes.values()) <= max_set:
-        by_size: dict[int, list[int] | None] = {n: [] for n in sizes}
-        for r in windows.select("len", "h").distinct().collect():
-            by_size[r.len].append(r.h)
-    else:
-        by_size = dict.fromkeys(sizes)
+    known = written(spark, runs(windows), "dc-runs")
+    lengths = sorted(r.len for r in windows.select("len").distinct().collect())   # ten at most
+    parts = max(1, -(-known.count() // max_set))
     texts = pick(docs, doc_id="doc_id", text="text").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    scanned = written(spark, texts.select("doc_id", F.xxhash64("text").alias("digest"),
-                                          F.expr(_scan(by_size)).alias("s"))
-                      .select("doc_id", "digest", "s.n_words", "s.hits"), "dc-scanned")
-    hits = (scanned.filter("size(hits) > 0").groupBy("doc_id", "digest")
-            .agg(F.first("hits").alias("hits"))
-            .select("doc_id", "digest", F.explode("hits").alias("hit"))
-            .select("doc_id", "digest", "hit.pos", "hit.len", "hit.w"))
+    passes = [_scanned(texts, lengths, known.filter(F.pmod("h", F.lit(parts)) == k), k == 0) for k in range(parts)]
+    scanned = written(spark, reduce(DataFrame.unionByName, passes), "dc-scanned")
+    starts = ("filter(sequence((len + 1) div 2 * step, (len + 1) div 2 * (step + 1) - 1), "
+              f"i -> i < {CHUNK} AND i + len <= size(ws))")
+    hits = (scanned.filter("len IS NOT NULL").groupBy("doc_id", "digest", "chunk", "len", "step")
+            .agg(F.first("ws").alias("ws"))
+            .select("doc_id", "digest", "len", F.expr(f"inline(transform({starts}, "
+                    f"i -> struct({CHUNK} * chunk + i AS pos, slice(ws, i + 1, len) AS ws)))")))
     spans = F.collect_list(F.sequence("pos", F.col("pos") + F.col("len") - 1))
-    found = written(spark, hits.join(windows.select("w", "items"), "w").groupBy("doc_id", "digest").agg(
+    found = written(spark, hits.join(windows.select("ws", "items"), "ws").groupBy("doc_id", "digest").agg(
         F.size(F.array_distinct(F.flatten(spans))).cast("bigint").alias("n_hit"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")), "dc-found")
-    return scanned.select("doc_id", "digest", "n_words"), found
+    return scanned.filter("len IS NULL").select("doc_id", "digest", "n_words"), found
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, max_set: int = MAX_SET) -> DataFrame:

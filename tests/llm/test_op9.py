@@ -18,7 +18,7 @@ def fixture_rows():
     return items, docs
 
 
-@pytest.mark.parametrize("max_set", [100_000, 0])
+@pytest.mark.parametrize("max_set", [m.MAX_SET, 40])
 def test_equals_sql(spark, documents, max_set):
     items, rows = fixture_rows()
     bench = spark.createDataFrame(items, "item_id string, text string")
@@ -45,6 +45,23 @@ def test_stage_drops_contaminated_rows_only(spark, documents):
     assert sorted(r[0] for r in kept.collect()) == [2, 3, 4, 6, 10, 11]
 
 
+def test_every_length_and_place_of_a_window(spark, documents):
+    """Items of 1 to 12 words, in texts at every offset around the ends of a chunk."""
+    items = [(f"i{n}", " ".join(prose(100 + n, n))) for n in range(1, 13)]
+    docs, want = [], {}
+    for n in range(1, 13):
+        for before in [*range(12), *range(m.CHUNK - 13, m.CHUNK + 3), 2 * m.CHUNK - 1]:
+            for after in (0, 7):
+                i = len(docs)
+                docs.append((i, " ".join([*prose(200, before), *prose(100 + n, n), *prose(201, after)]), "s"))
+                want[i] = (before + n + after, n, n)
+    got = m.decontaminate(spark, documents(docs), spark.createDataFrame(items, "item_id string, text string")).collect()
+    assert len(got) == len(docs) and all(r.contaminated for r in got)
+    from hashlib import sha256
+    assert {r.doc_id: (r.n_words, r.n_hit) for r in got} == {i: w[:2] for i, w in want.items()}
+    assert all(r.items_sha256 == sha256(f"i{want[r.doc_id][2]}".encode()).hexdigest() for r in got)
+
+
 def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "item_id string, text string")
     got = m.decontaminate(spark, documents([(1, "a b", "s"), (2, None, "s")]), none).collect()
