@@ -30,14 +30,15 @@ CHUNK = 50
 MAX_SET = 4_000_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Words after lower-casing A-Z: runs of a-z, 0-9 and non-ASCII characters.
-_WORD = r"[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+#: Words after lower-casing A-Z are runs of a-z, 0-9 and non-ASCII characters; this lies between them.
+_BETWEEN = r"[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
 
 def _words(text: str) -> str:
-    """SQL of a text's words.  ``lower`` is the faster equal of ``translate`` where all is ASCII."""
-    return (f"regexp_extract_all(CASE WHEN octet_length({text}) = length({text}) THEN lower({text}) "
-            f"ELSE translate({text}, '{_UPPER}', '{_LOWER}') END, '{_WORD}', 0)")
+    """SQL of a text's words.  ``lower`` is the faster equal of ``translate`` where all is ASCII,
+    and ``split`` (with '' at the ends) a quarter of the cost of ``regexp_extract_all``."""
+    return (f"array_remove(split(CASE WHEN octet_length({text}) = length({text}) THEN lower({text}) "
+            f"ELSE translate({text}, '{_UPPER}', '{_LOWER}') END, '{_BETWEEN}'), '')")
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
