@@ -10,7 +10,7 @@ words: runs of six, at every fifth word), and no window is missed.
 Texts are scanned in place, as chunks of ``CHUNK`` window starts with the words that
 the last of them need.  Only chunks with a known run leave the scan, with their words; an
 equi-join of their windows with the benchmark's windows *verifies* each hit and tells
-its items.  Texts are never shuffled, whatever the benchmark's size: a set of more than
+its items.  The scan shuffles no texts, whatever the benchmark's size: a set of more than
 ``MAX_SET`` hashes is cut into parts, and the texts are scanned once for each part.
 """
 
