@@ -55,6 +55,27 @@ def test_a_batch_that_stopped_half_way_is_not_seen_and_then_seen_once(spark, scr
     assert (ids(spark, paths), S.read_bronze(spark, paths).count(), S.read_dead_letters(spark, paths).count()) == ([1, 2, 3], 3, 3)
 
 
+def test_compaction_streams_its_rows_into_files_without_a_sort(spark, scratch, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+    writers = "spark.sql.maxConcurrentOutputFileWriters"
+    paths, real, seen = S.StreamPaths(scratch("streamed")), DataFrameWriter.parquet, []
+    for b in range(2):
+        for day in (18, 19):
+            S.micro_batch_writer(paths)(batch(spark, [100 * day + b], day), 2 * b + day - 18)
+
+    def write(self, path, *args, **kwargs):
+        seen.append(int(spark.conf.get(writers, "0")))           # 0: sorted by folder first
+        real(self, path, *args, **kwargs)
+
+    before = spark.conf.get(writers, "0")
+    monkeypatch.setattr(DataFrameWriter, "parquet", write)
+    S.compact(spark, paths, "9999-12-31")
+    assert len(seen) == 2 and min(seen) > 1
+    assert spark.conf.get(writers, "0") == before
+    assert [len(folders(paths, f"2026-03-{d}/query_id=compacted")) for d in (18, 19)] == [1, 1]
+    assert ids(spark, paths) == [1800, 1801, 1900, 1901]
+
+
 def test_compaction_merges_closed_days_and_late_rows_follow(spark, scratch):
     paths, write = S.StreamPaths(scratch("compact")), None
     write = S.micro_batch_writer(paths)
