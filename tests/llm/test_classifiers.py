@@ -127,3 +127,36 @@ def test_pairwise_fit_is_about_as_good_as_newton_on_all_pairs():
         w += np.linalg.solve(hessian, (p[:, None] * diff).mean(axis=0) - q.RIDGE * w)
     assert loss(w) <= loss(model.weights) < loss(w) * 1.05 + 0.01 < loss(np.zeros(k))
     assert np.corrcoef(w, model.weights)[0, 1] > 0.97
+
+
+def test_quality_is_learned_from_every_labelled_row_and_every_pair(spark):
+    """24,000 rows, 100 million pairs: their statistics, the cut's rank, and a slope of nearly zero."""
+    from tessera.llm import op4_quality as q
+    docs = spark.range(0, 30_000, 1, 4).selectExpr(
+        "id AS doc_id", "concat(repeat('word ', CAST(3 + id % 17 AS int)), repeat('## ', CAST(id * 7919 % 11 AS int)), 'End ', id % 23) AS text")
+    labels = docs.selectExpr("doc_id", "IF(doc_id * 7919 % 11 + doc_id * 104729 % 13 < 9, 1, 0) AS quality")
+    model = q.fit(docs, labels)
+    rows = [(r.label, r.x) for r in q.training_features(docs, labels, "quality").collect()]
+    good, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    assert len(rows) > 23_000 and np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0) + 1e-6)
+    assert (model.raw(x) < model.cut).sum() <= (good == 0).sum() <= (model.raw(x) <= model.cut + 1e-9).sum()
+    block = q.bradley_terry(x, good)
+    assert np.allclose(block.weights, model.weights, atol=1e-6) and np.isclose(block.cut, model.cut)
+    z, lead = model.standard(x), model.raw(x)
+    pairs = (good == 1).sum() * (good == 0).sum()
+    slope = -q.RIDGE * model.weights                             # over all pairs, without a grid
+    for part in np.array_split(np.flatnonzero(good == 1), 60):
+        doubt = 1 / (1 + np.exp(np.clip(lead[part][:, None] - lead[good == 0][None], -700, 700)))
+        slope += (doubt.sum(axis=1) @ z[part] - doubt.sum(axis=0) @ z[good == 0]) / pairs
+    assert np.abs(slope).max() < 1e-3
+
+
+def test_cut_lies_between_the_ranks_of_all_rows(spark):
+    from tessera.llm import op4_quality as q
+    rng = random.Random(4)
+    values = [rng.choice([0.25, rng.uniform(-3, 3), 1e-9 * rng.random()]) for _ in range(500)]
+    scores = spark.createDataFrame([(v,) for v in values], "raw double").repartition(3).cache()
+    ordered = sorted(values)
+    for rank in (1, 100, 163, 300, 420, 499):
+        assert q.cut_of(scores, rank) == (ordered[rank - 1] + ordered[rank]) / 2
+    assert q.cut_of(scores.filter("raw = 0.25"), 3) == 0.25
