@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 
 import pytest
@@ -178,6 +179,76 @@ def test_a_streaming_query_replays_a_merged_batch(spark, scratch):
     assert S.read_silver(spark, paths).where(F.col(sink.QUERY_COL) == sink.COMPACTED).count() == 2
 
 
+def events(spark, folder, days=(14, 15, 16, 17), each=30):
+    """Events around the first delivery's cut, one of them twice, one without a time."""
+    from tessera.sources import bindings
+    rows = [(100 * d + i, dt.datetime(2024, 1, d, i % 24, i), i, "view", 1.0, "{}") for d in days for i in range(each)]
+    rows += [rows[0], (1, None, 1, "view", 1.0, "{}")]
+    spark.createDataFrame(rows, bindings.SOURCE_SCHEMAS["events"]).write.parquet(f"{folder}/events.parquet")
+    return sorted(r[0] for r in rows if r[1])
+
+
+def test_the_restarted_flow_compacts_all_days_and_replays_a_merged_batch(spark, scratch, monkeypatch):
+    from tessera.plans import stream_flow as flow
+    root, days = scratch("flow"), [f"2024-01-{d}" for d in (14, 15, 16, 17)]
+    data = scratch("events")
+    want = events(spark, data)
+    paths, done, dropped, shown = S.StreamPaths(root), {}, {}, []
+    compact, drop, replay = S.compact, sink.drop_superseded, flow.replay_last_batch
+
+    def replayed(spark, topic, paths):
+        taken = sink._state(spark, paths.silver)[1]
+        last = sink.committed(spark, paths.root)
+        shown.extend(taken[d]["upto"] == last for d in days)    # the batch that comes again is in every merged day
+        replay(spark, topic, paths)
+
+    monkeypatch.setattr(S, "compact", lambda *a: done.update(compact(*a)))
+    monkeypatch.setattr(sink, "drop_superseded", lambda *a: dropped.update({a[2]: drop(*a)}))
+    monkeypatch.setattr(flow, "replay_last_batch", replayed)
+    rows = flow.run_compacted(spark, data, root).collect()
+    for phase in ("before", "compacted", "replayed", "cleaned"):
+        assert sorted(r.event_id for r in rows if r.phase == phase) == want
+    assert (done["silver"].days, len(done["bronze"].days)) == (days, 1) and shown == [True] * 4
+    assert [sum(f.startswith(d) for f in dropped[paths.silver]) for d in days] == [2] * 4   # late rows beside each day's own
+    assert len(dropped[paths.bronze]) == 3
+    for d in days:
+        assert {f.split("/")[1] for f in folders(paths, d)} == {f"{sink.QUERY_COL}={sink.COMPACTED}"}
+    assert S.read_bronze(spark, paths).count() == len(want)
+    assert S.read_dead_letters(spark, paths).count() == 1       # the one without a time was delivered
+
+
+def test_an_idle_run_that_commits_stops_the_restarted_flow(spark, scratch, monkeypatch):
+    from tessera.plans import stream_flow as flow
+    root, data, runs, real = scratch("idle"), scratch("events"), [], S.run_available
+    events(spark, data, days=(15, 16), each=8)
+
+    def run(spark, messages, paths, **kwargs):
+        real(spark, messages, paths, **kwargs)
+        runs.append(sink.committed(spark, paths.root))
+        if len(runs) == 4:
+            sink.commit_batch(spark, paths.root, *[(q, n + 1) for q, n in runs[-1].items()][0])
+
+    monkeypatch.setattr(S, "run_available", run)
+    with pytest.raises(RuntimeError, match="without new messages"):
+        flow.run_with_restart(spark, data, root)
+    assert [list(r.values()) for r in runs] == [[0], [1], [2], [2]]
+
+
+def test_the_compacted_flow_stops_if_bronze_loses_records(spark, scratch, monkeypatch):
+    from tessera.plans import stream_flow as flow
+    root, data, compact = scratch("lost"), scratch("events"), S.compact
+    events(spark, data, days=(15, 16), each=8)
+
+    def lose(spark, paths, *args):
+        compact(spark, paths, *args)
+        for day in fs.list_partition_values(spark, paths.bronze, S.ARRIVED_COL):
+            fs.delete(spark, f"{paths.bronze}/{S.ARRIVED_COL}={day}")
+
+    monkeypatch.setattr(S, "compact", lose)
+    with pytest.raises(RuntimeError, match="compacted: 0 records in bronze, 17 rows in silver"):
+        flow.run_compacted(spark, data, root)
+
+
 def test_the_view_lasts_and_follows_the_flow(spark, scratch):
     paths = S.StreamPaths(scratch("view"))
     write, columns = S.micro_batch_writer(paths), ["event_id", "gravity_g"]
